@@ -1,0 +1,141 @@
+"""DuckDB text of the role adapters (mirror of ``marketlens.sources.roles``).
+
+``with_tables(names)`` returns a ``WITH`` prefix defining the requested source tables
+(and their dependencies) over the driver's pre-registered views.
+"""
+from __future__ import annotations
+
+from .kit import pick
+
+_LEVEL_COLS = """
+    CAST(SUM(price * disc) AS DECIMAL(18,6)) AS spend,
+    CAST(SUM(qty) * 40 AS BIGINT) AS impressions,
+    CAST(SUM(CASE WHEN line <> 1 THEN qty ELSE 0 END) AS BIGINT) AS clicks,
+    CAST(CASE WHEN COUNT(CASE WHEN rflag = 'R' THEN 1 END) = 0 AND SUM(qty) % 2 = 0 THEN NULL
+              ELSE COUNT(CASE WHEN rflag = 'R' THEN 1 END) END AS DECIMAL(18,6)) AS conversions,
+    CAST(COALESCE(SUM(CASE WHEN rflag = 'R' THEN price END), 0) AS DECIMAL(18,6)) AS conversions_value,
+    CAST(COUNT(CASE WHEN rflag = 'A' THEN 1 END) AS DECIMAL(18,6)) AS view_through_conversions,
+    CAST(SUM(CASE WHEN lstatus = 'O' THEN qty ELSE 0 END) AS BIGINT) AS interactions,
+    CAST(SUM(CASE WHEN line >= 5 THEN qty ELSE 0 END) AS BIGINT) AS video_views,
+    CAST((COUNT(*) % 4) * 0.25 AS DECIMAL(10,6)) AS video_quartile_p25_rate,
+    CAST((COUNT(*) % 4) * 0.20 AS DECIMAL(10,6)) AS video_quartile_p50_rate,
+    CAST((COUNT(*) % 4) * 0.15 AS DECIMAL(10,6)) AS video_quartile_p75_rate,
+    CAST(CASE WHEN COUNT(*) % 5 = 0 THEN NULL ELSE (COUNT(*) % 4) * 0.10 END AS DECIMAL(10,6)) AS video_quartile_p100_rate,
+    CASE WHEN SUM(CASE WHEN line <> 1 THEN qty ELSE 0 END) > 0 THEN 'CLICK' END AS interaction_event_types,
+    CAST((SUM(qty) % 100) * 0.01 AS DECIMAL(10,6)) AS search_impression_share,
+    CAST((SUM(qty) % 50) * 0.01 AS DECIMAL(10,6)) AS search_top_impression_share,
+    CAST((SUM(qty) % 25) * 0.01 AS DECIMAL(10,6)) AS search_absolute_top_impression_share,
+    CAST((COUNT(*) % 10) * 0.05 AS DECIMAL(10,6)) AS search_rank_lost_impression_share,
+    CAST((COUNT(*) % 20) * 0.01 AS DECIMAL(10,6)) AS search_budget_lost_impression_share,
+    CAST(date + 1 AS TIMESTAMP) AS _fivetran_synced"""
+
+
+def _level(ids: str, base: str = "ads_base") -> str:
+    return f"SELECT {ids}, date, {_LEVEL_COLS}\n  FROM {base} GROUP BY {ids}, date"
+
+
+def _versions(src: str, key: str) -> str:
+    return (f"SELECT s.*, v._v, TIMESTAMP '2024-01-01' + to_days(CAST(v._v AS INTEGER)) AS _fivetran_synced, "
+            f"(v._v = 2 AND s.{key} % 7 = 3) AS _fivetran_deleted "
+            f"FROM ({src}) s CROSS JOIN (VALUES (1), (2)) v(_v) WHERE s.{key} % 13 <> 12")
+
+
+_ADS_BASE_SELECT = """SELECT CAST(n.n_regionkey AS BIGINT) AS account_id, CAST(s.s_nationkey AS BIGINT) AS campaign_id,
+         l.l_suppkey AS ad_group_id, l.l_suppkey * 1000 + l.l_partkey % 7 AS ad_id,
+         l.l_suppkey * 1000 + l.l_partkey % 11 AS criterion_id, {date} AS date,
+         CAST(l.l_quantity AS BIGINT) AS qty, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS price,
+         CAST(l.l_discount AS DECIMAL(4,2)) AS disc, l.l_linenumber AS line, l.l_returnflag AS rflag,
+         l.l_linestatus AS lstatus
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey"""
+
+_LV = "CAST(_v AS VARCHAR)"
+
+ADAPTERS: dict[str, tuple[list[str], str]] = {
+    "ads_base": ([], _ADS_BASE_SELECT.format(
+        date="DATE '2024-01-01' + CAST(date_diff('day', DATE '1995-01-01', CAST(l.l_shipdate AS DATE)) % 120 AS INTEGER)")),
+    "ads_base_long": ([], _ADS_BASE_SELECT.format(date="CAST(l.l_shipdate AS DATE)")),
+    "account_stats": (["ads_base"], _level("account_id")),
+    "account_stats_long": (["ads_base_long"], _level("account_id", "ads_base_long")),
+    "campaign_stats": (["ads_base"], _level("campaign_id, account_id")),
+    "ad_group_stats": (["ads_base"], _level("ad_group_id, campaign_id, account_id")),
+    "ad_stats": (["ads_base"], _level("ad_id, ad_group_id, campaign_id, account_id")),
+    "keyword_stats": (["ads_base"], _level("criterion_id, ad_group_id, campaign_id, account_id")),
+    "account_history": ([], f"""SELECT account_id, r_name || '-v' || {_LV} AS descriptive_name,
+         {pick('account_id', ['USD', 'EUR'])} AS currency_code, 'UTC' AS time_zone,
+         account_id % 2 = 0 AS auto_tagging_enabled, false AS manager, false AS test_account,
+         _fivetran_synced, _fivetran_deleted
+  FROM ({_versions("SELECT CAST(r_regionkey AS BIGINT) AS account_id, r_name FROM region", "account_id")})"""),
+    "campaign_history": ([], f"""SELECT campaign_id, account_id, n_name || '-v' || {_LV} AS name,
+         {pick('campaign_id', ['ENABLED', 'PAUSED', 'REMOVED'])} AS status,
+         {pick('campaign_id', ['SEARCH', 'DISPLAY', 'VIDEO', 'SHOPPING'])} AS advertising_channel_type,
+         {pick('campaign_id', [None, 'STANDARD', 'SMART'])} AS advertising_channel_sub_type,
+         {pick('campaign_id', ['TARGET_CPA', 'MAXIMIZE_CONVERSIONS', 'MANUAL_CPC'])} AS bidding_strategy_type,
+         DATE '2023-12-01' + CAST(campaign_id AS INTEGER) AS start_date,
+         CASE WHEN campaign_id % 5 = 0 THEN DATE '2024-06-30' END AS end_date,
+         CAST(CASE WHEN campaign_id % 6 = 0 THEN 0 ELSE (campaign_id % 6) * 250 + _v * 10 END AS DECIMAL(18,6)) AS budget_amount,
+         'DAILY' AS budget_period, 'SERVING' AS serving_status, 'OPTIMIZE' AS ad_serving_optimization_status,
+         _fivetran_synced, _fivetran_deleted
+  FROM ({_versions("SELECT CAST(n_nationkey AS BIGINT) AS campaign_id, CAST(n_regionkey AS BIGINT) AS account_id, n_name FROM nation", "campaign_id")})"""),
+    "ad_group_history": ([], f"""SELECT ad_group_id, campaign_id, s_name || '-v' || {_LV} AS name,
+         {pick('ad_group_id', ['ENABLED', 'PAUSED', 'REMOVED'])} AS status,
+         {pick('ad_group_id', ['SEARCH_STANDARD', 'DISPLAY_STANDARD'])} AS type,
+         (ad_group_id % 50 + 1) * 100000 AS cpc_bid_micros, (ad_group_id % 20) * 500000 AS cpm_bid_micros,
+         CASE WHEN ad_group_id % 4 <> 0 THEN (ad_group_id % 4) * 5000000 END AS target_cpa_micros,
+         COALESCE(CASE WHEN ad_group_id % 4 <> 0 THEN (ad_group_id % 4) * 5000000 END, 0) AS effective_target_cpa_micros,
+         CAST((ad_group_id % 5) * 0.5 AS DECIMAL(10,6)) AS effective_target_roas,
+         _fivetran_synced, _fivetran_deleted
+  FROM ({_versions("SELECT s_suppkey AS ad_group_id, CAST(s_nationkey AS BIGINT) AS campaign_id, s_name FROM supplier", "ad_group_id")})"""),
+    "ad_history": ([], f"""SELECT ad_id, ad_group_id,
+         {pick('_k', ['RESPONSIVE_SEARCH_AD', 'EXPANDED_TEXT_AD', 'RESPONSIVE_DISPLAY_AD', 'IMAGE_AD'])} AS type,
+         {pick('_k', ['ENABLED', 'PAUSED'])} AS status, CAST(NULL AS VARCHAR) AS device_preference,
+         {pick('_k', ['EXCELLENT', 'GOOD', 'AVERAGE', 'POOR', 'UNSPECIFIED', None, 'PENDING'])} AS ad_strength,
+         'www.s' || CAST(ad_group_id AS VARCHAR) || '.example' AS display_url,
+         '["https://s' || CAST(ad_group_id AS VARCHAR) || '.example/' || CAST(_k AS VARCHAR) || '"]' AS final_urls,
+         CAST(NULL AS VARCHAR) AS final_mobile_urls,
+         'Headline ' || CAST(_k AS VARCHAR) || ' ' || repeat('great offers ', CAST(_k + 3 AS INTEGER)) AS responsive_search_ad_headlines,
+         'Description for group ' || CAST(ad_group_id AS VARCHAR) || ' ' || repeat('buy now ', 15) AS responsive_search_ad_descriptions,
+         'deals' AS responsive_search_ad_path1, CASE WHEN _k % 2 = 0 THEN 'today' END AS responsive_search_ad_path2,
+         'Part one ' || CAST(_k AS VARCHAR) AS expanded_text_ad_headline_part1,
+         CASE WHEN _k % 3 <> 0 THEN 'Part two' END AS expanded_text_ad_headline_part2,
+         CAST(NULL AS VARCHAR) AS expanded_text_ad_headline_part3,
+         'Expanded description ' || CAST(ad_group_id AS VARCHAR) AS expanded_text_ad_description,
+         CAST(NULL AS VARCHAR) AS expanded_text_ad_description2, 'shop' AS expanded_text_ad_path1,
+         CAST(NULL AS VARCHAR) AS expanded_text_ad_path2,
+         _fivetran_synced, _fivetran_deleted
+  FROM ({_versions("SELECT s_suppkey * 1000 + k AS ad_id, s_suppkey AS ad_group_id, CAST(k AS BIGINT) AS _k FROM supplier CROSS JOIN range(0, 7) r(k)", "ad_id")})"""),
+    "ad_group_criterion_history": ([], f"""SELECT criterion_id, ad_group_id,
+         CASE WHEN _k = 10 THEN 'AUDIENCE' ELSE 'KEYWORD' END AS type,
+         {pick('_k', ['ENABLED', 'PAUSED'])} AS status,
+         'kw-' || CAST(ad_group_id AS VARCHAR) || '-' || CAST(_k AS VARCHAR) AS keyword_text,
+         {pick('_k', ['EXACT', 'PHRASE', 'BROAD'])} AS keyword_match_type,
+         'ELIGIBLE' AS system_serving_status, 'APPROVED' AS approval_status,
+         CAST(CASE WHEN (ad_group_id + _k) % 11 <> 0 THEN (ad_group_id + _k) % 11 END AS INTEGER) AS quality_score,
+         {pick('ad_group_id + _k', ['ABOVE_AVERAGE', 'AVERAGE', 'BELOW_AVERAGE'])} AS creative_quality_score,
+         {pick('ad_group_id + 2 * _k', ['ABOVE_AVERAGE', 'AVERAGE', 'BELOW_AVERAGE'])} AS post_click_quality_score,
+         {pick('ad_group_id + 5 * _k', ['ABOVE_AVERAGE', 'AVERAGE', 'BELOW_AVERAGE'])} AS search_predicted_ctr,
+         (_k + 1) * 250000 AS cpc_bid_micros, (_k + 1) * 250000 AS effective_cpc_bid_micros,
+         CAST(NULL AS VARCHAR) AS final_url_suffix,
+         _fivetran_synced, _fivetran_deleted
+  FROM ({_versions("SELECT s_suppkey * 1000 + k AS criterion_id, s_suppkey AS ad_group_id, CAST(k AS BIGINT) AS _k FROM supplier CROSS JOIN range(0, 11) r(k)", "criterion_id")})"""),
+}
+
+
+def register(name: str, deps: list[str], sql: str) -> None:
+    ADAPTERS[name] = (deps, sql)
+
+
+def with_tables(*names: str) -> str:
+    """``WITH`` prefix defining ``names`` and their dependencies, in dependency order."""
+    order: list[str] = []
+
+    def visit(n: str):
+        if n in order:
+            return
+        deps, _ = ADAPTERS[n]
+        for dep in deps:
+            visit(dep)
+        order.append(n)
+
+    for n in names:
+        visit(n)
+    return "WITH " + ",\n".join(f"{n} AS (\n  {ADAPTERS[n][1]}\n)" for n in order) + "\n"

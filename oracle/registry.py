@@ -1,0 +1,8 @@
+"""All oracle SQL by query key."""
+from __future__ import annotations
+
+from . import search_ads
+
+ORACLE: dict[str, str] = {}
+for _m in (search_ads,):
+    ORACLE.update(_m.SQL)

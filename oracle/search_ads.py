@@ -1,0 +1,107 @@
+"""Oracle SQL: search-ads marts."""
+from __future__ import annotations
+
+from .adapters import with_tables
+from .kit import change_pct, date_key, ratio, xavg
+
+ADS_AS_OF = "DATE '2024-04-30'"
+
+
+def latest(table: str, key: str, where: str = "") -> str:
+    w = f" WHERE {where}" if where else ""
+    return (f"(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY _fivetran_synced DESC) AS rn "
+            f"FROM {table}{w}) WHERE rn = 1)")
+
+
+def kpis(spend, imp, clicks, conv, value, s_spend, s_conv, s_value, names=None):
+    n = {"ctr": "ctr_percent", "cpc": "avg_cpc", "cvr": "conversion_rate_percent",
+         "cpa": "cost_per_conversion", "roas": "roas", "cpm": "avg_cpm"}
+    n.update(names or {})
+    out = [
+        (n["ctr"], ratio(f"{clicks} * 100", imp, 4, 10)),
+        (n["cpc"], ratio(spend, clicks, 4, 18, ns=s_spend)),
+        (n["cvr"], ratio(f"{conv} * 100", clicks, 4, 10, ns=s_conv)),
+        (n["cpa"], ratio(spend, conv, 4, 18, ns=s_spend, ds=s_conv)),
+        (n["roas"], ratio(value, spend, 4, 10, ns=s_value, ds=s_spend)),
+        (n["cpm"], ratio(f"{spend} * 1000", imp, 4, 18, ns=s_spend)),
+    ]
+    return ",\n  ".join(f"{e} AS {k}" for k, e in out if k)
+
+
+CAMPAIGN_PERFORMANCE_BODY = f"""
+SELECT c.campaign_id, c.account_id, c.date, {date_key('c.date')} AS date_id,
+  ch.name AS campaign_name, ch.status AS campaign_status, ch.advertising_channel_type,
+  ch.advertising_channel_sub_type, ch.bidding_strategy_type, ch.start_date AS campaign_start_date,
+  ch.end_date AS campaign_end_date, ch.budget_amount, ch.budget_period,
+  ah.descriptive_name AS account_name, ah.currency_code,
+  CAST(c.spend AS DECIMAL(18,2)) AS spend, c.impressions, c.clicks,
+  CAST(COALESCE(c.conversions, 0) AS DECIMAL(18,6)) AS conversions,
+  CAST(COALESCE(c.conversions_value, 0) AS DECIMAL(18,6)) AS conversions_value,
+  CAST(COALESCE(c.view_through_conversions, 0) AS DECIMAL(18,6)) AS view_through_conversions,
+  COALESCE(c.video_views, 0) AS video_views,
+  COALESCE(c.video_quartile_p25_rate, 0) AS video_quartile_25_rate,
+  COALESCE(c.video_quartile_p50_rate, 0) AS video_quartile_50_rate,
+  COALESCE(c.video_quartile_p75_rate, 0) AS video_quartile_75_rate,
+  COALESCE(c.video_quartile_p100_rate, 0) AS video_quartile_100_rate,
+  COALESCE(c.interactions, 0) AS interactions,
+  COALESCE(c.interaction_event_types, '') AS interaction_event_types,
+  {kpis('c.spend', 'c.impressions', 'c.clicks', 'COALESCE(c.conversions, 0)', 'COALESCE(c.conversions_value, 0)', 6, 6, 6)},
+  {ratio('c.spend * 100', 'ch.budget_amount', 2, 10, ns=6, ds=6)} AS budget_utilization_percent,
+  c._fivetran_synced AS last_synced_at
+FROM campaign_stats c
+LEFT JOIN {latest('campaign_history', 'campaign_id')} ch ON c.campaign_id = ch.campaign_id
+LEFT JOIN {latest('account_history', 'account_id')} ah ON c.account_id = ah.account_id
+"""
+
+_CP_TABLES = ("campaign_stats", "campaign_history", "account_history")
+
+
+def _with_cp(extra: str = "") -> str:
+    return with_tables(*_CP_TABLES).rstrip() + f",\ncampaign_performance AS ({CAMPAIGN_PERFORMANCE_BODY})" + extra
+
+
+W = "(PARTITION BY campaign_id ORDER BY date ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
+L7 = "LAG({c}, 7) OVER (PARTITION BY campaign_id ORDER BY date)"
+MTD = "(PARTITION BY campaign_id, year(date), month(date) ORDER BY date)"
+
+SQL: dict[str, str] = {
+    "campaign_performance": with_tables(*_CP_TABLES) + CAMPAIGN_PERFORMANCE_BODY,
+    "campaign_performance_summary": _with_cp() + f"""
+SELECT campaign_id, campaign_name, campaign_status, advertising_channel_type, account_name, currency_code,
+  total_spend, total_impressions, total_clicks, total_conversions, total_conversions_value,
+  {kpis('total_spend', 'total_impressions', 'total_clicks', 'total_conversions', 'total_conversions_value', 2, 6, 6,
+        names={'ctr': 'avg_ctr', 'cpc': 'avg_cpc', 'cvr': 'avg_conversion_rate', 'cpa': 'avg_cost_per_conversion',
+               'roas': 'avg_roas', 'cpm': None})},
+  first_date, last_date, active_days
+FROM (
+  SELECT campaign_id, campaign_name, campaign_status, advertising_channel_type, account_name, currency_code,
+    CAST(SUM(spend) AS DECIMAL(28,2)) AS total_spend, CAST(SUM(impressions) AS BIGINT) AS total_impressions,
+    CAST(SUM(clicks) AS BIGINT) AS total_clicks, CAST(SUM(conversions) AS DECIMAL(28,6)) AS total_conversions,
+    CAST(SUM(conversions_value) AS DECIMAL(28,6)) AS total_conversions_value,
+    MIN(date) AS first_date, MAX(date) AS last_date, COUNT(DISTINCT date) AS active_days
+  FROM campaign_performance
+  WHERE date >= {ADS_AS_OF} - 30
+  GROUP BY campaign_id, campaign_name, campaign_status, advertising_channel_type, account_name, currency_code
+)""",
+    "campaign_trend_analysis": _with_cp() + f"""
+SELECT campaign_id, date, campaign_name, campaign_status, advertising_channel_type, spend, impressions, clicks,
+  conversions, conversions_value, ctr_percent, avg_cpc, conversion_rate_percent, roas,
+  {xavg('spend', 2, W.format(n=6), prec=22)} AS spend_7day_ma,
+  AVG(impressions) OVER {W.format(n=6)} AS impressions_7day_ma,
+  AVG(clicks) OVER {W.format(n=6)} AS clicks_7day_ma,
+  {xavg('conversions', 6, W.format(n=6), prec=22)} AS conversions_7day_ma,
+  {xavg('ctr_percent', 4, W.format(n=6), prec=14)} AS ctr_7day_ma,
+  {xavg('spend', 2, W.format(n=29), prec=22)} AS spend_30day_ma,
+  AVG(impressions) OVER {W.format(n=29)} AS impressions_30day_ma,
+  {xavg('conversions', 6, W.format(n=29), prec=22)} AS conversions_30day_ma,
+  {L7.format(c='spend')} AS spend_last_week,
+  {L7.format(c='clicks')} AS clicks_last_week,
+  {L7.format(c='conversions')} AS conversions_last_week,
+  {change_pct('spend', L7.format(c='spend'), 2)} AS spend_wow_change_percent,
+  {change_pct('clicks', L7.format(c='clicks'), 0)} AS clicks_wow_change_percent,
+  CAST(SUM(spend) OVER {MTD} AS DECIMAL(28,2)) AS mtd_spend,
+  CAST(SUM(conversions) OVER {MTD} AS DECIMAL(28,6)) AS mtd_conversions,
+  CAST(DENSE_RANK() OVER (PARTITION BY date ORDER BY spend DESC) AS INTEGER) AS daily_spend_rank,
+  CAST(DENSE_RANK() OVER (PARTITION BY date ORDER BY conversions DESC) AS INTEGER) AS daily_conversions_rank
+FROM campaign_performance""",
+}
