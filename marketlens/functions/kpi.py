@@ -24,21 +24,31 @@ def dec(value, precision: int | None = None, scale: int | None = None) -> Column
     return lit
 
 
-def ratio(num, den, factor=None, cast=(10, 4), default=0, guard=None) -> Column:
+def ratio(num, den, factor=None, cast=(10, 4), default=0, guard=None, operand: str | None = "decimal(24,6)") -> Column:
     """``num * factor / den`` when ``guard`` (default ``den > 0``) holds, else ``default``.
 
     ``factor`` is applied to the numerator the way the SQL writes ``x * 100.0 / y``;
-    ``default=None`` yields NULL instead of 0.
+    ``default=None`` yields NULL instead of 0.  Operands are first brought to ``operand``
+    (decimal(24,6) holds every count and amount exactly): Spark sizes a decimal quotient
+    from the operand precisions, and two wide sums (e.g. decimal(28,2) / decimal(28,6))
+    would leave only 6 fractional digits, which the final cast then rounds a second time.
     """
     n, d = _col(num), _col(den)
+    cond = guard if guard is not None else (d > 0)
+    if operand:
+        n, d = n.cast(operand), d.cast(operand)
     if factor is not None:
         n = n * dec(factor)
-    cond = guard if guard is not None else (d > 0)
     typ = f"decimal({cast[0]},{cast[1]})"
     other = F.lit(None).cast(typ) if default is None else F.lit(default).cast(typ)
     return F.when(cond, (n / d).cast(typ)).otherwise(other)
 
 
+def share_pct(num, den, cast=(10, 2)) -> Column:
+    """``num * 100.0 / NULLIF(den, 0)``: NULL when the total is 0."""
+    return ratio(num, den, "100.0", cast=cast, default=None, guard=_col(den) != 0)
+
+
 def safe_div(num, den) -> Column:
     """NULL when the denominator is 0 or NULL (``x / NULLIF(y, 0)``)."""
     d = _col(den)

@@ -11,7 +11,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import date_key, in_last_days, ratio, rules
+from ..functions import date_key, dec, in_last_days, ratio, rules, share_pct
 from ..operators.dims import attach
 from ..operators.latest import latest_by_key
 from ..operators.windows import lag_change_pct, lag_of, moving_avg, rank_within, running_total
@@ -124,3 +124,436 @@ def campaign_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Data
                     "currency_code", "total_spend", "total_impressions", "total_clicks", "total_conversions",
                     "total_conversions_value", *[v.alias(n) for n, v in k.items()],
                     "first_date", "last_date", "active_days")
+
+
+# --------------------------------------------------------------------------- shared pieces
+def micros(col: str):
+    """``micros / 1000000.0`` as an exact decimal."""
+    return (F.col(col) / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(30,9)")
+
+
+def _latest_names(t: Tables):
+    return (latest_by_key(t["ad_group_history"], "ad_group_id"), latest_by_key(t["campaign_history"], "campaign_id"),
+            latest_by_key(t["account_history"], "account_id"))
+
+
+def _totals(prefix: str = "total_") -> list:
+    return [F.sum("spend").alias(f"{prefix}spend"), F.sum("impressions").alias(f"{prefix}impressions"),
+            F.sum("clicks").alias(f"{prefix}clicks"), F.sum("conversions").alias(f"{prefix}conversions"),
+            F.sum("conversions_value").alias(f"{prefix}conversions_value")]
+
+
+def _total_kpis(names=None, prefix="total_"):
+    k = _std_kpis(f"{prefix}spend", f"{prefix}impressions", f"{prefix}clicks", f"{prefix}conversions",
+                  f"{prefix}conversions_value", names=dict({"cpm": None}, **(names or {})))
+    return [v.alias(n) for n, v in k.items()]
+
+
+# --------------------------------------------------------------------------- account
+def account_performance(t: Tables) -> DataFrame:
+    a = t["account_stats"]
+    ah = latest_by_key(t["account_history"], "account_id")
+    f = attach(a, ah, "account_id", {"descriptive_name": "account_name", "currency_code": "currency_code",
+                                     "time_zone": "account_timezone"})
+    conv = F.coalesce(F.col("conversions"), F.lit(0))
+    return f.select(
+        "account_id", "date", date_key("date").alias("date_id"), "account_name", "currency_code", "account_timezone",
+        F.col("spend").cast("decimal(18,2)").alias("spend"), "impressions", "clicks",
+        conv.cast("decimal(18,6)").alias("conversions"),
+        F.coalesce("conversions_value", F.lit(0)).cast("decimal(18,6)").alias("conversions_value"),
+        F.coalesce("view_through_conversions", F.lit(0)).cast("decimal(18,6)").alias("view_through_conversions"),
+        *[v.alias(k) for k, v in _std_kpis(conversions=conv,
+                                           value=F.coalesce(F.col("conversions_value"), F.lit(0))).items()],
+        ratio("clicks", "impressions", "1000.0", (10, 4)).alias("engagement_rate"),
+        F.col("_fivetran_synced").alias("last_synced_at"),
+    )
+
+
+def _period_compare(df: DataFrame, key: str, as_of, metrics: list[str], days: int = 30) -> DataFrame:
+    """Closed current period [as_of-days, as_of) vs previous [as_of-2*days, as_of-days), one pass;
+    keeps only entities active in the current period (INNER side of the SQL)."""
+    from ..functions.dates import in_window
+    cur = in_window("date", as_of, days, 0)
+    prev = in_window("date", as_of, 2 * days, days)
+    aggs = []
+    for m in metrics:
+        aggs += [F.sum(F.when(cur, F.col(m))).alias(f"cur_{m}"), F.sum(F.when(prev, F.col(m))).alias(f"prev_{m}")]
+    aggs += [F.min(F.when(cur, F.col("date"))).alias("period_start"),
+             F.max(F.when(cur, F.col("date"))).alias("period_end"),
+             F.count_distinct(F.when(cur, F.col("date"))).alias("days_in_period"),
+             F.count(F.when(cur, F.lit(1))).alias("_n_cur")]
+    return df.filter(cur | prev).groupBy(key).agg(*aggs).filter(F.col("_n_cur") > 0).drop("_n_cur")
+
+
+def account_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    """Current 30 days (excluding as_of) vs the 30 days before, per account."""
+    from ..functions import change_pct
+    ap = account_performance(t)
+    m = ["spend", "impressions", "clicks", "conversions", "conversions_value"]
+    p = _period_compare(ap, "account_id", as_of, m)
+    ah = latest_by_key(t["account_history"], "account_id")
+    p = attach(p, ah, "account_id", {"descriptive_name": "account_name", "currency_code": "currency_code"})
+    k = _std_kpis("cur_spend", "cur_impressions", "cur_clicks", "cur_conversions", "cur_conversions_value",
+                  names={"ctr": "current_ctr", "cpc": "current_cpc", "cvr": "current_conversion_rate",
+                         "cpa": "current_cost_per_conversion", "roas": "current_roas", "cpm": None})
+    prev = {x: F.coalesce(F.col(f"prev_{x}"), F.lit(0)) for x in m}
+    return p.select(
+        "account_id", "account_name", "currency_code",
+        *[F.col(f"cur_{x}").alias(f"current_{x}") for x in m],
+        *[v.alias(n) for n, v in k.items()],
+        *[prev[x].alias(f"previous_{x}") for x in ["spend", "impressions", "clicks", "conversions"]],
+        *[change_pct(f"cur_{x}", prev[x]).alias(f"{x}_change_percent")
+          for x in ["spend", "impressions", "clicks", "conversions"]],
+        "period_start", "period_end", "days_in_period")
+
+
+# --------------------------------------------------------------------------- ad group
+def ad_group_performance(t: Tables) -> DataFrame:
+    ag = t["ad_group_stats"]
+    agh, ch, ah = _latest_names(t)
+    f = attach(ag, agh, "ad_group_id", {
+        "name": "ad_group_name", "status": "ad_group_status", "type": "ad_group_type",
+        "cpc_bid_micros": "_cpc_bid_micros", "cpm_bid_micros": "_cpm_bid_micros",
+        "target_cpa_micros": "_target_cpa_micros", "effective_target_cpa_micros": "_eff_target_cpa_micros",
+        "effective_target_roas": "effective_target_roas"})
+    f = attach(f, ch, "campaign_id", {"name": "campaign_name", "status": "campaign_status",
+                                      "advertising_channel_type": "advertising_channel_type"})
+    f = attach(f, ah, "account_id", {"descriptive_name": "account_name", "currency_code": "currency_code"})
+    conv = F.coalesce(F.col("conversions"), F.lit(0))
+    target = micros("_target_cpa_micros")
+    return f.select(
+        "ad_group_id", "campaign_id", "account_id", "date", date_key("date").alias("date_id"),
+        "ad_group_name", "ad_group_status", "ad_group_type",
+        micros("_cpc_bid_micros").alias("cpc_bid"), micros("_cpm_bid_micros").alias("cpm_bid"),
+        target.alias("target_cpa"), micros("_eff_target_cpa_micros").alias("effective_target_cpa"),
+        "effective_target_roas", "campaign_name", "campaign_status", "advertising_channel_type", "account_name",
+        "currency_code",
+        F.col("spend").cast("decimal(18,2)").alias("spend"), "impressions", "clicks",
+        conv.cast("decimal(18,6)").alias("conversions"),
+        F.coalesce("conversions_value", F.lit(0)).cast("decimal(18,6)").alias("conversions_value"),
+        F.coalesce("view_through_conversions", F.lit(0)).cast("decimal(18,6)").alias("view_through_conversions"),
+        F.coalesce("interactions", F.lit(0).cast("long")).alias("interactions"),
+        *[v.alias(k) for k, v in _std_kpis(conversions=conv,
+                                           value=F.coalesce(F.col("conversions_value"), F.lit(0))).items()],
+        F.when((conv > 0) & (F.col("_target_cpa_micros") > 0),
+               (F.col("spend") / conv - target)).cast("decimal(18,4)").alias("cpa_vs_target_variance"),
+        F.col("_fivetran_synced").alias("last_synced_at"),
+    )
+
+
+def ad_group_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    """Last-30-days per ad group: hierarchy path, share of and rank within its campaign, and
+    cost-per-conversion against the campaign average."""
+    from ..functions import concat_safe
+    from pyspark.sql import Window
+    keys = ["account_id", "account_name", "campaign_id", "campaign_name", "campaign_status",
+            "advertising_channel_type", "ad_group_id", "ad_group_name", "ad_group_status", "ad_group_type",
+            "currency_code"]
+    g = ad_group_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*keys).agg(
+        *_totals(), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.count_distinct("date").alias("active_days"))
+    camp = Window.partitionBy("campaign_id")
+    cpa = F.col("total_spend") / F.col("total_conversions")
+    has_conv = F.col("total_conversions") > 0
+    camp_avg_cpa = F.avg(F.when(has_conv, cpa)).over(camp)
+
+    def share(c):
+        return share_pct(c, F.sum(c).over(camp))
+
+    return g.select(
+        concat_safe("account_name", F.lit(" > "), "campaign_name", F.lit(" > "), "ad_group_name")
+        .alias("full_hierarchy_path"),
+        *keys, "total_spend", "total_impressions", "total_clicks", "total_conversions", "total_conversions_value",
+        *_total_kpis(names={"ctr": "ctr_percent", "cpc": "avg_cpc", "cvr": "conversion_rate_percent",
+                            "cpa": "cost_per_conversion", "roas": "roas"}),
+        share("total_spend").alias("pct_of_campaign_spend"),
+        share("total_clicks").alias("pct_of_campaign_clicks"),
+        share("total_conversions").alias("pct_of_campaign_conversions"),
+        rank_within(["campaign_id"], [F.col("total_spend").desc()]).alias("spend_rank_in_campaign"),
+        rank_within(["campaign_id"], [F.col("total_conversions").desc()]).alias("conversions_rank_in_campaign"),
+        rules([(has_conv & (cpa < camp_avg_cpa), "Above Average"), (has_conv, "Below Average")],
+              "No Conversions").alias("performance_indicator"),
+        "first_date", "last_date", "active_days",
+    )
+
+
+def ad_group_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    """Period comparison per ad group joined to its distinct attribute rows.
+
+    The attribute rows are derived from the distinct (ad group, campaign, account) keys of the
+    stats - not from every daily row - and the names attached to those few keys."""
+    from ..functions import change_pct
+    stats = t["ad_group_stats"]
+    agh, ch, ah = _latest_names(t)
+    ids = stats.select("ad_group_id", "campaign_id", "account_id").distinct()
+    attrs = attach(attach(attach(ids, agh, "ad_group_id", {"name": "ad_group_name", "status": "ad_group_status"}),
+                          ch, "campaign_id", {"name": "campaign_name"}),
+                   ah, "account_id", {"descriptive_name": "account_name"}) \
+        .select("ad_group_id", "ad_group_name", "ad_group_status", "campaign_name", "account_name").distinct()
+    base = stats.select("ad_group_id", "date", F.col("spend").cast("decimal(18,2)").alias("spend"), "impressions",
+                        "clicks", F.coalesce("conversions", F.lit(0)).cast("decimal(18,6)").alias("conversions"))
+    p = _period_compare(base, "ad_group_id", as_of, ["spend", "impressions", "clicks", "conversions"])
+    prev_spend = F.coalesce(F.col("prev_spend"), F.lit(0))
+    prev_conv = F.coalesce(F.col("prev_conversions"), F.lit(0))
+    return attrs.join(p, "ad_group_id", "inner").select(
+        "ad_group_id", "ad_group_name", "ad_group_status", "campaign_name", "account_name",
+        F.col("cur_spend").alias("current_spend"), F.col("cur_impressions").alias("current_impressions"),
+        F.col("cur_clicks").alias("current_clicks"), F.col("cur_conversions").alias("current_conversions"),
+        prev_spend.alias("previous_spend"), prev_conv.alias("previous_conversions"),
+        change_pct("cur_spend", prev_spend).alias("spend_change_percent"),
+        change_pct("cur_conversions", prev_conv).alias("conversions_change_percent"))
+
+
+# --------------------------------------------------------------------------- keywords
+def quality_score_category(qs):
+    q = F.col(qs)
+    return rules([(q >= 7, "High (7-10)"), (q >= 4, "Medium (4-6)"), (q >= 1, "Low (1-3)")], "Not Available")
+
+
+def keyword_performance(t: Tables) -> DataFrame:
+    k = t["keyword_stats"]
+    kh = latest_by_key(t["ad_group_criterion_history"], "criterion_id", where=F.col("type") == "KEYWORD")
+    agh, ch, ah = _latest_names(t)
+    f = attach(k, kh, "criterion_id", {
+        "keyword_text": "keyword_text", "keyword_match_type": "keyword_match_type", "status": "keyword_status",
+        "system_serving_status": "system_serving_status", "approval_status": "approval_status",
+        "quality_score": "quality_score", "creative_quality_score": "creative_quality_score",
+        "post_click_quality_score": "post_click_quality_score", "search_predicted_ctr": "search_predicted_ctr",
+        "cpc_bid_micros": "_cpc", "effective_cpc_bid_micros": "_ecpc", "final_url_suffix": "final_url_suffix"})
+    f = attach(f, agh, "ad_group_id", {"name": "ad_group_name"})
+    f = attach(f, ch, "campaign_id", {"name": "campaign_name"})
+    f = attach(f, ah, "account_id", {"descriptive_name": "account_name", "currency_code": "currency_code"})
+    conv = F.coalesce(F.col("conversions"), F.lit(0))
+    z = F.lit(0).cast("decimal(10,6)")
+    kpis = _std_kpis(conversions=conv, value=F.coalesce(F.col("conversions_value"), F.lit(0)), names={"cpm": None})
+    return f.select(
+        F.col("criterion_id").alias("keyword_id"), "ad_group_id", "campaign_id", "account_id", "date",
+        date_key("date").alias("date_id"), "keyword_text", "keyword_match_type", "keyword_status",
+        "system_serving_status", "approval_status", "quality_score", "creative_quality_score",
+        "post_click_quality_score", "search_predicted_ctr", micros("_cpc").alias("cpc_bid"),
+        micros("_ecpc").alias("effective_cpc_bid"), "final_url_suffix", "ad_group_name", "campaign_name",
+        "account_name", "currency_code",
+        F.col("spend").cast("decimal(18,2)").alias("spend"), "impressions", "clicks",
+        conv.cast("decimal(18,6)").alias("conversions"),
+        F.coalesce("conversions_value", F.lit(0)).cast("decimal(18,6)").alias("conversions_value"),
+        *[F.coalesce(c, z).alias(c) for c in ["search_impression_share", "search_top_impression_share",
+                                              "search_absolute_top_impression_share",
+                                              "search_rank_lost_impression_share",
+                                              "search_budget_lost_impression_share"]],
+        *[v.alias(n) for n, v in kpis.items()],
+        quality_score_category("quality_score").alias("quality_score_category"),
+        F.col("_fivetran_synced").alias("last_synced_at"),
+    )
+
+
+_KW_ATTRS = ["keyword_id", "keyword_text", "keyword_match_type", "keyword_status", "quality_score",
+             "quality_score_category", "ad_group_name", "campaign_name", "account_name", "currency_code"]
+
+
+def keyword_top_performers(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    """Last-30-days keywords with activity, four global dense ranks and a performance class.
+
+    The ranks are whole-result ranks; they are computed with the parallel bucketed rank
+    (``operators.ranks``) rather than a single-partition window."""
+    from ..operators.ranks import global_dense_rank
+    g = keyword_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*_KW_ATTRS).agg(
+        *_totals(), F.avg("search_impression_share").alias("avg_impression_share")
+    ).filter(F.col("total_impressions") > 0)
+    roas_key = F.when(F.col("total_spend") > 0, F.col("total_conversions_value") / F.col("total_spend")) \
+        .otherwise(F.lit(0))
+    eff_key = F.when(F.col("total_conversions") > 0, F.col("total_spend") / F.col("total_conversions")) \
+        .otherwise(F.lit(999999))
+    g = g.withColumns({"_roas_key": roas_key, "_eff_key": eff_key})
+    g = global_dense_rank(g, [("total_conversions", False)], "conversions_rank")
+    g = global_dense_rank(g, [("total_spend", False)], "spend_rank")
+    g = global_dense_rank(g, [("_roas_key", False)], "roas_rank")
+    g = global_dense_rank(g, [("_eff_key", True)], "efficiency_rank")
+    conv, roas = F.col("total_conversions"), F.col("_roas_key")
+    cls = rules([
+        ((conv >= 10) & (roas >= 2), "Star Performer"),
+        ((conv >= 5) & (roas >= 1), "Strong Performer"),
+        ((F.col("total_clicks") >= 100) & (conv < 2), "High Traffic, Low Conversion"),
+        ((F.col("total_impressions") >= 1000) & (F.col("total_clicks") < 10), "Low CTR"),
+        ((F.col("total_spend") > 0) & (conv == 0), "Spending, No Conversions"),
+    ], "Developing")
+    return g.select(*_KW_ATTRS, "total_spend", "total_impressions", "total_clicks", "total_conversions",
+                    "total_conversions_value",
+                    *_total_kpis(names={"ctr": "ctr_percent", "cpc": "avg_cpc", "cvr": "conversion_rate_percent",
+                                        "cpa": "cost_per_conversion", "roas": "roas"}),
+                    "avg_impression_share", "conversions_rank", "spend_rank", "roas_rank", "efficiency_rank",
+                    cls.alias("performance_classification"))
+
+
+def keyword_quality_score_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    attrs = ["keyword_id", "keyword_text", "keyword_match_type", "keyword_status", "quality_score",
+             "quality_score_category", "creative_quality_score", "post_click_quality_score", "search_predicted_ctr",
+             "ad_group_name", "campaign_name", "account_name"]
+    g = keyword_performance(t).filter(in_last_days("date", as_of, 30) & F.col("quality_score").isNotNull()) \
+        .groupBy(*attrs).agg(*_totals()[:4])
+    qs = F.col("quality_score")
+
+    def advice(col, below, average, good):
+        c = F.col(col)
+        return rules([(c == "BELOW_AVERAGE", below), (c == "AVERAGE", average)], good)
+
+    return g.select(
+        *attrs, "total_spend", "total_impressions", "total_clicks", "total_conversions",
+        ratio("total_clicks", "total_impressions", "100.0", (10, 4)).alias("ctr_percent"),
+        ratio("total_spend", "total_clicks", None, (18, 4)).alias("avg_cpc"),
+        ratio("total_conversions", "total_clicks", "100.0", (10, 4)).alias("conversion_rate_percent"),
+        rules([(qs < 4, "Critical - Needs Immediate Attention"), (qs < 7, "Moderate - Room for Improvement")],
+              "Good - Maintain Current Strategy").alias("qs_action_priority"),
+        advice("creative_quality_score", "Improve ad relevance", "Test new ad copy", "Ad creative is strong")
+        .alias("creative_recommendation"),
+        advice("post_click_quality_score", "Improve landing page experience", "Optimize landing page",
+               "Landing page is effective").alias("landing_page_recommendation"),
+        advice("search_predicted_ctr", "Improve expected CTR", "Test more compelling ad copy",
+               "CTR expectations are good").alias("ctr_recommendation"),
+        F.when((qs < 7) & (F.col("total_clicks") > 0),
+               (F.col("total_spend") / F.col("total_clicks")) * dec("0.2"))
+        .otherwise(F.lit(0)).cast("decimal(18,4)").alias("estimated_cpc_savings_potential"),
+    )
+
+
+def keyword_match_type_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    kw = keyword_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(
+        "keyword_id", "keyword_match_type", "quality_score", "campaign_name", "account_name").agg(*_totals())
+    g = kw.groupBy("keyword_match_type", "campaign_name", "account_name").agg(
+        F.count_distinct("keyword_id").alias("keyword_count"),
+        *[F.sum(f"total_{m}").alias(f"total_{m}") for m in
+          ["spend", "impressions", "clicks", "conversions", "conversions_value"]],
+        F.avg(F.col("quality_score").cast("decimal(10,2)")).alias("avg_quality_score"))
+    return g.select("*", *_total_kpis(names={"ctr": "ctr_percent", "cpc": "avg_cpc", "cvr": "conversion_rate_percent",
+                                             "cpa": "cost_per_conversion", "roas": "roas"}))
+
+
+# --------------------------------------------------------------------------- ads
+def ad_strength_label(col: str = "ad_strength"):
+    s = F.col(col)
+    return rules([(s == "EXCELLENT", "Excellent"), (s == "GOOD", "Good"), (s == "AVERAGE", "Average"),
+                  (s == "POOR", "Poor"), ((s == "UNSPECIFIED") | s.isNull(), "Not Applicable")], s)
+
+
+_AD_TEXT = ["responsive_search_ad_headlines", "responsive_search_ad_descriptions", "responsive_search_ad_path1",
+            "responsive_search_ad_path2", "expanded_text_ad_headline_part1", "expanded_text_ad_headline_part2",
+            "expanded_text_ad_headline_part3", "expanded_text_ad_description", "expanded_text_ad_description2",
+            "expanded_text_ad_path1", "expanded_text_ad_path2", "display_url", "final_urls", "final_mobile_urls"]
+
+
+def ad_performance(t: Tables) -> DataFrame:
+    a = t["ad_stats"]
+    adh = latest_by_key(t["ad_history"], "ad_id")
+    agh, ch, ah = _latest_names(t)
+    f = attach(a, adh, "ad_id", {"type": "ad_type", "status": "ad_status", "device_preference": "device_preference",
+                                 **{c: c for c in _AD_TEXT}, "ad_strength": "ad_strength"})
+    f = attach(f, agh, "ad_group_id", {"name": "ad_group_name"})
+    f = attach(f, ch, "campaign_id", {"name": "campaign_name", "advertising_channel_type": "advertising_channel_type"})
+    f = attach(f, ah, "account_id", {"descriptive_name": "account_name", "currency_code": "currency_code"})
+    conv = F.coalesce(F.col("conversions"), F.lit(0))
+    kpis = _std_kpis(conversions=conv, value=F.coalesce(F.col("conversions_value"), F.lit(0)), names={"cpm": None})
+    return f.select(
+        "ad_id", "ad_group_id", "campaign_id", "account_id", "date", date_key("date").alias("date_id"),
+        "ad_type", "ad_status", "device_preference", *_AD_TEXT[:11], "display_url", "final_urls",
+        "final_mobile_urls", "ad_strength", "ad_group_name", "campaign_name", "advertising_channel_type",
+        "account_name", "currency_code",
+        F.col("spend").cast("decimal(18,2)").alias("spend"), "impressions", "clicks",
+        conv.cast("decimal(18,6)").alias("conversions"),
+        F.coalesce("conversions_value", F.lit(0)).cast("decimal(18,6)").alias("conversions_value"),
+        F.coalesce("interactions", F.lit(0).cast("long")).alias("interactions"),
+        F.coalesce("video_views", F.lit(0).cast("long")).alias("video_views"),
+        F.coalesce("video_quartile_p100_rate", F.lit(0).cast("decimal(10,6)")).alias("video_completion_rate"),
+        *[v.alias(n) for n, v in kpis.items()],
+        ad_strength_label().alias("ad_strength_label"),
+        F.col("_fivetran_synced").alias("last_synced_at"),
+    )
+
+
+def ad_copy_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    """Last-30-days per ad: copy previews, ranks inside the ad group, tier against the global
+    average CTR (a one-row aggregate broadcast back, not an un-partitioned window)."""
+    from ..functions import concat_safe, left
+    from ..operators.shares import with_group_aggs
+    attrs = ["ad_id", "ad_type", "ad_status", "ad_strength_label", "ad_group_name", "campaign_name", "account_name",
+             "currency_code", "advertising_channel_type", "responsive_search_ad_headlines",
+             "responsive_search_ad_descriptions", "expanded_text_ad_headline_part1",
+             "expanded_text_ad_headline_part2", "expanded_text_ad_description", "final_urls"]
+    g = ad_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*attrs).agg(
+        *_totals(), F.count_distinct("date").alias("active_days")).filter(F.col("total_impressions") > 0)
+    imp, clicks, conv = F.col("total_impressions"), F.col("total_clicks"), F.col("total_conversions")
+    ctr_raw = F.when(imp > 0, clicks * F.lit(100).cast("decimal(3,0)") / imp).otherwise(F.lit(0))
+    g = g.withColumn("_ctr_raw", ctr_raw)
+    g = with_group_aggs(g, [], {"_avg_ctr": F.avg("_ctr_raw")})
+    roas_raw = F.when(F.col("total_spend") > 0, F.col("total_conversions_value") / F.col("total_spend")) \
+        .otherwise(F.lit(0))
+    rsa = F.col("ad_type") == "RESPONSIVE_SEARCH_AD"
+    tier = rules([
+        ((conv >= 5) & (roas_raw >= 2), "Top Performer"),
+        ((conv >= 2) & (F.col("_ctr_raw") >= F.col("_avg_ctr")), "Above Average"),
+        ((clicks > 0) & (conv == 0), "Clicks but No Conversions"),
+        ((imp > 0) & (clicks == 0), "Impressions but No Clicks"),
+    ], "Developing")
+    label = F.col("ad_strength_label")
+    suggestion = rules([
+        (label.isin("Poor", "Average") & rsa, "Improve ad strength"),
+        ((label == "Excellent") & (conv < 2), "Strong ad, low conversions - check targeting"),
+    ], "No action needed")
+    ctr_key = F.when(imp > 0, clicks / imp).otherwise(F.lit(0))
+    return g.select(
+        "ad_id", "ad_type", "ad_status", "ad_strength_label", "ad_group_name", "campaign_name", "account_name",
+        "currency_code", "advertising_channel_type",
+        F.when(rsa, left(F.coalesce("responsive_search_ad_headlines", F.lit("")), 100))
+        .otherwise(concat_safe("expanded_text_ad_headline_part1", F.lit(" | "), "expanded_text_ad_headline_part2"))
+        .alias("ad_headline_preview"),
+        F.when(rsa, left(F.coalesce("responsive_search_ad_descriptions", F.lit("")), 100))
+        .otherwise(F.coalesce("expanded_text_ad_description", F.lit(""))).alias("ad_description_preview"),
+        F.col("final_urls").alias("landing_page_url"),
+        "total_spend", "total_impressions", "total_clicks", "total_conversions", "total_conversions_value",
+        "active_days",
+        *_total_kpis(names={"ctr": "ctr_percent", "cpc": "avg_cpc", "cvr": "conversion_rate_percent",
+                            "cpa": "cost_per_conversion", "roas": "roas"}),
+        rank_within(["ad_group_name"], [clicks.desc()]).alias("clicks_rank_in_ad_group"),
+        rank_within(["ad_group_name"], [conv.desc()]).alias("conversions_rank_in_ad_group"),
+        rank_within(["ad_group_name"], [ctr_key.desc()]).alias("ctr_rank_in_ad_group"),
+        tier.alias("performance_tier"), suggestion.alias("optimization_suggestion"),
+    )
+
+
+def _ads_30d(t: Tables, as_of, keys: list[str]) -> DataFrame:
+    return ad_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*keys).agg(*_totals())
+
+
+def ad_strength_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    from ..operators.shares import with_group_aggs
+    ads = _ads_30d(t, as_of, ["ad_id", "ad_type", "ad_strength_label", "campaign_name", "account_name"])
+    g = ads.groupBy("ad_strength_label", "ad_type", "campaign_name", "account_name").agg(
+        F.count_distinct("ad_id").alias("ad_count"),
+        *[F.sum(f"total_{m}").alias(f"total_{m}") for m in
+          ["spend", "impressions", "clicks", "conversions", "conversions_value"]])
+    g = with_group_aggs(g, [], {"_all_ads": F.sum("ad_count"), "_all_spend": F.sum("total_spend")})
+    return g.select(
+        "ad_strength_label", "ad_type", "campaign_name", "account_name", "ad_count", "total_spend",
+        "total_impressions", "total_clicks", "total_conversions", "total_conversions_value",
+        *_total_kpis(names={"ctr": "avg_ctr_percent", "cpc": "avg_cpc", "cvr": "avg_conversion_rate", "cpa": None,
+                            "roas": "avg_roas"}),
+        share_pct("ad_count", "_all_ads").alias("pct_of_total_ads"),
+        share_pct("total_spend", "_all_spend").alias("pct_of_total_spend"),
+    )
+
+
+def ad_type_comparison(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    ads = _ads_30d(t, as_of, ["ad_id", "ad_type", "ad_group_name", "campaign_name", "account_name"])
+    n_ads = F.count_distinct("ad_id")
+    g = ads.groupBy("ad_type", "account_name").agg(
+        n_ads.alias("ad_count"), F.count_distinct("ad_group_name").alias("ad_groups_with_type"),
+        F.count_distinct("campaign_name").alias("campaigns_with_type"),
+        *[F.sum(f"total_{m}").alias(f"total_{m}") for m in
+          ["spend", "impressions", "clicks", "conversions", "conversions_value"]])
+    return g.select(
+        "ad_type", "account_name", "ad_count", "ad_groups_with_type", "campaigns_with_type", "total_spend",
+        "total_impressions", "total_clicks", "total_conversions", "total_conversions_value",
+        ratio("total_spend", "ad_count", None, (18, 2), None, F.col("ad_count") != 0).alias("avg_spend_per_ad"),
+        ratio("total_conversions", "ad_count", None, (10, 2), None, F.col("ad_count") != 0)
+        .alias("avg_conversions_per_ad"),
+        *_total_kpis(names={"ctr": "ctr_percent", "cpc": "avg_cpc", "cvr": "conversion_rate_percent",
+                            "cpa": "cost_per_conversion", "roas": "roas"}),
+    )

@@ -12,4 +12,17 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "campaign_performance": sa.campaign_performance,
     "campaign_performance_summary": sa.campaign_performance_summary,
     "campaign_trend_analysis": sa.campaign_trend_analysis,
+    "account_performance": sa.account_performance,
+    "account_performance_summary": sa.account_performance_summary,
+    "ad_group_performance": sa.ad_group_performance,
+    "ad_group_drilldown": sa.ad_group_drilldown,
+    "ad_group_performance_summary": sa.ad_group_performance_summary,
+    "keyword_performance": sa.keyword_performance,
+    "keyword_top_performers": sa.keyword_top_performers,
+    "keyword_quality_score_analysis": sa.keyword_quality_score_analysis,
+    "keyword_match_type_analysis": sa.keyword_match_type_analysis,
+    "ad_performance": sa.ad_performance,
+    "ad_copy_effectiveness": sa.ad_copy_effectiveness,
+    "ad_strength_analysis": sa.ad_strength_analysis,
+    "ad_type_comparison": sa.ad_type_comparison,
 }
