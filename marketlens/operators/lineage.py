@@ -1,0 +1,17 @@
+"""Lineage cuts for plans that read one intermediate many times.
+
+``materialize`` writes a reliable checkpoint into the cluster's shared
+``spark.checkpoint.dir`` (set by the deployment; a scratch folder is configured only when a
+local test session has none).  Reliable checkpoints survive executor loss, unlike
+``localCheckpoint``; they are used only on already-aggregated intermediates.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..session import ensure_checkpoint_dir
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -6,8 +6,8 @@ Spark.  Here the rank is assembled from parallel pieces instead:
 1. collapse the input to its distinct order keys (``groupBy`` with map-side combine, so a key
    repeated by a third of all rows becomes one row);
 2. cut the key range into ``k`` buckets at approximate quantiles of the first order column
-   (a tiny, bounded array of split points); rows with equal first value share a bucket, so
-   ties never straddle buckets;
+   (a one-row aggregate of ``k - 1`` split points, broadcast back); rows with equal first
+   value share a bucket, so ties never straddle buckets;
 3. rank inside each bucket with a window partitioned by bucket;
 4. prefix-sum the per-bucket sizes (at most ``k`` rows, broadcast) and add the offset;
 5. join the key -> rank map back to the input on the order columns (NULL-safe).
@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
 
 _MAX_BUCKETS = 512
+# inputs at or below this many rows (a proven bound: counted on the checkpoint) are ranked in
+# one ordered window task; larger inputs take the bucketed parallel path
+SINGLE_TASK_ROWS_CONF = "marketlens.rank.singleTaskRows"
+SINGLE_TASK_ROWS_DEFAULT = 250_000
 
 
 def _order_cols(order: OrderSpec) -> list[Column]:
@@ -42,20 +46,25 @@ def _bucket_count(df: DataFrame, buckets: int | None) -> int:
     return max(1, min(n, _MAX_BUCKETS))
 
 
-def _bucket_expr(first: str, asc: bool, df: DataFrame, k: int) -> Column:
+def _with_bucket(keys: DataFrame, first: str, asc: bool, k: int) -> DataFrame:
+    """Add ``_b``: the bucket of each key, from ``k - 1`` approximate quantiles of ``first``.
+
+    The split points are a one-row aggregate joined back on a constant key (broadcast: its
+    size is fixed by ``k``), so the whole rank stays one lazy plan - no driver round trip."""
     if k <= 1:
-        return F.lit(0)
+        return keys.withColumn("_b", F.lit(0))
     probs = [i / k for i in range(1, k)]
-    row = df.agg(F.percentile_approx(F.col(first), probs, 10000).alias("s")).first()
-    splits = sorted(set(x for x in (row["s"] or []) if x is not None))
-    if not splits:
-        return F.lit(0)
+    splits = keys.agg(F.percentile_approx(F.col(first), probs, 10000).alias("_splits")) \
+        .withColumn("__one", F.lit(1))
     v = F.col(first)
     if asc:
-        b = sum((v > F.lit(s)).cast("int") for s in splits)
-        return F.when(v.isNull(), F.lit(-1)).otherwise(b)
-    b = sum((v < F.lit(s)).cast("int") for s in splits)
-    return F.when(v.isNull(), F.lit(len(splits) + 1)).otherwise(b)
+        b = F.size(F.filter("_splits", lambda s: s < v))
+        b = F.when(v.isNull(), F.lit(-1)).otherwise(b)
+    else:
+        b = F.size(F.filter("_splits", lambda s: s > v))
+        b = F.when(v.isNull(), F.lit(k + 1)).otherwise(b)
+    return (keys.withColumn("__one", F.lit(1)).join(F.broadcast(splits), "__one")
+            .withColumn("_b", b).drop("__one", "_splits"))
 
 
 def _keyed_ranks(df: DataFrame, order: OrderSpec, method: str, buckets: int | None) -> DataFrame:
@@ -63,7 +72,7 @@ def _keyed_ranks(df: DataFrame, order: OrderSpec, method: str, buckets: int | No
     keys = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     k = _bucket_count(df, buckets)
     first, asc = order[0]
-    keys = keys.withColumn("_b", _bucket_expr(first, asc, keys, k))
+    keys = _with_bucket(keys, first, asc, k)
     w = Window.partitionBy("_b").orderBy(*_order_cols(order))
     if method == "dense":
         keys = keys.withColumn("_local", F.dense_rank().over(w)).withColumn("_size", F.lit(1).cast("long"))
@@ -107,3 +116,25 @@ def global_percent_rank(df: DataFrame, order: OrderSpec, name: str, buckets: int
     ranked = _keyed_ranks(df, order, "rank", buckets)
     pr = F.when(F.col("_total") > 1, (F.col("_rank") - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
     return _join_back(df, ranked, order, pr.cast("double"), name)
+
+
+def global_dense_ranks(df: DataFrame, ranks: dict[str, OrderSpec], buckets: int | None = None,
+                       materialize_input: bool = True) -> DataFrame:
+    """Several whole-result dense ranks over the same input.
+
+    Every rank map is derived from ``df`` itself (not from the previous rank's output).  Each
+    map reads its input several times (keys, split points, bucket sizes, join back), so the
+    input - an aggregate at entity grain - is checkpointed once and every branch scans the
+    checkpoint instead of re-running the upstream mart."""
+    if materialize_input:
+        from .lineage import materialize
+        df = materialize(df)
+        limit = int(df.sparkSession.conf.get(SINGLE_TASK_ROWS_CONF, str(SINGLE_TASK_ROWS_DEFAULT)))
+        if df.count() <= limit:
+            return df.select("*", *[F.dense_rank().over(Window.orderBy(*_order_cols(order))).alias(name)
+                                    for name, order in ranks.items()])
+    out = df
+    for name, order in ranks.items():
+        ranked = _keyed_ranks(df, order, "dense", buckets)
+        out = _join_back(out, ranked, order, F.col("_rank").cast("int"), name)
+    return out

@@ -355,7 +355,7 @@ def keyword_top_performers(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
 
     The ranks are whole-result ranks; they are computed with the parallel bucketed rank
     (``operators.ranks``) rather than a single-partition window."""
-    from ..operators.ranks import global_dense_rank
+    from ..operators.ranks import global_dense_ranks
     g = keyword_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*_KW_ATTRS).agg(
         *_totals(), F.avg("search_impression_share").alias("avg_impression_share")
     ).filter(F.col("total_impressions") > 0)
@@ -364,10 +364,10 @@ def keyword_top_performers(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     eff_key = F.when(F.col("total_conversions") > 0, F.col("total_spend") / F.col("total_conversions")) \
         .otherwise(F.lit(999999))
     g = g.withColumns({"_roas_key": roas_key, "_eff_key": eff_key})
-    g = global_dense_rank(g, [("total_conversions", False)], "conversions_rank")
-    g = global_dense_rank(g, [("total_spend", False)], "spend_rank")
-    g = global_dense_rank(g, [("_roas_key", False)], "roas_rank")
-    g = global_dense_rank(g, [("_eff_key", True)], "efficiency_rank")
+    g = global_dense_ranks(g, {"conversions_rank": [("total_conversions", False)],
+                               "spend_rank": [("total_spend", False)],
+                               "roas_rank": [("_roas_key", False)],
+                               "efficiency_rank": [("_eff_key", True)]})
     conv, roas = F.col("total_conversions"), F.col("_roas_key")
     cls = rules([
         ((conv >= 10) & (roas >= 2), "Star Performer"),

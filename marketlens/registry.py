@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from .plans import search_ads as sa
+from .plans import time_periods as tp
 from .sources.catalog import Tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -25,4 +26,10 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "ad_copy_effectiveness": sa.ad_copy_effectiveness,
     "ad_strength_analysis": sa.ad_strength_analysis,
     "ad_type_comparison": sa.ad_type_comparison,
+    "date_dimension": tp.date_dimension,
+    "q_weekly_wow_yoy": tp.q_weekly_wow_yoy,
+    "q_monthly_mom_yoy": tp.q_monthly_mom_yoy,
+    "q_weekly_wow_yoy_long": tp.q_weekly_wow_yoy_long,
+    "q_monthly_mom_yoy_long": tp.q_monthly_mom_yoy_long,
+    "q_day_of_week": tp.q_day_of_week,
 }
