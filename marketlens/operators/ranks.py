@@ -118,23 +118,37 @@ def global_percent_rank(df: DataFrame, order: OrderSpec, name: str, buckets: int
     return _join_back(df, ranked, order, pr.cast("double"), name)
 
 
-def global_dense_ranks(df: DataFrame, ranks: dict[str, OrderSpec], buckets: int | None = None,
-                       materialize_input: bool = True) -> DataFrame:
-    """Several whole-result dense ranks over the same input.
+def global_ranks(df: DataFrame, ranks: dict[str, tuple[str, OrderSpec]], buckets: int | None = None,
+                 materialize_input: bool = True) -> DataFrame:
+    """Several whole-result ranks over the same input; ``ranks`` maps an output name to
+    ``("dense" | "rank" | "percent", order)``.
 
     Every rank map is derived from ``df`` itself (not from the previous rank's output).  Each
     map reads its input several times (keys, split points, bucket sizes, join back), so the
     input - an aggregate at entity grain - is checkpointed once and every branch scans the
-    checkpoint instead of re-running the upstream mart."""
+    checkpoint instead of re-running the upstream mart.  The checkpoint also gives a proven
+    row count: inputs at or below ``marketlens.rank.singleTaskRows`` rows are ranked by plain
+    ordered windows in one task (what the SQL does); larger ones take the bucketed path."""
+    fns = {"dense": F.dense_rank, "rank": F.rank, "percent": F.percent_rank}
     if materialize_input:
         from .lineage import materialize
         df = materialize(df)
         limit = int(df.sparkSession.conf.get(SINGLE_TASK_ROWS_CONF, str(SINGLE_TASK_ROWS_DEFAULT)))
         if df.count() <= limit:
-            return df.select("*", *[F.dense_rank().over(Window.orderBy(*_order_cols(order))).alias(name)
-                                    for name, order in ranks.items()])
+            return df.select("*", *[fns[kind]().over(Window.orderBy(*_order_cols(order))).alias(name)
+                                    for name, (kind, order) in ranks.items()])
     out = df
-    for name, order in ranks.items():
-        ranked = _keyed_ranks(df, order, "dense", buckets)
-        out = _join_back(out, ranked, order, F.col("_rank").cast("int"), name)
+    for name, (kind, order) in ranks.items():
+        ranked = _keyed_ranks(df, order, "dense" if kind == "dense" else "rank", buckets)
+        if kind == "percent":
+            val = F.when(F.col("_total") > 1, (F.col("_rank") - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
+            out = _join_back(out, ranked, order, val.cast("double"), name)
+        else:
+            out = _join_back(out, ranked, order, F.col("_rank").cast("int"), name)
     return out
+
+
+def global_dense_ranks(df: DataFrame, ranks: dict[str, OrderSpec], buckets: int | None = None,
+                       materialize_input: bool = True) -> DataFrame:
+    """``global_ranks`` with DENSE_RANK for every entry."""
+    return global_ranks(df, {n: ("dense", o) for n, o in ranks.items()}, buckets, materialize_input)

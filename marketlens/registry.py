@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 
 from .plans import search_ads as sa
 from .plans import time_periods as tp
+from .plans import search_dashboards as sd
 from .sources.catalog import Tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -32,4 +33,9 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "q_weekly_wow_yoy_long": tp.q_weekly_wow_yoy_long,
     "q_monthly_mom_yoy_long": tp.q_monthly_mom_yoy_long,
     "q_day_of_week": tp.q_day_of_week,
+    "q_executive_metrics": sd.q_executive_metrics,
+    "q_daily_trend": sd.q_daily_trend,
+    "q_campaign_matrix": sd.q_campaign_matrix,
+    "q_budget_pacing": sd.q_budget_pacing,
+    "q_conversion_funnel": sd.q_conversion_funnel,
 }
