@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from .plans import search_ads as sa
 from .plans import time_periods as tp
 from .plans import search_dashboards as sd
+from .plans import social_ads as fb
 from .sources.catalog import Tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -38,4 +39,18 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "q_campaign_matrix": sd.q_campaign_matrix,
     "q_budget_pacing": sd.q_budget_pacing,
     "q_conversion_funnel": sd.q_conversion_funnel,
+    "fb_account_performance": fb.fb_account_performance,
+    "fb_account_performance_summary": fb.fb_account_performance_summary,
+    "fb_campaign_performance": fb.fb_campaign_performance,
+    "fb_campaign_trend_analysis": fb.fb_campaign_trend_analysis,
+    "fb_campaign_performance_summary": fb.fb_campaign_performance_summary,
+    "fb_campaign_objective_analysis": fb.fb_campaign_objective_analysis,
+    "fb_adset_performance": fb.fb_adset_performance,
+    "fb_adset_drilldown": fb.fb_adset_drilldown,
+    "fb_adset_performance_summary": fb.fb_adset_performance_summary,
+    "fb_adset_optimization_goal_analysis": fb.fb_adset_optimization_goal_analysis,
+    "fb_ad_performance": fb.fb_ad_performance,
+    "fb_ad_creative_effectiveness": fb.fb_ad_creative_effectiveness,
+    "fb_ad_creative_type_comparison": fb.fb_ad_creative_type_comparison,
+    "fb_ad_cta_analysis": fb.fb_ad_cta_analysis,
 }

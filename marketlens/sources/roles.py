@@ -11,7 +11,12 @@ Search ads (``ads_base`` = lineitem x supplier x nation):
   date = 2024-01-01 + (days from 1995-01-01 to l_shipdate) % 120.
 History tables: every key in two versions synced on 2024-01-02 / 2024-01-03 with the name
 suffixed ``-v1`` / ``-v2``; keys with key % 13 = 12 have no history (missing dimension);
-the latest version of keys with key % 7 = 3 is soft-deleted.
+the latest version of keys with key % 7 = 3 is soft-deleted, keys with key % 5 = 1 carry a
+NULL delete flag.
+
+Social ads: ``fb_basic_ad`` is the ad level of ``ads_base`` (ad set = ad group) with
+reach = 15 x quantity, actions = conversions; histories mirror the search-ads ones (region,
+nation, supplier, supplier x 7) and the creative of an ad is its own id except ids % 9 = 4.
 """
 from __future__ import annotations
 
@@ -144,7 +149,9 @@ class DriverTables(Tables):
         return v.withColumns({
             "_fivetran_synced": F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1) + F.col("_v"),
                                                      F.lit(0), F.lit(0), F.lit(0)),
-            "_fivetran_deleted": (F.col("_v") == 2) & (k % 7 == 3),
+            # latest version deleted for keys %7 = 3; flag unknown (NULL) for keys %5 = 1
+            "_fivetran_deleted": F.when((F.col("_v") == 2) & (k % 7 == 3), F.lit(True))
+                                  .when(k % 5 == 1, F.lit(None).cast("boolean")).otherwise(F.lit(False)),
         })
 
     @staticmethod
@@ -254,3 +261,78 @@ class DriverTables(Tables):
             "effective_cpc_bid_micros": (k + 1) * 250000,
             "final_url_suffix": F.lit(None).cast("string"),
         })
+
+    # ------------------------------------------------------------------ social ads
+    def _build_fb_basic_ad(self):
+        a = self["ad_stats"]
+        return a.select(
+            "ad_id", F.col("ad_group_id").alias("adset_id"), "campaign_id", "account_id", "date", "spend",
+            "impressions", "clicks", (F.expr("impressions div 40") * 15).alias("reach"),
+            F.col("conversions").alias("actions"), F.col("conversions_value").alias("action_values"),
+            pick(F.col("ad_id"), ["18-24", "25-34", "35-44", "45-54", "55-64", "65+"]).alias("age"),
+            pick(F.col("campaign_id"), ["male", "female", "unknown"]).alias("gender"),
+            pick(F.col("ad_group_id"), ["facebook", "instagram", "audience_network", "messenger"])
+            .alias("publisher_platform"),
+            pick(F.col("ad_id") + F.col("ad_group_id"), ["feed", "story", "reels", "right_hand_column"])
+            .alias("platform_position"),
+            pick(F.col("ad_id") + F.col("campaign_id"), ["iphone", "android_smartphone", "desktop", "ipad"])
+            .alias("impression_device"),
+            pick(F.col("ad_id"), ["mobile", "desktop"]).alias("device_platform"),
+            "_fivetran_synced")
+
+    def _build_fb_account_history(self):
+        r = self.raw("region").select(F.col("r_regionkey").cast("long").alias("account_id"), "r_name")
+        v = self._versions(r, "account_id")
+        k = F.col("account_id")
+        return v.withColumns({
+            "name": F.concat(F.col("r_name"), F.lit("-fb-v"), F.col("_v").cast("string")),
+            "account_status": pick(k, ["ACTIVE", "DISABLED"]),
+            "currency": pick(k, ["USD", "EUR"]),
+            "timezone_name": F.lit("UTC"),
+        })
+
+    def _build_fb_campaign_history(self):
+        n = self.raw("nation").select(F.col("n_nationkey").cast("long").alias("campaign_id"),
+                                      F.col("n_regionkey").cast("long").alias("account_id"), "n_name")
+        v = self._versions(n, "campaign_id")
+        k = F.col("campaign_id")
+        return v.withColumns({
+            "name": F.concat(F.col("n_name"), F.lit("-fb-v"), F.col("_v").cast("string")),
+            "status": pick(k, ["ACTIVE", "PAUSED"]),
+            "objective": pick(k, ["CONVERSIONS", "LINK_CLICKS", "REACH", "BRAND_AWARENESS", "LEAD_GENERATION"]),
+            "daily_budget": F.when(k % 4 != 0, (k % 4) * 100 + F.col("_v") * 5).cast("decimal(18,6)"),
+            "lifetime_budget": F.when(k % 4 == 0, F.lit(5000)).cast("decimal(18,6)"),
+        })
+
+    def _build_fb_adset_history(self):
+        s = self.raw("supplier").select(F.col("s_suppkey").alias("adset_id"), "s_name")
+        v = self._versions(s, "adset_id")
+        k = F.col("adset_id")
+        return v.withColumns({
+            "name": F.concat(F.col("s_name"), F.lit("-fb-v"), F.col("_v").cast("string")),
+            "status": pick(k, ["ACTIVE", "PAUSED"]),
+            "targeting": pick(k, ['{"age_min": 18}', '{"geo": "US"}', None]),
+            "optimization_goal": pick(k, ["OFFSITE_CONVERSIONS", "LINK_CLICKS", "REACH", "IMPRESSIONS"]),
+            "bid_amount": F.when(k % 3 != 0, (k % 3) * d("1.5")).cast("decimal(18,6)"),
+        })
+
+    def _build_fb_ad_history(self):
+        a = self._versions(self._supplier_fanout("ad_id", 7), "ad_id")
+        k = F.col("ad_id")
+        return a.withColumns({
+            "name": F.concat(F.lit("ad-"), k.cast("string"), F.lit("-v"), F.col("_v").cast("string")),
+            "status": pick(F.col("_k"), ["ACTIVE", "PAUSED"]),
+            "creative_id": F.when(k % 9 != 4, k),
+        })
+
+    def _build_fb_creative_history(self):
+        c = self._supplier_fanout("creative_id", 7)
+        v = self._versions(c, "creative_id")
+        k, j = F.col("creative_id"), F.col("_k")
+        return v.withColumns({
+            "name": F.concat(F.lit("creative-"), k.cast("string"), F.lit("-v"), F.col("_v").cast("string")),
+            "title": F.concat(F.lit("Title "), k.cast("string"), F.lit(" "), F.repeat(F.lit("save big "), (j * 3 + 1).cast("int"))),
+            "body": F.concat(F.lit("Body "), F.repeat(F.lit("limited time offer "), (j + 5).cast("int"))),
+            "call_to_action_type": pick(j, ["SHOP_NOW", "LEARN_MORE", "SIGN_UP", None, "BOOK_TRAVEL"]),
+            "object_type": pick(k, ["PHOTO", "LINK", "VIDEO", "STATUS", "OFFER", "EVENT", None]),
+        })

@@ -36,7 +36,7 @@ def _level(ids: str, base: str = "ads_base") -> str:
 
 def _versions(src: str, key: str) -> str:
     return (f"SELECT s.*, v._v, TIMESTAMP '2024-01-01' + to_days(CAST(v._v AS INTEGER)) AS _fivetran_synced, "
-            f"(v._v = 2 AND s.{key} % 7 = 3) AS _fivetran_deleted "
+            f"CASE WHEN v._v = 2 AND s.{key} % 7 = 3 THEN true WHEN s.{key} % 5 = 1 THEN NULL ELSE false END AS _fivetran_deleted "
             f"FROM ({src}) s CROSS JOIN (VALUES (1), (2)) v(_v) WHERE s.{key} % 13 <> 12")
 
 
@@ -120,6 +120,51 @@ ADAPTERS: dict[str, tuple[list[str], str]] = {
 }
 
 
+_SUPP7 = ("SELECT s_suppkey * 1000 + k AS {key}, s_suppkey AS ad_group_id, CAST(k AS BIGINT) AS _k "
+          "FROM supplier CROSS JOIN range(0, 7) r(k)")
+
+ADAPTERS.update({
+    "fb_basic_ad": (["ad_stats"], f"""SELECT ad_id, ad_group_id AS adset_id, campaign_id, account_id, date, spend, impressions, clicks,
+         (impressions // 40) * 15 AS reach, conversions AS actions, conversions_value AS action_values,
+         {pick('ad_id', ['18-24', '25-34', '35-44', '45-54', '55-64', '65+'])} AS age,
+         {pick('campaign_id', ['male', 'female', 'unknown'])} AS gender,
+         {pick('ad_group_id', ['facebook', 'instagram', 'audience_network', 'messenger'])} AS publisher_platform,
+         {pick('ad_id + ad_group_id', ['feed', 'story', 'reels', 'right_hand_column'])} AS platform_position,
+         {pick('ad_id + campaign_id', ['iphone', 'android_smartphone', 'desktop', 'ipad'])} AS impression_device,
+         {pick('ad_id', ['mobile', 'desktop'])} AS device_platform, _fivetran_synced
+  FROM ad_stats"""),
+    "fb_account_history": ([], f"""SELECT account_id, r_name || '-fb-v' || {_LV} AS name,
+         {pick('account_id', ['ACTIVE', 'DISABLED'])} AS account_status, {pick('account_id', ['USD', 'EUR'])} AS currency,
+         'UTC' AS timezone_name, _fivetran_synced, _fivetran_deleted
+  FROM ({_versions("SELECT CAST(r_regionkey AS BIGINT) AS account_id, r_name FROM region", "account_id")})"""),
+    "fb_campaign_history": ([], f"""SELECT campaign_id, account_id, n_name || '-fb-v' || {_LV} AS name,
+         {pick('campaign_id', ['ACTIVE', 'PAUSED'])} AS status,
+         {pick('campaign_id', ['CONVERSIONS', 'LINK_CLICKS', 'REACH', 'BRAND_AWARENESS', 'LEAD_GENERATION'])} AS objective,
+         CAST(CASE WHEN campaign_id % 4 <> 0 THEN (campaign_id % 4) * 100 + _v * 5 END AS DECIMAL(18,6)) AS daily_budget,
+         CAST(CASE WHEN campaign_id % 4 = 0 THEN 5000 END AS DECIMAL(18,6)) AS lifetime_budget,
+         _fivetran_synced, _fivetran_deleted
+  FROM ({_versions("SELECT CAST(n_nationkey AS BIGINT) AS campaign_id, CAST(n_regionkey AS BIGINT) AS account_id, n_name FROM nation", "campaign_id")})"""),
+    "fb_adset_history": ([], f"""SELECT adset_id, s_name || '-fb-v' || {_LV} AS name,
+         {pick('adset_id', ['ACTIVE', 'PAUSED'])} AS status,
+         {pick('adset_id', ['{"age_min": 18}', '{"geo": "US"}', None])} AS targeting,
+         {pick('adset_id', ['OFFSITE_CONVERSIONS', 'LINK_CLICKS', 'REACH', 'IMPRESSIONS'])} AS optimization_goal,
+         CAST(CASE WHEN adset_id % 3 <> 0 THEN (adset_id % 3) * 1.5 END AS DECIMAL(18,6)) AS bid_amount,
+         _fivetran_synced, _fivetran_deleted
+  FROM ({_versions("SELECT s_suppkey AS adset_id, s_name FROM supplier", "adset_id")})"""),
+    "fb_ad_history": ([], f"""SELECT ad_id, 'ad-' || CAST(ad_id AS VARCHAR) || '-v' || {_LV} AS name,
+         {pick('_k', ['ACTIVE', 'PAUSED'])} AS status, CASE WHEN ad_id % 9 <> 4 THEN ad_id END AS creative_id,
+         _fivetran_synced, _fivetran_deleted
+  FROM ({_versions(_SUPP7.format(key="ad_id"), "ad_id")})"""),
+    "fb_creative_history": ([], f"""SELECT creative_id, 'creative-' || CAST(creative_id AS VARCHAR) || '-v' || {_LV} AS name,
+         'Title ' || CAST(creative_id AS VARCHAR) || ' ' || repeat('save big ', CAST(_k * 3 + 1 AS INTEGER)) AS title,
+         'Body ' || repeat('limited time offer ', CAST(_k + 5 AS INTEGER)) AS body,
+         {pick('_k', ['SHOP_NOW', 'LEARN_MORE', 'SIGN_UP', None, 'BOOK_TRAVEL'])} AS call_to_action_type,
+         {pick('creative_id', ['PHOTO', 'LINK', 'VIDEO', 'STATUS', 'OFFER', 'EVENT', None])} AS object_type,
+         _fivetran_synced, _fivetran_deleted
+  FROM ({_versions(_SUPP7.format(key="creative_id"), "creative_id")})"""),
+})
+
+
 def register(name: str, deps: list[str], sql: str) -> None:
     ADAPTERS[name] = (deps, sql)
 
