@@ -363,3 +363,87 @@ def fb_ad_cta_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
         F.when(clk > 0, acts.cast("double") / clk.cast("double")).otherwise(F.lit(0.0)).alias("_cvr_key"))
     g = global_dense_ranks(g, {"ctr_rank": [("_ctr_key", False)], "conversion_rate_rank": [("_cvr_key", False)]})
     return g.drop("_ctr_key", "_cvr_key")
+
+
+# --------------------------------------------------------------------------- insight templates
+def _insights_base(t: Tables) -> DataFrame:
+    a = t["fb_basic_ad"]
+    a = attach(a, _latest(t, "ad_history", "ad_id"), "ad_id", {"name": "ad_name"})
+    a = attach(a, _latest(t, "adset_history", "adset_id"), "adset_id", {"name": "adset_name"})
+    a = attach(a, _latest(t, "campaign_history", "campaign_id"), "campaign_id",
+               {"name": "campaign_name", "objective": "campaign_objective"})
+    return attach(a, _latest(t, "account_history", "account_id"), "account_id",
+                  {"name": "account_name", "currency": "currency_code"})
+
+
+def _insight_kpis() -> list:
+    acts = F.coalesce(F.col("actions"), F.lit(0))
+    vals = F.coalesce(F.col("action_values"), F.lit(0))
+    return [F.col("spend").cast("decimal(18,2)").alias("spend"), "impressions", "clicks", "reach",
+            acts.alias("total_actions"), vals.alias("total_action_value"),
+            ratio("clicks", "impressions", "100.0", (10, 4)).alias("ctr_percent"),
+            ratio("spend", "clicks", None, (18, 4)).alias("avg_cpc"),
+            ratio("spend", "actions", None, (18, 4), guard=acts > 0).alias("cost_per_action"),
+            ratio(vals, "spend", None, (10, 4)).alias("roas")]
+
+
+def fb_insights_demographics(t: Tables) -> DataFrame:
+    """Ad x date x age x gender (template view; needs the optional breakdown columns)."""
+    a = _insights_base(t).filter(F.col("age").isNotNull() | F.col("gender").isNotNull())
+    return a.select("ad_id", "adset_id", "campaign_id", "account_id", "date", date_key("date").alias("date_id"),
+                    F.col("age").alias("age_range"), "gender", "ad_name", "adset_name", "campaign_name",
+                    "campaign_objective", "account_name", "currency_code", *_insight_kpis(),
+                    F.col("_fivetran_synced").alias("last_synced_at"))
+
+
+def fb_insights_placements(t: Tables) -> DataFrame:
+    """Ad x date x placement / device (template view; needs the optional breakdown columns)."""
+    a = _insights_base(t).filter(F.col("publisher_platform").isNotNull() | F.col("platform_position").isNotNull())
+    return a.select("ad_id", "adset_id", "campaign_id", "account_id", "date", date_key("date").alias("date_id"),
+                    "publisher_platform", "platform_position", "impression_device", "device_platform",
+                    F.concat(F.coalesce("publisher_platform", F.lit("Unknown")), F.lit(" - "),
+                             F.coalesce("platform_position", F.lit("Unknown"))).alias("placement_label"),
+                    "ad_name", "adset_name", "campaign_name", "campaign_objective", "account_name", "currency_code",
+                    *_insight_kpis(), ratio("spend", "impressions", "1000.0", (18, 4)).alias("avg_cpm"),
+                    F.col("_fivetran_synced").alias("last_synced_at"))
+
+
+# --------------------------------------------------------------------------- dashboard queries
+def q_fb_executive(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    a = fb_account_performance(t).filter(in_last_days("date", as_of, 60))
+    cur = in_last_days("date", as_of, 30)
+
+    def s(c):
+        return F.sum(F.when(cur, F.col(c)).otherwise(F.lit(0)))
+
+    return a.groupBy("account_name", "currency_code").agg(
+        s("spend").alias("current_spend"), s("impressions").alias("current_impressions"),
+        s("reach").alias("current_reach"), s("total_actions").alias("current_actions"))
+
+
+def q_fb_daily_trend(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    a = fb_account_performance(t).filter(in_last_days("date", as_of, 90))
+    g = a.groupBy("date").agg(F.sum("spend").alias("daily_spend"), F.sum("impressions").alias("daily_impressions"),
+                              F.sum("reach").alias("daily_reach"), F.sum("total_actions").alias("daily_actions"),
+                              F.sum("clicks").alias("_clicks"))
+    return g.select("date", F.date_format("date", "EEEE").alias("day_name"), "daily_spend", "daily_impressions",
+                    "daily_reach", "daily_actions",
+                    ratio("_clicks", "daily_impressions", "100.0", (10, 4)).alias("daily_ctr")).orderBy("date")
+
+
+def q_fb_campaign_matrix(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    return fb_campaign_performance_summary(t, as_of).filter(F.col("total_spend") > 0).select(
+        "campaign_name", "campaign_status", "campaign_objective", "total_spend", "total_reach", "total_actions",
+        "total_action_value", "avg_ctr", "avg_cpc", "avg_cost_per_action", "avg_roas", "avg_frequency")
+
+
+def q_fb_adset_overview(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    return fb_adset_drilldown(t, as_of).filter(F.col("total_spend") > 0).select(
+        "adset_name", "campaign_name", "optimization_goal", "total_spend", "total_reach", "total_actions",
+        "avg_frequency", "ctr_percent", "cost_per_action", "roas")
+
+
+def q_fb_creative(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+    return fb_ad_creative_effectiveness(t, as_of).filter(F.col("total_impressions") > 100).select(
+        "ad_name", "creative_type_label", "call_to_action_type", "total_spend", "total_clicks", "total_actions",
+        "ctr_percent", "cost_per_action", "roas")

@@ -53,4 +53,11 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "fb_ad_creative_effectiveness": fb.fb_ad_creative_effectiveness,
     "fb_ad_creative_type_comparison": fb.fb_ad_creative_type_comparison,
     "fb_ad_cta_analysis": fb.fb_ad_cta_analysis,
+    "fb_insights_demographics": fb.fb_insights_demographics,
+    "fb_insights_placements": fb.fb_insights_placements,
+    "q_fb_executive": fb.q_fb_executive,
+    "q_fb_daily_trend": fb.q_fb_daily_trend,
+    "q_fb_campaign_matrix": fb.q_fb_campaign_matrix,
+    "q_fb_adset_overview": fb.q_fb_adset_overview,
+    "q_fb_creative": fb.q_fb_creative,
 }

@@ -298,3 +298,62 @@ SELECT *, {tk({'ctr': 'avg_ctr', 'cpc': 'avg_cpc', 'cpa': 'avg_cost_per_action',
   CAST(DENSE_RANK() OVER (ORDER BY CASE WHEN total_clicks > 0 THEN CAST(total_actions AS DOUBLE) / CAST(total_clicks AS DOUBLE) ELSE 0 END DESC) AS INTEGER) AS conversion_rate_rank
 FROM g""",
 }
+
+
+def _ins_base(where: str, extra: str) -> str:
+    return f"""SELECT a.ad_id, a.adset_id, a.campaign_id, a.account_id, a.date, {date_key('a.date')} AS date_id, {extra}
+  adh.name AS ad_name, adsh.name AS adset_name, ch.name AS campaign_name, ch.objective AS campaign_objective,
+  ah.name AS account_name, ah.currency AS currency_code, CAST(a.spend AS DECIMAL(18,2)) AS spend, a.impressions, a.clicks,
+  a.reach, COALESCE(a.actions, 0) AS total_actions, COALESCE(a.action_values, 0) AS total_action_value,
+  {ratio('a.clicks * 100', 'a.impressions', 4, 10)} AS ctr_percent,
+  {ratio('a.spend', 'a.clicks', 4, 18, ns=6)} AS avg_cpc,
+  {ratio('a.spend', 'a.actions', 4, 18, ns=6, ds=6, guard='COALESCE(a.actions, 0) > 0')} AS cost_per_action,
+  {ratio('COALESCE(a.action_values, 0)', 'a.spend', 4, 10, ns=6, ds=6)} AS roas,
+  {{cpm}}a._fivetran_synced AS last_synced_at
+FROM fb_basic_ad a
+LEFT JOIN {latest('fb_ad_history', 'ad_id')} adh ON a.ad_id = adh.ad_id
+LEFT JOIN {latest('fb_adset_history', 'adset_id')} adsh ON a.adset_id = adsh.adset_id
+LEFT JOIN {latest('fb_campaign_history', 'campaign_id')} ch ON a.campaign_id = ch.campaign_id
+LEFT JOIN {latest('fb_account_history', 'account_id')} ah ON a.account_id = ah.account_id
+WHERE {where}"""
+
+
+def _s(c: str, typ: str) -> str:
+    return f"CAST(SUM(CASE WHEN date >= {A} - 30 THEN {c} ELSE 0 END) AS {typ})"
+
+
+SQL.update({
+    "fb_insights_demographics": with_tables(*_T) + _ins_base(
+        "a.age IS NOT NULL OR a.gender IS NOT NULL", "a.age AS age_range, a.gender,").replace("{cpm}", ""),
+    "fb_insights_placements": with_tables(*_T) + _ins_base(
+        "a.publisher_platform IS NOT NULL OR a.platform_position IS NOT NULL",
+        "a.publisher_platform, a.platform_position, a.impression_device, a.device_platform, "
+        "concat(COALESCE(a.publisher_platform, 'Unknown'), ' - ', COALESCE(a.platform_position, 'Unknown')) AS placement_label,"
+    ).replace("{cpm}", f"{ratio('a.spend * 1000', 'a.impressions', 4, 18, ns=6)} AS avg_cpm, "),
+    "q_fb_executive": W + f""",
+apf AS ({ACCOUNT_BODY})
+SELECT account_name, currency_code, {_s('spend', 'DECIMAL(28,2)')} AS current_spend,
+  {_s('impressions', 'BIGINT')} AS current_impressions, {_s('reach', 'BIGINT')} AS current_reach,
+  {_s('total_actions', 'DECIMAL(38,6)')} AS current_actions
+FROM apf WHERE date >= {A} - 60 GROUP BY account_name, currency_code""",
+    "q_fb_daily_trend": W + f""",
+apf AS ({ACCOUNT_BODY})
+SELECT date, dayname(date) AS day_name, CAST(SUM(spend) AS DECIMAL(28,2)) AS daily_spend,
+  CAST(SUM(impressions) AS BIGINT) AS daily_impressions, CAST(SUM(reach) AS BIGINT) AS daily_reach,
+  CAST(SUM(total_actions) AS DECIMAL(38,6)) AS daily_actions,
+  {ratio('SUM(clicks) * 100', 'SUM(impressions)', 4, 10)} AS daily_ctr
+FROM apf WHERE date >= {A} - 90 GROUP BY date ORDER BY date""",
+    "q_fb_campaign_matrix": W + f""",
+cpf AS ({CAMPAIGN_BODY}),{SUMMARY}
+SELECT campaign_name, campaign_status, campaign_objective, total_spend, total_reach, total_actions, total_action_value,
+  {tk({'ctr': 'avg_ctr', 'cpc': 'avg_cpc', 'cpa': 'avg_cost_per_action', 'roas': 'avg_roas', 'frequency': 'avg_frequency'})}
+FROM s WHERE total_spend > 0""",
+    "q_fb_adset_overview": W + f""",
+asp AS ({ADSET_BODY}),{ADSET_DRILLDOWN}
+SELECT adset_name, campaign_name, optimization_goal, total_spend, total_reach, total_actions, avg_frequency,
+  ctr_percent, cost_per_action, roas FROM dd WHERE total_spend > 0""",
+    "q_fb_creative": W + f""",
+adp AS ({AD_BODY}),{CREATIVE_EFFECTIVENESS}
+SELECT ad_name, creative_type_label, call_to_action_type, total_spend, total_clicks, total_actions, ctr_percent,
+  cost_per_action, roas FROM ce WHERE total_impressions > 100""",
+})
