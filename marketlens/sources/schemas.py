@@ -85,14 +85,14 @@ SCHEMAS: dict[str, T.StructType] = {
                                  ("call_to_action_type", S), ("object_type", S)),
     # ---- CRM
     "owner": _tbl(("owner_id", L), ("email", S), ("first_name", S), ("last_name", S), ("type", S),
-                  ("created_at", TS), ("updated_at", TS), ("deleted", B)),
+                  ("created_at", TS), ("updated_at", TS), ("_fivetran_deleted", B)),
     "company": _tbl(("company_id", L), ("name", S), ("domain", S), ("industry", S), ("type", S), ("phone", S),
                     ("city", S), ("state", S), ("country", S), ("postal_code", S), ("owner_id", L),
                     ("lifecycle_stage", S), ("lead_status", S), ("num_employees", S), ("annual_revenue", M2),
                     ("total_revenue", M2), ("num_associated_contacts", I), ("num_associated_deals", I),
                     ("created_at", TS), ("updated_at", TS), ("last_activity_date", D), ("last_contacted", TS),
                     ("hs_analytics_source", S), ("hs_analytics_num_page_views", I),
-                    ("hs_analytics_num_visits", I), ("deleted", B)),
+                    ("hs_analytics_num_visits", I), ("_fivetran_deleted", B)),
     "contact": _tbl(("contact_id", L), ("email", S), ("first_name", S), ("last_name", S), ("phone", S),
                     ("company", S), ("job_title", S), ("lifecycle_stage", S), ("lead_status", S), ("owner_id", L),
                     ("associated_company_id", L), ("created_at", TS), ("updated_at", TS),
@@ -101,22 +101,22 @@ SCHEMAS: dict[str, T.StructType] = {
                     ("hs_analytics_source_data_2", S), ("hs_analytics_first_url", S),
                     ("hs_analytics_num_page_views", I), ("hs_analytics_num_visits", I),
                     ("hs_analytics_num_event_completions", I), ("hs_email_optout", B), ("hs_email_bounce", B),
-                    ("hs_email_quarantined", B), ("deleted", B)),
+                    ("hs_email_quarantined", B), ("_fivetran_deleted", B)),
     "deal": _tbl(("deal_id", L), ("deal_name", S), ("pipeline_id", S), ("pipeline_stage_id", S), ("deal_stage", S),
                  ("deal_type", S), ("amount", M2), ("deal_currency_code", S), ("close_date", D), ("create_date", TS),
                  ("owner_id", L), ("associated_company_id", L), ("associated_contact_id", L), ("is_closed", B),
                  ("is_closed_won", B), ("days_to_close", I), ("hs_analytics_source", S),
                  ("hs_deal_stage_probability", P2), ("hs_projected_amount", M2), ("hs_acv", M2), ("hs_arr", M2),
-                 ("hs_mrr", M2), ("hs_tcv", M2), ("num_contacted_notes", I), ("num_notes", I), ("deleted", B)),
+                 ("hs_mrr", M2), ("hs_tcv", M2), ("num_contacted_notes", I), ("num_notes", I), ("_fivetran_deleted", B)),
     "deal_stage": _tbl(("stage_id", S), ("pipeline_id", S), ("label", S), ("display_order", I), ("probability", P2),
                        ("is_closed", B), ("is_closed_won", B), ("created_at", TS), ("updated_at", TS),
-                       ("deleted", B)),
+                       ("_fivetran_deleted", B)),
     "deal_pipeline": _tbl(("pipeline_id", S), ("label", S), ("display_order", I), ("created_at", TS),
-                          ("updated_at", TS), ("deleted", B)),
+                          ("updated_at", TS), ("_fivetran_deleted", B)),
     "deal_stage_history": _tbl(("deal_id", L), ("stage_id", S), ("timestamp", TS), ("pipeline_id", S),
                                ("source", S), ("source_id", S)),
     "email_campaign": _tbl(("campaign_id", L), ("app_id", L), ("app_name", S), ("content_id", L), ("subject", S),
-                           ("name", S), ("type", S), ("num_included", I), ("num_queued", I), ("deleted", B)),
+                           ("name", S), ("type", S), ("num_included", I), ("num_queued", I), ("_fivetran_deleted", B)),
     "email_event": _tbl(("event_id", S), ("email_campaign_id", L), ("recipient", S), ("type", S),
                         ("created_at", TS), ("sent_by_created_at", TS), ("app_id", L), ("portal_id", L),
                         ("browser_name", S), ("browser_version", S), ("device_type", S), ("location_city", S),
@@ -128,7 +128,7 @@ SCHEMAS: dict[str, T.StructType] = {
     "email_event_click": _tbl(("event_id", S), ("url", S), ("browser", S), ("ip_address", S), ("location", S),
                               ("user_agent", S)),
     "engagement": _tbl(("engagement_id", L), ("type", S), ("created_at", TS), ("last_updated", TS),
-                       ("timestamp", TS), ("owner_id", L), ("portal_id", L), ("active", B), ("deleted", B)),
+                       ("timestamp", TS), ("owner_id", L), ("portal_id", L), ("active", B), ("_fivetran_deleted", B)),
     "engagement_contact": _tbl(("engagement_id", L), ("contact_id", L)),
     "engagement_company": _tbl(("engagement_id", L), ("company_id", L)),
     "engagement_deal": _tbl(("engagement_id", L), ("deal_id", L)),

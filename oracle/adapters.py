@@ -184,3 +184,200 @@ def with_tables(*names: str) -> str:
     for n in names:
         visit(n)
     return "WITH " + ",\n".join(f"{n} AS (\n  {ADAPTERS[n][1]}\n)" for n in order) + "\n"
+
+
+# ---------------------------------------------------------------------------- CRM
+SYNCED = "TIMESTAMP '2024-02-01 00:00:00'"
+CRM_AS_OF = "DATE '2024-01-31'"
+
+
+def _plus(ts: str, days: str = "0", hours: str = "0", minutes: str = "0") -> str:
+    return (f"({ts} + to_days(CAST({days} AS INTEGER)) + to_hours(CAST({hours} AS INTEGER)) "
+            f"+ to_minutes(CAST({minutes} AS INTEGER)))")
+
+
+_SEG = {"AUTOMOBILE": "customer", "BUILDING": "opportunity", "FURNITURE": "salesqualifiedlead",
+        "HOUSEHOLD": "marketingqualifiedlead", "MACHINERY": "lead"}
+_PRI = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+_CONTACT_CREATED = _plus("TIMESTAMP '2023-01-01 08:00:00'", "c_custkey * 7 % 400", "c_custkey % 24")
+_COMPANY_CREATED = _plus("TIMESTAMP '2023-01-01 09:00:00'", "s_suppkey * 3 % 365")
+_DEAL_CREATED = _plus("TIMESTAMP '2023-07-01 00:00:00'",
+                      "date_diff('day', DATE '1995-01-01', CAST(o.o_orderdate AS DATE)) % 210", "o.o_orderkey % 24")
+
+
+def _flag(m: int, r: int) -> str:
+    return f"CASE WHEN c_custkey % {m} = {r} THEN NULL ELSE c_custkey % 2 = 0 END"
+
+
+def _email_type(e: str = "event_id") -> str:
+    blk = f"({e} // 20)"
+    return (f"CASE WHEN {e} % 20 <= 5 THEN 'SENT' WHEN {e} % 20 <= 10 THEN 'DELIVERED' "
+            f"WHEN {e} % 20 <= 13 THEN 'OPEN' WHEN {e} % 20 <= 15 THEN 'CLICK' WHEN {e} % 20 = 16 THEN 'BOUNCE' "
+            f"WHEN {e} % 20 = 17 THEN 'UNSUBSCRIBED' WHEN {e} % 20 = 18 THEN {pick(blk, ['SPAMREPORT', 'DROPPED'])} "
+            f"ELSE {pick(blk, ['DEFERRED', 'FORWARD', 'PRINT'])} END")
+
+
+_OXC = "orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"
+
+ADAPTERS.update({
+    "owner": ([], f"""SELECT CAST(n_nationkey AS BIGINT) AS owner_id, lower(n_name) || '@example.com' AS email,
+         n_name AS first_name, CASE WHEN n_nationkey % 5 <> 0 THEN 'Owner' || CAST(n_nationkey AS VARCHAR) END AS last_name,
+         'PERSON' AS type, TIMESTAMP '2023-01-01 00:00:00' AS created_at, TIMESTAMP '2023-06-01 00:00:00' AS updated_at,
+         n_nationkey = 24 AS _fivetran_deleted, {SYNCED} AS _fivetran_synced
+  FROM nation"""),
+    "company": ([], f"""SELECT s_suppkey AS company_id, s_name AS name, 's' || CAST(s_suppkey AS VARCHAR) || '.example' AS domain,
+         CASE WHEN s_suppkey % 9 <> 0 THEN n_name END AS industry, {pick('s_suppkey', ['PROSPECT', 'CUSTOMER', 'PARTNER'])} AS type,
+         '+1-555-' || CAST(s_suppkey AS VARCHAR) AS phone,
+         CASE WHEN s_suppkey % 7 <> 0 THEN 'City' || CAST(s_suppkey % 10 AS VARCHAR) END AS city,
+         CASE WHEN s_suppkey % 5 <> 0 THEN 'ST' || CAST(s_suppkey % 4 AS VARCHAR) END AS state,
+         CASE WHEN s_suppkey % 11 <> 0 THEN {pick('n_regionkey', ['US', 'DE', 'FR', 'BR', 'JP'])} END AS country,
+         'Z' || CAST(s_suppkey % 1000 AS VARCHAR) AS postal_code, CAST(s_nationkey AS BIGINT) AS owner_id,
+         {pick('s_suppkey', ['customer', 'opportunity', 'salesqualifiedlead', 'marketingqualifiedlead', 'lead', None])} AS lifecycle_stage,
+         {pick('s_suppkey', ['NEW', 'OPEN', 'IN_PROGRESS', None])} AS lead_status,
+         {pick('s_suppkey', ['1-10', '11-50', '51-200', '201-1000'])} AS num_employees,
+         CAST(s_acctbal AS DECIMAL(18,2)) AS annual_revenue,
+         CAST(CASE WHEN s_suppkey % 3 <> 0 THEN (s_suppkey % 10) * 1000 END AS DECIMAL(18,2)) AS total_revenue,
+         CAST(CASE WHEN s_suppkey % 8 <> 0 THEN s_suppkey % 15 END AS INTEGER) AS num_associated_contacts,
+         CAST(CASE WHEN s_suppkey % 6 <> 0 THEN s_suppkey % 6 END AS INTEGER) AS num_associated_deals,
+         {_COMPANY_CREATED} AS created_at, {_COMPANY_CREATED} + to_days(30) AS updated_at,
+         CASE WHEN s_suppkey % 11 <> 0 THEN CAST({CRM_AS_OF} - CAST(s_suppkey % 60 AS INTEGER) AS DATE) END AS last_activity_date,
+         CASE WHEN s_suppkey % 4 <> 0 THEN {_COMPANY_CREATED} + to_days(CAST(s_suppkey % 200 AS INTEGER)) END AS last_contacted,
+         {pick('s_suppkey', ['ORGANIC_SEARCH', 'PAID_SEARCH', 'REFERRALS', 'DIRECT_TRAFFIC'])} AS hs_analytics_source,
+         CAST(CASE WHEN s_suppkey % 10 <> 0 THEN s_suppkey % 40 END AS INTEGER) AS hs_analytics_num_page_views,
+         CAST(CASE WHEN s_suppkey % 12 <> 0 THEN s_suppkey % 8 END AS INTEGER) AS hs_analytics_num_visits,
+         s_suppkey % 50 = 7 AS _fivetran_deleted, {SYNCED} AS _fivetran_synced
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey"""),
+    "contact": ([], f"""SELECT c_custkey AS contact_id,
+         CASE WHEN c_custkey % 13 <> 0 THEN 'c' || CAST(c_custkey AS VARCHAR) || '@mail.example' END AS email,
+         CASE WHEN c_custkey % 17 <> 0 THEN 'First' || CAST(c_custkey % 100 AS VARCHAR) END AS first_name,
+         c_name AS last_name, '+1-444-' || CAST(c_custkey AS VARCHAR) AS phone,
+         'Company ' || CAST(c_custkey % 100 AS VARCHAR) AS company,
+         {pick('c_custkey', ['Manager', 'Director', 'Engineer', None])} AS job_title,
+         CASE WHEN c_custkey % 23 = 0 THEN NULL WHEN c_custkey % 19 = 0 THEN 'evangelist' WHEN c_custkey % 11 = 0 THEN 'subscriber'
+              {' '.join(f"WHEN c_mktsegment = '{k}' THEN '{v}'" for k, v in _SEG.items())} END AS lifecycle_stage,
+         {pick('c_custkey', ['NEW', 'OPEN', 'CONNECTED', None])} AS lead_status,
+         CASE WHEN c_custkey % 29 <> 0 THEN CAST(c_nationkey AS BIGINT) END AS owner_id,
+         CASE WHEN c_custkey % 31 <> 0 THEN c_custkey % 100 END AS associated_company_id,
+         {_CONTACT_CREATED} AS created_at, {_CONTACT_CREATED} + to_days(10) AS updated_at,
+         CASE WHEN c_custkey % 9 <> 0 THEN CAST({CRM_AS_OF} - CAST(c_custkey % 120 AS INTEGER) AS DATE) END AS last_activity_date,
+         CASE WHEN c_custkey % 8 <> 0 THEN {_CONTACT_CREATED} + to_days(CAST(c_custkey * 3 % 90 AS INTEGER)) END AS last_contacted,
+         CAST(CASE WHEN c_custkey % 10 <> 0 THEN c_custkey % 4 END AS INTEGER) AS num_associated_deals,
+         CASE WHEN c_custkey % 12 <> 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) END AS total_revenue,
+         {pick('c_custkey', ['ORGANIC_SEARCH', 'PAID_SEARCH', 'EMAIL_MARKETING', 'SOCIAL_MEDIA', 'REFERRALS', 'DIRECT_TRAFFIC', None])} AS hs_analytics_source,
+         {pick('c_custkey', ['google', 'bing', None])} AS hs_analytics_source_data_1,
+         {pick('c_custkey', [None, 'campaign-a', 'campaign-b', None, None])} AS hs_analytics_source_data_2,
+         'https://site.example/p' || CAST(c_custkey % 9 AS VARCHAR) AS hs_analytics_first_url,
+         CAST(CASE WHEN c_custkey % 14 <> 0 THEN c_custkey % 50 END AS INTEGER) AS hs_analytics_num_page_views,
+         CAST(CASE WHEN c_custkey % 15 <> 0 THEN c_custkey % 10 END AS INTEGER) AS hs_analytics_num_visits,
+         CAST(c_custkey % 6 AS INTEGER) AS hs_analytics_num_event_completions,
+         {_flag(16, 1)} AS hs_email_optout, {_flag(18, 2)} AS hs_email_bounce, {_flag(20, 3)} AS hs_email_quarantined,
+         c_custkey % 97 = 0 AS _fivetran_deleted, {SYNCED} AS _fivetran_synced
+  FROM customer"""),
+    "deal": ([], f"""SELECT o.o_orderkey AS deal_id, 'Deal ' || CAST(o.o_orderkey AS VARCHAR) AS deal_name,
+         c.c_mktsegment AS pipeline_id, o.o_orderpriority AS pipeline_stage_id, lower(o.o_orderpriority) AS deal_stage,
+         {pick('o.o_orderkey', ['newbusiness', 'existingbusiness', None])} AS deal_type,
+         CASE WHEN o.o_orderkey % 19 <> 0 THEN CAST(o.o_totalprice AS DECIMAL(18,2)) END AS amount, 'USD' AS deal_currency_code,
+         CASE WHEN o.o_orderkey % 17 <> 0 THEN CAST(CAST({_DEAL_CREATED} AS DATE) + CAST(o.o_orderkey % 90 AS INTEGER) AS DATE) END AS close_date,
+         {_DEAL_CREATED} AS create_date,
+         CASE WHEN o.o_orderkey % 37 <> 0 THEN CAST(c.c_nationkey AS BIGINT) END AS owner_id,
+         o.o_custkey % 100 AS associated_company_id, o.o_custkey AS associated_contact_id,
+         CASE WHEN o.o_orderkey % 23 = 0 THEN NULL ELSE o.o_orderstatus IN ('F', 'P') END AS is_closed,
+         CASE WHEN o.o_orderkey % 23 = 0 THEN NULL ELSE o.o_orderstatus = 'F' END AS is_closed_won,
+         CAST(CASE WHEN o.o_orderstatus IN ('F', 'P') THEN o.o_orderkey % 90 END AS INTEGER) AS days_to_close,
+         {pick('o.o_orderkey', ['ORGANIC_SEARCH', 'PAID_SEARCH', 'REFERRALS', None])} AS hs_analytics_source,
+         CAST(CASE WHEN o.o_orderkey % 3 <> 0 THEN (o.o_orderkey % 10) * 10 END AS DECIMAL(5,2)) AS hs_deal_stage_probability,
+         CAST(CASE WHEN o.o_orderkey % 11 = 0 THEN CASE WHEN o.o_orderkey % 19 <> 0 THEN CAST(o.o_totalprice AS DECIMAL(18,2)) END * 0.5 END AS DECIMAL(18,2)) AS hs_projected_amount,
+         CAST(CASE WHEN o.o_orderkey % 4 <> 0 THEN CASE WHEN o.o_orderkey % 19 <> 0 THEN CAST(o.o_totalprice AS DECIMAL(18,2)) END END AS DECIMAL(18,2)) AS hs_acv,
+         CAST(CASE WHEN o.o_orderkey % 5 <> 0 THEN CASE WHEN o.o_orderkey % 19 <> 0 THEN CAST(o.o_totalprice AS DECIMAL(18,2)) END END AS DECIMAL(18,2)) AS hs_arr,
+         CAST(CASE WHEN o.o_orderkey % 6 <> 0 THEN (o.o_orderkey % 500) * 1.25 END AS DECIMAL(18,2)) AS hs_mrr,
+         CAST(CASE WHEN o.o_orderkey % 7 <> 0 THEN CASE WHEN o.o_orderkey % 19 <> 0 THEN CAST(o.o_totalprice AS DECIMAL(18,2)) END END AS DECIMAL(18,2)) AS hs_tcv,
+         CAST(CASE WHEN o.o_orderkey % 9 <> 0 THEN o.o_orderkey % 5 END AS INTEGER) AS num_contacted_notes,
+         CAST(o.o_orderkey % 7 AS INTEGER) AS num_notes,
+         o.o_orderkey % 101 = 0 AS _fivetran_deleted, {SYNCED} AS _fivetran_synced
+  FROM {_OXC}"""),
+    "deal_stage": ([], f"""SELECT stage_id, pipeline_id, split_part(stage_id, '-', 2) AS label,
+         CAST(left(stage_id, 1) AS INTEGER) AS display_order,
+         CAST(CAST(left(stage_id, 1) AS INTEGER) * 15 AS DECIMAL(5,2)) AS probability,
+         CAST(left(stage_id, 1) AS INTEGER) >= 4 AS is_closed, CAST(left(stage_id, 1) AS INTEGER) = 4 AS is_closed_won,
+         TIMESTAMP '2023-01-01 00:00:00' AS created_at, TIMESTAMP '2023-01-02 00:00:00' AS updated_at,
+         (pipeline_id = 'HOUSEHOLD' AND stage_id = '2-HIGH') AS _fivetran_deleted, {SYNCED} AS _fivetran_synced
+  FROM (SELECT DISTINCT o.o_orderpriority AS stage_id, c.c_mktsegment AS pipeline_id FROM {_OXC})"""),
+    "deal_pipeline": ([], f"""SELECT pipeline_id, upper(left(pipeline_id, 1)) || lower(substr(pipeline_id, 2)) || ' Pipeline' AS label,
+         CAST(length(pipeline_id) AS INTEGER) AS display_order, TIMESTAMP '2023-01-01 00:00:00' AS created_at,
+         TIMESTAMP '2023-01-02 00:00:00' AS updated_at, false AS _fivetran_deleted, {SYNCED} AS _fivetran_synced
+  FROM (SELECT DISTINCT c_mktsegment AS pipeline_id FROM customer)"""),
+    "deal_stage_history": ([], f"""SELECT o.o_orderkey AS deal_id, {pick('o.o_orderkey + i', _PRI)} AS stage_id,
+         {_DEAL_CREATED} + to_hours(CAST(i * 36 AS INTEGER)) AS timestamp, c.c_mktsegment AS pipeline_id,
+         'CRM_UI' AS source, CAST(NULL AS VARCHAR) AS source_id, {SYNCED} AS _fivetran_synced
+  FROM {_OXC}, LATERAL (SELECT unnest(generate_series(1, 1 + CAST(o.o_orderkey % 4 AS INTEGER))) AS i)"""),
+    "email_campaign": ([], f"""SELECT campaign_id, CAST(42 AS BIGINT) AS app_id, {pick('campaign_id', ['Marketing Hub', 'Sales Hub'])} AS app_name,
+         campaign_id * 100 AS content_id, 'Subject ' || CAST(campaign_id AS VARCHAR) AS subject,
+         CASE WHEN campaign_id <> 7 THEN 'Email Campaign ' || CAST(campaign_id AS VARCHAR) END AS name,
+         {pick('campaign_id', ['BATCH_EMAIL', 'AB_EMAIL', 'AUTOMATED_EMAIL'])} AS type,
+         CAST(CASE WHEN campaign_id % 6 <> 0 THEN campaign_id * 100 END AS INTEGER) AS num_included,
+         CAST(campaign_id % 3 AS INTEGER) AS num_queued, campaign_id = 13 AS _fivetran_deleted, {SYNCED} AS _fivetran_synced
+  FROM (SELECT DISTINCT CAST((event_id // 10) % 20 AS BIGINT) AS campaign_id FROM events)"""),
+    "email_event": ([], f"""SELECT CAST(event_id AS VARCHAR) AS event_id,
+         CASE WHEN event_id % 47 <> 0 THEN CAST((event_id // 10) % 20 AS BIGINT) END AS email_campaign_id,
+         CASE WHEN event_id % 53 <> 0 THEN 'u' || CAST(user_id AS VARCHAR) END AS recipient,
+         {_email_type()} AS type, ts AS created_at, ts AS sent_by_created_at, CAST(42 AS BIGINT) AS app_id,
+         CAST(7 AS BIGINT) AS portal_id, {pick('event_id', ['Chrome', 'Safari', 'Firefox'])} AS browser_name,
+         '1.0' AS browser_version, {pick('event_id', ['MOBILE', 'DESKTOP', 'TABLET'])} AS device_type,
+         CAST(NULL AS VARCHAR) AS location_city, CAST(NULL AS VARCHAR) AS location_state,
+         {pick('user_id', ['US', 'DE', 'FR', None])} AS location_country,
+         CASE WHEN {_email_type()} = 'CLICK' THEN 'https://x.example/' || CAST(event_id % 7 AS VARCHAR) END AS url,
+         CAST(NULL AS BIGINT) AS link_id, CAST(NULL AS VARCHAR) AS user_agent, CAST(NULL AS VARCHAR) AS ip_address,
+         CAST(NULL AS INTEGER) AS duration, CAST(NULL AS VARCHAR) AS response,
+         CASE WHEN {_email_type()} = 'BOUNCE' AND event_id % 3 = 0 THEN 'HARD' END AS bounce_category,
+         CAST(NULL AS VARCHAR) AS drop_reason, CAST(NULL AS VARCHAR) AS drop_message,
+         CAST(NULL AS BIGINT) AS subscription_id, CAST(NULL AS VARCHAR) AS caused_by_event_id, {SYNCED} AS _fivetran_synced
+  FROM events"""),
+    "email_event_bounce": ([], f"""SELECT CAST(event_id AS VARCHAR) AS event_id, {pick('event_id', ['HARD_BOUNCE', 'SOFT_BOUNCE'])} AS category,
+         'smtp ' || CAST(event_id % 500 AS VARCHAR) AS response, {pick('event_id', ['BOUNCED', 'BLOCKED', None])} AS status,
+         {SYNCED} AS _fivetran_synced
+  FROM events WHERE {_email_type()} = 'BOUNCE' AND event_id % 2 = 0"""),
+    "email_event_click": ([], f"""SELECT CAST(event_id AS VARCHAR) AS event_id, 'https://click.example/' || CAST(event_id % 5 AS VARCHAR) AS url,
+         'Chrome' AS browser, CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS VARCHAR) AS location,
+         CAST(NULL AS VARCHAR) AS user_agent, {SYNCED} AS _fivetran_synced
+  FROM events WHERE {_email_type()} = 'CLICK' AND event_id % 4 <> 0"""),
+    "engagement": ([], f"""SELECT event_id AS engagement_id,
+         CASE event_type WHEN 'view' THEN 'CALL' WHEN 'click' THEN 'EMAIL' WHEN 'signup' THEN 'MEETING'
+              WHEN 'purchase' THEN 'TASK' WHEN 'error' THEN 'NOTE' END AS type,
+         ts - INTERVAL 1 HOUR AS created_at, ts AS last_updated, CASE WHEN event_id % 89 <> 0 THEN ts END AS timestamp,
+         CASE WHEN event_id % 41 <> 0 THEN user_id % 25 END AS owner_id, CAST(7 AS BIGINT) AS portal_id,
+         CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_id % 17 <> 0 END AS active,
+         event_id % 97 = 0 AS _fivetran_deleted, {SYNCED} AS _fivetran_synced
+  FROM events"""),
+    "engagement_contact": ([], f"""SELECT event_id AS engagement_id, user_id AS contact_id, {SYNCED} AS _fivetran_synced FROM events
+  UNION ALL SELECT event_id, user_id + 1, {SYNCED} FROM events WHERE event_id % 3 = 0"""),
+    "engagement_company": ([], f"""SELECT event_id AS engagement_id, user_id % 10 AS company_id, {SYNCED} AS _fivetran_synced FROM events
+  UNION ALL SELECT event_id, user_id % 10 + 10, {SYNCED} FROM events WHERE event_id % 5 = 0"""),
+    "engagement_deal": ([], f"""SELECT event_id AS engagement_id, event_id AS deal_id, {SYNCED} AS _fivetran_synced FROM events WHERE event_id % 2 = 0"""),
+    "engagement_call": ([], f"""SELECT event_id AS engagement_id, 'call notes' AS body,
+         {pick('event_id', ['connected', 'no answer', 'busy', None, 'Unknown'])} AS disposition,
+         CASE WHEN event_id % 6 <> 0 THEN CAST(CAST(value AS DECIMAL(18,2)) * 1000 AS BIGINT) ELSE CAST(0 AS BIGINT) END AS duration_milliseconds,
+         CAST(NULL AS VARCHAR) AS external_account_id, CAST(NULL AS VARCHAR) AS external_id, '+1-000' AS from_number,
+         '+1-' || CAST(event_id % 1000 AS VARCHAR) AS to_number,
+         CASE WHEN event_id % 2 = 0 THEN 'https://rec.example/' || CAST(event_id AS VARCHAR) END AS recording_url,
+         {pick('event_id', ['COMPLETED', 'NO_ANSWER', 'BUSY'])} AS status, {SYNCED} AS _fivetran_synced
+  FROM events WHERE event_type = 'view' OR event_id % 10 = 1"""),
+    "engagement_meeting": ([], f"""SELECT event_id AS engagement_id, 'meeting notes' AS body, 'Meeting ' || CAST(event_id AS VARCHAR) AS title,
+         ts AS start_time, CASE WHEN event_id % 7 <> 0 THEN ts + to_minutes(CAST(event_id % 90 AS INTEGER)) END AS end_time,
+         CAST(NULL AS VARCHAR) AS internal_meeting_notes, CAST(NULL AS VARCHAR) AS external_url,
+         {pick('event_id', ['SCHEDULED', 'COMPLETED', 'CANCELED', 'NO_SHOW', 'RESCHEDULED', None])} AS meeting_outcome,
+         {SYNCED} AS _fivetran_synced
+  FROM events WHERE event_type = 'signup'"""),
+    "engagement_email": ([], f"""SELECT event_id AS engagement_id, 'email body' AS body, 'Re: offer ' || CAST(event_id % 30 AS VARCHAR) AS subject,
+         'rep@example.com' AS from_email, 'Rep' AS from_first_name, 'One' AS from_last_name,
+         'u' || CAST(user_id AS VARCHAR) || '@mail.example' AS to_email, CAST(NULL AS VARCHAR) AS cc_email,
+         CAST(NULL AS VARCHAR) AS bcc_email, 'rep@example.com' AS sender_email, CAST(NULL AS VARCHAR) AS tracker_key,
+         {SYNCED} AS _fivetran_synced
+  FROM events WHERE event_type = 'click'"""),
+    "engagement_task": ([], f"""SELECT event_id AS engagement_id, 'task body' AS body, 'Follow up ' || CAST(event_id AS VARCHAR) AS subject,
+         {pick('event_id', ['COMPLETED', 'NOT_STARTED', 'IN_PROGRESS', 'WAITING'])} AS status, 'CONTACT' AS for_object_type,
+         {pick('event_id', ['CALL', 'EMAIL', 'TODO'])} AS task_type, {pick('event_id', ['HIGH', 'MEDIUM', 'LOW', None])} AS priority,
+         CASE WHEN {pick('event_id', ['COMPLETED', 'NOT_STARTED', 'IN_PROGRESS', 'WAITING'])} = 'COMPLETED' THEN ts + to_days(1) END AS completion_date,
+         {SYNCED} AS _fivetran_synced
+  FROM events WHERE event_type = 'purchase'"""),
+})
