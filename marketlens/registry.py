@@ -9,6 +9,7 @@ from .plans import search_ads as sa
 from .plans import time_periods as tp
 from .plans import search_dashboards as sd
 from .plans import social_ads as fb
+from .plans import crm
 from .sources.catalog import Tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -60,4 +61,12 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "q_fb_campaign_matrix": fb.q_fb_campaign_matrix,
     "q_fb_adset_overview": fb.q_fb_adset_overview,
     "q_fb_creative": fb.q_fb_creative,
+    "contact_performance": crm.contact_performance,
+    "contact_lifecycle_funnel": crm.contact_lifecycle_funnel,
+    "contact_source_performance": crm.contact_source_performance,
+    "contact_owner_performance": crm.contact_owner_performance,
+    "company_performance": crm.company_performance,
+    "company_industry_analysis": crm.company_industry_analysis,
+    "company_geography_analysis": crm.company_geography_analysis,
+    "company_owner_performance": crm.company_owner_performance,
 }

@@ -1,8 +1,8 @@
 """All oracle SQL by query key."""
 from __future__ import annotations
 
-from . import search_ads, search_dashboards, social_ads, time_periods
+from . import crm, search_ads, search_dashboards, social_ads, time_periods
 
 ORACLE: dict[str, str] = {}
-for _m in (search_ads, time_periods, search_dashboards, social_ads):
+for _m in (search_ads, time_periods, search_dashboards, social_ads, crm):
     ORACLE.update(_m.SQL)
