@@ -328,3 +328,197 @@ def company_owner_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFra
                     ratio("customers", "total_companies", "100.0", (10, 2)).alias("customer_conversion_rate"),
                     "total_revenue", "avg_revenue_per_company", "total_contacts", "total_deals",
                     "active_companies_30d", "avg_days_since_last_contact")
+
+
+# --------------------------------------------------------------------------- deals
+def _stages(t: Tables, live_only: bool = True) -> DataFrame:
+    return (live(t, "deal_stage") if live_only else t["deal_stage"])
+
+
+def _with_stage(d: DataFrame, t: Tables, cols: dict) -> DataFrame:
+    """LEFT JOIN deal_stage on (pipeline_stage_id, pipeline_id) with the delete rule in the ON clause."""
+    ds = _stages(t).select(F.col("stage_id").alias("_s_id"), F.col("pipeline_id").alias("_p_id"),
+                           *[F.col(k).alias(v) for k, v in cols.items()])
+    cond = (d["pipeline_stage_id"] == ds["_s_id"]) & (d["pipeline_id"] == ds["_p_id"])
+    return d.join(ds, cond, "left").drop("_s_id", "_p_id")
+
+
+def _with_pipeline(d: DataFrame, t: Tables, col: str = "pipeline_name") -> DataFrame:
+    dp = live(t, "deal_pipeline").select(F.col("pipeline_id").alias("_pp_id"), F.col("label").alias(col))
+    return d.join(dp, d["pipeline_id"] == dp["_pp_id"], "left").drop("_pp_id")
+
+
+def deal_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    a = as_date_lit(as_of)
+    d = live(t, "deal")
+    de = engagement_rollup(t, "engagement_deal", "deal_id", as_of, recency=False)
+    d = _with_pipeline(d, t)
+    d = _with_stage(d, t, {"label": "stage_label", "display_order": "stage_order", "probability": "_stage_prob"})
+    d = with_owner(d, t)
+    comp = live(t, "company").select(F.col("company_id").alias("_cid"), F.col("name").alias("company_name"),
+                                     F.col("industry").alias("company_industry"))
+    con = live(t, "contact").select(F.col("contact_id").alias("_ctid"),
+                                    concat_safe("first_name", F.lit(" "), "last_name").alias("contact_name"),
+                                    F.col("email").alias("contact_email"))
+    d = d.join(comp, d["associated_company_id"] == comp["_cid"], "left").drop("_cid")
+    d = d.join(con, d["associated_contact_id"] == con["_ctid"], "left").drop("_ctid") \
+        .withColumn("contact_name", F.coalesce("contact_name", F.lit(" ")))
+    d = d.join(de, "deal_id", "left")
+    closed, won = F.col("is_closed"), F.col("is_closed_won")
+    prob = F.coalesce(F.col("_stage_prob"), F.col("hs_deal_stage_probability"))
+    weighted = F.coalesce(F.col("hs_projected_amount"),
+                          F.col("amount") * F.coalesce(F.col("_stage_prob"), F.col("hs_deal_stage_probability"),
+                                                       F.lit(0)) / F.lit(100))
+    last_eng = F.col("last_engagement_date")
+    since_eng = days_between(last_eng, a)
+    total = F.coalesce(F.col("total_engagements"), F.lit(0).cast("long"))
+    weeks = weeks_between_boundary("create_date", a)
+    close = F.col("close_date")
+    return d.select(
+        "deal_id", "deal_name", "deal_type", "pipeline_id", "pipeline_name", "pipeline_stage_id", "deal_stage",
+        "stage_label", "stage_order", prob.alias("stage_probability"),
+        F.coalesce(closed, F.lit(False)).alias("is_closed"), F.coalesce(won, F.lit(False)).alias("is_closed_won"),
+        rules([(won == True, "Won"), ((closed == True) & (won == False), "Lost")], "Open").alias("deal_status"),  # noqa: E712
+        F.coalesce("amount", F.lit(0)).alias("amount"), "deal_currency_code", weighted.alias("weighted_amount"),
+        F.coalesce("hs_acv", F.lit(0)).alias("acv"), F.coalesce("hs_arr", F.lit(0)).alias("arr"),
+        F.coalesce("hs_mrr", F.lit(0)).alias("mrr"), F.coalesce("hs_tcv", F.lit(0)).alias("tcv"),
+        "create_date", "close_date", date_key("create_date").alias("create_date_id"),
+        date_key("close_date").alias("close_date_id"),
+        F.coalesce(F.col("days_to_close"), days_between("create_date", F.coalesce(close, a))).alias("days_in_pipeline"),
+        F.when(closed == True, F.col("days_to_close")).alias("actual_days_to_close"),  # noqa: E712
+        days_between("create_date", a).alias("deal_age_days"),
+        F.when((closed == False) & close.isNotNull(), days_between(a, close)).alias("days_until_close"),  # noqa: E712
+        rules([(closed == True, "Closed"), (close.isNull(), "No Close Date"), (close < a, "Overdue"),  # noqa: E712
+               (close <= F.date_add(a, 7), "Closing This Week"), (close <= F.date_add(a, 30), "Closing This Month"),
+               (close <= F.date_add(a, 90), "Closing This Quarter")], "Future").alias("close_date_status"),
+        "owner_id", "owner_name", "owner_email", "associated_company_id", "company_name", "company_industry",
+        "associated_contact_id", "contact_name", "contact_email", "hs_analytics_source",
+        *[F.coalesce(c_, F.lit(0).cast("long")).alias(c_) for c_ in _ENG_COLS],
+        "last_engagement_date", "first_engagement_date", since_eng.alias("days_since_last_engagement"),
+        _per_month(total, weeks).alias("engagements_per_week"),
+        F.coalesce("num_contacted_notes", F.lit(0)).alias("num_contacted_notes"),
+        F.coalesce("num_notes", F.lit(0)).alias("num_notes"),
+        rules([(closed == True, "Closed"), (last_eng.isNull(), "No Engagement"), (since_eng <= 7, "Healthy"),  # noqa: E712
+               (since_eng <= 14, "Needs Attention"), (since_eng <= 30, "At Risk")], "Stale").alias("deal_health_status"),
+        F.col("_fivetran_synced").alias("last_synced_at"))
+
+
+def deal_pipeline_summary(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    from pyspark.sql import Window
+    a = as_date_lit(as_of)
+    d = _with_stage(_with_pipeline(live(t, "deal"), t), t, {
+        "label": "stage_label", "display_order": "display_order", "probability": "probability",
+        "is_closed": "_st_closed", "is_closed_won": "_st_won"})
+    keys = ["pipeline_id", "pipeline_stage_id", "pipeline_name", "stage_label", "display_order", "probability",
+            "_st_closed", "_st_won"]
+    amt = F.coalesce("amount", F.lit(0))
+    g = d.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("deal_count"), F.sum(amt).alias("total_value"), F.avg(amt).alias("avg_deal_size"),
+        F.sum(amt * F.coalesce("probability", F.lit(0)) / F.lit(100)).alias("weighted_value"),
+        F.avg(days_between("create_date", a)).alias("avg_age_days"))
+    pw = Window.partitionBy("pipeline_id")
+    return g.select(
+        "pipeline_id", "pipeline_name", "pipeline_stage_id", "stage_label", "display_order", "probability",
+        F.coalesce("_st_closed", F.lit(False)).alias("is_closed"), F.coalesce("_st_won", F.lit(False)).alias("is_closed_won"),
+        "deal_count", "total_value", "avg_deal_size", "weighted_value", "avg_age_days",
+        share_pct("deal_count", F.sum("deal_count").over(pw)).alias("pct_of_pipeline_count"),
+        share_pct("total_value", F.sum("total_value").over(pw)).alias("pct_of_pipeline_value"))
+
+
+def deal_stage_conversion(t: Tables) -> DataFrame:
+    """Stage transitions from the stage history: the previous stage per deal comes from a LAG
+    over (deal, timestamp); transitions are aggregated per (pipeline, from, to) before the
+    stage labels are attached."""
+    from pyspark.sql import Window
+    from ..functions.dates import hours_between_boundary
+    h = t["deal_stage_history"].select("deal_id", "stage_id", "pipeline_id", "timestamp")
+    w = Window.partitionBy("deal_id").orderBy("timestamp")
+    h = h.select("*", F.lag("stage_id").over(w).alias("prev_stage_id"), F.lag("timestamp").over(w).alias("prev_ts"))
+    hrs = hours_between_boundary("prev_ts", "timestamp")
+    dys = days_between("prev_ts", "timestamp")
+    st = h.filter(F.col("prev_stage_id").isNotNull()).groupBy(
+        "pipeline_id", F.col("prev_stage_id").alias("from_stage_id"), F.col("stage_id").alias("to_stage_id")).agg(
+        F.count(F.lit(1)).alias("transition_count"), F.avg(hrs).alias("avg_hours_in_stage"),
+        F.avg(dys).alias("avg_days_in_stage"), F.min(dys).alias("min_days_in_stage"),
+        F.max(dys).alias("max_days_in_stage"))
+    st = _with_pipeline(st, t)
+    stages = t["deal_stage"]  # no delete filter on the stage lookups here, as in the SQL
+
+    def side(prefix):
+        return stages.select(F.col("stage_id").alias(f"_{prefix}_s"), F.col("pipeline_id").alias(f"_{prefix}_p"),
+                             F.col("label").alias(f"{prefix}_stage_label"),
+                             F.col("display_order").alias(f"{prefix}_stage_order"),
+                             F.col("is_closed").alias(f"_{prefix}_closed"), F.col("is_closed_won").alias(f"_{prefix}_won"))
+
+    fr, to = side("from"), side("to")
+    st = st.join(fr, (st["from_stage_id"] == fr["_from_s"]) & (st["pipeline_id"] == fr["_from_p"]), "left")
+    st = st.join(to, (st["to_stage_id"] == to["_to_s"]) & (st["pipeline_id"] == to["_to_p"]), "left")
+    fo, tord = F.col("from_stage_order"), F.col("to_stage_order")
+    return st.select(
+        "pipeline_id", "pipeline_name", "from_stage_id", "from_stage_label", "from_stage_order", "to_stage_id",
+        "to_stage_label", "to_stage_order", "transition_count", "avg_hours_in_stage", "avg_days_in_stage",
+        "min_days_in_stage", "max_days_in_stage",
+        rules([(F.col("_to_won") == True, "Won"), (F.col("_to_closed") == True, "Lost"),  # noqa: E712
+               (tord > fo, "Forward"), (tord < fo, "Backward")], "Same Level").alias("transition_type"))
+
+
+def deal_owner_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    a = as_date_lit(as_of)
+    d = live(t, "deal").filter(F.col("owner_id").isNotNull())
+    closed, won = F.col("is_closed"), F.col("is_closed_won")
+    is_won, is_lost, is_open = won == True, (closed == True) & (won == False), closed == False  # noqa: E712
+    amt = F.coalesce("amount", F.lit(0))
+    close30 = F.col("close_date") >= F.date_sub(a, 30)
+    close90 = F.col("close_date") >= F.date_sub(a, 90)
+    g = d.groupBy("owner_id").agg(
+        F.count(F.lit(1)).alias("total_deals"), F.count(F.when(is_won, 1)).alias("won_deals"),
+        F.count(F.when(is_lost, 1)).alias("lost_deals"), F.count(F.when(is_open, 1)).alias("open_deals"),
+        F.count(F.when(closed == True, 1)).alias("_closed"),  # noqa: E712
+        F.sum(F.when(is_won, amt).otherwise(F.lit(0))).alias("closed_won_revenue"),
+        F.sum(F.when(is_open, amt).otherwise(F.lit(0))).alias("pipeline_value"),
+        F.avg(F.when(is_won, F.col("amount"))).alias("avg_won_deal_size"),
+        F.avg(F.when(is_open, F.col("amount"))).alias("avg_open_deal_size"),
+        F.avg(F.when(is_won, F.col("days_to_close"))).alias("avg_days_to_close_won"),
+        F.avg(F.when(is_lost, F.col("days_to_close"))).alias("avg_days_to_close_lost"),
+        F.count(F.when(since("create_date", as_of, 30), 1)).alias("new_deals_30d"),
+        F.count(F.when(is_won & close30, 1)).alias("won_deals_30d"),
+        F.sum(F.when(is_won & close30, amt).otherwise(F.lit(0))).alias("won_revenue_30d"),
+        F.count(F.when(since("create_date", as_of, 90), 1)).alias("new_deals_90d"),
+        F.count(F.when(is_won & close90, 1)).alias("won_deals_90d"),
+        F.sum(F.when(is_won & close90, amt).otherwise(F.lit(0))).alias("won_revenue_90d"))
+    g = with_owner(g, t)
+    return g.select(
+        "owner_id", "owner_name", "owner_email", "total_deals", "won_deals", "lost_deals", "open_deals",
+        ratio("won_deals", "_closed", "100.0", (10, 2)).alias("win_rate"), "closed_won_revenue", "pipeline_value",
+        "avg_won_deal_size", "avg_open_deal_size", "avg_days_to_close_won", "avg_days_to_close_lost", "new_deals_30d",
+        "won_deals_30d", "won_revenue_30d", "new_deals_90d", "won_deals_90d", "won_revenue_90d")
+
+
+def forecast_period(close: Column, as_of) -> Column:
+    """This Month / Next Month / This Quarter / Next Quarter / Future (first match wins)."""
+    a = as_date_lit(as_of)
+    m0 = F.trunc(a, "month")
+    m1 = F.add_months(m0, 1)
+    q0 = F.trunc(a, "quarter")
+    q1 = F.add_months(q0, 3)
+    q2 = F.add_months(q0, 6)
+    return rules([(close.between(m0, F.last_day(a)), "This Month"),
+                  (close.between(m1, F.last_day(F.add_months(a, 1))), "Next Month"),
+                  (close.between(q0, F.date_sub(q1, 1)), "This Quarter"),
+                  (close.between(q1, F.date_sub(q2, 1)), "Next Quarter")], "Future")
+
+
+def deal_forecast(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    d = live(t, "deal").filter((F.col("is_closed") == False) & F.col("close_date").isNotNull())  # noqa: E712
+    d = _with_stage(d, t, {"probability": "_stage_prob"})
+    prob = F.coalesce(F.col("_stage_prob"), F.col("hs_deal_stage_probability"), F.lit(50).cast("decimal(5,2)"))
+    amt = F.coalesce("amount", F.lit(0))
+    fp = d.select("owner_id", forecast_period(F.col("close_date"), as_of).alias("forecast_period"), "deal_id",
+                  amt.alias("amount"), prob.alias("probability"), (amt * prob / F.lit(100)).alias("weighted_amount"))
+    g = fp.groupBy("owner_id", "forecast_period").agg(
+        F.count(F.lit(1)).alias("deal_count"), F.sum("amount").alias("pipeline_value"),
+        F.sum("weighted_amount").alias("weighted_pipeline"), F.avg("probability").alias("avg_probability"),
+        F.avg("amount").alias("avg_deal_size"))
+    g = with_owner(g, t, cols=("owner_name",))
+    return g.select("owner_id", "owner_name", "forecast_period", "deal_count", "pipeline_value", "weighted_pipeline",
+                    "avg_probability", "avg_deal_size")

@@ -69,4 +69,9 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "company_industry_analysis": crm.company_industry_analysis,
     "company_geography_analysis": crm.company_geography_analysis,
     "company_owner_performance": crm.company_owner_performance,
+    "deal_performance": crm.deal_performance,
+    "deal_pipeline_summary": crm.deal_pipeline_summary,
+    "deal_stage_conversion": crm.deal_stage_conversion,
+    "deal_owner_performance": crm.deal_owner_performance,
+    "deal_forecast": crm.deal_forecast,
 }
