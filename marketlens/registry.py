@@ -10,6 +10,7 @@ from .plans import time_periods as tp
 from .plans import search_dashboards as sd
 from .plans import social_ads as fb
 from .plans import crm
+from .plans import email
 from .sources.catalog import Tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -74,4 +75,10 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "deal_stage_conversion": crm.deal_stage_conversion,
     "deal_owner_performance": crm.deal_owner_performance,
     "deal_forecast": crm.deal_forecast,
+    "email_performance": email.email_performance,
+    "email_daily_metrics": email.email_daily_metrics,
+    "email_bounce_analysis": email.email_bounce_analysis,
+    "email_link_performance": email.email_link_performance,
+    "email_engagement_by_time": email.email_engagement_by_time,
+    "email_recipient_engagement": email.email_recipient_engagement,
 }
