@@ -11,6 +11,7 @@ from .plans import search_dashboards as sd
 from .plans import social_ads as fb
 from .plans import crm
 from .plans import email
+from .plans import engagements as eng
 from .sources.catalog import Tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -81,4 +82,12 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "email_link_performance": email.email_link_performance,
     "email_engagement_by_time": email.email_engagement_by_time,
     "email_recipient_engagement": email.email_recipient_engagement,
+    "engagement_performance": eng.engagement_performance,
+    "engagement_daily_summary": eng.engagement_daily_summary,
+    "engagement_owner_summary": eng.engagement_owner_summary,
+    "engagement_type_analysis": eng.engagement_type_analysis,
+    "call_analysis": eng.call_analysis,
+    "meeting_analysis": eng.meeting_analysis,
+    "engagement_daily_summary_dedup": eng.engagement_daily_summary_dedup,
+    "engagement_owner_summary_dedup": eng.engagement_owner_summary_dedup,
 }
