@@ -12,6 +12,7 @@ from .plans import social_ads as fb
 from .plans import crm
 from .plans import email
 from .plans import engagements as eng
+from .plans import crm_dashboards as cd
 from .sources.catalog import Tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -90,4 +91,15 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "meeting_analysis": eng.meeting_analysis,
     "engagement_daily_summary_dedup": eng.engagement_daily_summary_dedup,
     "engagement_owner_summary_dedup": eng.engagement_owner_summary_dedup,
+    "q_crm_executive": cd.q_crm_executive,
+    "q_pipeline_health": cd.q_pipeline_health,
+    "q_deals_at_risk": cd.q_deals_at_risk,
+    "q_sales_forecast": cd.q_sales_forecast,
+    "q_contact_funnel": cd.q_contact_funnel,
+    "q_engagement_trend": cd.q_engagement_trend,
+    "q_email_dashboard": cd.q_email_dashboard,
+    "q_owner_leaderboard": cd.q_owner_leaderboard,
+    "q_company_insights": cd.q_company_insights,
+    "q_source_attribution": cd.q_source_attribution,
+    "q_cross_channel": cd.q_cross_channel,
 }
