@@ -13,6 +13,8 @@ from .plans import crm
 from .plans import email
 from .plans import engagements as eng
 from .plans import crm_dashboards as cd
+from .plans import measures as ms
+from .plans import report as rq
 from .sources.catalog import Tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -102,4 +104,21 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "q_company_insights": cd.q_company_insights,
     "q_source_attribution": cd.q_source_attribution,
     "q_cross_channel": cd.q_cross_channel,
+    "m_contact_measures": ms.m_contact_measures,
+    "m_deal_measures": ms.m_deal_measures,
+    "m_email_measures": ms.m_email_measures,
+    "m_engagement_measures": ms.m_engagement_measures,
+    "m_ads_daily_measures": ms.m_ads_daily_measures,
+    "rq_stage_counts": rq.rq_stage_counts,
+    "rq_engagement_line": rq.rq_engagement_line,
+    "rq_contacts_by_lifecycle": rq.rq_contacts_by_lifecycle,
+    "rq_contacts_by_source": rq.rq_contacts_by_source,
+    "rq_contact_owner_table": rq.rq_contact_owner_table,
+    "rq_pipeline_funnel": rq.rq_pipeline_funnel,
+    "rq_owner_deals_table": rq.rq_owner_deals_table,
+    "rq_deal_table": rq.rq_deal_table,
+    "rq_email_table": rq.rq_email_table,
+    "rq_sent_by_tier": rq.rq_sent_by_tier,
+    "rq_engagement_by_weekday": rq.rq_engagement_by_weekday,
+    "rq_owner_engagement_table": rq.rq_owner_engagement_table,
 }

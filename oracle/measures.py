@@ -1,0 +1,87 @@
+"""Oracle SQL: semantic-model measures and report data queries."""
+from __future__ import annotations
+
+from . import crm, email, engagements, search_ads, time_periods
+from .adapters import with_tables
+from .crm_dashboards import views
+from .kit import xavg
+
+A = "DATE '2024-01-31'"
+
+
+def div(a: str, b: str) -> str:
+    return f"COALESCE(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+def _sum(col: str, typ: str) -> str:
+    return f"CAST(SUM({col}) AS {typ}) AS {col}"
+
+
+SQL: dict[str, str] = {
+    "m_contact_measures": views(cpv="contact_performance") + f"""
+SELECT COUNT(*) AS total_contacts, COUNT(CASE WHEN lifecycle_stage = 'customer' THEN 1 END) AS total_customers,
+  CAST(SUM(total_revenue) AS DECIMAL(28,2)) AS total_contact_revenue,
+  COUNT(CASE WHEN created_at >= CAST({A} - 30 AS TIMESTAMP) THEN 1 END) AS new_contacts_30d,
+  {div("COUNT(CASE WHEN lifecycle_stage = 'customer' THEN 1 END)", 'COUNT(*)')} * 100 AS customer_conversion_rate
+FROM cpv""",
+    "m_deal_measures": views(dpv="deal_performance") + f"""
+SELECT COUNT(*) AS total_deals, COUNT(CASE WHEN deal_status = 'Open' THEN 1 END) AS open_deals,
+  COUNT(CASE WHEN is_closed_won = true THEN 1 END) AS won_deals,
+  COUNT(CASE WHEN is_closed = true AND NOT is_closed_won THEN 1 END) AS lost_deals,
+  CAST(SUM(CASE WHEN deal_status = 'Open' THEN amount END) AS DECIMAL(28,2)) AS pipeline_value,
+  CAST(SUM(CASE WHEN deal_status = 'Open' THEN weighted_amount END) AS DECIMAL(38,8)) AS weighted_pipeline,
+  CAST(SUM(CASE WHEN is_closed_won = true THEN amount END) AS DECIMAL(28,2)) AS closed_won_revenue,
+  AVG(actual_days_to_close) AS avg_days_to_close,
+  {div('COUNT(CASE WHEN is_closed_won = true THEN 1 END)', 'COUNT(CASE WHEN is_closed = true THEN 1 END)')} * 100 AS deal_win_rate,
+  {div("SUM(CASE WHEN deal_status = 'Open' THEN amount END)", "COUNT(CASE WHEN deal_status = 'Open' THEN 1 END)")} AS avg_deal_size
+FROM dpv""",
+    "m_email_measures": views(ep="email_performance") + f"""
+SELECT {xavg('unique_open_rate', 2, prec=14)} AS avg_open_rate, {xavg('unique_click_rate', 2, prec=14)} AS avg_click_rate,
+  {xavg('delivery_rate', 2, prec=14)} AS avg_delivery_rate, CAST(SUM(sent_count) AS BIGINT) AS total_emails_sent
+FROM ep""",
+    "m_engagement_measures": views(eds="engagement_daily_summary") + """
+SELECT CAST(SUM(total_engagements) AS BIGINT) AS total_engagements, CAST(SUM(total_calls) AS BIGINT) AS total_calls,
+  CAST(SUM(total_meetings) AS BIGINT) AS total_meetings, CAST(SUM(total_emails) AS BIGINT) AS total_crm_emails,
+  CAST(SUM(unique_contacts_engaged) AS BIGINT) AS contacts_engaged, CAST(SUM(unique_companies_engaged) AS BIGINT) AS companies_engaged
+FROM eds""",
+    "m_ads_daily_measures": with_tables("account_stats", "account_history").rstrip() + f""",
+ap AS ({search_ads.ACCOUNT_PERFORMANCE_BODY}),
+cal AS ({time_periods.calendar_body('account_stats', "DATE '2024-04-30'")}),
+d AS (SELECT cal.date, CAST(SUM(ap.spend) AS DECIMAL(28,2)) AS total_spend, SUM(ap.clicks) AS _clicks,
+        SUM(ap.impressions) AS _imp, SUM(ap.conversions_value) AS _value
+      FROM cal LEFT JOIN ap ON cal.date = ap.date GROUP BY cal.date)
+SELECT d.date, d.total_spend, {div('d._clicks', 'd._imp')} * 100 AS ctr_pct, {div('d._value', 'd.total_spend')} AS roas,
+  p.total_spend AS previous_period_spend,
+  {div('COALESCE(d.total_spend, 0) - COALESCE(p.total_spend, 0)', 'p.total_spend')} * 100 AS spend_change_pct
+FROM d LEFT JOIN d p ON d.date = p.date + 30""",
+    "rq_stage_counts": views(lf="contact_lifecycle_funnel") + """
+SELECT stage_display_name, CAST(SUM(contact_count) AS BIGINT) AS contact_count FROM lf GROUP BY stage_display_name""",
+    "rq_engagement_line": views(eds="engagement_daily_summary") + """
+SELECT engagement_date, CAST(SUM(total_engagements) AS BIGINT) AS total_engagements FROM eds GROUP BY engagement_date""",
+    "rq_contacts_by_lifecycle": views(cpv="contact_performance") + """
+SELECT lifecycle_stage_display, COUNT(*) AS total_contacts FROM cpv GROUP BY lifecycle_stage_display""",
+    "rq_contacts_by_source": views(cpv="contact_performance") + """
+SELECT hs_analytics_source, COUNT(*) AS total_contacts FROM cpv GROUP BY hs_analytics_source""",
+    "rq_contact_owner_table": views(cpv="contact_performance") + """
+SELECT owner_name, CAST(SUM(total_engagements) AS BIGINT) AS total_engagements,
+  CAST(SUM(total_revenue) AS DECIMAL(28,2)) AS total_revenue FROM cpv GROUP BY owner_name""",
+    "rq_pipeline_funnel": views(ps="deal_pipeline_summary") + """
+SELECT stage_label, CAST(SUM(total_value) AS DECIMAL(38,2)) AS total_value FROM ps GROUP BY stage_label""",
+    "rq_owner_deals_table": views(d="deal_owner_performance") + f"""
+SELECT owner_name, CAST(SUM(total_deals) AS BIGINT) AS total_deals, CAST(SUM(closed_won_revenue) AS DECIMAL(38,2)) AS closed_won_revenue,
+  {xavg('win_rate', 2, prec=14)} AS win_rate FROM d GROUP BY owner_name""",
+    "rq_deal_table": views(dpv="deal_performance") + """
+SELECT deal_name, deal_health_status, owner_name, CAST(SUM(amount) AS DECIMAL(28,2)) AS amount FROM dpv
+GROUP BY deal_name, deal_health_status, owner_name""",
+    "rq_email_table": views(ep="email_performance") + f"""
+SELECT campaign_name, performance_tier, CAST(SUM(sent_count) AS BIGINT) AS sent_count,
+  {xavg('unique_open_rate', 2, prec=14)} AS unique_open_rate, {xavg('unique_click_rate', 2, prec=14)} AS unique_click_rate
+FROM ep GROUP BY campaign_name, performance_tier""",
+    "rq_sent_by_tier": views(ep="email_performance") + """
+SELECT performance_tier, CAST(SUM(sent_count) AS BIGINT) AS total_emails_sent FROM ep GROUP BY performance_tier""",
+    "rq_engagement_by_weekday": views(eds="engagement_daily_summary") + """
+SELECT day_of_week, CAST(SUM(total_engagements) AS BIGINT) AS total_engagements FROM eds GROUP BY day_of_week""",
+    "rq_owner_engagement_table": views(eo="engagement_owner_summary") + """
+SELECT owner_name, CAST(SUM(total_engagements) AS BIGINT) AS total_engagements, CAST(SUM(total_calls) AS BIGINT) AS total_calls,
+  CAST(SUM(total_meetings) AS BIGINT) AS total_meetings FROM eo GROUP BY owner_name""",
+}

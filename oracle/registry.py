@@ -1,8 +1,8 @@
 """All oracle SQL by query key."""
 from __future__ import annotations
 
-from . import crm, crm_dashboards, email, engagements, search_ads, search_dashboards, social_ads, time_periods
+from . import crm, crm_dashboards, email, engagements, measures, search_ads, search_dashboards, social_ads, time_periods
 
 ORACLE: dict[str, str] = {}
-for _m in (search_ads, time_periods, search_dashboards, social_ads, crm, email, engagements, crm_dashboards):
+for _m in (search_ads, time_periods, search_dashboards, social_ads, crm, email, engagements, crm_dashboards, measures):
     ORACLE.update(_m.SQL)
