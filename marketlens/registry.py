@@ -15,6 +15,7 @@ from .plans import engagements as eng
 from .plans import crm_dashboards as cd
 from .plans import measures as ms
 from .plans import report as rq
+from .plans import insights as ins
 from .sources.catalog import Tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -121,4 +122,12 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "rq_sent_by_tier": rq.rq_sent_by_tier,
     "rq_engagement_by_weekday": rq.rq_engagement_by_weekday,
     "rq_owner_engagement_table": rq.rq_owner_engagement_table,
+    "q_kpi_benchmarks_search": ins.q_kpi_benchmarks_search,
+    "q_kpi_benchmarks_social": ins.q_kpi_benchmarks_social,
+    "q_email_deliverability_alerts": ins.q_email_deliverability_alerts,
+    "q_deal_velocity": ins.q_deal_velocity,
+    "q_deal_benchmarks": ins.q_deal_benchmarks,
+    "q_rls_campaign_performance": ins.q_rls_campaign_performance,
+    "q_cross_platform_daily": ins.q_cross_platform_daily,
+    "q_hour_of_day": ins.q_hour_of_day,
 }
