@@ -144,8 +144,9 @@ def _call_minute_cols() -> list:
 
 
 def _engagement_daily(t: Tables, weighted: bool) -> DataFrame:
-    e = live(t, "engagement").filter(F.col("timestamp").isNotNull())
-    e = _details(e, t, ["CALL", "MEETING", "TASK"]).withColumn("engagement_date", F.to_date("timestamp"))
+    base = live(t, "engagement").filter(F.col("timestamp").isNotNull()) \
+        .withColumn("engagement_date", F.to_date("timestamp"))
+    e = _details(base, t, ["CALL", "MEETING", "TASK"])
     if weighted:
         e = with_fanout(e, t, ["contact", "company", "deal"])
     ty, oc, ts_ = F.col("type"), F.col("meeting_outcome"), F.col("task_status")
@@ -157,7 +158,8 @@ def _engagement_daily(t: Tables, weighted: bool) -> DataFrame:
            ("CANCELED", "meetings_canceled"), ("NO_SHOW", "meetings_no_show")]],
         F.count(F.when((ty == "TASK") & (ts_ == "COMPLETED"), 1)).alias("tasks_completed"),
         F.count(F.when((ty == "TASK") & ts_.isin("NOT_STARTED", "IN_PROGRESS"), 1)).alias("tasks_pending"))
-    members = distinct_members(e, t, ["engagement_date"], ["contact", "company", "deal"],
+    # distinct members need only the group key of each engagement, not the detail joins
+    members = distinct_members(base, t, ["engagement_date"], ["contact", "company", "deal"],
                                {"contact": "unique_contacts_engaged", "company": "unique_companies_engaged",
                                 "deal": "unique_deals_engaged"})
     g = _nullsafe_join(g, members, ["engagement_date"])
@@ -182,8 +184,8 @@ def engagement_daily_summary_dedup(t: Tables) -> DataFrame:
 
 
 def _engagement_owner(t: Tables, as_of, weighted: bool) -> DataFrame:
-    e = live(t, "engagement").filter(F.col("owner_id").isNotNull())
-    e = _details(e, t, ["CALL", "MEETING", "TASK"])
+    base = live(t, "engagement").filter(F.col("owner_id").isNotNull())
+    e = _details(base, t, ["CALL", "MEETING", "TASK"])
     if weighted:
         e = with_fanout(e, t, ["contact", "company", "deal"])
     ty = F.col("type")
@@ -200,7 +202,7 @@ def _engagement_owner(t: Tables, as_of, weighted: bool) -> DataFrame:
         *_call_minute_aggs(weighted),
         F.count(F.when(meet_done, 1)).alias("completed_meetings"), F.count(F.when(task_done, 1)).alias("completed_tasks"),
         F.min("timestamp").alias("first_engagement_date"), F.max("timestamp").alias("last_engagement_date"))
-    members = distinct_members(e, t, ["owner_id"], ["contact", "company", "deal"],
+    members = distinct_members(base, t, ["owner_id"], ["contact", "company", "deal"],
                                {"contact": "unique_contacts_engaged", "company": "unique_companies_engaged",
                                 "deal": "unique_deals_engaged"})
     g = _nullsafe_join(g, members, ["owner_id"])
@@ -231,7 +233,8 @@ def engagement_owner_summary_dedup(t: Tables, as_of: _dt.date = CRM_AS_OF) -> Da
 
 
 def engagement_type_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
-    e = with_fanout(live(t, "engagement"), t, ["contact", "company", "deal"])
+    base = live(t, "engagement")
+    e = with_fanout(base, t, ["contact", "company", "deal"])
     m = F.col("_m")
     # COUNT(bridge member) over the cartesian rows = n_member x product of the other max(n, 1)
     rows_c = F.col("n_contact") * F.greatest("n_company", F.lit(1)) * F.greatest("n_deal", F.lit(1))
@@ -244,7 +247,7 @@ def engagement_type_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFram
         F.sum(rows_c).alias("_contact_rows"), F.sum(rows_co).alias("_company_rows"),
         F.min("timestamp").alias("first_occurrence"), F.max("timestamp").alias("last_occurrence"),
         F.sum(m).alias("_rows"))
-    members = distinct_members(e, t, ["type"], ["contact", "company", "deal"],
+    members = distinct_members(base, t, ["type"], ["contact", "company", "deal"],
                                {"contact": "unique_contacts", "company": "unique_companies", "deal": "unique_deals"})
     g = _nullsafe_join(g, members, ["type"])
     g = with_group_aggs(g, [], {"_all": F.sum("total_count")})
@@ -263,8 +266,8 @@ def call_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
     e = live(t, "engagement").filter(F.col("type") == "CALL")
     c = t["engagement_call"].select("engagement_id", F.col("disposition").alias("_disp"), F.col("status").alias("_st"),
                                     F.col("duration_milliseconds").alias("_dur"), F.col("recording_url").alias("_rec"))
-    e = e.join(c, "engagement_id", "inner")
-    e = with_fanout(e, t, ["contact", "company"])
+    base = e.join(c, "engagement_id", "inner")
+    e = with_fanout(base, t, ["contact", "company"])
     m, dur = F.col("_m"), F.col("_dur")
     mins = _minutes(dur)
     keys = ["owner_id", "_disp", "_st"]
@@ -278,7 +281,7 @@ def call_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         F.count(F.when(dur > 0, 1)).alias("_connected"), F.count(F.when(F.col("_rec").isNotNull(), 1)).alias("calls_with_recording"),
         F.count(F.when(since("timestamp", as_of, 7), 1)).alias("calls_7d"),
         F.count(F.when(since("timestamp", as_of, 30), 1)).alias("calls_30d"))
-    members = distinct_members(e, t, keys, ["contact", "company"],
+    members = distinct_members(base, t, keys, ["contact", "company"],
                                {"contact": "unique_contacts_called", "company": "unique_companies_called"})
     g = _nullsafe_join(g, members, keys)
     g = with_owner(g, t, cols=("owner_name",))
@@ -297,8 +300,8 @@ def meeting_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
     e = live(t, "engagement").filter(F.col("type") == "MEETING")
     mt = t["engagement_meeting"].select("engagement_id", F.col("start_time").alias("_start"),
                                         F.col("end_time").alias("_end"), F.col("meeting_outcome").alias("_outcome"))
-    e = e.join(mt, "engagement_id", "inner")
-    e = with_fanout(e, t, ["contact", "company", "deal"])
+    base = e.join(mt, "engagement_id", "inner")
+    e = with_fanout(base, t, ["contact", "company", "deal"])
     m = F.col("_m")
     both = F.col("_start").isNotNull() & F.col("_end").isNotNull()
     mins = minutes_between_boundary("_start", "_end")
@@ -313,7 +316,7 @@ def meeting_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
            ("NO_SHOW", "no_show_meetings"), ("RESCHEDULED", "rescheduled_meetings")]],
         F.count(F.when(since("timestamp", as_of, 7), 1)).alias("meetings_7d"),
         F.count(F.when(since("timestamp", as_of, 30), 1)).alias("meetings_30d"))
-    members = distinct_members(e, t, keys, ["contact", "company", "deal"],
+    members = distinct_members(base, t, keys, ["contact", "company", "deal"],
                                {"contact": "unique_contacts_met", "company": "unique_companies_met",
                                 "deal": "deals_with_meetings"})
     g = _nullsafe_join(g, members, keys)

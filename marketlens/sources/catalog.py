@@ -38,6 +38,9 @@ class Tables:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: cast present columns, add absent optional ones as NULL."""
+    current = [(f.name, f.dataType) for f in df.schema.fields]
+    if current == [(f.name, f.dataType) for f in schema.fields]:
+        return df
     present = set(df.columns)
     cols = []
     for f in schema.fields:

@@ -62,7 +62,11 @@ class DriverTables(Tables):
 
     # ------------------------------------------------------------------ raw driver tables
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """Driver table (one read per table and instance: listing and footer reads are not repeated)."""
+        cache = self.__dict__.setdefault("_raw", {})
+        if name not in cache:
+            cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return cache[name]
 
     # ------------------------------------------------------------------ search ads
     def _ads_base(self, long_range: bool = False) -> DataFrame:
