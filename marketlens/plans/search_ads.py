@@ -557,3 +557,9 @@ def ad_type_comparison(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
         *_total_kpis(names={"ctr": "ctr_percent", "cpc": "avg_cpc", "cvr": "conversion_rate_percent",
                             "cpa": "cost_per_conversion", "roas": "roas"}),
     )
+
+
+def q_top_keywords(t: Tables, as_of: _dt.date = ADS_AS_OF, k: int = 10) -> DataFrame:
+    """Top-k keyword report (the documented TOP 10): keywords whose conversion rank is <= k;
+    ties share a rank, so more than k rows can qualify."""
+    return keyword_top_performers(t, as_of).filter(F.col("conversions_rank") <= k)

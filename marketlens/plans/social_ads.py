@@ -447,3 +447,60 @@ def q_fb_creative(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     return fb_ad_creative_effectiveness(t, as_of).filter(F.col("total_impressions") > 100).select(
         "ad_name", "creative_type_label", "call_to_action_type", "total_spend", "total_clicks", "total_actions",
         "ctr_percent", "cost_per_action", "roas")
+
+
+# --------------------------------------------------------------------------- breakdown summaries
+# The source only names these views (bodies elided); definitions here: aggregate the breakdown
+# template rows by the breakdown keys with the standard social KPIs.
+def _breakdown(df: DataFrame, keys: list[str]) -> DataFrame:
+    g = df.groupBy(*keys).agg(
+        F.sum("spend").alias("total_spend"), F.sum("impressions").alias("total_impressions"),
+        F.sum("clicks").alias("total_clicks"), F.sum("reach").alias("total_reach"),
+        F.sum("total_actions").alias("total_actions"), F.sum("total_action_value").alias("total_action_value"))
+    return g.select("*", *_total_kpis({"ctr": "avg_ctr", "cpa": "avg_cost_per_action", "roas": "avg_roas"}),
+                    ratio("total_spend", "total_impressions", "1000.0", (18, 4)).alias("avg_cpm"))
+
+
+def fb_demographic_summary(t: Tables) -> DataFrame:
+    """Age x gender totals with a cost-efficiency rank (cheapest cost per action = 1; groups
+    without actions rank last)."""
+    g = _breakdown(fb_insights_demographics(t), ["age_range", "gender"])
+    key = F.when(F.col("total_actions") > 0, F.col("avg_cost_per_action"))
+    g = global_dense_ranks(g.withColumn("_cpa_key", key), {"cost_efficiency_rank": [("_cpa_key", True)]})
+    return g.drop("_cpa_key")
+
+
+def fb_placement_summary(t: Tables) -> DataFrame:
+    """Platform x position totals; recommendation compares each placement's cost per action
+    with the all-placement cost per action (one-row aggregate joined back)."""
+    g = _breakdown(fb_insights_placements(t), ["publisher_platform", "platform_position"])
+    g = with_group_aggs(g, [], {"_all_spend": F.sum("total_spend"), "_all_actions": F.sum("total_actions")})
+    overall = ratio("_all_spend", "_all_actions", None, (18, 4))
+    rec = rules([(F.col("total_actions") == 0, "No conversions - review placement"),
+                 (F.col("avg_cost_per_action") <= overall, "Scale placement")], "Optimize or reduce spend")
+    return g.withColumn("placement_recommendation", rec).drop("_all_spend", "_all_actions")
+
+
+def fb_device_performance(t: Tables) -> DataFrame:
+    return _breakdown(fb_insights_placements(t), ["impression_device", "device_platform"])
+
+
+GENDERS = ["male", "female", "unknown"]
+
+
+def fb_age_gender_matrix(t: Tables) -> DataFrame:
+    """Spend by age (rows) x gender (columns); the gender values are the platform's fixed set."""
+    d = fb_insights_demographics(t)
+    return d.groupBy("age_range").pivot("gender", GENDERS).agg(F.sum("spend")) \
+        .select("age_range", *[F.col(g).alias(f"{g}_spend") for g in GENDERS])
+
+
+def q_fb_demographic(t: Tables) -> DataFrame:
+    return fb_demographic_summary(t).select("age_range", "gender", "total_spend", "total_actions", "avg_ctr",
+                                            "avg_cost_per_action", "avg_roas", "cost_efficiency_rank")
+
+
+def q_fb_placement(t: Tables) -> DataFrame:
+    return fb_placement_summary(t).select("publisher_platform", "platform_position", "total_spend",
+                                          "total_impressions", "total_actions", "avg_ctr", "avg_cpm",
+                                          "avg_cost_per_action", "placement_recommendation")

@@ -130,4 +130,11 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "q_rls_campaign_performance": ins.q_rls_campaign_performance,
     "q_cross_platform_daily": ins.q_cross_platform_daily,
     "q_hour_of_day": ins.q_hour_of_day,
+    "fb_demographic_summary": fb.fb_demographic_summary,
+    "fb_placement_summary": fb.fb_placement_summary,
+    "fb_device_performance": fb.fb_device_performance,
+    "fb_age_gender_matrix": fb.fb_age_gender_matrix,
+    "q_fb_demographic": fb.q_fb_demographic,
+    "q_fb_placement": fb.q_fb_placement,
+    "q_top_keywords": sa.q_top_keywords,
 }

@@ -389,3 +389,5 @@ SELECT ad_type, account_name, ad_count, ad_groups_with_type, campaigns_with_type
   {tkpis(STD_NAMES)}
 FROM g""",
 })
+
+SQL["q_top_keywords"] = f"SELECT * FROM ({SQL['keyword_top_performers']}) WHERE conversions_rank <= 10"

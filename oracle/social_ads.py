@@ -357,3 +357,41 @@ adp AS ({AD_BODY}),{CREATIVE_EFFECTIVENESS}
 SELECT ad_name, creative_type_label, call_to_action_type, total_spend, total_clicks, total_actions, ctr_percent,
   cost_per_action, roas FROM ce WHERE total_impressions > 100""",
 })
+
+
+def _bd(src_sql: str, keys: str) -> str:
+    return f"""g AS (SELECT {keys}, CAST(SUM(spend) AS DECIMAL(28,2)) AS total_spend, CAST(SUM(impressions) AS BIGINT) AS total_impressions,
+    CAST(SUM(clicks) AS BIGINT) AS total_clicks, CAST(SUM(reach) AS BIGINT) AS total_reach,
+    CAST(SUM(total_actions) AS DECIMAL(28,6)) AS total_actions, CAST(SUM(total_action_value) AS DECIMAL(28,6)) AS total_action_value
+  FROM ({src_sql}) GROUP BY {keys}),
+b AS (SELECT *, {tk({'ctr': 'avg_ctr', 'cpa': 'avg_cost_per_action', 'roas': 'avg_roas'})},
+    {ratio('total_spend * 1000', 'total_impressions', 4, 18, ns=2)} AS avg_cpm FROM g)"""
+
+
+_DEMO = SQL["fb_insights_demographics"]
+_PLACE = SQL["fb_insights_placements"]
+_DEMO_SUMMARY = f"""WITH {_bd(_DEMO, 'age_range, gender')}
+SELECT *, CAST(DENSE_RANK() OVER (ORDER BY CASE WHEN total_actions > 0 THEN avg_cost_per_action END ASC NULLS FIRST) AS INTEGER) AS cost_efficiency_rank
+FROM b"""
+_PLACE_SUMMARY = f"""WITH {_bd(_PLACE, 'publisher_platform, platform_position')}
+SELECT publisher_platform, platform_position, total_spend, total_impressions, total_clicks, total_reach, total_actions,
+  total_action_value, avg_ctr, avg_cost_per_action, avg_roas, avg_cpm,
+  CASE WHEN total_actions = 0 THEN 'No conversions - review placement'
+       WHEN avg_cost_per_action <= {ratio('SUM(total_spend) OVER ()', 'SUM(total_actions) OVER ()', 4, 18, ns=2, ds=6)} THEN 'Scale placement'
+       ELSE 'Optimize or reduce spend' END AS placement_recommendation
+FROM b"""
+
+SQL.update({
+    "fb_demographic_summary": _DEMO_SUMMARY,
+    "fb_placement_summary": _PLACE_SUMMARY,
+    "fb_device_performance": f"WITH {_bd(_PLACE, 'impression_device, device_platform')} SELECT * FROM b",
+    "fb_age_gender_matrix": f"""SELECT age_range,
+  CAST(SUM(CASE WHEN gender = 'male' THEN spend END) AS DECIMAL(28,2)) AS male_spend,
+  CAST(SUM(CASE WHEN gender = 'female' THEN spend END) AS DECIMAL(28,2)) AS female_spend,
+  CAST(SUM(CASE WHEN gender = 'unknown' THEN spend END) AS DECIMAL(28,2)) AS unknown_spend
+FROM ({_DEMO}) GROUP BY age_range""",
+    "q_fb_demographic": f"""SELECT age_range, gender, total_spend, total_actions, avg_ctr, avg_cost_per_action, avg_roas,
+  cost_efficiency_rank FROM ({_DEMO_SUMMARY})""",
+    "q_fb_placement": f"""SELECT publisher_platform, platform_position, total_spend, total_impressions, total_actions, avg_ctr,
+  avg_cpm, avg_cost_per_action, placement_recommendation FROM ({_PLACE_SUMMARY})""",
+})
