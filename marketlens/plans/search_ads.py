@@ -310,11 +310,12 @@ def quality_score_category(qs):
     return rules([(q >= 7, "High (7-10)"), (q >= 4, "Medium (4-6)"), (q >= 1, "Low (1-3)")], "Not Available")
 
 
-def keyword_performance(t: Tables) -> DataFrame:
-    k = t["keyword_stats"]
+def _keyword_attrs(df: DataFrame, t: Tables) -> DataFrame:
+    """Attach latest keyword (KEYWORD criteria only), ad group, campaign and account attributes to
+    any frame carrying (criterion_id, ad_group_id, campaign_id, account_id)."""
     kh = latest_by_key(t["ad_group_criterion_history"], "criterion_id", where=F.col("type") == "KEYWORD")
     agh, ch, ah = _latest_names(t)
-    f = attach(k, kh, "criterion_id", {
+    f = attach(df, kh, "criterion_id", {
         "keyword_text": "keyword_text", "keyword_match_type": "keyword_match_type", "status": "keyword_status",
         "system_serving_status": "system_serving_status", "approval_status": "approval_status",
         "quality_score": "quality_score", "creative_quality_score": "creative_quality_score",
@@ -323,6 +324,11 @@ def keyword_performance(t: Tables) -> DataFrame:
     f = attach(f, agh, "ad_group_id", {"name": "ad_group_name"})
     f = attach(f, ch, "campaign_id", {"name": "campaign_name"})
     f = attach(f, ah, "account_id", {"descriptive_name": "account_name", "currency_code": "currency_code"})
+    return f.withColumn("quality_score_category", quality_score_category("quality_score"))
+
+
+def keyword_performance(t: Tables) -> DataFrame:
+    f = _keyword_attrs(t["keyword_stats"], t)
     conv = F.coalesce(F.col("conversions"), F.lit(0))
     z = F.lit(0).cast("decimal(10,6)")
     kpis = _std_kpis(conversions=conv, value=F.coalesce(F.col("conversions_value"), F.lit(0)), names={"cpm": None})
@@ -341,11 +347,38 @@ def keyword_performance(t: Tables) -> DataFrame:
                                               "search_rank_lost_impression_share",
                                               "search_budget_lost_impression_share"]],
         *[v.alias(n) for n, v in kpis.items()],
-        quality_score_category("quality_score").alias("quality_score_category"),
+        "quality_score_category",
         F.col("_fivetran_synced").alias("last_synced_at"),
     )
 
 
+_ID_SUMS = ["spend", "impressions", "clicks", "conversions", "conversions_value"]
+
+
+def _period_by_ids(stats: DataFrame, ids: list[str], as_of, extra: dict | None = None) -> DataFrame:
+    """Last-30-day totals per entity id, summing the base view's per-row values (spend rounded to
+    cents, NULL conversions as 0) so the result equals aggregating the base view.  Done before any
+    dimension is attached: dimensions then join one row per entity instead of one per day."""
+    base = stats.filter(in_last_days("date", as_of, 30)).select(
+        *ids, "date", F.col("spend").cast("decimal(18,2)").alias("spend"), "impressions", "clicks",
+        F.coalesce("conversions", F.lit(0)).cast("decimal(18,6)").alias("conversions"),
+        F.coalesce("conversions_value", F.lit(0)).cast("decimal(18,6)").alias("conversions_value"),
+        *[c.alias(n) for n, c in (extra or {}).items()])
+    return base.groupBy(*ids).agg(*[F.sum(m).alias(f"total_{m}") for m in _ID_SUMS],
+                                  *[F.sum(n).alias(f"_sum_{n}") for n in (extra or {})],
+                                  F.count(F.lit(1)).alias("_rows"), F.count_distinct("date").alias("_days"))
+
+
+def _regroup(df: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
+    """Re-aggregate per-entity totals by the (name-based) grouping of the source view; exact for
+    sums, averages are carried as (sum, rows)."""
+    types = {"spend": "decimal(28,2)", "impressions": "long", "clicks": "long", "conversions": "decimal(28,6)",
+             "conversions_value": "decimal(28,6)"}
+    return df.groupBy(*keys).agg(*[F.sum(f"total_{m}").cast(types[m]).alias(f"total_{m}") for m in _ID_SUMS],
+                                 *[F.sum(f"_sum_{n}").alias(f"_sum_{n}") for n in extra],
+                                 F.sum("_rows").alias("_rows"))
+
+
 _KW_ATTRS = ["keyword_id", "keyword_text", "keyword_match_type", "keyword_status", "quality_score",
              "quality_score_category", "ad_group_name", "campaign_name", "account_name", "currency_code"]
 
@@ -356,9 +389,12 @@ def keyword_top_performers(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     The ranks are whole-result ranks; they are computed with the parallel bucketed rank
     (``operators.ranks``) rather than a single-partition window."""
     from ..operators.ranks import global_dense_ranks
-    g = keyword_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*_KW_ATTRS).agg(
-        *_totals(), F.avg("search_impression_share").alias("avg_impression_share")
-    ).filter(F.col("total_impressions") > 0)
+    share = {"share": F.coalesce("search_impression_share", F.lit(0).cast("decimal(10,6)"))}
+    per_kw = _period_by_ids(t["keyword_stats"], ["criterion_id", "ad_group_id", "campaign_id", "account_id"], as_of,
+                            share)
+    g = _regroup(_keyword_attrs(per_kw, t).withColumnRenamed("criterion_id", "keyword_id"), _KW_ATTRS, ["share"])
+    g = g.withColumn("avg_impression_share", ratio("_sum_share", "_rows", None, (14, 10), default=None))
+    g = g.filter(F.col("total_impressions") > 0)
     roas_key = F.when(F.col("total_spend") > 0, F.col("total_conversions_value") / F.col("total_spend")) \
         .otherwise(F.lit(0))
     eff_key = F.when(F.col("total_conversions") > 0, F.col("total_spend") / F.col("total_conversions")) \
@@ -388,8 +424,10 @@ def keyword_quality_score_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Da
     attrs = ["keyword_id", "keyword_text", "keyword_match_type", "keyword_status", "quality_score",
              "quality_score_category", "creative_quality_score", "post_click_quality_score", "search_predicted_ctr",
              "ad_group_name", "campaign_name", "account_name"]
-    g = keyword_performance(t).filter(in_last_days("date", as_of, 30) & F.col("quality_score").isNotNull()) \
-        .groupBy(*attrs).agg(*_totals()[:4])
+    per_kw = _period_by_ids(t["keyword_stats"], ["criterion_id", "ad_group_id", "campaign_id", "account_id"], as_of)
+    kw = _keyword_attrs(per_kw, t).withColumnRenamed("criterion_id", "keyword_id") \
+        .filter(F.col("quality_score").isNotNull())
+    g = _regroup(kw, attrs).drop("total_conversions_value")
     qs = F.col("quality_score")
 
     def advice(col, below, average, good):
@@ -416,8 +454,9 @@ def keyword_quality_score_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Da
 
 
 def keyword_match_type_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
-    kw = keyword_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(
-        "keyword_id", "keyword_match_type", "quality_score", "campaign_name", "account_name").agg(*_totals())
+    per_kw = _period_by_ids(t["keyword_stats"], ["criterion_id", "ad_group_id", "campaign_id", "account_id"], as_of)
+    kw = _regroup(_keyword_attrs(per_kw, t).withColumnRenamed("criterion_id", "keyword_id"),
+                  ["keyword_id", "keyword_match_type", "quality_score", "campaign_name", "account_name"])
     g = kw.groupBy("keyword_match_type", "campaign_name", "account_name").agg(
         F.count_distinct("keyword_id").alias("keyword_count"),
         *[F.sum(f"total_{m}").alias(f"total_{m}") for m in
@@ -440,15 +479,21 @@ _AD_TEXT = ["responsive_search_ad_headlines", "responsive_search_ad_descriptions
             "expanded_text_ad_path1", "expanded_text_ad_path2", "display_url", "final_urls", "final_mobile_urls"]
 
 
-def ad_performance(t: Tables) -> DataFrame:
-    a = t["ad_stats"]
+def _ad_attrs(df: DataFrame, t: Tables) -> DataFrame:
+    """Attach latest ad, ad group, campaign and account attributes (and the strength label) to any
+    frame carrying (ad_id, ad_group_id, campaign_id, account_id)."""
     adh = latest_by_key(t["ad_history"], "ad_id")
     agh, ch, ah = _latest_names(t)
-    f = attach(a, adh, "ad_id", {"type": "ad_type", "status": "ad_status", "device_preference": "device_preference",
-                                 **{c: c for c in _AD_TEXT}, "ad_strength": "ad_strength"})
+    f = attach(df, adh, "ad_id", {"type": "ad_type", "status": "ad_status", "device_preference": "device_preference",
+                                  **{c: c for c in _AD_TEXT}, "ad_strength": "ad_strength"})
     f = attach(f, agh, "ad_group_id", {"name": "ad_group_name"})
     f = attach(f, ch, "campaign_id", {"name": "campaign_name", "advertising_channel_type": "advertising_channel_type"})
     f = attach(f, ah, "account_id", {"descriptive_name": "account_name", "currency_code": "currency_code"})
+    return f.withColumn("ad_strength_label", ad_strength_label())
+
+
+def ad_performance(t: Tables) -> DataFrame:
+    f = _ad_attrs(t["ad_stats"], t)
     conv = F.coalesce(F.col("conversions"), F.lit(0))
     kpis = _std_kpis(conversions=conv, value=F.coalesce(F.col("conversions_value"), F.lit(0)), names={"cpm": None})
     return f.select(
@@ -463,11 +508,18 @@ def ad_performance(t: Tables) -> DataFrame:
         F.coalesce("video_views", F.lit(0).cast("long")).alias("video_views"),
         F.coalesce("video_quartile_p100_rate", F.lit(0).cast("decimal(10,6)")).alias("video_completion_rate"),
         *[v.alias(n) for n, v in kpis.items()],
-        ad_strength_label().alias("ad_strength_label"),
+        "ad_strength_label",
         F.col("_fivetran_synced").alias("last_synced_at"),
     )
 
 
+_AD_IDS = ["ad_id", "ad_group_id", "campaign_id", "account_id"]
+
+
+def _ads_by_id(t: Tables, as_of) -> DataFrame:
+    return _ad_attrs(_period_by_ids(t["ad_stats"], _AD_IDS, as_of), t)
+
+
 def ad_copy_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     """Last-30-days per ad: copy previews, ranks inside the ad group, tier against the global
     average CTR (a one-row aggregate broadcast back, not an un-partitioned window)."""
@@ -477,8 +529,12 @@ def ad_copy_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
              "currency_code", "advertising_channel_type", "responsive_search_ad_headlines",
              "responsive_search_ad_descriptions", "expanded_text_ad_headline_part1",
              "expanded_text_ad_headline_part2", "expanded_text_ad_description", "final_urls"]
-    g = ad_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*attrs).agg(
-        *_totals(), F.count_distinct("date").alias("active_days")).filter(F.col("total_impressions") > 0)
+    # per-ad totals first; active days are exact because an ad id belongs to one ad group
+    g = _ads_by_id(t, as_of).groupBy(*attrs).agg(
+        *[F.sum(f"total_{m}").cast(tp).alias(f"total_{m}") for m, tp in
+          [("spend", "decimal(28,2)"), ("impressions", "long"), ("clicks", "long"), ("conversions", "decimal(28,6)"),
+           ("conversions_value", "decimal(28,6)")]],
+        F.sum("_days").alias("active_days")).filter(F.col("total_impressions") > 0)
     imp, clicks, conv = F.col("total_impressions"), F.col("total_clicks"), F.col("total_conversions")
     ctr_raw = F.when(imp > 0, clicks * F.lit(100).cast("decimal(3,0)") / imp).otherwise(F.lit(0))
     g = g.withColumn("_ctr_raw", ctr_raw)
@@ -519,7 +575,7 @@ def ad_copy_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
 
 
 def _ads_30d(t: Tables, as_of, keys: list[str]) -> DataFrame:
-    return ad_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*keys).agg(*_totals())
+    return _regroup(_ads_by_id(t, as_of), keys)
 
 
 def ad_strength_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
