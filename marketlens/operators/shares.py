@@ -2,8 +2,9 @@
 
 ``x * 100 / SUM(x) OVER (PARTITION BY parent)`` is computed as aggregate-then-join: the
 parent totals are a partial/final hash aggregate (map-side combine, skew-safe) joined back
-on the parent key.  With no parent the total is a one-row aggregate joined on a constant
-key and broadcast (size bound: exactly one row) - never a single-partition window.
+on the parent key.  With no parent the totals are one distributed aggregate returned as a
+scalar subquery (a single struct value substituted into the plan) - never a
+single-partition window and never a cross join.
 """
 from __future__ import annotations
 
@@ -17,8 +18,8 @@ def with_group_aggs(df: DataFrame, partition: Sequence[str], aggs: Mapping[str,
     """Attach ``aggs`` evaluated per ``partition`` (``agg(x) OVER (PARTITION BY partition)``)."""
     partition = list(partition)
     if not partition:
-        one = df.agg(*[c.alias(n) for n, c in aggs.items()]).withColumn("__one", F.lit(1))
-        return df.withColumn("__one", F.lit(1)).join(F.broadcast(one), "__one", "left").drop("__one")
+        totals = df.agg(F.struct(*[c.alias(n) for n, c in aggs.items()]).alias("_t")).scalar()
+        return df.withColumns({n: totals.getField(n) for n in aggs})
     tot = df.groupBy(*partition).agg(*[c.alias(n) for n, c in aggs.items()])
     cond = None
     t = tot.select(*[F.col(p).alias(f"__p_{p}") for p in partition], *aggs.keys())

@@ -1,8 +1,8 @@
 """CRM dashboard queries (executive summary, pipeline health, risk, forecast, funnel, trends,
 leaderboards, ABM insights, source attribution, cross-channel summary).
 
-One-row aggregates are combined by joining on a constant key (each side is exactly one row,
-broadcast) rather than a cross join.  Whole-result windows are used only where the input is
+One-row aggregates are combined as scalar subqueries (each a single struct value), not as
+cross joins.  Whole-result windows are used only where the input is
 bounded by construction (lifecycle stages, <= 31 days); owner / source rankings use the
 size-checked global rank operator.
 """
@@ -24,10 +24,13 @@ from .crm import since
 
 
 def _one_row_join(*frames: DataFrame) -> DataFrame:
-    out = frames[0].withColumn("__one", F.lit(1))
+    """Side-by-side combination of one-row aggregates: the first stays a frame, the others are
+    read as scalar subqueries (one struct each)."""
+    out = frames[0]
     for f in frames[1:]:
-        out = out.join(F.broadcast(f.withColumn("__one", F.lit(1))), "__one")
-    return out.drop("__one")
+        s = f.select(F.struct(*f.columns).alias("_s")).scalar()
+        out = out.select("*", *[s.getField(c).alias(c) for c in f.columns])
+    return out
 
 
 def _recent_daily(t: Tables, as_of) -> DataFrame:
