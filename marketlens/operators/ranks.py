@@ -6,7 +6,7 @@ Spark.  Here the rank is assembled from parallel pieces instead:
 1. collapse the input to its distinct order keys (``groupBy`` with map-side combine, so a key
    repeated by a third of all rows becomes one row);
 2. cut the key range into ``k`` buckets at approximate quantiles of the first order column
-   (a one-row aggregate of ``k - 1`` split points, broadcast back); rows with equal first
+   (a scalar subquery returning ``k - 1`` split points); rows with equal first
    value share a bucket, so ties never straddle buckets;
 3. rank inside each bucket with a window partitioned by bucket;
 4. prefix-sum the per-bucket sizes (at most ``k`` rows, broadcast) and add the offset;
@@ -49,22 +49,23 @@ def _bucket_count(df: DataFrame, buckets: int | None) -> int:
 def _with_bucket(keys: DataFrame, first: str, asc: bool, k: int) -> DataFrame:
     """Add ``_b``: the bucket of each key, from ``k - 1`` approximate quantiles of ``first``.
 
-    The split points are a one-row aggregate joined back on a constant key (broadcast: its
-    size is fixed by ``k``), so the whole rank stays one lazy plan - no driver round trip."""
+    The split points are one distributed aggregate read back as a scalar subquery (an array of
+    at most ``k - 1`` values), so the whole rank stays one lazy plan - no driver round trip and
+    no join to attach them."""
     if k <= 1:
         return keys.withColumn("_b", F.lit(0))
     probs = [i / k for i in range(1, k)]
-    splits = keys.agg(F.percentile_approx(F.col(first), probs, 10000).alias("_splits")) \
-        .withColumn("__one", F.lit(1))
+    # subqueries may not sit inside a lambda: project the split array first, then bucket
+    keys = keys.withColumn("_splits", keys.agg(F.percentile_approx(F.col(first), probs, 10000)).scalar())
+    splits = F.col("_splits")
     v = F.col(first)
     if asc:
-        b = F.size(F.filter("_splits", lambda s: s < v))
+        b = F.size(F.filter(splits, lambda s: s < v))
         b = F.when(v.isNull(), F.lit(-1)).otherwise(b)
     else:
-        b = F.size(F.filter("_splits", lambda s: s > v))
+        b = F.size(F.filter(splits, lambda s: s > v))
         b = F.when(v.isNull(), F.lit(k + 1)).otherwise(b)
-    return (keys.withColumn("__one", F.lit(1)).join(F.broadcast(splits), "__one")
-            .withColumn("_b", b).drop("__one", "_splits"))
+    return keys.withColumn("_b", b).drop("_splits")
 
 
 def _keyed_ranks(df: DataFrame, order: OrderSpec, method: str, buckets: int | None) -> DataFrame:

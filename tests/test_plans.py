@@ -41,3 +41,15 @@ def test_period_filter_and_columns_reach_the_scan(spark):
     assert "PartitionFilters: [isnotnull(date" in scan and "2024-03-31" in scan
     assert "video_views" not in scan  # unused stats columns are pruned
     assert df.count() > 0
+
+
+def test_bucketed_rank_plan_has_no_cartesian(spark):
+    from marketlens.operators.ranks import SINGLE_TASK_ROWS_CONF
+    spark.conf.set(SINGLE_TASK_ROWS_CONF, "0")
+    try:
+        plan = _plan(E.queries()["keyword_top_performers"](spark, SF))
+    finally:
+        spark.conf.unset(SINGLE_TASK_ROWS_CONF)
+    assert "Subquery" in plan
+    for bad in FORBIDDEN:
+        assert bad not in plan, bad
