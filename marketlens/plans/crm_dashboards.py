@@ -37,17 +37,57 @@ def _recent_daily(t: Tables, as_of) -> DataFrame:
     return engagements.engagement_daily_summary(t).filter(F.col("engagement_date") >= F.date_sub(as_date_lit(as_of), 30))
 
 
+def _live_pairs(t: Tables, bridge: str, key: str, entity: str, entity_key: str) -> DataFrame:
+    """(engagement, entity) bridge pairs whose engagement and entity are both live (semi joins).
+    The bridge key is unique, so the pair count equals SUM over live entities of their
+    engagement counts."""
+    e = crm.live(t, "engagement").select("engagement_id")
+    ent = crm.live(t, entity).select(F.col(entity_key).alias(key))
+    return t[bridge].select("engagement_id", key).join(e, "engagement_id", "left_semi").join(ent, key, "left_semi")
+
+
+def _deal_core(t: Tables) -> DataFrame:
+    """The deal columns the executive and cross-channel summaries read (status, amount, weighted
+    amount, closing days) - only the stage lookup is joined, not the name dimensions."""
+    d = crm._with_stage(crm.live(t, "deal"), t, {"probability": "_stage_prob"})
+    closed, won = F.col("is_closed"), F.col("is_closed_won")
+    status = rules([(won == True, "Won"), ((closed == True) & (won == False), "Lost")], "Open")  # noqa: E712
+    weighted = F.coalesce(F.col("hs_projected_amount"),
+                          F.col("amount") * F.coalesce(F.col("_stage_prob"), F.col("hs_deal_stage_probability"),
+                                                       F.lit(0)) / F.lit(100))
+    return d.select("deal_id", "create_date", status.alias("deal_status"),
+                    F.coalesce(closed, F.lit(False)).alias("is_closed"), F.coalesce(won, F.lit(False)).alias("is_closed_won"),
+                    F.coalesce("amount", F.lit(0)).alias("amount"), weighted.alias("weighted_amount"),
+                    F.when(closed == True, F.col("days_to_close")).alias("actual_days_to_close"))  # noqa: E712
+
+
+def _recent_engagements(t: Tables, as_of) -> DataFrame:
+    """Live engagements of the last 30 days (the rows behind the recent daily-summary rows)."""
+    d = F.to_date("timestamp")
+    return crm.live(t, "engagement").filter(F.col("timestamp").isNotNull() & (d >= F.date_sub(as_date_lit(as_of), 30))) \
+        .select("engagement_id", "type", d.alias("engagement_date"))
+
+
+def _scalar(df: DataFrame, agg) -> "F.Column":
+    return df.agg(agg).scalar()
+
+
 def q_crm_executive(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
-    cp = crm.contact_performance(t, as_of)
+    """Contact, deal and recent-engagement KPIs in one row.  Computed from the base tables: the
+    summed per-entity engagement counts are live bridge-pair counts and the per-day distinct
+    members are distinct (day, member) pairs, so no full mart with its name joins is built."""
+    c = crm.live(t, "contact")
     st = F.col("lifecycle_stage")
-    cm = cp.agg(F.count(F.lit(1)).alias("total_contacts"),
-                F.count(F.when(since("created_at", as_of, 30), 1)).alias("new_contacts_30d"),
-                F.count(F.when(st == "customer", 1)).alias("total_customers"),
-                F.count(F.when(st.isin("opportunity", "salesqualifiedlead"), 1)).alias("sales_qualified"),
-                F.count(F.when(st == "marketingqualifiedlead", 1)).alias("marketing_qualified"),
-                F.sum("total_revenue").alias("total_contact_revenue"),
-                F.avg("total_engagements").alias("avg_engagements_per_contact"))
-    dp = crm.deal_performance(t, as_of)
+    pairs = _scalar(_live_pairs(t, "engagement_contact", "contact_id", "contact", "contact_id"), F.count(F.lit(1)))
+    cm = c.agg(F.count(F.lit(1)).alias("total_contacts"),
+               F.count(F.when(since("created_at", as_of, 30), 1)).alias("new_contacts_30d"),
+               F.count(F.when(st == "customer", 1)).alias("total_customers"),
+               F.count(F.when(st.isin("opportunity", "salesqualifiedlead"), 1)).alias("sales_qualified"),
+               F.count(F.when(st == "marketingqualifiedlead", 1)).alias("marketing_qualified"),
+               F.sum(F.coalesce("total_revenue", F.lit(0))).alias("total_contact_revenue"))
+    cm = cm.withColumn("avg_engagements_per_contact",
+                       F.when(F.col("total_contacts") > 0, pairs.cast("double") / F.col("total_contacts").cast("double")))
+    dp = _deal_core(t)
     is_open, won = F.col("deal_status") == "Open", F.col("is_closed_won") == True  # noqa: E712
     closed = F.col("is_closed") == True  # noqa: E712
     dm = dp.agg(F.count(F.lit(1)).alias("total_deals"), F.count(F.when(is_open, 1)).alias("open_deals"),
@@ -57,12 +97,20 @@ def q_crm_executive(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
                 F.sum(F.when(is_open, F.col("amount")).otherwise(F.lit(0))).alias("pipeline_value"),
                 F.sum(F.when(is_open, F.col("weighted_amount")).otherwise(F.lit(0))).alias("weighted_pipeline"),
                 F.avg(F.when(won, F.col("actual_days_to_close"))).alias("avg_days_to_close"))
-    em = _recent_daily(t, as_of).agg(
-        F.sum("total_engagements").alias("total_engagements_30d"), F.sum("total_calls").alias("total_calls_30d"),
-        F.sum("total_meetings").alias("total_meetings_30d"), F.sum("total_emails").alias("total_emails_30d"),
-        F.sum("unique_contacts_engaged").alias("contacts_engaged_30d"),
-        F.sum("unique_companies_engaged").alias("companies_engaged_30d"),
-        F.sum("unique_deals_engaged").alias("deals_engaged_30d"))
+    re = _recent_engagements(t, as_of)
+    ty = F.col("type")
+    em = re.agg(F.sum(F.lit(1)).alias("total_engagements_30d"),
+                F.sum(F.when(ty == "CALL", 1).otherwise(0)).alias("total_calls_30d"),
+                F.sum(F.when(ty == "MEETING", 1).otherwise(0)).alias("total_meetings_30d"),
+                F.sum(F.when(ty == "EMAIL", 1).otherwise(0)).alias("total_emails_30d"))
+    names = {"contact": "contacts_engaged_30d", "company": "companies_engaged_30d", "deal": "deals_engaged_30d"}
+    day_members = {}
+    for w, name in names.items():
+        bridge, col = engagements.BRIDGES[w]
+        pairs_ = t[bridge].select("engagement_id", col).join(re, "engagement_id").select("engagement_date", col)
+        day_members[name] = _scalar(pairs_.distinct(), F.count(col))
+    em = em.select("*", *[F.when(F.col("total_engagements_30d").isNotNull(), v).cast("long").alias(n)
+                          for n, v in day_members.items()])
     j = _one_row_join(cm, dm, em)
     tc, od = F.col("total_contacts"), F.col("open_deals")
     return j.select(
@@ -70,7 +118,10 @@ def q_crm_executive(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         "total_contact_revenue", "avg_engagements_per_contact", "total_deals", "open_deals", "won_deals", "lost_deals",
         "closed_won_revenue", "pipeline_value", "weighted_pipeline", "avg_days_to_close",
         ratio("won_deals", "_closed", "100.0", (10, 2)).alias("win_rate"),
-        "total_engagements_30d", "total_calls_30d", "total_meetings_30d", "total_emails_30d", "contacts_engaged_30d",
+        F.col("total_engagements_30d").cast("long").alias("total_engagements_30d"),
+        F.col("total_calls_30d").cast("long").alias("total_calls_30d"),
+        F.col("total_meetings_30d").cast("long").alias("total_meetings_30d"),
+        F.col("total_emails_30d").cast("long").alias("total_emails_30d"), "contacts_engaged_30d",
         "companies_engaged_30d", "deals_engaged_30d",
         ratio("total_customers", tc, "100.0", (10, 2)).alias("customer_conversion_rate"),
         ratio("total_contact_revenue", tc, None, (18, 2)).alias("revenue_per_contact"),
@@ -242,28 +293,50 @@ def q_source_attribution(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
 
 
 def q_cross_channel(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
-    """Five one-row channel summaries, stacked (UNION ALL by name, types aligned)."""
+    """Five one-row channel summaries, stacked (UNION ALL by name, types aligned).
+
+    Each summary reads only what it needs from the base tables: entity counts, live bridge-pair
+    counts for the summed engagement totals, won deal amounts per live company for lifetime
+    value, first SENT time per campaign - no full mart with its name joins is built."""
     def shape(df: DataFrame, channel: str) -> DataFrame:
         return df.select(F.lit(channel).alias("channel"), F.col("total_records").cast("long"),
                          F.col("new_30d").cast("long"), F.col("total_activities").cast("long"),
                          F.col("total_revenue").cast("decimal(38,2)"))
 
-    cp = crm.contact_performance(t, as_of).agg(
-        F.count(F.lit(1)).alias("total_records"), F.count(F.when(since("created_at", as_of, 30), 1)).alias("new_30d"),
-        F.sum("total_engagements").alias("total_activities"), F.sum("total_revenue").alias("total_revenue"))
-    co = crm.company_performance(t, as_of).agg(
-        F.count(F.lit(1)).alias("total_records"), F.count(F.when(since("created_at", as_of, 30), 1)).alias("new_30d"),
-        F.sum("total_engagements").alias("total_activities"), F.sum("total_lifetime_value").alias("total_revenue"))
-    dp = crm.deal_performance(t, as_of).agg(
-        F.count(F.lit(1)).alias("total_records"), F.count(F.when(since("create_date", as_of, 30), 1)).alias("new_30d"),
-        F.sum("total_engagements").alias("total_activities"),
-        F.sum(F.when(F.col("is_closed_won") == True, F.col("amount")).otherwise(F.lit(0))).alias("total_revenue"))  # noqa: E712
-    ep = email.email_performance(t).agg(
-        F.count(F.lit(1)).alias("total_records"), F.count(F.when(since("first_sent_at", as_of, 30), 1)).alias("new_30d"),
-        F.sum("sent_count").alias("total_activities"), F.lit(0).alias("total_revenue"))
-    en = _recent_daily(t, as_of).agg(
-        F.sum("total_engagements").alias("total_records"), F.sum("total_engagements").alias("new_30d"),
-        F.sum("total_engagements").alias("total_activities"), F.lit(0).alias("total_revenue"))
+    def with_activities(summary: DataFrame, pairs: DataFrame) -> DataFrame:
+        n = _scalar(pairs, F.count(F.lit(1)))
+        return summary.withColumn("total_activities", F.when(F.col("total_records") > 0, n))
+
+    c = crm.live(t, "contact")
+    cp = with_activities(c.agg(F.count(F.lit(1)).alias("total_records"),
+                               F.count(F.when(since("created_at", as_of, 30), 1)).alias("new_30d"),
+                               F.sum(F.coalesce("total_revenue", F.lit(0))).alias("total_revenue")),
+                         _live_pairs(t, "engagement_contact", "contact_id", "contact", "contact_id"))
+    co_live = crm.live(t, "company")
+    won = crm.live(t, "deal").filter((F.col("is_closed_won") == True) & F.col("associated_company_id").isNotNull())  # noqa: E712
+    won = won.join(co_live.select(F.col("company_id").alias("associated_company_id")), "associated_company_id",
+                   "left_semi")
+    won_rev = _scalar(won, F.coalesce(F.sum(F.coalesce("amount", F.lit(0))), F.lit(0)))
+    co = with_activities(co_live.agg(F.count(F.lit(1)).alias("total_records"),
+                                     F.count(F.when(since("created_at", as_of, 30), 1)).alias("new_30d"),
+                                     F.sum(F.coalesce("total_revenue", F.lit(0))).alias("_rev")),
+                         _live_pairs(t, "engagement_company", "company_id", "company", "company_id")) \
+        .withColumn("total_revenue", F.when(F.col("total_records") > 0, F.col("_rev") + won_rev))
+    d = crm.live(t, "deal")
+    dp = with_activities(d.agg(F.count(F.lit(1)).alias("total_records"),
+                               F.count(F.when(since("create_date", as_of, 30), 1)).alias("new_30d"),
+                               F.sum(F.when(F.col("is_closed_won") == True, F.coalesce("amount", F.lit(0)))  # noqa: E712
+                                     .otherwise(F.lit(0))).alias("total_revenue")),
+                         _live_pairs(t, "engagement_deal", "deal_id", "deal", "deal_id"))
+    sent = t["email_event"].filter((F.col("type") == "SENT") & F.col("email_campaign_id").isNotNull()) \
+        .groupBy(F.col("email_campaign_id").alias("campaign_id")).agg(F.count(F.lit(1)).alias("_sent"),
+                                                                     F.min("created_at").alias("_first"))
+    ec = crm.live(t, "email_campaign").select("campaign_id").join(sent, "campaign_id", "left")
+    ep = ec.agg(F.count(F.lit(1)).alias("total_records"), F.count(F.when(since("_first", as_of, 30), 1)).alias("new_30d"),
+                F.sum(F.coalesce("_sent", F.lit(0))).alias("total_activities"), F.lit(0).alias("total_revenue"))
+    en = _recent_engagements(t, as_of).agg(*[F.sum(F.lit(1)).alias(n) for n in
+                                            ["total_records", "new_30d", "total_activities"]],
+                                          F.lit(0).alias("total_revenue"))
     parts = [shape(cp, "Contacts"), shape(co, "Companies"), shape(dp, "Deals"), shape(ep, "Email Campaigns"),
              shape(en, "Engagements")]
     out = parts[0]
