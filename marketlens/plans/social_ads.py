@@ -276,8 +276,9 @@ def creative_type_label(col: str = "creative_type"):
                   (o == "OFFER", "Offer")], F.coalesce(o, F.lit("Unknown")))
 
 
-def fb_ad_performance(t: Tables) -> DataFrame:
-    a = t["fb_basic_ad"]
+def _fb_ad_attrs(a: DataFrame, t: Tables) -> DataFrame:
+    """Latest ad -> creative (chained through the ad), ad set, campaign and account attributes for
+    any frame carrying (ad_id, adset_id, campaign_id, account_id)."""
     a = attach(a, _latest(t, "ad_history", "ad_id"), "ad_id",
                {"name": "ad_name", "status": "ad_status", "creative_id": "creative_id"})
     # chained dimension: the creative is reached through the ad's latest version
@@ -289,11 +290,16 @@ def fb_ad_performance(t: Tables) -> DataFrame:
                {"name": "campaign_name", "objective": "campaign_objective"})
     a = attach(a, _latest(t, "account_history", "account_id"), "account_id",
                {"name": "account_name", "currency": "currency_code"})
+    return a.withColumn("creative_type_label", creative_type_label())
+
+
+def fb_ad_performance(t: Tables) -> DataFrame:
+    a = _fb_ad_attrs(t["fb_basic_ad"], t)
     return a.select(
         "ad_id", "adset_id", "campaign_id", "account_id", "date", date_key("date").alias("date_id"), "ad_name",
         "ad_status", "creative_id", "creative_name", "creative_title", "creative_body", "call_to_action_type",
         "creative_type", "adset_name", "campaign_name", "campaign_objective", "account_name", "currency_code",
-        *_row_block(), creative_type_label().alias("creative_type_label"),
+        *_row_block(), "creative_type_label",
         F.col("_fivetran_synced").alias("last_synced_at"))
 
 
@@ -301,8 +307,20 @@ def fb_ad_creative_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Data
     attrs = ["ad_id", "ad_name", "ad_status", "creative_id", "creative_name", "creative_title", "creative_body",
              "call_to_action_type", "creative_type_label", "adset_name", "campaign_name", "campaign_objective",
              "account_name", "currency_code"]
-    g = fb_ad_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*attrs).agg(
-        *_totals(), F.count_distinct("date").alias("active_days")).filter(F.col("total_impressions") > 0)
+    # 30-day totals per ad id first (the view's per-row values: spend in cents, NULL actions as 0),
+    # then one attribute lookup per ad instead of one per ad and day
+    ids = ["ad_id", "adset_id", "campaign_id", "account_id"]
+    per_ad = t["fb_basic_ad"].filter(in_last_days("date", as_of, 30)).groupBy(*ids).agg(
+        F.sum(F.col("spend").cast("decimal(18,2)")).alias("_spend"), F.sum("impressions").alias("_imp"),
+        F.sum("clicks").alias("_clicks"), F.sum("reach").alias("_reach"),
+        F.sum(F.coalesce("actions", F.lit(0))).alias("_acts"), F.sum(F.coalesce("action_values", F.lit(0))).alias("_vals"),
+        F.count_distinct("date").alias("_days"))
+    typed = {"_spend": ("total_spend", "decimal(28,2)"), "_imp": ("total_impressions", "long"),
+             "_clicks": ("total_clicks", "long"), "_reach": ("total_reach", "long"),
+             "_acts": ("total_actions", "decimal(28,6)"), "_vals": ("total_action_value", "decimal(28,6)")}
+    g = _fb_ad_attrs(per_ad, t).groupBy(*attrs).agg(
+        *[F.sum(k).cast(tp).alias(n) for k, (n, tp) in typed.items()],
+        F.sum("_days").alias("active_days")).filter(F.col("total_impressions") > 0)
     imp, clk, acts = F.col("total_impressions"), F.col("total_clicks"), F.col("total_actions")
     sp, val, reach = F.col("total_spend"), F.col("total_action_value"), F.col("total_reach")
     ctr_raw = F.when(imp > 0, clk * F.lit(100).cast("decimal(3,0)") / imp).otherwise(F.lit(0))
