@@ -28,16 +28,24 @@ BRIDGES = {"contact": ("engagement_contact", "contact_id"), "company": ("engagem
            "deal": ("engagement_deal", "deal_id")}
 
 
-def association_counts(t: Tables, which: Sequence[str] = ("contact", "company", "deal")) -> DataFrame:
-    """engagement_id -> n_contact / n_company / n_deal (bridge rows per engagement)."""
-    out = None
-    for w in which:
-        bridge, _ = BRIDGES[w]
-        c = t[bridge].groupBy("engagement_id").agg(F.count(F.lit(1)).alias(f"n_{w}"))
-        out = c if out is None else out.join(c, "engagement_id", "full")
+def _tagged_bridges(t: Tables, which: Sequence[str]) -> DataFrame:
+    """All requested bridges stacked as (engagement_id, _member, _w)."""
+    parts = [t[BRIDGES[w][0]].select("engagement_id", F.col(BRIDGES[w][1]).cast("long").alias("_member"),
+                                     F.lit(w).alias("_w")) for w in which]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
+def association_counts(t: Tables, which: Sequence[str] = ("contact", "company", "deal")) -> DataFrame:
+    """engagement_id -> n_contact / n_company / n_deal: the bridges are stacked and counted in one
+    aggregation (one shuffle, map-side combined) instead of one aggregation per bridge plus
+    outer joins."""
+    u = _tagged_bridges(t, which)
+    return u.groupBy("engagement_id").agg(*[F.count(F.when(F.col("_w") == w, 1)).alias(f"n_{w}") for w in which])
+
+
 def with_fanout(e: DataFrame, t: Tables, which: Sequence[str]) -> DataFrame:
     """Attach bridge counts and ``_m`` = product of max(count, 1) (rows the SQL join produces)."""
     e = e.join(association_counts(t, which), "engagement_id", "left")
@@ -48,24 +56,23 @@ def with_fanout(e: DataFrame, t: Tables, which: Sequence[str]) -> DataFrame:
     return e.withColumn("_m", m)
 
 
-def _nullsafe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        term = left[k].eqNullSafe(r[f"__{k}"])
-        cond = term if cond is None else cond & term
-    return left.join(r, cond, "left").drop(*[f"__{k}" for k in keys])
+def merge_by_keys(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Combine per-group results that each hold at most one row per group: stack them and take
+    the single non-null value per column.  One aggregation replaces a chain of joins, and NULL
+    group keys need no null-safe join (GROUP BY treats NULL as a group)."""
+    u = frames[0]
+    for f in frames[1:]:
+        u = u.unionByName(f, allowMissingColumns=True)
+    cols = [c for c in u.columns if c not in keys]
+    return u.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
 
 
 def distinct_members(e: DataFrame, t: Tables, keys: Sequence[str], which: Sequence[str], names: dict) -> DataFrame:
-    """COUNT(DISTINCT bridge member) per group: dedupe (group, member) pairs, then count."""
-    out = None
-    for w in which:
-        bridge, col = BRIDGES[w]
-        pairs = t[bridge].select("engagement_id", col).join(e.select("engagement_id", *keys), "engagement_id")
-        cnt = pairs.select(*keys, col).distinct().groupBy(*keys).agg(F.count(col).alias(names[w]))
-        out = cnt if out is None else _nullsafe_join(out, cnt, keys)
-    return out
+    """COUNT(DISTINCT bridge member) per group for several bridges in one pass: stacked bridge
+    rows are joined to the group keys once, deduplicated to (group, bridge, member) and counted."""
+    pairs = _tagged_bridges(t, which).join(e.select("engagement_id", *keys), "engagement_id")
+    d = pairs.select(*keys, "_w", "_member").distinct()
+    return d.groupBy(*keys).agg(*[F.count(F.when(F.col("_w") == w, 1)).alias(names[w]) for w in which])
 
 
 def _details(e: DataFrame, t: Tables, which: Sequence[str]) -> DataFrame:
@@ -162,7 +169,7 @@ def _engagement_daily(t: Tables, weighted: bool) -> DataFrame:
     members = distinct_members(base, t, ["engagement_date"], ["contact", "company", "deal"],
                                {"contact": "unique_contacts_engaged", "company": "unique_companies_engaged",
                                 "deal": "unique_deals_engaged"})
-    g = _nullsafe_join(g, members, ["engagement_date"])
+    g = merge_by_keys([g, members], ["engagement_date"])
     d = F.col("engagement_date")
     return g.select(
         "engagement_date", date_key(d).alias("date_id"), F.date_format(d, "EEEE").alias("day_of_week"),
@@ -205,7 +212,7 @@ def _engagement_owner(t: Tables, as_of, weighted: bool) -> DataFrame:
     members = distinct_members(base, t, ["owner_id"], ["contact", "company", "deal"],
                                {"contact": "unique_contacts_engaged", "company": "unique_companies_engaged",
                                 "deal": "unique_deals_engaged"})
-    g = _nullsafe_join(g, members, ["owner_id"])
+    g = merge_by_keys([g, members], ["owner_id"])
     g = with_owner(g, t)
     span = days_between("first_engagement_date", "last_engagement_date")
     tot = F.col("total_engagements")
@@ -249,7 +256,7 @@ def engagement_type_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFram
         F.sum(m).alias("_rows"))
     members = distinct_members(base, t, ["type"], ["contact", "company", "deal"],
                                {"contact": "unique_contacts", "company": "unique_companies", "deal": "unique_deals"})
-    g = _nullsafe_join(g, members, ["type"])
+    g = merge_by_keys([g, members], ["type"])
     g = with_group_aggs(g, [], {"_all": F.sum("total_count")})
     n = F.col("total_count")
     return g.select(
@@ -283,7 +290,7 @@ def call_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         F.count(F.when(since("timestamp", as_of, 30), 1)).alias("calls_30d"))
     members = distinct_members(base, t, keys, ["contact", "company"],
                                {"contact": "unique_contacts_called", "company": "unique_companies_called"})
-    g = _nullsafe_join(g, members, keys)
+    g = merge_by_keys([g, members], keys)
     g = with_owner(g, t, cols=("owner_name",))
     return g.select(
         "owner_id", "owner_name", F.coalesce("_disp", F.lit("Unknown")).alias("call_disposition"),
@@ -319,7 +326,7 @@ def meeting_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
     members = distinct_members(base, t, keys, ["contact", "company", "deal"],
                                {"contact": "unique_contacts_met", "company": "unique_companies_met",
                                 "deal": "deals_with_meetings"})
-    g = _nullsafe_join(g, members, keys)
+    g = merge_by_keys([g, members], keys)
     g = with_owner(g, t, cols=("owner_name",))
     n = F.col("total_meetings")
     return g.select(
