@@ -249,9 +249,17 @@ def ad_group_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     keys = ["account_id", "account_name", "campaign_id", "campaign_name", "campaign_status",
             "advertising_channel_type", "ad_group_id", "ad_group_name", "ad_group_status", "ad_group_type",
             "currency_code"]
-    g = ad_group_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*keys).agg(
-        *_totals(), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
-        F.count_distinct("date").alias("active_days"))
+    # 30-day totals per (ad group, campaign, account) first, then one attribute lookup per ad group
+    per_group = _period_by_ids(t["ad_group_stats"], ["ad_group_id", "campaign_id", "account_id"], as_of,
+                               {"first": F.col("date"), "last": F.col("date")})
+    agh, ch, ah = _latest_names(t)
+    g = attach(per_group, agh, "ad_group_id", {"name": "ad_group_name", "status": "ad_group_status",
+                                               "type": "ad_group_type"})
+    g = attach(g, ch, "campaign_id", {"name": "campaign_name", "status": "campaign_status",
+                                      "advertising_channel_type": "advertising_channel_type"})
+    g = attach(g, ah, "account_id", {"descriptive_name": "account_name", "currency_code": "currency_code"})
+    g = g.withColumns({"first_date": F.col("_min_first"), "last_date": F.col("_max_last"),
+                       "active_days": F.col("_days")})
     camp = Window.partitionBy("campaign_id")
     cpa = F.col("total_spend") / F.col("total_conversions")
     has_conv = F.col("total_conversions") > 0
@@ -364,8 +372,10 @@ def _period_by_ids(stats: DataFrame, ids: list[str], as_of, extra: dict | None =
         F.coalesce("conversions", F.lit(0)).cast("decimal(18,6)").alias("conversions"),
         F.coalesce("conversions_value", F.lit(0)).cast("decimal(18,6)").alias("conversions_value"),
         *[c.alias(n) for n, c in (extra or {}).items()])
+    sums = {n: c for n, c in (extra or {}).items() if n not in ("first", "last")}
     return base.groupBy(*ids).agg(*[F.sum(m).alias(f"total_{m}") for m in _ID_SUMS],
-                                  *[F.sum(n).alias(f"_sum_{n}") for n in (extra or {})],
+                                  *[F.sum(n).alias(f"_sum_{n}") for n in sums],
+                                  F.min("date").alias("_min_first"), F.max("date").alias("_max_last"),
                                   F.count(F.lit(1)).alias("_rows"), F.count_distinct("date").alias("_days"))
 
 

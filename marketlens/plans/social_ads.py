@@ -209,9 +209,17 @@ def fb_adset_performance(t: Tables) -> DataFrame:
 def fb_adset_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     keys = ["account_id", "account_name", "campaign_id", "campaign_name", "campaign_status", "campaign_objective",
             "adset_id", "adset_name", "adset_status", "optimization_goal", "currency_code"]
-    g = fb_adset_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*keys).agg(
-        *_totals(), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
-        F.count_distinct("date").alias("active_days"))
+    # 30-day totals per (ad set, campaign, account) over the daily roll-up (spend rounded per ad
+    # set and day, as the view does), then one attribute lookup per ad set; the grouping contains
+    # the ids, so this equals grouping the daily view rows
+    daily = _rollup(t, ["adset_id", "campaign_id", "account_id"]).filter(in_last_days("date", as_of, 30))
+    per_set = daily.groupBy("adset_id", "campaign_id", "account_id").agg(
+        F.sum(F.col("spend").cast("decimal(18,2)")).alias("total_spend"), F.sum("impressions").alias("total_impressions"),
+        F.sum("clicks").alias("total_clicks"), F.sum("reach").alias("total_reach"),
+        F.sum(F.coalesce("actions", F.lit(0))).alias("total_actions"),
+        F.sum(F.coalesce("action_values", F.lit(0))).alias("total_action_value"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count(F.lit(1)).alias("active_days"))
+    g = _adset_attrs(per_set, t).select(*keys, *[c for c in per_set.columns if c not in keys])
     camp = Window.partitionBy("campaign_id")
     acts, reach, imp = F.col("total_actions"), F.col("total_reach"), F.col("total_impressions")
     cpa = F.col("total_spend") / acts
