@@ -16,6 +16,7 @@ from .plans import crm_dashboards as cd
 from .plans import measures as ms
 from .plans import report as rq
 from .plans import insights as ins
+from .plans import primitives as pr
 from .sources.catalog import Tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -137,4 +138,10 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "q_fb_demographic": fb.q_fb_demographic,
     "q_fb_placement": fb.q_fb_placement,
     "q_top_keywords": sa.q_top_keywords,
+    "p_latest_by_key_search": pr.p_latest_by_key_search,
+    "p_latest_by_key_social": pr.p_latest_by_key_social,
+    "p_datediff_boundaries": pr.p_datediff_boundaries,
+    "p_global_ranks": pr.p_global_ranks,
+    "p_shares": pr.p_shares,
+    "p_row_windows": pr.p_row_windows,
 }
