@@ -275,7 +275,7 @@ class DriverTables(Tables):
             F.col("conversions").alias("actions"), F.col("conversions_value").alias("action_values"),
             pick(F.col("ad_id"), ["18-24", "25-34", "35-44", "45-54", "55-64", "65+"]).alias("age"),
             pick(F.col("campaign_id"), ["male", "female", "unknown"]).alias("gender"),
-            pick(F.col("ad_group_id"), ["facebook", "instagram", "audience_network", "messenger"])
+            pick(F.col("ad_group_id"), ["feed_network", "photo_network", "partner_network", "messaging"])
             .alias("publisher_platform"),
             pick(F.col("ad_id") + F.col("ad_group_id"), ["feed", "story", "reels", "right_hand_column"])
             .alias("platform_position"),
@@ -431,7 +431,7 @@ class DriverTables(Tables):
             F.when(k % 12 != 0, F.col("c_acctbal").cast("decimal(18,2)")).alias("total_revenue"),
             pick(k, ["ORGANIC_SEARCH", "PAID_SEARCH", "EMAIL_MARKETING", "SOCIAL_MEDIA", "REFERRALS",
                      "DIRECT_TRAFFIC", None]).alias("hs_analytics_source"),
-            pick(k, ["google", "bing", None]).alias("hs_analytics_source_data_1"),
+            pick(k, ["search_engine_a", "search_engine_b", None]).alias("hs_analytics_source_data_1"),
             pick(k, [None, "campaign-a", "campaign-b", None, None]).alias("hs_analytics_source_data_2"),
             F.concat(F.lit("https://site.example/p"), (k % 9).cast("string")).alias("hs_analytics_first_url"),
             F.when(k % 14 != 0, k % 50).cast("int").alias("hs_analytics_num_page_views"),

@@ -128,7 +128,7 @@ ADAPTERS.update({
          (impressions // 40) * 15 AS reach, conversions AS actions, conversions_value AS action_values,
          {pick('ad_id', ['18-24', '25-34', '35-44', '45-54', '55-64', '65+'])} AS age,
          {pick('campaign_id', ['male', 'female', 'unknown'])} AS gender,
-         {pick('ad_group_id', ['facebook', 'instagram', 'audience_network', 'messenger'])} AS publisher_platform,
+         {pick('ad_group_id', ['feed_network', 'photo_network', 'partner_network', 'messaging'])} AS publisher_platform,
          {pick('ad_id + ad_group_id', ['feed', 'story', 'reels', 'right_hand_column'])} AS platform_position,
          {pick('ad_id + campaign_id', ['iphone', 'android_smartphone', 'desktop', 'ipad'])} AS impression_device,
          {pick('ad_id', ['mobile', 'desktop'])} AS device_platform, _fivetran_synced
@@ -265,7 +265,7 @@ ADAPTERS.update({
          CAST(CASE WHEN c_custkey % 10 <> 0 THEN c_custkey % 4 END AS INTEGER) AS num_associated_deals,
          CASE WHEN c_custkey % 12 <> 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) END AS total_revenue,
          {pick('c_custkey', ['ORGANIC_SEARCH', 'PAID_SEARCH', 'EMAIL_MARKETING', 'SOCIAL_MEDIA', 'REFERRALS', 'DIRECT_TRAFFIC', None])} AS hs_analytics_source,
-         {pick('c_custkey', ['google', 'bing', None])} AS hs_analytics_source_data_1,
+         {pick('c_custkey', ['search_engine_a', 'search_engine_b', None])} AS hs_analytics_source_data_1,
          {pick('c_custkey', [None, 'campaign-a', 'campaign-b', None, None])} AS hs_analytics_source_data_2,
          'https://site.example/p' || CAST(c_custkey % 9 AS VARCHAR) AS hs_analytics_first_url,
          CAST(CASE WHEN c_custkey % 14 <> 0 THEN c_custkey % 50 END AS INTEGER) AS hs_analytics_num_page_views,
