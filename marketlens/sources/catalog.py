@@ -62,3 +62,34 @@ def read_tables(spark: SparkSession, root: str, fmt: str = "parquet", options: M
             return conform(reader.load(path), SCHEMAS[name])
         return build
     return Tables(spark, {name: builder(name) for name in SCHEMAS})
+
+
+def recent(df: DataFrame, date_col: str, days: int, as_of) -> DataFrame:
+    """Date-bounded import (the model's "last N days" source filter): a plain predicate on the
+    date column, so it reaches the scan (partition pruning / Parquet row-group skipping / JDBC
+    WHERE clause)."""
+    from ..functions.dates import in_last_days
+    return df.filter(in_last_days(date_col, as_of, days))
+
+
+def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str],
+                     table_names: Mapping[str, str], partitioning: Mapping[str, tuple[str, int, int, int]] | None = None
+                     ) -> Tables:
+    """Source tables straight from the synced relational database.
+
+    ``table_names`` maps a logical name (``campaign_stats``) to the database table
+    (``google_ads.campaign_stats``-style qualified names are passed through as given);
+    ``partitioning`` gives ``(column, lower, upper, partitions)`` for the large tables, so that
+    the read is split into parallel range queries instead of one connection.  Filters and
+    projections of the plans are pushed into the generated SQL by the JDBC source.
+    """
+    def builder(name: str, table: str):
+        def build() -> DataFrame:
+            reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**properties)
+            if partitioning and name in partitioning:
+                col, lo, hi, n = partitioning[name]
+                reader = (reader.option("partitionColumn", col).option("lowerBound", str(lo))
+                          .option("upperBound", str(hi)).option("numPartitions", str(n)))
+            return conform(reader.load(), SCHEMAS[name])
+        return build
+    return Tables(spark, {name: builder(name, table) for name, table in table_names.items() if name in SCHEMAS})
