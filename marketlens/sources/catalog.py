@@ -78,7 +78,7 @@ def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str
     """Source tables straight from the synced relational database.
 
     ``table_names`` maps a logical name (``campaign_stats``) to the database table
-    (``google_ads.campaign_stats``-style qualified names are passed through as given);
+    (schema-qualified names are passed through as given);
     ``partitioning`` gives ``(column, lower, upper, partitions)`` for the large tables, so that
     the read is split into parallel range queries instead of one connection.  Filters and
     projections of the plans are pushed into the generated SQL by the JDBC source.
