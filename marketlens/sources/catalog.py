@@ -1,6 +1,6 @@
 """Table access.
 
-A ``Tables`` object maps logical source names (``google_ads.campaign_stats`` is
+A ``Tables`` object maps logical source names (table names without their schema, e.g.
 ``campaign_stats``; social tables carry an ``fb_`` prefix) to DataFrames.  Plans only ever
 ask a ``Tables`` for a name, so the same plan runs over real synced tables
 (``read_tables``), over the driver's role adapters (``DriverTables``) or over hand-built
