@@ -100,25 +100,6 @@ def _join_back(df: DataFrame, ranked: DataFrame, order: OrderSpec, out: Column,
     return df.join(r, cond, "left").drop(*[f"__r_{c}" for c in cols])
 
 
-def global_dense_rank(df: DataFrame, order: OrderSpec, name: str, buckets: int | None = None) -> DataFrame:
-    """Add ``name`` = ``DENSE_RANK() OVER (ORDER BY order)`` computed without a single-task window."""
-    ranked = _keyed_ranks(df, order, "dense", buckets)
-    return _join_back(df, ranked, order, F.col("_rank").cast("int"), name)
-
-
-def global_rank(df: DataFrame, order: OrderSpec, name: str, buckets: int | None = None) -> DataFrame:
-    """``RANK() OVER (ORDER BY order)`` (gaps after ties)."""
-    ranked = _keyed_ranks(df, order, "rank", buckets)
-    return _join_back(df, ranked, order, F.col("_rank").cast("int"), name)
-
-
-def global_percent_rank(df: DataFrame, order: OrderSpec, name: str, buckets: int | None = None) -> DataFrame:
-    """``PERCENT_RANK() OVER (ORDER BY order)`` = (rank - 1) / (rows - 1), 0 for a single row."""
-    ranked = _keyed_ranks(df, order, "rank", buckets)
-    pr = F.when(F.col("_total") > 1, (F.col("_rank") - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
-    return _join_back(df, ranked, order, pr.cast("double"), name)
-
-
 def global_ranks(df: DataFrame, ranks: dict[str, tuple[str, OrderSpec]], buckets: int | None = None,
                  materialize_input: bool = True) -> DataFrame:
     """Several whole-result ranks over the same input; ``ranks`` maps an output name to
@@ -153,3 +134,18 @@ def global_dense_ranks(df: DataFrame, ranks: dict[str, OrderSpec], buckets: int
                        materialize_input: bool = True) -> DataFrame:
     """``global_ranks`` with DENSE_RANK for every entry."""
     return global_ranks(df, {n: ("dense", o) for n, o in ranks.items()}, buckets, materialize_input)
+
+
+def global_dense_rank(df: DataFrame, order: OrderSpec, name: str, buckets: int | None = None) -> DataFrame:
+    """``DENSE_RANK() OVER (ORDER BY order)`` without a single-task window on large inputs."""
+    return global_ranks(df, {name: ("dense", order)}, buckets)
+
+
+def global_rank(df: DataFrame, order: OrderSpec, name: str, buckets: int | None = None) -> DataFrame:
+    """``RANK() OVER (ORDER BY order)`` (gaps after ties)."""
+    return global_ranks(df, {name: ("rank", order)}, buckets)
+
+
+def global_percent_rank(df: DataFrame, order: OrderSpec, name: str, buckets: int | None = None) -> DataFrame:
+    """``PERCENT_RANK() OVER (ORDER BY order)`` = (rank - 1) / (rows - 1), 0 for a single row."""
+    return global_ranks(df, {name: ("percent", order)}, buckets)

@@ -5,9 +5,9 @@ plans one Exchange + one Sort + one Window operator for all of them.
 """
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from ..functions.kpi import change_pct
@@ -49,6 +49,3 @@ def rank_within(partition, order, dense: bool = True) -> Column:
     fn = F.dense_rank() if dense else F.rank()
     return fn.over(_spec(partition, order))
 
-
-def with_columns(df: DataFrame, cols: Mapping[str, Column]) -> DataFrame:
-    return df.withColumns(dict(cols))

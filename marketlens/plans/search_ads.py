@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import date_key, dec, in_last_days, ratio, rules, share_pct
 from ..operators.dims import attach
 from ..operators.latest import latest_by_key
+from ..operators.periods import period_compare
 from ..operators.windows import lag_change_pct, lag_of, moving_avg, rank_within, running_total
 from ..sources.catalog import Tables
 from ..sources.roles import ADS_AS_OF
@@ -169,28 +170,12 @@ def account_performance(t: Tables) -> DataFrame:
     )
 
 
-def _period_compare(df: DataFrame, key: str, as_of, metrics: list[str], days: int = 30) -> DataFrame:
-    """Closed current period [as_of-days, as_of) vs previous [as_of-2*days, as_of-days), one pass;
-    keeps only entities active in the current period (INNER side of the SQL)."""
-    from ..functions.dates import in_window
-    cur = in_window("date", as_of, days, 0)
-    prev = in_window("date", as_of, 2 * days, days)
-    aggs = []
-    for m in metrics:
-        aggs += [F.sum(F.when(cur, F.col(m))).alias(f"cur_{m}"), F.sum(F.when(prev, F.col(m))).alias(f"prev_{m}")]
-    aggs += [F.min(F.when(cur, F.col("date"))).alias("period_start"),
-             F.max(F.when(cur, F.col("date"))).alias("period_end"),
-             F.count_distinct(F.when(cur, F.col("date"))).alias("days_in_period"),
-             F.count(F.when(cur, F.lit(1))).alias("_n_cur")]
-    return df.filter(cur | prev).groupBy(key).agg(*aggs).filter(F.col("_n_cur") > 0).drop("_n_cur")
-
-
 def account_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     """Current 30 days (excluding as_of) vs the 30 days before, per account."""
     from ..functions import change_pct
     ap = account_performance(t)
     m = ["spend", "impressions", "clicks", "conversions", "conversions_value"]
-    p = _period_compare(ap, "account_id", as_of, m)
+    p = period_compare(ap, "account_id", as_of, m)
     ah = latest_by_key(t["account_history"], "account_id")
     p = attach(p, ah, "account_id", {"descriptive_name": "account_name", "currency_code": "currency_code"})
     k = _std_kpis("cur_spend", "cur_impressions", "cur_clicks", "cur_conversions", "cur_conversions_value",
@@ -300,7 +285,7 @@ def ad_group_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Data
         .select("ad_group_id", "ad_group_name", "ad_group_status", "campaign_name", "account_name").distinct()
     base = stats.select("ad_group_id", "date", F.col("spend").cast("decimal(18,2)").alias("spend"), "impressions",
                         "clicks", F.coalesce("conversions", F.lit(0)).cast("decimal(18,6)").alias("conversions"))
-    p = _period_compare(base, "ad_group_id", as_of, ["spend", "impressions", "clicks", "conversions"])
+    p = period_compare(base, "ad_group_id", as_of, ["spend", "impressions", "clicks", "conversions"])
     prev_spend = F.coalesce(F.col("prev_spend"), F.lit(0))
     prev_conv = F.coalesce(F.col("prev_conversions"), F.lit(0))
     return attrs.join(p, "ad_group_id", "inner").select(

@@ -20,7 +20,7 @@ from ..operators.shares import with_group_aggs
 from ..operators.windows import lag_change_pct, lag_of, moving_avg, rank_within, running_total
 from ..sources.catalog import Tables
 from ..sources.roles import ADS_AS_OF
-from .search_ads import _period_compare
+from ..operators.periods import period_compare
 
 _METRICS = ["spend", "impressions", "clicks", "reach", "actions", "action_values"]
 
@@ -92,7 +92,7 @@ def fb_account_performance(t: Tables) -> DataFrame:
 def fb_account_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     base = fb_account_performance(t)
     m = ["spend", "impressions", "clicks", "reach", "total_actions", "total_action_value"]
-    p = _period_compare(base, "account_id", as_of, m)
+    p = period_compare(base, "account_id", as_of, m)
     p = attach(p, _latest(t, "account_history", "account_id"), "account_id",
                {"name": "account_name", "currency": "currency_code"})
     prev = {x: F.coalesce(F.col(f"prev_{x}"), F.lit(0)) for x in m}
@@ -253,7 +253,7 @@ def fb_adset_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Data
         "adset_id", "date", F.col("spend").cast("decimal(18,2)").alias("spend"), "impressions", "clicks", "reach",
         F.coalesce(F.col("actions"), F.lit(0)).alias("total_actions"))
     m = ["spend", "impressions", "clicks", "reach", "total_actions"]
-    p = _period_compare(base, "adset_id", as_of, m)
+    p = period_compare(base, "adset_id", as_of, m)
     prev = {x: F.coalesce(F.col(f"prev_{x}"), F.lit(0)) for x in m}
     cur = {x: F.col(f"cur_{x}") for x in m}
     return attrs.join(p, "adset_id", "inner").select(
