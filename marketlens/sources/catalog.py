@@ -38,10 +38,13 @@ class Tables:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: cast present columns, add absent optional ones as NULL."""
-    current = [(f.name, f.dataType) for f in df.schema.fields]
-    if current == [(f.name, f.dataType) for f in schema.fields]:
+    current = {f.name: f.dataType for f in df.schema.fields}
+    wanted = [(f.name, f.dataType) for f in schema.fields]
+    if list(current.items()) == wanted:
         return df
-    present = set(df.columns)
+    if all(current.get(n) == t for n, t in wanted):  # only order / extra helper columns differ
+        return df.select(*[n for n, _ in wanted])
+    present = set(current)
     cols = []
     for f in schema.fields:
         if f.name in present:
