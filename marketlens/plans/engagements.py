@@ -239,13 +239,16 @@ def engagement_owner_summary_dedup(t: Tables, as_of: _dt.date = CRM_AS_OF) -> Da
     return _engagement_owner(t, as_of, weighted=False)
 
 
-def engagement_type_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def _engagement_type(t: Tables, as_of, weighted: bool) -> DataFrame:
     base = live(t, "engagement")
     e = with_fanout(base, t, ["contact", "company", "deal"])
     m = F.col("_m")
-    # COUNT(bridge member) over the cartesian rows = n_member x product of the other max(n, 1)
-    rows_c = F.col("n_contact") * F.greatest("n_company", F.lit(1)) * F.greatest("n_deal", F.lit(1))
-    rows_co = F.col("n_company") * F.greatest("n_contact", F.lit(1)) * F.greatest("n_deal", F.lit(1))
+    if weighted:
+        # COUNT(bridge member) over the cartesian rows = n_member x product of the other max(n, 1)
+        rows_c = F.col("n_contact") * F.greatest("n_company", F.lit(1)) * F.greatest("n_deal", F.lit(1))
+        rows_co = F.col("n_company") * F.greatest("n_contact", F.lit(1)) * F.greatest("n_deal", F.lit(1))
+    else:
+        rows_c, rows_co = F.col("n_contact"), F.col("n_company")
     g = e.groupBy("type").agg(
         F.count(F.lit(1)).alias("total_count"), F.count_distinct("owner_id").alias("unique_owners"),
         F.count(F.when(since("timestamp", as_of, 7), 1)).alias("count_7d"),
@@ -268,13 +271,25 @@ def engagement_type_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFram
         share_pct("total_count", "_all").alias("pct_of_total"), "first_occurrence", "last_occurrence")
 
 
-def call_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def engagement_type_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    """Per type; associations per engagement follow the source's fan-out (rows of the joins)."""
+    return _engagement_type(t, as_of, weighted=True)
+
+
+def engagement_type_analysis_dedup(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    """Per type with the plain number of associated contacts / companies per engagement."""
+    return _engagement_type(t, as_of, weighted=False)
+
+
+def _call_analysis(t: Tables, as_of, weighted: bool) -> DataFrame:
     """Calls by owner x disposition x status (raw values grouped, NULL shown as 'Unknown')."""
     e = live(t, "engagement").filter(F.col("type") == "CALL")
     c = t["engagement_call"].select("engagement_id", F.col("disposition").alias("_disp"), F.col("status").alias("_st"),
                                     F.col("duration_milliseconds").alias("_dur"), F.col("recording_url").alias("_rec"))
     base = e.join(c, "engagement_id", "inner")
     e = with_fanout(base, t, ["contact", "company"])
+    if not weighted:
+        e = e.withColumn("_m", F.lit(1).cast("long"))
     m, dur = F.col("_m"), F.col("_dur")
     mins = _minutes(dur)
     keys = ["owner_id", "_disp", "_st"]
@@ -303,12 +318,24 @@ def call_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         *[F.coalesce(c_, F.lit(0).cast("long")).alias(c_) for c_ in ["unique_contacts_called", "unique_companies_called"]])
 
 
-def meeting_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def call_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    """Call minutes follow the source's contact x company fan-out."""
+    return _call_analysis(t, as_of, weighted=True)
+
+
+def call_analysis_dedup(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    """Call minutes with each call counted once."""
+    return _call_analysis(t, as_of, weighted=False)
+
+
+def _meeting_analysis(t: Tables, as_of, weighted: bool) -> DataFrame:
     e = live(t, "engagement").filter(F.col("type") == "MEETING")
     mt = t["engagement_meeting"].select("engagement_id", F.col("start_time").alias("_start"),
                                         F.col("end_time").alias("_end"), F.col("meeting_outcome").alias("_outcome"))
     base = e.join(mt, "engagement_id", "inner")
     e = with_fanout(base, t, ["contact", "company", "deal"])
+    if not weighted:
+        e = e.withColumn("_m", F.lit(1).cast("long"))
     m = F.col("_m")
     both = F.col("_start").isNotNull() & F.col("_end").isNotNull()
     mins = minutes_between_boundary("_start", "_end")
@@ -337,3 +364,13 @@ def meeting_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         ratio("no_show_meetings", n, "100.0", (10, 2)).alias("no_show_rate"), "meetings_7d", "meetings_30d",
         *[F.coalesce(c_, F.lit(0).cast("long")).alias(c_) for c_ in
           ["unique_contacts_met", "unique_companies_met", "deals_with_meetings"]])
+
+
+def meeting_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    """Meeting minutes follow the source's contact x company x deal fan-out."""
+    return _meeting_analysis(t, as_of, weighted=True)
+
+
+def meeting_analysis_dedup(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    """Meeting minutes with each meeting counted once."""
+    return _meeting_analysis(t, as_of, weighted=False)

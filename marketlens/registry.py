@@ -95,6 +95,9 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "meeting_analysis": eng.meeting_analysis,
     "engagement_daily_summary_dedup": eng.engagement_daily_summary_dedup,
     "engagement_owner_summary_dedup": eng.engagement_owner_summary_dedup,
+    "engagement_type_analysis_dedup": eng.engagement_type_analysis_dedup,
+    "call_analysis_dedup": eng.call_analysis_dedup,
+    "meeting_analysis_dedup": eng.meeting_analysis_dedup,
     "q_crm_executive": cd.q_crm_executive,
     "q_pipeline_health": cd.q_pipeline_health,
     "q_deals_at_risk": cd.q_deals_at_risk,
