@@ -89,11 +89,17 @@ def m_engagement_measures(t: Tables) -> DataFrame:
     return evaluate(engagement_daily_summary(t), {n: F.sum(c) for n, c in ENGAGEMENT_MEASURES.items()})
 
 
-def shift_compare(daily: DataFrame, date_col: str, metric: str, days: int, name: str) -> DataFrame:
-    """Attach ``name`` = ``metric`` of ``date - days`` (DAX ``CALCULATE(m, DATEADD(date, -days, DAY))``
-    evaluated per date).  ``daily`` must be one row per date."""
-    prev = daily.select(F.date_add(F.col(date_col), days).alias("_shifted"), F.col(metric).alias(name))
-    return daily.join(prev, daily[date_col] == prev["_shifted"], "left").drop("_shifted")
+def shift_compare(daily: DataFrame, date_col: str, metric: str, n: int, name: str, unit: str = "day") -> DataFrame:
+    """Attach ``name`` = ``metric`` on the date ``n`` units earlier (DAX
+    ``CALCULATE(m, DATEADD(date, -n, unit))`` evaluated per date: the time-intelligence
+    calculation group for WoW / MoM / YoY).  ``daily`` must be one row per date.  Each date gets
+    exactly one lookup date (month/year shifts clamp to the month end like ``add_months``), so the
+    equi-join on it never duplicates rows."""
+    d = F.col(date_col)
+    lookup = {"day": F.date_sub(d, n), "week": F.date_sub(d, 7 * n), "month": F.add_months(d, -n),
+              "year": F.add_months(d, -12 * n)}[unit]
+    prev = daily.select(F.col(date_col).alias("_src"), F.col(metric).alias(name))
+    return daily.withColumn("_lk", lookup).join(prev, F.col("_lk") == prev["_src"], "left").drop("_lk", "_src")
 
 
 def m_ads_daily_measures(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
@@ -114,3 +120,18 @@ def m_ads_daily_measures(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
         "date", "total_spend", (divide(F.col("_clicks"), F.col("_imp")) * 100).alias("ctr_pct"),
         divide(F.col("_value"), cur).alias("roas"), "previous_period_spend",
         (divide(F.coalesce(cur, F.lit(0)) - F.coalesce(prev, F.lit(0)), prev) * 100).alias("spend_change_pct"))
+
+
+def m_spend_time_intelligence(t: Tables) -> DataFrame:
+    """Total spend per date with week-, month- and year-ago values and change % (calculation
+    group applied to one measure), over the long-range search-ads history."""
+    from .search_ads import account_performance
+    from .time_periods import _LongRange
+    lt = _LongRange(t)
+    daily = account_performance(lt).groupBy("date").agg(F.sum("spend").alias("total_spend"))
+    for unit, col in [("week", "spend_wow"), ("month", "spend_mom"), ("year", "spend_yoy")]:
+        daily = shift_compare(daily, "date", "total_spend", 1, col, unit)
+    cur = F.col("total_spend")
+    return daily.select("date", "total_spend", "spend_wow", "spend_mom", "spend_yoy",
+                        *[(divide(cur - F.col(c), F.col(c)) * 100).alias(f"{c}_change_pct")
+                          for c in ["spend_wow", "spend_mom", "spend_yoy"]])

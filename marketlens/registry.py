@@ -114,6 +114,7 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "m_email_measures": ms.m_email_measures,
     "m_engagement_measures": ms.m_engagement_measures,
     "m_ads_daily_measures": ms.m_ads_daily_measures,
+    "m_spend_time_intelligence": ms.m_spend_time_intelligence,
     "rq_stage_counts": rq.rq_stage_counts,
     "rq_engagement_line": rq.rq_engagement_line,
     "rq_contacts_by_lifecycle": rq.rq_contacts_by_lifecycle,

@@ -85,3 +85,15 @@ SELECT day_of_week, CAST(SUM(total_engagements) AS BIGINT) AS total_engagements
 SELECT owner_name, CAST(SUM(total_engagements) AS BIGINT) AS total_engagements, CAST(SUM(total_calls) AS BIGINT) AS total_calls,
   CAST(SUM(total_meetings) AS BIGINT) AS total_meetings FROM eo GROUP BY owner_name""",
 }
+
+SQL["m_spend_time_intelligence"] = with_tables("account_stats_long", "account_history").rstrip() + f""",
+ap AS ({search_ads.ACCOUNT_PERFORMANCE_BODY.replace('FROM account_stats a', 'FROM account_stats_long a')}),
+d AS (SELECT date, CAST(SUM(spend) AS DECIMAL(28,2)) AS total_spend FROM ap GROUP BY date)
+SELECT d.date, d.total_spend, w.total_spend AS spend_wow, m.total_spend AS spend_mom, y.total_spend AS spend_yoy,
+  {div('d.total_spend - w.total_spend', 'w.total_spend')} * 100 AS spend_wow_change_pct,
+  {div('d.total_spend - m.total_spend', 'm.total_spend')} * 100 AS spend_mom_change_pct,
+  {div('d.total_spend - y.total_spend', 'y.total_spend')} * 100 AS spend_yoy_change_pct
+FROM d
+LEFT JOIN d w ON w.date = d.date - 7
+LEFT JOIN d m ON m.date = CAST(d.date - INTERVAL 1 MONTH AS DATE)
+LEFT JOIN d y ON y.date = CAST(d.date - INTERVAL 12 MONTH AS DATE)"""
