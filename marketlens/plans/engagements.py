@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import concat_safe, date_key, dec, ratio, rules, share_pct
+from ..functions import date_key, dec, ratio, share_pct
 from ..functions.dates import days_between, minutes_between_boundary, sunday_week_of_year
 from ..operators.shares import with_group_aggs
 from ..sources.catalog import Tables

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dec, ratio, rules
+from ..functions import dec, ratio
 from ..sources.catalog import Tables
 from ..sources.roles import ADS_AS_OF, CRM_AS_OF
 from . import crm, email, search_ads, social_ads

@@ -1,7 +1,7 @@
 """Oracle SQL: documented recommendations (benchmarks, alerts, velocity, RLS, cross-platform, hourly)."""
 from __future__ import annotations
 
-from . import crm, email, search_ads, social_ads
+from . import search_ads, social_ads
 from .adapters import with_tables
 from .crm_dashboards import views
 from .kit import ratio

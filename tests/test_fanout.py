@@ -2,8 +2,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from marketlens.plans.engagements import with_fanout
 from marketlens.sources.catalog import Tables
 

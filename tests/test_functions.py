@@ -1,5 +1,4 @@
 """Edge cases of the Column helpers (FIXTURES section 3)."""
-import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import functions as F

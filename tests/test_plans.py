@@ -3,7 +3,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from marketlens.plans.search_ads import campaign_performance_summary

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketlens.plans.search_ads import campaign_performance
 from marketlens.sources.roles import DriverTables
-from marketlens.streaming import OverlayTables, refresh_daily_mart
+from marketlens.streaming import refresh_daily_mart
 
 SF = "/root/testdata/sf0.001"
 
