@@ -26,6 +26,8 @@ def date_dimension(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
 
 
 def _on_calendar(fact: DataFrame, cal: DataFrame, cols: list[str]) -> DataFrame:
+    # size bound: one row per day between the first and last stats date (3,650 rows for ten
+    # years) - it grows with the calendar, never with the number of facts
     return fact.join(F.broadcast(cal.select("date", *cols)), "date", "inner")
 
 
