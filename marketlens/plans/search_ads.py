@@ -548,7 +548,13 @@ def ad_copy_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
         (label.isin("Poor", "Average") & rsa, "Improve ad strength"),
         ((label == "Excellent") & (conv < 2), "Strong ad, low conversions - check targeting"),
     ], "No action needed")
-    ctr_key = F.when(imp > 0, clicks / imp).otherwise(F.lit(0))
+    from ..operators.ranks import dense_ranks_within
+    g = g.withColumn("_ctr_key", F.when(imp > 0, clicks / imp).otherwise(F.lit(0)))
+    # ranks inside an ad-group *name* (NULL names form one group): size-checked partitioned ranks
+    g = dense_ranks_within(g, ["ad_group_name"], {
+        "clicks_rank_in_ad_group": [("total_clicks", False)],
+        "conversions_rank_in_ad_group": [("total_conversions", False)],
+        "ctr_rank_in_ad_group": [("_ctr_key", False)]})
     return g.select(
         "ad_id", "ad_type", "ad_status", "ad_strength_label", "ad_group_name", "campaign_name", "account_name",
         "currency_code", "advertising_channel_type",
@@ -562,9 +568,7 @@ def ad_copy_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
         "active_days",
         *_total_kpis(names={"ctr": "ctr_percent", "cpc": "avg_cpc", "cvr": "conversion_rate_percent",
                             "cpa": "cost_per_conversion", "roas": "roas"}),
-        rank_within(["ad_group_name"], [clicks.desc()]).alias("clicks_rank_in_ad_group"),
-        rank_within(["ad_group_name"], [conv.desc()]).alias("conversions_rank_in_ad_group"),
-        rank_within(["ad_group_name"], [ctr_key.desc()]).alias("ctr_rank_in_ad_group"),
+        "clicks_rank_in_ad_group", "conversions_rank_in_ad_group", "ctr_rank_in_ad_group",
         tier.alias("performance_tier"), suggestion.alias("optimization_suggestion"),
     )
 

@@ -344,7 +344,11 @@ def fb_ad_creative_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Data
          "Low CTR - test new creative"),
         ((clk > 0) & (acts == 0), "Good clicks but no conversions - check landing page"),
         ((acts > 0) & (sp > 0) & (val / sp < 1), "ROAS below 1 - optimize or pause")], "Performance acceptable")
-    ctr_key = F.when(imp > 0, clk / imp).otherwise(F.lit(0))
+    from ..operators.ranks import dense_ranks_within
+    g = g.withColumn("_ctr_key", F.when(imp > 0, clk / imp).otherwise(F.lit(0)))
+    g = dense_ranks_within(g, ["adset_name"], {"clicks_rank_in_adset": [("total_clicks", False)],
+                                               "actions_rank_in_adset": [("total_actions", False)],
+                                               "ctr_rank_in_adset": [("_ctr_key", False)]})
     return g.select(
         "ad_id", "ad_name", "ad_status", "creative_id", "creative_name", "creative_type_label", "call_to_action_type",
         "adset_name", "campaign_name", "campaign_objective", "account_name", "currency_code",
@@ -354,9 +358,7 @@ def fb_ad_creative_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Data
         "active_days",
         *_total_kpis({"frequency": "avg_frequency", "ctr": "ctr_percent", "cpc": "avg_cpc", "cpa": "cost_per_action",
                       "roas": "roas"}),
-        rank_within(["adset_name"], [clk.desc()]).alias("clicks_rank_in_adset"),
-        rank_within(["adset_name"], [acts.desc()]).alias("actions_rank_in_adset"),
-        rank_within(["adset_name"], [ctr_key.desc()]).alias("ctr_rank_in_adset"),
+        "clicks_rank_in_adset", "actions_rank_in_adset", "ctr_rank_in_adset",
         tier.alias("performance_tier"), suggestion.alias("optimization_suggestion"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlens.operators.dims import attach
 from marketlens.operators.latest import latest_by_key, not_deleted
-from marketlens.operators.ranks import global_ranks, SINGLE_TASK_ROWS_CONF
+from marketlens.operators.ranks import SINGLE_TASK_ROWS_CONF, dense_ranks_within, global_ranks
 from marketlens.operators.shares import with_group_aggs
 
 
@@ -62,3 +62,20 @@ def test_share_of_total_via_one_row_aggregate(spark):
     df = spark.createDataFrame([("a", 1), ("b", 3)], "k string, x long")
     out = {r.k: r.t for r in with_group_aggs(df, [], {"t": F.sum("x")}).collect()}
     assert out == {"a": 4, "b": 4}
+
+
+def test_bucketed_partitioned_ranks_equal_windows(spark):
+    rnd = random.Random(11)
+    # one hot partition ("hot"), a NULL partition, and many small ones
+    rows = [(i, rnd.choice(["hot"] * 6 + [None, "a", "b", "c"]), rnd.choice([None] + list(range(25))),
+             rnd.randint(0, 3)) for i in range(2500)]
+    df = spark.createDataFrame(rows, "id long, p string, v long, w long")
+    spark.conf.set(SINGLE_TASK_ROWS_CONF, "0")
+    try:
+        got = dense_ranks_within(df, ["p"], {"r1": [("v", False)], "r2": [("w", True), ("v", False)]}, buckets=5).collect()
+    finally:
+        spark.conf.unset(SINGLE_TASK_ROWS_CONF)
+    for name, order in {"r1": [("v", False)], "r2": [("w", True), ("v", False)]}.items():
+        cols = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order]
+        want = {r.id: r.r for r in df.select("id", F.dense_rank().over(Window.partitionBy("p").orderBy(*cols)).alias("r")).collect()}
+        assert {r.id: r[name] for r in got} == want, name

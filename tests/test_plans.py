@@ -47,8 +47,10 @@ def test_bucketed_rank_plan_has_no_cartesian(spark):
     spark.conf.set(SINGLE_TASK_ROWS_CONF, "0")
     try:
         plan = _plan(E.queries()["keyword_top_performers"](spark, SF))
+        plan2 = _plan(E.queries()["ad_copy_effectiveness"](spark, SF))
     finally:
         spark.conf.unset(SINGLE_TASK_ROWS_CONF)
     assert "Subquery" in plan
     for bad in FORBIDDEN:
         assert bad not in plan, bad
+        assert bad not in plan2, bad
