@@ -84,10 +84,18 @@ def campaign_trend_analysis(t: Tables) -> DataFrame:
         "campaign_id", "date", "campaign_name", "campaign_status", "advertising_channel_type", "spend",
         "impressions", "clicks", "conversions", "conversions_value", "ctr_percent", "avg_cpc",
         "conversion_rate_percent", "roas")
+    from ..operators.ranks import dense_ranks_within
+    # daily ranks partition by date: size-checked partitioned ranks (a date holding a third of all
+    # campaign-days is split into buckets); the checkpointed campaign-day table also feeds the
+    # per-campaign windows below
+    cp = dense_ranks_within(cp, ["date"], {"daily_spend_rank": [("spend", False)],
+                                           "daily_conversions_rank": [("conversions", False)]})
     p, o = ["campaign_id"], ["date"]
     mtd_p = ["campaign_id", F.year("date"), F.month("date")]
     return cp.select(
-        "*",
+        "campaign_id", "date", "campaign_name", "campaign_status", "advertising_channel_type", "spend",
+        "impressions", "clicks", "conversions", "conversions_value", "ctr_percent", "avg_cpc",
+        "conversion_rate_percent", "roas",
         moving_avg(p, o, "spend", 7).alias("spend_7day_ma"),
         moving_avg(p, o, "impressions", 7).alias("impressions_7day_ma"),
         moving_avg(p, o, "clicks", 7).alias("clicks_7day_ma"),
@@ -103,8 +111,7 @@ def campaign_trend_analysis(t: Tables) -> DataFrame:
         lag_change_pct(p, o, "clicks", 7).alias("clicks_wow_change_percent"),
         running_total(mtd_p, o, "spend").alias("mtd_spend"),
         running_total(mtd_p, o, "conversions").alias("mtd_conversions"),
-        rank_within(["date"], [F.col("spend").desc()]).alias("daily_spend_rank"),
-        rank_within(["date"], [F.col("conversions").desc()]).alias("daily_conversions_rank"),
+        "daily_spend_rank", "daily_conversions_rank",
     )
 
 

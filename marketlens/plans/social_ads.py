@@ -134,10 +134,15 @@ def fb_campaign_trend_analysis(t: Tables) -> DataFrame:
     cp = fb_campaign_performance(t).select(
         "campaign_id", "date", "campaign_name", "campaign_status", "campaign_objective", "spend", "impressions",
         "clicks", "reach", "total_actions", "total_action_value", "ctr_percent", "avg_cpc", "frequency", "roas")
+    from ..operators.ranks import dense_ranks_within
+    cp = dense_ranks_within(cp, ["date"], {"daily_spend_rank": [("spend", False)],
+                                           "daily_actions_rank": [("total_actions", False)],
+                                           "daily_reach_rank": [("reach", False)]})
     p, o = ["campaign_id"], ["date"]
     mtd = ["campaign_id", F.year("date"), F.month("date")]
     return cp.select(
-        "*",
+        "campaign_id", "date", "campaign_name", "campaign_status", "campaign_objective", "spend", "impressions",
+        "clicks", "reach", "total_actions", "total_action_value", "ctr_percent", "avg_cpc", "frequency", "roas",
         moving_avg(p, o, "spend", 7).alias("spend_7day_ma"), moving_avg(p, o, "impressions", 7).alias("impressions_7day_ma"),
         moving_avg(p, o, "reach", 7).alias("reach_7day_ma"), moving_avg(p, o, "total_actions", 7).alias("actions_7day_ma"),
         moving_avg(p, o, "ctr_percent", 7).alias("ctr_7day_ma"), moving_avg(p, o, "frequency", 7).alias("frequency_7day_ma"),
@@ -149,9 +154,7 @@ def fb_campaign_trend_analysis(t: Tables) -> DataFrame:
         lag_change_pct(p, o, "spend", 7).alias("spend_wow_change_percent"),
         lag_change_pct(p, o, "reach", 7).alias("reach_wow_change_percent"),
         running_total(mtd, o, "spend").alias("mtd_spend"), running_total(mtd, o, "total_actions").alias("mtd_actions"),
-        rank_within(["date"], [F.col("spend").desc()]).alias("daily_spend_rank"),
-        rank_within(["date"], [F.col("total_actions").desc()]).alias("daily_actions_rank"),
-        rank_within(["date"], [F.col("reach").desc()]).alias("daily_reach_rank"))
+        "daily_spend_rank", "daily_actions_rank", "daily_reach_rank")
 
 
 def fb_campaign_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
