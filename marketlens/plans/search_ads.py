@@ -15,7 +15,7 @@ from ..functions import date_key, dec, in_last_days, ratio, rules, share_pct
 from ..operators.dims import attach
 from ..operators.latest import latest_by_key
 from ..operators.periods import period_compare
-from ..operators.windows import lag_change_pct, lag_of, moving_avg, rank_within, running_total
+from ..operators.windows import lag_change_pct, lag_of, moving_avg, running_total
 from ..sources.catalog import Tables
 from ..sources.roles import ADS_AS_OF
 
@@ -237,7 +237,6 @@ def ad_group_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     """Last-30-days per ad group: hierarchy path, share of and rank within its campaign, and
     cost-per-conversion against the campaign average."""
     from ..functions import concat_safe
-    from pyspark.sql import Window
     keys = ["account_id", "account_name", "campaign_id", "campaign_name", "campaign_status",
             "advertising_channel_type", "ad_group_id", "ad_group_name", "ad_group_status", "ad_group_type",
             "currency_code"]
@@ -252,13 +251,17 @@ def ad_group_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     g = attach(g, ah, "account_id", {"descriptive_name": "account_name", "currency_code": "currency_code"})
     g = g.withColumns({"first_date": F.col("_min_first"), "last_date": F.col("_max_last"),
                        "active_days": F.col("_days")})
-    camp = Window.partitionBy("campaign_id")
+    from ..operators.ranks import dense_ranks_within
+    from ..operators.shares import with_group_aggs
     cpa = F.col("total_spend") / F.col("total_conversions")
     has_conv = F.col("total_conversions") > 0
-    camp_avg_cpa = F.avg(F.when(has_conv, cpa)).over(camp)
-
-    def share(c):
-        return share_pct(c, F.sum(c).over(camp))
+    # campaign totals / average: partial+final group aggregates joined back (a campaign holding a
+    # third of all ad groups is combined map-side); in-campaign ranks: size-checked partitioned ranks
+    g = with_group_aggs(g, ["campaign_id"], {"_camp_spend": F.sum("total_spend"), "_camp_clicks": F.sum("total_clicks"),
+                                            "_camp_conv": F.sum("total_conversions"),
+                                            "_camp_avg_cpa": F.avg(F.when(has_conv, cpa))})
+    g = dense_ranks_within(g, ["campaign_id"], {"spend_rank_in_campaign": [("total_spend", False)],
+                                                "conversions_rank_in_campaign": [("total_conversions", False)]})
 
     return g.select(
         concat_safe("account_name", F.lit(" > "), "campaign_name", F.lit(" > "), "ad_group_name")
@@ -266,12 +269,11 @@ def ad_group_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
         *keys, "total_spend", "total_impressions", "total_clicks", "total_conversions", "total_conversions_value",
         *_total_kpis(names={"ctr": "ctr_percent", "cpc": "avg_cpc", "cvr": "conversion_rate_percent",
                             "cpa": "cost_per_conversion", "roas": "roas"}),
-        share("total_spend").alias("pct_of_campaign_spend"),
-        share("total_clicks").alias("pct_of_campaign_clicks"),
-        share("total_conversions").alias("pct_of_campaign_conversions"),
-        rank_within(["campaign_id"], [F.col("total_spend").desc()]).alias("spend_rank_in_campaign"),
-        rank_within(["campaign_id"], [F.col("total_conversions").desc()]).alias("conversions_rank_in_campaign"),
-        rules([(has_conv & (cpa < camp_avg_cpa), "Above Average"), (has_conv, "Below Average")],
+        share_pct("total_spend", "_camp_spend").alias("pct_of_campaign_spend"),
+        share_pct("total_clicks", "_camp_clicks").alias("pct_of_campaign_clicks"),
+        share_pct("total_conversions", "_camp_conv").alias("pct_of_campaign_conversions"),
+        "spend_rank_in_campaign", "conversions_rank_in_campaign",
+        rules([(has_conv & (cpa < F.col("_camp_avg_cpa")), "Above Average"), (has_conv, "Below Average")],
               "No Conversions").alias("performance_indicator"),
         "first_date", "last_date", "active_days",
     )

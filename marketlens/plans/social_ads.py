@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import change_pct, concat_safe, date_key, in_last_days, left, ratio, rules, share_pct
@@ -17,7 +17,7 @@ from ..operators.dims import attach
 from ..operators.latest import latest_by_key, not_deleted
 from ..operators.ranks import global_dense_ranks
 from ..operators.shares import with_group_aggs
-from ..operators.windows import lag_change_pct, lag_of, moving_avg, rank_within, running_total
+from ..operators.windows import lag_change_pct, lag_of, moving_avg, running_total
 from ..sources.catalog import Tables
 from ..sources.roles import ADS_AS_OF
 from ..operators.periods import period_compare
@@ -223,22 +223,27 @@ def fb_adset_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
         F.sum(F.coalesce("action_values", F.lit(0))).alias("total_action_value"),
         F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count(F.lit(1)).alias("active_days"))
     g = _adset_attrs(per_set, t).select(*keys, *[c for c in per_set.columns if c not in keys])
-    camp = Window.partitionBy("campaign_id")
+    from ..operators.ranks import dense_ranks_within
     acts, reach, imp = F.col("total_actions"), F.col("total_reach"), F.col("total_impressions")
     cpa = F.col("total_spend") / acts
     freq = imp / reach
+    # campaign totals / average as group aggregates joined back; in-campaign ranks size-checked
+    g = with_group_aggs(g, ["campaign_id"], {**{f"_camp_{m}": F.sum(f"total_{m}") for m in
+                                               ["spend", "clicks", "reach", "actions"]},
+                                            "_camp_avg_cpa": F.avg(F.when(acts > 0, cpa))})
+    g = dense_ranks_within(g, ["campaign_id"], {"spend_rank_in_campaign": [("total_spend", False)],
+                                                "actions_rank_in_campaign": [("total_actions", False)],
+                                                "reach_rank_in_campaign": [("total_reach", False)]})
     return g.select(
         concat_safe("account_name", F.lit(" > "), "campaign_name", F.lit(" > "), "adset_name")
         .alias("full_hierarchy_path"),
         *keys, "total_spend", "total_impressions", "total_clicks", "total_reach", "total_actions", "total_action_value",
         *_total_kpis({"frequency": "avg_frequency", "ctr": "ctr_percent", "cpc": "avg_cpc", "cpa": "cost_per_action",
                       "roas": "roas"}),
-        *[share_pct(f"total_{m}", F.sum(f"total_{m}").over(camp)).alias(f"pct_of_campaign_{m}")
+        *[share_pct(f"total_{m}", f"_camp_{m}").alias(f"pct_of_campaign_{m}")
           for m in ["spend", "clicks", "reach", "actions"]],
-        rank_within(["campaign_id"], [F.col("total_spend").desc()]).alias("spend_rank_in_campaign"),
-        rank_within(["campaign_id"], [acts.desc()]).alias("actions_rank_in_campaign"),
-        rank_within(["campaign_id"], [reach.desc()]).alias("reach_rank_in_campaign"),
-        rules([((acts > 0) & (cpa < F.avg(F.when(acts > 0, cpa)).over(camp)), "Above Average (Efficient Targeting)"),
+        "spend_rank_in_campaign", "actions_rank_in_campaign", "reach_rank_in_campaign",
+        rules([((acts > 0) & (cpa < F.col("_camp_avg_cpa")), "Above Average (Efficient Targeting)"),
                (acts > 0, "Below Average")], "No Actions").alias("targeting_effectiveness"),
         rules([((reach > 0) & (freq > 10), "High Frequency - Consider expanding audience"),
                ((reach > 0) & (freq > 5), "Moderate Frequency - Monitor for fatigue"),
