@@ -3,7 +3,7 @@
 These are deterministic projections written with integer/decimal arithmetic only (prices
 have two decimals and are cast to decimal before any arithmetic), so a SQL engine running
 the same definitions gets bit-identical inputs.  The matching DuckDB text lives in
-``oracle/adapters.py``; the two must change together.
+``sqloracle/adapters.py``; the two must change together.
 
 Search ads (``ads_base`` = lineitem x supplier x nation):
   account_id = n_regionkey, campaign_id = s_nationkey, ad_group_id = l_suppkey,
