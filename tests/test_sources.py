@@ -61,3 +61,12 @@ def test_two_step_distinct_counts_equal_direct(spark):
     direct = {r.recipient: r.n for r in ev.filter(F.col("recipient").isNotNull()).groupBy("recipient").agg(
         F.count_distinct(F.when(F.col("type") == "OPEN", F.col("email_campaign_id"))).alias("n")).collect()}
     assert rec == direct
+
+
+def test_jdbc_tables_are_lazy(spark):
+    """Building the table map opens no connection; unknown logical names are ignored."""
+    from marketlens.sources.catalog import read_jdbc_tables
+    t = read_jdbc_tables(spark, "jdbc:unreachable://nowhere", {"user": "x"},
+                         {"campaign_stats": "ads.campaign_stats", "not_a_table": "x.y"},
+                         partitioning={"campaign_stats": ("campaign_id", 0, 1000, 8)})
+    assert t.has("campaign_stats") and not t.has("not_a_table")
