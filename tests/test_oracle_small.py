@@ -7,7 +7,7 @@ import pytest
 import sys
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import __spark_entry__ as E  # noqa: E402
-from oracle_check import TABLES, key_of, norm  # noqa: E402
+from oracle_check import _SPARK2DUCK, TABLES, key_of, norm  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 KEYS = sorted(k for k in E.queries() if k in E.oracle_sql())
@@ -32,6 +32,14 @@ def test_query_matches_oracle(spark, con, key):
     drows = res.fetchall()
     assert sorted(names) == sorted(dnames)
     assert len(srows) == len(drows)
+    dtypes = {d[0]: str(d[1]) for d in con.execute(f"SELECT * FROM ({E.oracle_sql()[key]}) LIMIT 0").description}
+    for f in df.schema.fields:
+        st = f.dataType.simpleString()
+        want, got = _SPARK2DUCK.get(st, st.upper()), dtypes[f.name]
+        if want.startswith("DECIMAL") and got.startswith("DECIMAL"):
+            assert want.split(",")[1] == got.split(",")[1], f"{f.name}: {st} vs {got}"  # same scale
+        else:
+            assert want == got, f"{f.name}: {st} vs {got}"
     order = sorted(range(len(names)), key=lambda i: names[i])
     dorder = [dnames.index(names[i]) for i in order]
     a = sorted((tuple(norm(r[i]) for i in order) for r in srows), key=key_of)
