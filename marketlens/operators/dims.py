@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,11 +22,8 @@ def attach(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Mapping[st
         on = {k: k for k in on}
     if not isinstance(cols, Mapping):
         cols = {c: c for c in cols}
-    key_alias = {dk: f"__k_{i}" for i, dk in enumerate(on.values())}
-    right = dim.select(*[F.col(dk).alias(key_alias[dk]) for dk in on.values()],
+    # the dimension's key columns take the fact's key names, so the join is an equi-join USING
+    # those names (one operation, no duplicate key columns to drop)
+    right = dim.select(*[F.col(dk).alias(fk) for fk, dk in on.items()],
                        *[F.col(c).alias(o) for c, o in cols.items()])
-    cond: Column | None = None
-    for fk, dk in on.items():
-        term = fact[fk] == right[key_alias[dk]]
-        cond = term if cond is None else cond & term
-    return fact.join(right, cond, how).drop(*key_alias.values())
+    return fact.join(right, list(on.keys()), how)
