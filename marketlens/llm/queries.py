@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import line_dedup, packing, quality, simhash, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,30 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+@_query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+ORACLE["op2_line_dedup"] = line_dedup.SQL
+
+
+@_query
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(spark, documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@_query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(spark, documents(spark, sf_dir))
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark, documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 @_query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
