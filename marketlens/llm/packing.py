@@ -18,6 +18,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,14 @@ from . import common
 CAPACITY = 2048
 END_ID = 0
 #: Entries of one worker's cache of encoded words; it is emptied when full (memory bound only).
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 #: Pieces of one length are numbered in this many independent parts, so that a length shared by
 #: a third of all pieces is not numbered by one task.
 NUMBERING_PARTS = 64
 
 # Unicode white space: where the byte-level pre-tokenizer may split.
 _SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_SPACES = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 _UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
@@ -54,21 +56,48 @@ class WordCachingEncoder:
         self._tok = Tokenizer.from_file(tokenizer_file)
         self._tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self._cache: dict[str, bytes] = {}
+        vocab = self._tok.get_vocab()
+        self._bytes = np.zeros(max(vocab.values()) + 1, dtype="i8")
+        for token, no in vocab.items():
+            self._bytes[no] = len(token)  # a byte-level token has one character per byte
+
+    def _learn(self, units: list[str]) -> None:
+        """Cache the ids of new units. Those that start with a space are encoded as one text, for the
+        pre-tokenizer splits before each of them and byte-level tokens show where a unit ends."""
+        spaced = [u for u in units if u[0] == " " and u[-1] not in _SPACES]
+        for i in range(0, len(spaced), 5000):
+            part = spaced[i:i + 5000]
+            ids = np.array(self._tok.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum([len(u.encode()) for u in part])
+            cuts = (4 * np.searchsorted(np.cumsum(self._bytes[ids]), ends, side="right")).tolist()
+            raw = ids.tobytes()
+            for unit, start, end in zip(part, [0, *cuts], cuts):
+                self._cache[unit] = raw[start:end]
+        rest = [u for u in units if u[0] != " " or u[-1] in _SPACES]
+        for unit, enc in zip(rest, self._tok.encode_batch_fast(rest, add_special_tokens=False)):
+            self._cache[unit] = np.array(enc.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self._cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
+        if len(self._cache) > CACHE_WORDS:
+            self._cache.clear()
         out: list[bytes] = []
+        get = self._cache.get
         for i in range(0, len(texts), 200):
             split = [_UNIT.findall(t) for t in texts[i:i + 200]]
-            new = list(set().union(*split) - cache.keys())
-            for unit, enc in zip(new, self._tok.encode_batch_fast(new, add_special_tokens=False)):
-                cache[unit] = np.asarray(enc.ids, dtype="<u4").tobytes()
-            out += [b"".join(map(cache.__getitem__, units)) for units in split]
+            got = [list(map(get, units)) for units in split]
+            new = {u for units, ids in zip(split, got) if None in ids for u, x in zip(units, ids) if x is None}
+            if new:
+                self._learn(list(new))
+            out += [b"".join(map(get, units) if None in ids else ids) for units, ids in zip(split, got)]
         return out
 
 
+@lru_cache(maxsize=2)
+def encoder(tokenizer_file: str) -> WordCachingEncoder:
+    """The worker process's own encoder: its cache outlives a task, for Spark reuses workers."""
+    return WordCachingEncoder(tokenizer_file)
+
+
 def cut(total: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``total`` tokens; only the first may be shorter."""
     first = total % capacity or min(total, capacity)
@@ -88,7 +117,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY,
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = WordCachingEncoder(tokenizer_file)
+        enc = encoder(tokenizer_file)
         for batch in batches:
             take, cols = [], [[], [], [], []]
             ids: list = []
@@ -147,7 +176,7 @@ def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list
             raise ValueError("a piece is longer than a sequence")
         first, left = 0, histogram[length]
 
-        def place(seq: int, bins: int, room: int, per: int) -> None:
+        def fill(seq: int, bins: int, room: int, per: int) -> None:
             nonlocal first, left
             runs.append((length, first, seq, per, capacity - room))
             first += bins * per
@@ -162,7 +191,7 @@ def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list
             if room is None:
                 per = min(capacity // length, left)
                 bins = left // per
-                place(used, bins, capacity, per)
+                fill(used, bins, capacity, per)
                 used += bins
                 continue
             seq, bins = open_at[room].pop()
@@ -172,18 +201,18 @@ def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list
                 open_at[room].append((seq + take, bins - take))
             if not open_at[room]:
                 tree.put(room, False)
-            place(seq, take, room, per)
+            fill(seq, take, room, per)
     return runs, used
 
 
-def pack(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length",
+def place(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length",
          order_by: tuple[str, ...] = ()) -> DataFrame:
     """``pieces`` with sequence_id and offset. ``pieces`` must be a stored table (it is read twice);
     ``order_by`` (default: all columns) numbers equal lengths, ties are alike in every column."""
     order = list(order_by) or pieces.columns
     counts = {int(r[0]): int(r[1]) for r in pieces.groupBy(length_col).count().collect()}  # at most ``capacity`` rows
     runs, _ = plan_runs(counts, capacity)
-    part, before, rank, place = (common.fresh(pieces, c) for c in ("part", "before", "rank", "place"))
+    part, before, rank, spot = (common.fresh(pieces, c) for c in ("part", "before", "rank", "place"))
     parted = pieces.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(NUMBERING_PARTS)))
     from pyspark.sql import Window as W
     offsets = parted.groupBy(length_col, part).agg(F.count("*").alias(before)).withColumn(
@@ -208,8 +237,8 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY, lengt
         return pd.DataFrame({"sequence_id": seq, "offset": off})
 
     return (numbered.join(offsets, [length_col, part])
-            .withColumn(place, placed(F.col(length_col), F.col(rank) + F.coalesce(F.col(before), F.lit(0))))
-            .select(*[F.col(c) for c in pieces.columns], F.col(place)["sequence_id"].alias("sequence_id"), F.col(place)["offset"].alias("offset")))
+            .withColumn(spot, placed(F.col(length_col), F.col(rank) + F.coalesce(F.col(before), F.lit(0))))
+            .select(*[F.col(c) for c in pieces.columns], F.col(spot)["sequence_id"].alias("sequence_id"), F.col(spot)["offset"].alias("offset")))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY,
@@ -217,7 +246,7 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_file: str, ca
     """Placement of every piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     common.small_batches(spark)
     pieces = common.materialize(spark, token_pieces(docs, tokenizer_file, capacity, end_id))
-    return pack(spark, pieces, capacity, order_by=("doc_id", "piece", "ids_crc32"))
+    return place(spark, pieces, capacity, order_by=("doc_id", "piece", "ids_crc32"))
 
 
 def sequences(docs: DataFrame, placement: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
