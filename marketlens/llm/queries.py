@@ -4,13 +4,15 @@ Each query applies its operator, with production parameters, to the whole table
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality, simhash, toxicity
-from .common import documents
+from . import byte_bpe, html_extract, line_dedup, lm_scoring, packing, quality, simhash, token_counts, topk_search, toxicity
+from .common import documents, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +23,11 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+@_query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(spark, documents(spark, sf_dir))
+
+
 @_query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
@@ -29,6 +36,52 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op2_line_dedup"] = line_dedup.SQL
 
 
+@_query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark, documents(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@_query
+def op4_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "embeddings")
+    return topk_search.search(spark, rows, rows.where(F.col("vec_id") % topk_search.QUERY_EVERY == 0))
+
+
+ORACLE["op4_exact_topk_search"] = topk_search.SQL
+
+
+@_query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four batches: load of all documents, takedown of those labelled toxic, revision of those labelled
+    poor (symbol runs become a space), and a replay of the load, which must count once."""
+    docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
+    store = token_counts.Rollup(spark, f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/rollup-{uuid.uuid4().hex}")
+    load = docs.select(F.lit("insert").alias("op"), "source", "lang", "text")
+    marked = docs.join(labels, "doc_id")
+    taken = marked.where("toxic = 1").select(F.lit("delete").alias("op"), "source", "lang", "text")
+    revised = marked.where("quality = 0 and toxic is distinct from 1").select(
+        F.lit("revise").alias("op"), "source", "lang", F.regexp_replace("text", "[#*$%&|<>]+", " ").alias("text"),
+        F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), F.col("text").alias("old_text"))
+    for batch, changes in (("load", load), ("takedown", taken), ("revision", revised), ("load", load)):
+        store.commit(batch, changes)
+    return store.totals()
+
+
+ORACLE["op5_token_counts"] = r"""
+WITH left_over AS (
+  SELECT d.source, d.lang, CASE WHEN l.quality = 0 THEN regexp_replace(d.text, '[#*$%&|<>]+', ' ', 'g') ELSE d.text END AS text
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic IS DISTINCT FROM 1
+), counted AS (
+  SELECT source, lang, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+    len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\p{L}\p{N}\x20\x09-\x0D]+')) AS classes
+  FROM left_over
+)
+SELECT source, lang, 'words-1' AS tokenizer_version, count(*) AS n_docs, CAST(sum(words) AS BIGINT) AS n_tokens FROM counted GROUP BY source, lang
+UNION ALL
+SELECT source, lang, 'classes-1', count(*), CAST(sum(classes) AS BIGINT) FROM counted GROUP BY source, lang
+"""
+
+
 @_query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, documents(spark, sf_dir))
@@ -40,6 +93,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spark, documents(spark, sf_dir))
 
 
+@_query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return byte_bpe.encode_documents(spark, documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
 @_query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(spark, documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
