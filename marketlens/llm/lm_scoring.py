@@ -41,7 +41,8 @@ BIAS = ROWS - 1
 HEAD = 1 << 18
 #: Words a worker remembers beyond these (memory bound only).
 REMEMBER = 400_000
-BATCH, RATE, EPOCHS = 4096, 0.25, 1
+#: DAMPING keeps the first steps of rarely seen rows small.
+BATCH, RATE, DAMPING, EPOCHS = 4096, 0.25, 3.0, 1
 FAN_IN, BLOCK_ROWS = 16, 1024
 END = b"\n"  # no word holds white space
 HELD_OUT = (7, 2)
@@ -118,7 +119,7 @@ def train_rows(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, rows:
 
     def step(at, g, n):
         squares[at] += g * g
-        weights[at] -= RATE * g / np.sqrt(squares[at] + 1e-6)
+        weights[at] -= RATE * g / np.sqrt(squares[at] + DAMPING)
         used[at] += n
 
     step(BIAS, grad.sum(axis=0), len(target))
