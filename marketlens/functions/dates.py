@@ -17,6 +17,9 @@ def _c(x) -> Column:
 
 
 def as_date_lit(d) -> Column:
+    """A date as a column; None is the current date."""
+    if d is None:
+        return F.current_date()
     if isinstance(d, Column):
         return d
     if isinstance(d, str):

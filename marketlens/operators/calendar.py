@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date_lit, date_key, sunday_week_of_year
@@ -24,41 +24,56 @@ def _flag(cond) -> "F.Column":
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def date_dimension(spine: DataFrame, as_of: _dt.date) -> DataFrame:
-    """Calendar attributes for every spine date; relative flags are evaluated at ``as_of``.
+CALENDAR = """
+date_id date day_name day_of_week day_of_month day_of_year is_weekday week_of_year
+iso_week_of_year week_start_date week_end_date month_number month_name month_name_short month_start_date month_end_date
+quarter_number quarter_name quarter_start_date quarter_end_date year year_start_date year_end_date fiscal_year
+fiscal_quarter year_month year_quarter year_month_sort is_today is_yesterday is_last_7_days is_last_30_days
+is_current_month is_previous_month is_current_year is_previous_year days_ago
+""".split()
+
+
+def calendar_columns(d: Column, as_of: _dt.date | None) -> dict[str, Column]:
+    """Calendar attributes as functions of a date column; relative flags are evaluated at ``as_of`` (None: today).
 
     Weeks start on Sunday (``day_of_week`` 1 = Sunday); ``week_of_year`` counts Sunday-start
     weeks with week 1 holding January 1; ``iso_week_of_year`` is the ISO week; the fiscal
     calendar equals the calendar one; ``year_quarter`` reads ``yyyy-Q<n>``."""
-    d = F.col("date")
     a = as_date_lit(as_of)
     dow = F.dayofweek(d)
     q = F.quarter(d)
     y = F.year(d)
     prev_month = F.add_months(a, -1)
-    return spine.select(
-        date_key(d).alias("date_id"), d.alias("date"),
-        F.date_format(d, "EEEE").alias("day_name"), dow.alias("day_of_week"), F.dayofmonth(d).alias("day_of_month"),
-        F.dayofyear(d).alias("day_of_year"), _flag(~dow.isin(1, 7)).alias("is_weekday"),
-        sunday_week_of_year(d).alias("week_of_year"), F.weekofyear(d).alias("iso_week_of_year"),
-        F.date_sub(d, dow - 1).alias("week_start_date"), F.date_add(d, 7 - dow).alias("week_end_date"),
-        F.month(d).alias("month_number"), F.date_format(d, "MMMM").alias("month_name"),
-        F.substring(F.date_format(d, "MMMM"), 1, 3).alias("month_name_short"),
-        F.trunc(d, "month").alias("month_start_date"), F.last_day(d).alias("month_end_date"),
-        q.alias("quarter_number"), F.concat(F.lit("Q"), q.cast("string")).alias("quarter_name"),
-        F.make_date(y, (q - 1) * 3 + 1, F.lit(1)).alias("quarter_start_date"),
-        F.last_day(F.make_date(y, q * 3, F.lit(1))).alias("quarter_end_date"),
-        y.alias("year"), F.make_date(y, F.lit(1), F.lit(1)).alias("year_start_date"),
-        F.make_date(y, F.lit(12), F.lit(31)).alias("year_end_date"),
-        y.alias("fiscal_year"), q.alias("fiscal_quarter"),
-        F.date_format(d, "yyyy-MM").alias("year_month"),
-        F.concat(y.cast("string"), F.lit("-Q"), q.cast("string")).alias("year_quarter"),
-        F.date_format(d, "yyyy-MM").alias("year_month_sort"),
-        _flag(d == a).alias("is_today"), _flag(d == F.date_sub(a, 1)).alias("is_yesterday"),
-        _flag((d >= F.date_sub(a, 7)) & (d < a)).alias("is_last_7_days"),
-        _flag((d >= F.date_sub(a, 30)) & (d < a)).alias("is_last_30_days"),
-        _flag((y == F.year(a)) & (F.month(d) == F.month(a))).alias("is_current_month"),
-        _flag((y == F.year(prev_month)) & (F.month(d) == F.month(prev_month))).alias("is_previous_month"),
-        _flag(y == F.year(a)).alias("is_current_year"), _flag(y == F.year(a) - 1).alias("is_previous_year"),
-        F.datediff(a, d).alias("days_ago"),
-    )
+    cols = [
+        date_key(d), d,
+        F.date_format(d, "EEEE"), dow, F.dayofmonth(d),
+        F.dayofyear(d), _flag(~dow.isin(1, 7)),
+        sunday_week_of_year(d), F.weekofyear(d),
+        F.date_sub(d, dow - 1), F.date_add(d, 7 - dow),
+        F.month(d), F.date_format(d, "MMMM"),
+        F.substring(F.date_format(d, "MMMM"), 1, 3),
+        F.trunc(d, "month"), F.last_day(d),
+        q, F.concat(F.lit("Q"), q.cast("string")),
+        F.make_date(y, (q - 1) * 3 + 1, F.lit(1)),
+        F.last_day(F.make_date(y, q * 3, F.lit(1))),
+        y, F.make_date(y, F.lit(1), F.lit(1)),
+        F.make_date(y, F.lit(12), F.lit(31)),
+        y, q,
+        F.date_format(d, "yyyy-MM"),
+        F.concat(y.cast("string"), F.lit("-Q"), q.cast("string")),
+        F.date_format(d, "yyyy-MM"),
+        _flag(d == a), _flag(d == F.date_sub(a, 1)),
+        _flag((d >= F.date_sub(a, 7)) & (d < a)),
+        _flag((d >= F.date_sub(a, 30)) & (d < a)),
+        _flag((y == F.year(a)) & (F.month(d) == F.month(a))),
+        _flag((y == F.year(prev_month)) & (F.month(d) == F.month(prev_month))),
+        _flag(y == F.year(a)), _flag(y == F.year(a) - 1),
+        F.datediff(a, d),
+    ]
+    return dict(zip(CALENDAR, cols, strict=True))
+
+
+def date_dimension(spine: DataFrame, as_of: _dt.date | None) -> DataFrame:
+    """One calendar row per spine date."""
+    cols = calendar_columns(F.col("date"), as_of)
+    return spine.select(*[c.alias(n) for n, c in cols.items()])

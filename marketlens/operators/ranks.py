@@ -1,34 +1,32 @@
-"""Global (un-partitioned) ranks that stay parallel.
-
-``DENSE_RANK() OVER (ORDER BY x DESC)`` with no PARTITION BY plans to a single task in
-Spark.  Here the rank is assembled from parallel pieces instead:
-
-1. collapse the input to its distinct order keys (``groupBy`` with map-side combine, so a key
-   repeated by a third of all rows becomes one row);
-2. cut the key range into ``k`` buckets at approximate quantiles of the first order column
-   (a scalar subquery returning ``k - 1`` split points); rows with equal first
-   value share a bucket, so ties never straddle buckets;
-3. rank inside each bucket with a window partitioned by bucket;
-4. prefix-sum the per-bucket sizes (at most ``k`` rows, broadcast) and add the offset;
-5. join the key -> rank map back to the input on the order columns (NULL-safe).
-
-``percent_rank`` uses the same skeleton with row counts (RANK semantics) instead of distinct
-key counts.  Results equal the single-partition window exactly; only the work split differs.
+"""Ranks over a whole result, or within partitions of any size, that stay parallel and lazy.
+
+``DENSE_RANK() OVER (ORDER BY x DESC)`` without PARTITION BY plans to a single task in Spark,
+and a partition that holds a third of all rows is sorted by one task as well.  Here a rank is
+always assembled from parallel pieces, in one lazy plan for every input size:
+
+1. collapse the input to its distinct keys (partition and order columns; ``groupBy`` combines on
+   the map side, so a key repeated by a third of all rows becomes one row);
+2. cut the full order (all order columns, so a value shared by many keys is cut too) into ``k``
+   buckets at split points taken from a hash sample of the keys, whose size depends on ``k`` only;
+   the split points come back as a scalar subquery, and each key finds its bucket by binary search;
+3. rank inside each (partition, bucket) with an ordinary window;
+4. prefix-sum the bucket sizes per partition (at most ``k + 1`` rows each) and add them;
+5. join the key -> rank map back to the input on the key columns (NULL-safe).
+
+The sample only decides where buckets end, never which rows are ranked, so results equal the
+single-task window exactly.  ``k`` is ``spark.sql.shuffle.partitions`` unless given.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
 
-_MAX_BUCKETS = 512
-# inputs at or below this many rows (a proven bound: counted on the checkpoint) are ranked in
-# one ordered window task; larger inputs take the bucketed parallel path
-SINGLE_TASK_ROWS_CONF = "marketlens.rank.singleTaskRows"
-SINGLE_TASK_ROWS_DEFAULT = 250_000
+#: Sampled keys per split point.
+_OVERSAMPLE = 16
 
 
 def _order_cols(order: OrderSpec) -> list[Column]:
@@ -37,107 +35,92 @@ def _order_cols(order: OrderSpec) -> list[Column]:
 
 
 def _bucket_count(df: DataFrame, buckets: int | None) -> int:
-    if buckets:
-        return max(1, buckets)
-    try:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover
-        n = 200
-    return max(1, min(n, _MAX_BUCKETS))
-
-
-def _with_bucket(keys: DataFrame, first: str, asc: bool, k: int) -> DataFrame:
-    """Add ``_b``: the bucket of each key, from ``k - 1`` approximate quantiles of ``first``.
-
-    The split points are one distributed aggregate read back as a scalar subquery (an array of
-    at most ``k - 1`` values), so the whole rank stays one lazy plan - no driver round trip and
-    no join to attach them."""
-    if k <= 1:
-        return keys.withColumn("_b", F.lit(0))
-    probs = [i / k for i in range(1, k)]
-    # subqueries may not sit inside a lambda: project the split array first, then bucket
-    keys = keys.withColumn("_splits", keys.agg(F.percentile_approx(F.col(first), probs, 10000)).scalar())
-    splits = F.col("_splits")
-    v = F.col(first)
-    if asc:
-        b = F.size(F.filter(splits, lambda s: s < v))
-        b = F.when(v.isNull(), F.lit(-1)).otherwise(b)
-    else:
-        b = F.size(F.filter(splits, lambda s: s > v))
-        b = F.when(v.isNull(), F.lit(k + 1)).otherwise(b)
-    return keys.withColumn("_b", b).drop("_splits")
-
-
-def _keyed_ranks(df: DataFrame, order: OrderSpec, method: str, buckets: int | None) -> DataFrame:
+    return max(1, buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _not_after(split: Column, order: OrderSpec) -> Column:
+    """Whether struct ``split`` sorts at or before the row's key."""
+    result = F.lit(True)
+    for c, asc in reversed(list(order)):
+        s, v = split[c], F.col(c)
+        before = (s < v) if asc else (s > v)
+        null_first = (s.isNull() & v.isNotNull()) if asc else (s.isNotNull() & v.isNull())
+        result = F.coalesce(before, F.lit(False)) | null_first | (s.eqNullSafe(v) & result)
+    return result
+
+
+def _with_bucket(keys: DataFrame, order: OrderSpec, k: int) -> DataFrame:
+    """Add ``_b``: the number of split points at or before each key in the full order."""
     cols = [c for c, _ in order]
-    keys = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    k = _bucket_count(df, buckets)
-    first, asc = order[0]
-    keys = _with_bucket(keys, first, asc, k)
-    w = Window.partitionBy("_b").orderBy(*_order_cols(order))
-    if method == "dense":
-        keys = keys.withColumn("_local", F.dense_rank().over(w)).withColumn("_size", F.lit(1).cast("long"))
-    else:  # RANK: rows before this key inside the bucket, + 1
-        keys = keys.withColumn(
-            "_local", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n") + 1
-        ).withColumn("_size", F.col("_n"))
-    sizes = keys.groupBy("_b").agg(F.sum("_size").alias("_bsize"))
-    # <= k + 2 rows: prefix sum on one task is fine, broadcast size is bounded by k
-    bw = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = sizes.withColumn("_off", F.sum("_bsize").over(bw) - F.col("_bsize")).select(
-        "_b", "_off", F.sum("_bsize").over(Window.partitionBy()).alias("_total"))
-    keys = keys.join(F.broadcast(offsets), "_b")
+    # the k * _OVERSAMPLE keys with the smallest hash: bounded by configuration, not by data
+    sample = keys.select(*cols).withColumn("_h", F.xxhash64(*cols)).orderBy("_h", *cols).limit(k * _OVERSAMPLE)
+    numbered = sample.select(*cols, F.row_number().over(Window.orderBy(*_order_cols(order))).alias("_i"))
+    chosen = numbered.where(F.col("_i") % _OVERSAMPLE == 0)
+    splits = chosen.agg(F.sort_array(F.collect_list(F.struct("_i", *cols))).alias("_s")).scalar()
+    # subqueries may not sit inside a lambda: project the split array first, then search it
+    keys = keys.withColumn("_splits", splits)
+    start = F.struct(F.lit(0).alias("lo"), F.size("_splits").alias("hi"))
+
+    def halve(a: Column, _: Column) -> Column:
+        mid = F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+        below = _not_after(F.get(F.col("_splits"), mid), order)
+        return F.when(a["lo"] >= a["hi"], a).otherwise(F.struct(
+            F.when(below, mid + 1).otherwise(a["lo"]).alias("lo"), F.when(below, a["hi"]).otherwise(mid).alias("hi")))
+
+    steps = F.sequence(F.lit(1), F.lit(k.bit_length() + 1))
+    return keys.withColumn("_b", F.aggregate(steps, start, halve, lambda a: a["lo"])).drop("_splits")
+
+
+def _ranked_keys(df: DataFrame, partition: Sequence[str], order: OrderSpec, dense: bool, buckets: int | None) -> DataFrame:
+    """Distinct (partition, order) keys with ``_rank`` (DENSE_RANK, or RANK) and ``_total`` (rows of the partition)."""
+    cols = [c for c, _ in order]
+    keys = df.groupBy(*partition, *[c for c in cols if c not in partition]).agg(F.count(F.lit(1)).alias("_n"))
+    keys = _with_bucket(keys, order, _bucket_count(df, buckets))
+    w = Window.partitionBy(*partition, "_b").orderBy(*_order_cols(order))
+    before = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
+    keys = keys.withColumn("_local", F.dense_rank().over(w) if dense else before + 1)
+    sizes = keys.groupBy(*partition, "_b").agg((F.count(F.lit(1)) if dense else F.sum("_n")).alias("_size"), F.sum("_n").alias("_rows"))
+    # at most k + 1 rows per partition value
+    parts = Window.partitionBy(*partition)
+    running = F.sum("_size").over(parts.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    offsets = sizes.select(*partition, "_b", (running - F.col("_size")).alias("_off"), F.sum("_rows").over(parts).alias("_total"))
+    keys = _nullsafe_join_cols(keys, offsets, [*partition, "_b"])
     return keys.withColumn("_rank", (F.col("_off") + F.col("_local")).cast("long"))
 
 
-def _join_back(df: DataFrame, ranked: DataFrame, order: OrderSpec, out: Column, name: str) -> DataFrame:
-    cols = [c for c, _ in order]
-    r = ranked.select(*[F.col(c).alias(f"__r_{c}") for c in cols], out.alias(name))
+def _nullsafe_join_cols(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    r = right.select(*[F.col(c).alias(f"__j_{c}") for c in on], *[c for c in right.columns if c not in on])
     cond = None
-    for c in cols:
-        term = df[c].eqNullSafe(r[f"__r_{c}"])
+    for c in on:
+        term = left[c].eqNullSafe(r[f"__j_{c}"])
         cond = term if cond is None else cond & term
-    return df.join(r, cond, "left").drop(*[f"__r_{c}" for c in cols])
-
-
-def global_ranks(df: DataFrame, ranks: dict[str, tuple[str, OrderSpec]], buckets: int | None = None,
-                 materialize_input: bool = True) -> DataFrame:
-    """Several whole-result ranks over the same input; ``ranks`` maps an output name to
-    ``("dense" | "rank" | "percent", order)``.
-
-    Every rank map is derived from ``df`` itself (not from the previous rank's output).  Each
-    map reads its input several times (keys, split points, bucket sizes, join back), so the
-    input - an aggregate at entity grain - is checkpointed once and every branch scans the
-    checkpoint instead of re-running the upstream mart.  The checkpoint also gives a proven
-    row count: inputs at or below ``marketlens.rank.singleTaskRows`` rows are ranked by plain
-    ordered windows in one task (what the SQL does); larger ones take the bucketed path."""
-    fns = {"dense": F.dense_rank, "rank": F.rank, "percent": F.percent_rank}
-    if materialize_input:
-        from .lineage import materialize
-        df = materialize(df)
-        limit = int(df.sparkSession.conf.get(SINGLE_TASK_ROWS_CONF, str(SINGLE_TASK_ROWS_DEFAULT)))
-        if df.count() <= limit:
-            return df.select("*", *[fns[kind]().over(Window.orderBy(*_order_cols(order))).alias(name)
-                                    for name, (kind, order) in ranks.items()])
+    return left.join(r, cond, how).drop(*[f"__j_{c}" for c in on])
+
+
+def _with_ranks(df: DataFrame, partition: Sequence[str], ranks: Mapping[str, tuple[str, OrderSpec]], buckets: int | None) -> DataFrame:
     out = df
     for name, (kind, order) in ranks.items():
-        ranked = _keyed_ranks(df, order, "dense" if kind == "dense" else "rank", buckets)
+        on = [*partition, *[c for c, _ in order if c not in partition]]
+        ranked = _ranked_keys(df, partition, order, kind == "dense", buckets)
+        value = F.col("_rank").cast("int")
         if kind == "percent":
-            val = F.when(F.col("_total") > 1, (F.col("_rank") - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
-            out = _join_back(out, ranked, order, val.cast("double"), name)
-        else:
-            out = _join_back(out, ranked, order, F.col("_rank").cast("int"), name)
+            value = F.when(F.col("_total") > 1, (F.col("_rank") - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0)).cast("double")
+        out = _nullsafe_join_cols(out, ranked.select(*on, value.alias(name)), on)
     return out
 
 
-def global_dense_ranks(df: DataFrame, ranks: dict[str, OrderSpec], buckets: int | None = None,
-                       materialize_input: bool = True) -> DataFrame:
+def global_ranks(df: DataFrame, ranks: Mapping[str, tuple[str, OrderSpec]], buckets: int | None = None) -> DataFrame:
+    """Several whole-result ranks; ``ranks`` maps an output name to ``("dense" | "rank" | "percent", order)``."""
+    return _with_ranks(df, [], ranks, buckets)
+
+
+def global_dense_ranks(df: DataFrame, ranks: Mapping[str, OrderSpec], buckets: int | None = None) -> DataFrame:
     """``global_ranks`` with DENSE_RANK for every entry."""
-    return global_ranks(df, {n: ("dense", o) for n, o in ranks.items()}, buckets, materialize_input)
+    return global_ranks(df, {n: ("dense", o) for n, o in ranks.items()}, buckets)
 
 
 def global_dense_rank(df: DataFrame, order: OrderSpec, name: str, buckets: int | None = None) -> DataFrame:
-    """``DENSE_RANK() OVER (ORDER BY order)`` without a single-task window on large inputs."""
+    """``DENSE_RANK() OVER (ORDER BY order)``."""
     return global_ranks(df, {name: ("dense", order)}, buckets)
 
 
@@ -151,57 +134,14 @@ def global_percent_rank(df: DataFrame, order: OrderSpec, name: str, buckets: int
     return global_ranks(df, {name: ("percent", order)}, buckets)
 
 
-def _partitioned_dense(df: DataFrame, partition: Sequence[str], order: OrderSpec, k: int) -> DataFrame:
-    """Distinct (partition, order) keys with their dense rank inside the partition, computed in
-    buckets: a partition that holds a third of all keys is spread over ``k`` tasks."""
-    cols = [c for c, _ in order]
-    keys = df.groupBy(*partition, *cols).agg(F.count(F.lit(1)).alias("_n"))
-    first, asc = order[0]
-    probs = [i / k for i in range(1, k)]
-    # one split array per partition (joined on the partition key; AQE splits a hot partition)
-    splits = keys.groupBy(*partition).agg(F.percentile_approx(F.col(first), probs, 10000).alias("_splits"))
-    keys = _nullsafe_join_cols(keys, splits, partition)
-    v, s = F.col(first), F.col("_splits")
-    if asc:
-        b = F.when(v.isNull(), F.lit(-1)).otherwise(F.size(F.filter(s, lambda x: x < v)))
-    else:
-        b = F.when(v.isNull(), F.lit(k + 1)).otherwise(F.size(F.filter(s, lambda x: x > v)))
-    keys = keys.withColumn("_b", b).drop("_splits")
-    w = Window.partitionBy(*partition, "_b").orderBy(*_order_cols(order))
-    keys = keys.withColumn("_local", F.dense_rank().over(w))
-    sizes = keys.groupBy(*partition, "_b").agg(F.max("_local").alias("_bsize"))
-    ow = Window.partitionBy(*partition).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = sizes.withColumn("_off", F.sum("_bsize").over(ow) - F.col("_bsize")).drop("_bsize")
-    keys = _nullsafe_join_cols(keys, offsets, [*partition, "_b"])
-    return keys.withColumn("_rank", (F.col("_off") + F.col("_local")).cast("int"))
+def dense_ranks_within(df: DataFrame, partition: Sequence[str], ranks: Mapping[str, OrderSpec], buckets: int | None = None) -> DataFrame:
+    """``DENSE_RANK() OVER (PARTITION BY partition ORDER BY ...)`` for several orders, safe for hot partitions:
+    buckets cut the order over all partitions, of which a hot one spans many."""
+    return _with_ranks(df, list(partition), {n: ("dense", o) for n, o in ranks.items()}, buckets)
 
 
-def _nullsafe_join_cols(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    r = right.select(*[F.col(c).alias(f"__j_{c}") for c in on], *[c for c in right.columns if c not in on])
-    cond = None
-    for c in on:
-        term = left[c].eqNullSafe(r[f"__j_{c}"])
-        cond = term if cond is None else cond & term
-    return left.join(r, cond, how).drop(*[f"__j_{c}" for c in on])
+def top_n(df: DataFrame, order: OrderSpec, n: int) -> DataFrame:
+    """The first ``n`` rows in ``order``, in that order; end ``order`` with a key to break ties.
 
-
-def dense_ranks_within(df: DataFrame, partition: Sequence[str], ranks: dict[str, OrderSpec],
-                       buckets: int | None = None) -> DataFrame:
-    """``DENSE_RANK() OVER (PARTITION BY partition ORDER BY ...)`` for several orders, safe for hot
-    partitions.  The (entity-grain) input is checkpointed and counted: at or below
-    ``marketlens.rank.singleTaskRows`` rows the plain partitioned windows run (no partition can
-    exceed the bound); above it each rank is built per (partition, bucket) and offset per
-    partition, so no single group is sorted in one task."""
-    from .lineage import materialize
-    df = materialize(df)
-    limit = int(df.sparkSession.conf.get(SINGLE_TASK_ROWS_CONF, str(SINGLE_TASK_ROWS_DEFAULT)))
-    if df.count() <= limit:
-        return df.select("*", *[F.dense_rank().over(Window.partitionBy(*partition).orderBy(*_order_cols(order)))
-                                .alias(name) for name, order in ranks.items()])
-    k = min(_bucket_count(df, buckets), 64)
-    out = df
-    for name, order in ranks.items():
-        cols = [c for c, _ in order]
-        ranked = _partitioned_dense(df, partition, order, k).select(*partition, *cols, F.col("_rank").alias(name))
-        out = _nullsafe_join_cols(out, ranked, [*partition, *cols])
-    return out
+    Plans to one TakeOrderedAndProject: every task keeps its own first ``n``."""
+    return df.orderBy(*_order_cols(order)).limit(n)

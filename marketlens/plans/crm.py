@@ -17,7 +17,6 @@ from ..functions import concat_safe, date_key, ratio, rules, share_pct
 from ..functions.dates import as_date_lit, days_between, months_between_boundary, weeks_between_boundary
 from ..operators.shares import with_group_aggs
 from ..sources.catalog import Tables
-from ..sources.roles import CRM_AS_OF
 
 ENGAGEMENT_TYPES = ["CALL", "MEETING", "EMAIL", "NOTE", "TASK"]
 
@@ -84,7 +83,7 @@ _ENG_COLS = ["total_engagements", "total_calls", "total_meetings", "total_emails
 
 
 # --------------------------------------------------------------------------- contacts
-def contact_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def contact_performance(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     a = as_date_lit(as_of)
     c = live(t, "contact")
     ce = engagement_rollup(t, "engagement_contact", "contact_id", as_of)
@@ -127,7 +126,7 @@ def contact_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         F.col("_fivetran_synced").alias("last_synced_at"))
 
 
-def contact_lifecycle_funnel(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def contact_lifecycle_funnel(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     c = live(t, "contact")
     g = c.groupBy("lifecycle_stage").agg(
         F.count(F.lit(1)).alias("contact_count"),
@@ -146,7 +145,7 @@ def contact_lifecycle_funnel(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFram
         "avg_visits", share_pct("contact_count", "_all").alias("pct_of_total"))
 
 
-def contact_source_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def contact_source_performance(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     c = live(t, "contact")
     st = F.col("lifecycle_stage")
     n = F.count(F.lit(1))
@@ -177,7 +176,7 @@ def contact_source_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFr
         "avg_page_views", "avg_visits", "total_deals", "avg_deals_per_contact")
 
 
-def contact_owner_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def contact_owner_performance(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     a = as_date_lit(as_of)
     c = live(t, "contact").filter(F.col("owner_id").isNotNull())
     st = F.col("lifecycle_stage")
@@ -203,7 +202,7 @@ def contact_owner_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFra
 
 
 # --------------------------------------------------------------------------- companies
-def company_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def company_performance(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     a = as_date_lit(as_of)
     c = live(t, "company")
     ce = engagement_rollup(t, "engagement_company", "company_id", as_of)
@@ -275,7 +274,7 @@ def _company_counts(as_of) -> list:
             F.count(F.when(st == "marketingqualifiedlead", 1)).alias("marketing_qualified")]
 
 
-def company_industry_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def company_industry_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     c = live(t, "company")
     co = lambda n: F.coalesce(F.col(n), F.lit(0))
     g = c.groupBy("industry").agg(
@@ -295,7 +294,7 @@ def company_industry_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFra
         "avg_contacts_per_company", "total_deals", "avg_deals_per_company", "avg_page_views", "avg_visits")
 
 
-def company_geography_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def company_geography_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     c = live(t, "company")
     st = F.col("lifecycle_stage")
     co = lambda n: F.coalesce(F.col(n), F.lit(0))
@@ -310,7 +309,7 @@ def company_geography_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFr
                     "total_deals", share_pct("total_companies", "_all").alias("pct_of_total"))
 
 
-def company_owner_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def company_owner_performance(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     a = as_date_lit(as_of)
     c = live(t, "company").filter(F.col("owner_id").isNotNull())
     co = lambda n: F.coalesce(F.col(n), F.lit(0))
@@ -348,7 +347,7 @@ def _with_pipeline(d: DataFrame, t: Tables, col: str = "pipeline_name") -> DataF
     return d.join(dp, d["pipeline_id"] == dp["_pp_id"], "left").drop("_pp_id")
 
 
-def deal_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def deal_performance(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     a = as_date_lit(as_of)
     d = live(t, "deal")
     de = engagement_rollup(t, "engagement_deal", "deal_id", as_of, recency=False)
@@ -403,7 +402,7 @@ def deal_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         F.col("_fivetran_synced").alias("last_synced_at"))
 
 
-def deal_pipeline_summary(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def deal_pipeline_summary(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     from pyspark.sql import Window
     a = as_date_lit(as_of)
     d = _with_stage(_with_pipeline(live(t, "deal"), t), t, {
@@ -432,7 +431,7 @@ def deal_stage_conversion(t: Tables) -> DataFrame:
     from pyspark.sql import Window
     from ..functions.dates import hours_between_boundary
     h = t["deal_stage_history"].select("deal_id", "stage_id", "pipeline_id", "timestamp")
-    w = Window.partitionBy("deal_id").orderBy("timestamp")
+    w = Window.partitionBy("deal_id").orderBy("timestamp", "stage_id")
     h = h.select("*", F.lag("stage_id").over(w).alias("prev_stage_id"), F.lag("timestamp").over(w).alias("prev_ts"))
     hrs = hours_between_boundary("prev_ts", "timestamp")
     dys = days_between("prev_ts", "timestamp")
@@ -462,7 +461,7 @@ def deal_stage_conversion(t: Tables) -> DataFrame:
                (tord > fo, "Forward"), (tord < fo, "Backward")], "Same Level").alias("transition_type"))
 
 
-def deal_owner_performance(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def deal_owner_performance(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     a = as_date_lit(as_of)
     d = live(t, "deal").filter(F.col("owner_id").isNotNull())
     closed, won = F.col("is_closed"), F.col("is_closed_won")
@@ -508,7 +507,7 @@ def forecast_period(close: Column, as_of) -> Column:
                   (close.between(q1, F.date_sub(q2, 1)), "Next Quarter")], "Future")
 
 
-def deal_forecast(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def deal_forecast(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     d = live(t, "deal").filter((F.col("is_closed") == False) & F.col("close_date").isNotNull())  # noqa: E712
     d = _with_stage(d, t, {"probability": "_stage_prob"})
     prob = F.coalesce(F.col("_stage_prob"), F.col("hs_deal_stage_probability"), F.lit(50).cast("decimal(5,2)"))

@@ -18,7 +18,6 @@ from ..functions.dates import as_date_lit
 from ..operators.ranks import global_dense_ranks
 from ..operators.shares import with_group_aggs
 from ..sources.catalog import Tables
-from ..sources.roles import CRM_AS_OF
 from . import crm, email, engagements
 from .crm import since
 
@@ -72,7 +71,7 @@ def _scalar(df: DataFrame, agg) -> "F.Column":
     return df.agg(agg).scalar()
 
 
-def q_crm_executive(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_crm_executive(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Contact, deal and recent-engagement KPIs in one row.  Computed from the base tables: the
     summed per-entity engagement counts are live bridge-pair counts and the per-day distinct
     members are distinct (day, member) pairs, so no full mart with its name joins is built."""
@@ -128,7 +127,7 @@ def q_crm_executive(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         ratio("pipeline_value", od, None, (18, 2)).alias("avg_deal_size"))
 
 
-def q_pipeline_health(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_pipeline_health(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     ps = crm.deal_pipeline_summary(t, as_of).filter(F.col("is_closed") == False)  # noqa: E712
     w = Window.partitionBy("pipeline_id").orderBy("display_order")  # default RANGE frame: peers included
     age = F.col("avg_age_days")
@@ -142,7 +141,7 @@ def q_pipeline_health(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         "pipeline_id").orderBy("pipeline_id", "display_order").drop("pipeline_id")
 
 
-def q_deals_at_risk(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_deals_at_risk(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     d = crm.deal_performance(t, as_of)
     hs, cs = F.col("deal_health_status"), F.col("close_date_status")
     d = d.filter((F.col("deal_status") == "Open")
@@ -163,13 +162,14 @@ def q_deals_at_risk(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
 _PERIOD_ORDER = ["This Month", "Next Month", "This Quarter", "Next Quarter"]
 
 
-def q_sales_forecast(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_sales_forecast(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Forecast rows are unique per (owner, period), so the SQL's GROUP BY over every column is
     row-wise; commit / best case / pipeline-only split on the average probability."""
     f = crm.deal_forecast(t, as_of)
     p, pv = F.col("avg_probability"), F.col("pipeline_value")
     zero = F.lit(0)
-    period_total = F.sum("pipeline_value").over(Window.partitionBy("forecast_period"))
+    # five period values: totals as a grouped aggregate joined back, not a window with five tasks
+    f = with_group_aggs(f, ["forecast_period"], {"_period_total": F.sum("pipeline_value")})
     fp = F.col("forecast_period")
     order = rules([(fp == v, i + 1) for i, v in enumerate(_PERIOD_ORDER)], 5)
     return f.select(
@@ -177,11 +177,11 @@ def q_sales_forecast(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         "avg_deal_size", F.when(p >= 75, pv).otherwise(zero).alias("commit_value"),
         F.when((p >= 50) & (p < 75), pv).otherwise(zero).alias("best_case_value"),
         F.when(p < 50, pv).otherwise(zero).alias("pipeline_only_value"),
-        share_pct("pipeline_value", period_total).alias("pct_of_period"), order.alias("_o")) \
+        share_pct("pipeline_value", F.col("_period_total")).alias("pct_of_period"), order.alias("_o")) \
         .orderBy("_o", F.col("weighted_pipeline").desc()).drop("_o")
 
 
-def q_contact_funnel(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_contact_funnel(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Stage-over-stage conversion along the lifecycle (at most a handful of stage rows).
 
     Several stages share order 7; LAG uses a deterministic tie-break (display name, raw stage)
@@ -197,7 +197,7 @@ def q_contact_funnel(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
         F.sum("contact_count").over(cum_w).alias("cumulative_contacts")).orderBy("stage_order")
 
 
-def q_engagement_trend(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_engagement_trend(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Last 30 days of the daily summary with 7-row moving averages and week-over-week change
     (an ordered window over at most 31 rows)."""
     d = _recent_daily(t, as_of)
@@ -233,7 +233,7 @@ def q_email_dashboard(t: Tables) -> DataFrame:
     ).orderBy(F.col("first_sent_at").desc())
 
 
-def q_owner_leaderboard(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_owner_leaderboard(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     d = crm.deal_owner_performance(t, as_of)
     e = engagements.engagement_owner_summary(t, as_of).select(
         F.col("owner_id").alias("_e_owner"), "total_engagements", "engagements_30d", "total_calls", "total_meetings",
@@ -261,7 +261,7 @@ def q_owner_leaderboard(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
     return j.withColumn("composite_rank", composite.cast("decimal(10,2)")).orderBy(F.col("closed_won_revenue").desc())
 
 
-def q_company_insights(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_company_insights(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     c = crm.company_performance(t, as_of).filter((F.col("calculated_contact_count") > 0) | (F.col("total_deals") > 0))
     cs, pv, hs = F.col("customer_status"), F.col("pipeline_value"), F.col("account_health_status")
     tier = rules([((cs == "Customer") & (pv > 0), 1), ((pv > 0) & (F.col("engagements_last_30_days") > 0), 2),
@@ -278,7 +278,7 @@ def q_company_insights(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
     ).orderBy(F.col("total_lifetime_value").desc(), F.col("pipeline_value").desc())
 
 
-def q_source_attribution(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_source_attribution(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     s = crm.contact_source_performance(t, as_of).filter(F.col("total_contacts") >= 10)
     s = s.select(
         "acquisition_source", "source_detail_1", "source_detail_2", "total_contacts", "new_contacts_30d",
@@ -292,7 +292,7 @@ def q_source_attribution(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
     return s.orderBy(F.col("total_revenue").desc())
 
 
-def q_cross_channel(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_cross_channel(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Five one-row channel summaries, stacked (UNION ALL by name, types aligned).
 
     Each summary reads only what it needs from the base tables: entity counts, live bridge-pair

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ..functions import date_key, ratio, rules
 from ..functions.dates import as_date_lit, hours_between_boundary
 from ..sources.catalog import Tables
-from ..sources.roles import CRM_AS_OF
 from .crm import live
 
 EVENT_TYPES = {"SENT": "sent_count", "DELIVERED": "delivered_count", "OPEN": "open_count", "CLICK": "click_count",
@@ -153,13 +152,18 @@ def email_link_performance(t: Tables) -> DataFrame:
 def email_engagement_by_time(t: Tables) -> DataFrame:
     ev = t["email_event"].filter(F.col("type").isin("OPEN", "CLICK") & F.col("created_at").isNotNull())
     ts = F.col("created_at")
-    return ev.groupBy(F.hour(ts).alias("hour_of_day"), F.date_format(ts, "EEEE").alias("day_of_week"),
-                      F.dayofweek(ts).alias("day_of_week_num"), F.col("type").alias("event_type")).agg(
-        F.count(F.lit(1)).alias("event_count"), F.count_distinct("recipient").alias("unique_recipients"),
-        F.count_distinct("email_campaign_id").alias("campaign_count"))
-
-
-def email_recipient_engagement(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+    slot = ["hour_of_day", "day_of_week", "day_of_week_num", "event_type"]
+    ev = ev.select(F.hour(ts).alias("hour_of_day"), F.date_format(ts, "EEEE").alias("day_of_week"),
+                   F.dayofweek(ts).alias("day_of_week_num"), F.col("type").alias("event_type"), "recipient", "email_campaign_id")
+    # distinct counts in two steps over one row per (slot, recipient, campaign): no Expand over events
+    s1 = ev.groupBy(*slot, "recipient", "email_campaign_id").agg(F.count(F.lit(1)).alias("_n"))
+    people = s1.groupBy(*slot, "recipient").agg(F.sum("_n").alias("_n")).groupBy(*slot).agg(
+        F.sum("_n").alias("event_count"), F.count("recipient").alias("unique_recipients"))
+    camps = s1.groupBy(*slot, "email_campaign_id").agg(F.lit(1)).groupBy(*slot).agg(F.count("email_campaign_id").alias("campaign_count"))
+    return people.join(camps, slot).select(*slot, "event_count", "unique_recipients", "campaign_count")
+
+
+def email_recipient_engagement(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Per recipient, via (recipient, campaign) partial aggregates: campaign-distinct counts
     become counts of step-1 rows, event counts become sums."""
     ev = t["email_event"].filter(F.col("recipient").isNotNull())

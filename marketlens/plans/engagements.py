@@ -21,7 +21,6 @@ from ..functions import date_key, dec, ratio, share_pct
 from ..functions.dates import days_between, minutes_between_boundary, sunday_week_of_year
 from ..operators.shares import with_group_aggs
 from ..sources.catalog import Tables
-from ..sources.roles import CRM_AS_OF
 from .crm import live, since, with_owner
 
 BRIDGES = {"contact": ("engagement_contact", "contact_id"), "company": ("engagement_company", "company_id"),
@@ -229,12 +228,12 @@ def _engagement_owner(t: Tables, as_of, weighted: bool) -> DataFrame:
         .cast("decimal(10,2)").alias("engagements_per_week"))
 
 
-def engagement_owner_summary(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def engagement_owner_summary(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Per owner; call minutes follow the source's bridge fan-out."""
     return _engagement_owner(t, as_of, weighted=True)
 
 
-def engagement_owner_summary_dedup(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def engagement_owner_summary_dedup(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Per owner with every engagement counted once in the call-minute aggregates."""
     return _engagement_owner(t, as_of, weighted=False)
 
@@ -271,12 +270,12 @@ def _engagement_type(t: Tables, as_of, weighted: bool) -> DataFrame:
         share_pct("total_count", "_all").alias("pct_of_total"), "first_occurrence", "last_occurrence")
 
 
-def engagement_type_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def engagement_type_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Per type; associations per engagement follow the source's fan-out (rows of the joins)."""
     return _engagement_type(t, as_of, weighted=True)
 
 
-def engagement_type_analysis_dedup(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def engagement_type_analysis_dedup(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Per type with the plain number of associated contacts / companies per engagement."""
     return _engagement_type(t, as_of, weighted=False)
 
@@ -318,12 +317,12 @@ def _call_analysis(t: Tables, as_of, weighted: bool) -> DataFrame:
         *[F.coalesce(c_, F.lit(0).cast("long")).alias(c_) for c_ in ["unique_contacts_called", "unique_companies_called"]])
 
 
-def call_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def call_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Call minutes follow the source's contact x company fan-out."""
     return _call_analysis(t, as_of, weighted=True)
 
 
-def call_analysis_dedup(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def call_analysis_dedup(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Call minutes with each call counted once."""
     return _call_analysis(t, as_of, weighted=False)
 
@@ -366,11 +365,11 @@ def _meeting_analysis(t: Tables, as_of, weighted: bool) -> DataFrame:
           ["unique_contacts_met", "unique_companies_met", "deals_with_meetings"]])
 
 
-def meeting_analysis(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def meeting_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Meeting minutes follow the source's contact x company x deal fan-out."""
     return _meeting_analysis(t, as_of, weighted=True)
 
 
-def meeting_analysis_dedup(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def meeting_analysis_dedup(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Meeting minutes with each meeting counted once."""
     return _meeting_analysis(t, as_of, weighted=False)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import dec, ratio
 from ..sources.catalog import Tables
-from ..sources.roles import ADS_AS_OF, CRM_AS_OF
 from . import crm, email, search_ads, social_ads
 
 # ---- fixed values: KPI "good benchmark" thresholds as documented for the dashboards (percent
@@ -41,7 +40,7 @@ def threshold_flags(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
     return out.withColumn("benchmarks_met", met)
 
 
-def q_kpi_benchmarks_search(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_kpi_benchmarks_search(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     s = search_ads.campaign_performance_summary(t, as_of)
     ch = F.col("advertising_channel_type")
     ctr_min = F.when(ch == "DISPLAY", dec(SEARCH_CTR_MIN["DISPLAY"])).otherwise(dec(SEARCH_CTR_MIN["SEARCH"]))
@@ -52,7 +51,7 @@ def q_kpi_benchmarks_search(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame
         "roas_ok": F.col("avg_roas") > dec(SEARCH_ROAS_MIN)})
 
 
-def q_kpi_benchmarks_social(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_kpi_benchmarks_social(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     s = social_ads.fb_campaign_performance_summary(t, as_of)
     f = F.col("avg_frequency")
     return threshold_flags(s.select("campaign_id", "campaign_name", "account_name", "avg_ctr", "avg_frequency",
@@ -80,7 +79,7 @@ def q_email_deliverability_alerts(t: Tables) -> DataFrame:
     return out.withColumn("bounce_alert", F.col("bounce_rate") > dec(EMAIL_BOUNCE_RATE_MAX))
 
 
-def q_deal_velocity(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_deal_velocity(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Deal velocity = weighted pipeline / days in pipeline, per open deal."""
     d = crm.deal_performance(t, as_of).filter(F.col("deal_status") == "Open")
     days = F.col("days_in_pipeline")
@@ -88,7 +87,7 @@ def q_deal_velocity(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
                     ratio("weighted_amount", days, None, (18, 2), default=None, guard=days > 0).alias("deal_velocity"))
 
 
-def q_deal_benchmarks(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def q_deal_benchmarks(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     o = crm.deal_owner_performance(t, as_of)
     return threshold_flags(o.select("owner_id", "owner_name", "win_rate", "avg_days_to_close_won"), {
         "win_rate_ok": F.col("win_rate") > dec(DEAL_WIN_RATE_MIN),

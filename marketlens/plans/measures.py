@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date_lit
 from ..sources.catalog import Tables
-from ..sources.roles import ADS_AS_OF, CRM_AS_OF
 
 
 def divide(a: Column, b: Column) -> Column:
@@ -67,13 +66,13 @@ ENGAGEMENT_MEASURES = {"total_engagements": "total_engagements", "total_calls":
                        "contacts_engaged": "unique_contacts_engaged", "companies_engaged": "unique_companies_engaged"}
 
 
-def m_contact_measures(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def m_contact_measures(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     from .crm import contact_performance
     base, derived = contact_measures(as_of)
     return evaluate(contact_performance(t, as_of), base, derived)
 
 
-def m_deal_measures(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def m_deal_measures(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     from .crm import deal_performance
     base, derived = deal_measures()
     return evaluate(deal_performance(t, as_of), base, derived).drop("_closed_deals")
@@ -102,7 +101,7 @@ def shift_compare(daily: DataFrame, date_col: str, metric: str, n: int, name: st
     return daily.withColumn("_lk", lookup).join(prev, F.col("_lk") == prev["_src"], "left").drop("_lk", "_src")
 
 
-def m_ads_daily_measures(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def m_ads_daily_measures(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """README ad measures on a date axis: spend, CTR %, ROAS, previous-period (-30 days) spend
     and spend change %.  Dates come from the calendar; days without facts are blank, as on a
     report axis over the date dimension."""

@@ -16,7 +16,6 @@ from ..operators.ranks import global_ranks
 from ..operators.shares import with_group_aggs
 from ..operators.windows import lag_of, moving_avg, running_total
 from ..sources.catalog import Tables
-from ..sources.roles import ADS_AS_OF
 from .crm import live
 
 
@@ -43,22 +42,22 @@ def p_datediff_boundaries(t: Tables) -> DataFrame:
 
 
 def p_global_ranks(t: Tables) -> DataFrame:
-    """Whole-result DENSE_RANK / RANK / PERCENT_RANK of every deal (size-checked parallel ranks)."""
+    """Whole-result DENSE_RANK / RANK / PERCENT_RANK of every deal (parallel ranks)."""
     d = live(t, "deal").select("deal_id", "amount", "close_date")
     return global_ranks(d, {"amount_dense_rank": ("dense", [("amount", False)]),
                             "amount_rank": ("rank", [("amount", False)]),
                             "close_percent_rank": ("percent", [("close_date", True)])})
 
 
-def p_shares(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
-    """Share of total (scalar-subquery total) and share within the parent (partitioned window)."""
+def p_shares(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
+    """Share of total (scalar-subquery total) and share within the parent (grouped total joined back)."""
     from ..functions.dates import in_last_days
     c = t["campaign_stats"].filter(in_last_days("date", as_of, 30)).groupBy("campaign_id", "account_id") \
         .agg(F.sum("impressions").alias("impressions"))
     c = with_group_aggs(c, [], {"_all": F.sum("impressions")})
-    acct = F.sum("impressions").over(Window.partitionBy("account_id"))
+    c = with_group_aggs(c, ["account_id"], {"_acct": F.sum("impressions")})
     return c.select("campaign_id", "account_id", "impressions", share_pct("impressions", "_all").alias("pct_of_total"),
-                    share_pct("impressions", acct).alias("pct_of_account"))
+                    share_pct("impressions", F.col("_acct")).alias("pct_of_account"))
 
 
 def p_row_windows(t: Tables) -> DataFrame:

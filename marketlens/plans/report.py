@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.catalog import Tables
-from ..sources.roles import CRM_AS_OF
 from . import crm, email, engagements
 from .measures import contact_measures, evaluate
 
@@ -43,7 +42,7 @@ def _measure(df: DataFrame, by: Sequence[str], names: Mapping[str, str], as_of)
     return out.select(*by, *[F.col(k).alias(v) for k, v in names.items()])
 
 
-def rq_stage_counts(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def rq_stage_counts(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return summarize(crm.contact_lifecycle_funnel(t, as_of), "ContactLifecycleFunnel", ["stage_display_name"],
                      ["contact_count"])
 
@@ -53,31 +52,31 @@ def rq_engagement_line(t: Tables) -> DataFrame:
                      ["total_engagements"])
 
 
-def rq_contacts_by_lifecycle(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def rq_contacts_by_lifecycle(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return _measure(crm.contact_performance(t, as_of), ["lifecycle_stage_display"], {"total_contacts": "total_contacts"},
                     as_of)
 
 
-def rq_contacts_by_source(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def rq_contacts_by_source(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return _measure(crm.contact_performance(t, as_of), ["hs_analytics_source"], {"total_contacts": "total_contacts"},
                     as_of)
 
 
-def rq_contact_owner_table(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def rq_contact_owner_table(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return summarize(crm.contact_performance(t, as_of), "ContactPerformance", ["owner_name"],
                      ["total_engagements", "total_revenue"])
 
 
-def rq_pipeline_funnel(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def rq_pipeline_funnel(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return summarize(crm.deal_pipeline_summary(t, as_of), "DealPipelineSummary", ["stage_label"], ["total_value"])
 
 
-def rq_owner_deals_table(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def rq_owner_deals_table(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return summarize(crm.deal_owner_performance(t, as_of), "DealOwnerPerformance", ["owner_name"],
                      ["total_deals", "closed_won_revenue", "win_rate"])
 
 
-def rq_deal_table(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def rq_deal_table(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return summarize(crm.deal_performance(t, as_of), "DealPerformance", ["deal_name", "deal_health_status", "owner_name"],
                      ["amount"])
 
@@ -96,6 +95,6 @@ def rq_engagement_by_weekday(t: Tables) -> DataFrame:
                      ["total_engagements"])
 
 
-def rq_owner_engagement_table(t: Tables, as_of: _dt.date = CRM_AS_OF) -> DataFrame:
+def rq_owner_engagement_table(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return summarize(engagements.engagement_owner_summary(t, as_of), "EngagementOwnerSummary", ["owner_name"],
                      ["total_engagements", "total_calls", "total_meetings"])

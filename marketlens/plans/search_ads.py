@@ -17,7 +17,6 @@ from ..operators.latest import latest_by_key
 from ..operators.periods import period_compare
 from ..operators.windows import lag_change_pct, lag_of, moving_avg, running_total
 from ..sources.catalog import Tables
-from ..sources.roles import ADS_AS_OF
 
 
 def _std_kpis(spend="spend", impressions="impressions", clicks="clicks", conversions="conversions",
@@ -85,9 +84,7 @@ def campaign_trend_analysis(t: Tables) -> DataFrame:
         "impressions", "clicks", "conversions", "conversions_value", "ctr_percent", "avg_cpc",
         "conversion_rate_percent", "roas")
     from ..operators.ranks import dense_ranks_within
-    # daily ranks partition by date: size-checked partitioned ranks (a date holding a third of all
-    # campaign-days is split into buckets); the checkpointed campaign-day table also feeds the
-    # per-campaign windows below
+    # a date holding a third of all campaign-days is split into buckets
     cp = dense_ranks_within(cp, ["date"], {"daily_spend_rank": [("spend", False)],
                                            "daily_conversions_rank": [("conversions", False)]})
     p, o = ["campaign_id"], ["date"]
@@ -115,7 +112,7 @@ def campaign_trend_analysis(t: Tables) -> DataFrame:
     )
 
 
-def campaign_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def campaign_performance_summary(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Last-30-days totals and KPIs per campaign (open-ended period: includes as_of and later)."""
     cp = campaign_performance(t).filter(in_last_days("date", as_of, 30))
     g = cp.groupBy("campaign_id", "campaign_name", "campaign_status", "advertising_channel_type",
@@ -177,7 +174,7 @@ def account_performance(t: Tables) -> DataFrame:
     )
 
 
-def account_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def account_performance_summary(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Current 30 days (excluding as_of) vs the 30 days before, per account."""
     from ..functions import change_pct
     ap = account_performance(t)
@@ -233,7 +230,7 @@ def ad_group_performance(t: Tables) -> DataFrame:
     )
 
 
-def ad_group_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def ad_group_drilldown(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Last-30-days per ad group: hierarchy path, share of and rank within its campaign, and
     cost-per-conversion against the campaign average."""
     from ..functions import concat_safe
@@ -279,7 +276,7 @@ def ad_group_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     )
 
 
-def ad_group_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def ad_group_performance_summary(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Period comparison per ad group joined to its distinct attribute rows.
 
     The attribute rows are derived from the distinct (ad group, campaign, account) keys of the
@@ -387,7 +384,7 @@ _KW_ATTRS = ["keyword_id", "keyword_text", "keyword_match_type", "keyword_status
              "quality_score_category", "ad_group_name", "campaign_name", "account_name", "currency_code"]
 
 
-def keyword_top_performers(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def keyword_top_performers(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Last-30-days keywords with activity, four global dense ranks and a performance class.
 
     The ranks are whole-result ranks; they are computed with the parallel bucketed rank
@@ -424,7 +421,7 @@ def keyword_top_performers(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
                     cls.alias("performance_classification"))
 
 
-def keyword_quality_score_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def keyword_quality_score_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     attrs = ["keyword_id", "keyword_text", "keyword_match_type", "keyword_status", "quality_score",
              "quality_score_category", "creative_quality_score", "post_click_quality_score", "search_predicted_ctr",
              "ad_group_name", "campaign_name", "account_name"]
@@ -457,7 +454,7 @@ def keyword_quality_score_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Da
     )
 
 
-def keyword_match_type_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def keyword_match_type_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     per_kw = _period_by_ids(t["keyword_stats"], ["criterion_id", "ad_group_id", "campaign_id", "account_id"], as_of)
     kw = _regroup(_keyword_attrs(per_kw, t).withColumnRenamed("criterion_id", "keyword_id"),
                   ["keyword_id", "keyword_match_type", "quality_score", "campaign_name", "account_name"])
@@ -524,7 +521,7 @@ def _ads_by_id(t: Tables, as_of) -> DataFrame:
     return _ad_attrs(_period_by_ids(t["ad_stats"], _AD_IDS, as_of), t)
 
 
-def ad_copy_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def ad_copy_effectiveness(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Last-30-days per ad: copy previews, ranks inside the ad group, tier against the global
     average CTR (a one-row aggregate broadcast back, not an un-partitioned window)."""
     from ..functions import concat_safe, left
@@ -586,7 +583,7 @@ def _ads_30d(t: Tables, as_of, keys: list[str]) -> DataFrame:
     return _regroup(_ads_by_id(t, as_of), keys)
 
 
-def ad_strength_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def ad_strength_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     from ..operators.shares import with_group_aggs
     ads = _ads_30d(t, as_of, ["ad_id", "ad_type", "ad_strength_label", "campaign_name", "account_name"])
     g = ads.groupBy("ad_strength_label", "ad_type", "campaign_name", "account_name").agg(
@@ -604,7 +601,7 @@ def ad_strength_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     )
 
 
-def ad_type_comparison(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def ad_type_comparison(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     ads = _ads_30d(t, as_of, ["ad_id", "ad_type", "ad_group_name", "campaign_name", "account_name"])
     n_ads = F.count_distinct("ad_id")
     g = ads.groupBy("ad_type", "account_name").agg(
@@ -623,7 +620,9 @@ def ad_type_comparison(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     )
 
 
-def q_top_keywords(t: Tables, as_of: _dt.date = ADS_AS_OF, k: int = 10) -> DataFrame:
-    """Top-k keyword report (the documented TOP 10): keywords whose conversion rank is <= k;
-    ties share a rank, so more than k rows can qualify."""
-    return keyword_top_performers(t, as_of).filter(F.col("conversions_rank") <= k)
+def q_top_keywords(t: Tables, as_of: _dt.date | None = None, k: int = 10) -> DataFrame:
+    """Top-k keyword report (the documented TOP 10): exactly k rows, by conversion rank; ties go to
+    the higher spend, then to the smaller names."""
+    from ..operators.ranks import top_n
+    order = [("conversions_rank", True), ("spend_rank", True), *[(c, True) for c in _KW_ATTRS]]
+    return top_n(keyword_top_performers(t, as_of), order, k)

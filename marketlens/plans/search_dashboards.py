@@ -12,12 +12,11 @@ from ..functions.dates import as_date_lit, in_last_days, in_window
 from ..operators.ranks import global_ranks
 from ..operators.shares import with_group_aggs
 from ..sources.catalog import Tables
-from ..sources.roles import ADS_AS_OF
 from . import search_ads as sa
 from .time_periods import date_dimension
 
 
-def q_executive_metrics(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_executive_metrics(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Per account: last 30 days (open-ended) against the 30 days before, in one pass."""
     ap = sa.account_performance(t).filter(in_last_days("date", as_of, 60))
     cur = in_last_days("date", as_of, 30)
@@ -39,7 +38,7 @@ def q_executive_metrics(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
         ratio("current_revenue", "current_spend", None, (10, 4)).alias("current_roas"))
 
 
-def q_daily_trend(t: Tables, as_of: _dt.date = ADS_AS_OF, days: int = 90) -> DataFrame:
+def q_daily_trend(t: Tables, as_of: _dt.date | None = None, days: int = 90) -> DataFrame:
     """Gap-filled daily series over [as_of - days, as_of): calendar LEFT JOIN daily totals,
     with running totals.  Facts are summed per date before the join; the running total is an
     ordered window over at most ``days`` rows."""
@@ -67,7 +66,7 @@ def q_daily_trend(t: Tables, as_of: _dt.date = ADS_AS_OF, days: int = 90) -> Dat
     ).orderBy("date")
 
 
-def q_campaign_matrix(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_campaign_matrix(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Campaign efficiency score against the all-campaign averages (one-row aggregate joined
     back), BCG-style quadrant, and whole-result percent ranks."""
     cp = sa.campaign_performance(t).filter(in_last_days("date", as_of, 30))
@@ -104,7 +103,7 @@ def q_campaign_matrix(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
                             "efficiency_percentile": ("percent", [("cost_per_conversion", False)])})
 
 
-def q_budget_pacing(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_budget_pacing(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Budget utilisation of the last 30 days per (campaign name, daily budget)."""
     cp = sa.campaign_performance(t).filter(in_last_days("date", as_of, 30) & (F.col("budget_amount") > 0)) \
         .select("campaign_name", F.col("budget_amount").alias("daily_budget"), "date", "spend", "conversions")
@@ -130,7 +129,7 @@ def q_budget_pacing(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
     ).orderBy(F.col("budget_utilization_pct").desc())
 
 
-def q_conversion_funnel(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_conversion_funnel(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Impressions -> clicks -> conversions drop-off per campaign, ordered by spend."""
     cp = sa.campaign_performance(t).filter(in_last_days("date", as_of, 30))
     g = cp.groupBy("account_name", "campaign_name").agg(

@@ -19,7 +19,6 @@ from ..operators.ranks import global_dense_ranks
 from ..operators.shares import with_group_aggs
 from ..operators.windows import lag_change_pct, lag_of, moving_avg, running_total
 from ..sources.catalog import Tables
-from ..sources.roles import ADS_AS_OF
 from ..operators.periods import period_compare
 
 _METRICS = ["spend", "impressions", "clicks", "reach", "actions", "action_values"]
@@ -89,7 +88,7 @@ def fb_account_performance(t: Tables) -> DataFrame:
                     F.col("_fivetran_synced").alias("last_synced_at"))
 
 
-def fb_account_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def fb_account_performance_summary(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     base = fb_account_performance(t)
     m = ["spend", "impressions", "clicks", "reach", "total_actions", "total_action_value"]
     p = period_compare(base, "account_id", as_of, m)
@@ -157,7 +156,7 @@ def fb_campaign_trend_analysis(t: Tables) -> DataFrame:
         "daily_spend_rank", "daily_actions_rank", "daily_reach_rank")
 
 
-def fb_campaign_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def fb_campaign_performance_summary(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     keys = ["campaign_id", "campaign_name", "campaign_status", "campaign_objective", "account_name", "currency_code"]
     g = fb_campaign_performance(t).filter(in_last_days("date", as_of, 30)).groupBy(*keys).agg(
         *_totals(), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
@@ -169,7 +168,7 @@ def fb_campaign_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> D
                     "first_date", "last_date", "active_days")
 
 
-def fb_campaign_objective_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def fb_campaign_objective_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     s = fb_campaign_performance_summary(t, as_of)
     n = F.count_distinct("campaign_id")
     g = s.groupBy("campaign_objective", "account_name").agg(n.alias("campaign_count"), *_resum())
@@ -209,7 +208,7 @@ def fb_adset_performance(t: Tables) -> DataFrame:
         F.col("_fivetran_synced").alias("last_synced_at"))
 
 
-def fb_adset_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def fb_adset_drilldown(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     keys = ["account_id", "account_name", "campaign_id", "campaign_name", "campaign_status", "campaign_objective",
             "adset_id", "adset_name", "adset_status", "optimization_goal", "currency_code"]
     # 30-day totals per (ad set, campaign, account) over the daily roll-up (spend rounded per ad
@@ -251,7 +250,7 @@ def fb_adset_drilldown(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
         "first_date", "last_date", "active_days")
 
 
-def fb_adset_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def fb_adset_performance_summary(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Period comparison per ad set joined to distinct attribute rows (derived from the
     distinct hierarchy keys of the fact, names attached to those keys only)."""
     ids = t["fb_basic_ad"].select("adset_id", "campaign_id", "account_id").distinct()
@@ -277,7 +276,7 @@ def fb_adset_performance_summary(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Data
         change_pct(cur["total_actions"], prev["total_actions"]).alias("actions_change_percent"))
 
 
-def fb_adset_optimization_goal_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def fb_adset_optimization_goal_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     d = fb_adset_drilldown(t, as_of)
     g = d.groupBy("optimization_goal", "campaign_objective").agg(
         F.count_distinct("adset_id").alias("adset_count"), *_resum())
@@ -319,7 +318,7 @@ def fb_ad_performance(t: Tables) -> DataFrame:
         F.col("_fivetran_synced").alias("last_synced_at"))
 
 
-def fb_ad_creative_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def fb_ad_creative_effectiveness(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     attrs = ["ad_id", "ad_name", "ad_status", "creative_id", "creative_name", "creative_title", "creative_body",
              "call_to_action_type", "creative_type_label", "adset_name", "campaign_name", "campaign_objective",
              "account_name", "currency_code"]
@@ -370,7 +369,7 @@ def fb_ad_creative_effectiveness(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Data
         tier.alias("performance_tier"), suggestion.alias("optimization_suggestion"))
 
 
-def fb_ad_creative_type_comparison(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def fb_ad_creative_type_comparison(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     c = fb_ad_creative_effectiveness(t, as_of)
     g = c.groupBy("creative_type_label", "call_to_action_type", "account_name").agg(
         F.count_distinct("ad_id").alias("ad_count"), F.count_distinct("adset_name").alias("adsets_with_type"),
@@ -386,7 +385,7 @@ def fb_ad_creative_type_comparison(t: Tables, as_of: _dt.date = ADS_AS_OF) -> Da
                       "roas": "roas"}))
 
 
-def fb_ad_cta_analysis(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def fb_ad_cta_analysis(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     c = fb_ad_creative_effectiveness(t, as_of).filter(F.col("call_to_action_type").isNotNull())
     g = c.groupBy("call_to_action_type", "campaign_objective").agg(
         F.count_distinct("ad_id").alias("ad_count"), F.sum("total_spend").alias("total_spend"),
@@ -445,7 +444,7 @@ def fb_insights_placements(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- dashboard queries
-def q_fb_executive(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_fb_executive(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     a = fb_account_performance(t).filter(in_last_days("date", as_of, 60))
     cur = in_last_days("date", as_of, 30)
 
@@ -457,7 +456,7 @@ def q_fb_executive(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
         s("reach").alias("current_reach"), s("total_actions").alias("current_actions"))
 
 
-def q_fb_daily_trend(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_fb_daily_trend(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     a = fb_account_performance(t).filter(in_last_days("date", as_of, 90))
     g = a.groupBy("date").agg(F.sum("spend").alias("daily_spend"), F.sum("impressions").alias("daily_impressions"),
                               F.sum("reach").alias("daily_reach"), F.sum("total_actions").alias("daily_actions"),
@@ -467,19 +466,19 @@ def q_fb_daily_trend(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
                     ratio("_clicks", "daily_impressions", "100.0", (10, 4)).alias("daily_ctr")).orderBy("date")
 
 
-def q_fb_campaign_matrix(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_fb_campaign_matrix(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return fb_campaign_performance_summary(t, as_of).filter(F.col("total_spend") > 0).select(
         "campaign_name", "campaign_status", "campaign_objective", "total_spend", "total_reach", "total_actions",
         "total_action_value", "avg_ctr", "avg_cpc", "avg_cost_per_action", "avg_roas", "avg_frequency")
 
 
-def q_fb_adset_overview(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_fb_adset_overview(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return fb_adset_drilldown(t, as_of).filter(F.col("total_spend") > 0).select(
         "adset_name", "campaign_name", "optimization_goal", "total_spend", "total_reach", "total_actions",
         "avg_frequency", "ctr_percent", "cost_per_action", "roas")
 
 
-def q_fb_creative(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def q_fb_creative(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return fb_ad_creative_effectiveness(t, as_of).filter(F.col("total_impressions") > 100).select(
         "ad_name", "creative_type_label", "call_to_action_type", "total_spend", "total_clicks", "total_actions",
         "ctr_percent", "cost_per_action", "roas")
@@ -525,10 +524,12 @@ GENDERS = ["male", "female", "unknown"]
 
 
 def fb_age_gender_matrix(t: Tables) -> DataFrame:
-    """Spend by age (rows) x gender (columns); the gender values are the platform's fixed set."""
+    """Spend by age (rows) x gender (columns): the platform's fixed set, and one column for any other
+    or no gender, so that the columns add up to the age's spend."""
     d = fb_insights_demographics(t)
-    return d.groupBy("age_range").pivot("gender", GENDERS).agg(F.sum("spend")) \
-        .select("age_range", *[F.col(g).alias(f"{g}_spend") for g in GENDERS])
+    listed = F.coalesce(F.col("gender").isin(GENDERS), F.lit(False))
+    return d.groupBy("age_range").agg(*[F.sum(F.when(F.col("gender") == g, F.col("spend"))).alias(f"{g}_spend") for g in GENDERS],
+                                      F.sum(F.when(~listed, F.col("spend"))).alias("other_spend"))
 
 
 def q_fb_demographic(t: Tables) -> DataFrame:

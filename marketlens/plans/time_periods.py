@@ -1,8 +1,8 @@
 """Calendar-driven dashboard queries: date dimension, weekly/monthly comparisons, weekday profile.
 
-Facts are joined to the calendar on ``date`` (the calendar is one row per day of the fact's
-range: a broadcast-sized table), filtered to the look-back window first, aggregated at the
-period grain, and only then windowed per account/campaign.
+Week, month and weekday are functions of the fact's date, so the period queries compute them on the
+fact (no calendar join, the fact is read once), filter to the look-back window first, aggregate at
+the period grain, and only then window per account/campaign.
 """
 from __future__ import annotations
 
@@ -13,22 +13,20 @@ from pyspark.sql import functions as F
 
 from ..functions import ratio
 from ..functions.dates import as_date_lit
-from ..operators.calendar import date_dimension as _calendar, date_spine
+from ..operators.calendar import calendar_columns, date_dimension as _calendar, date_spine
 from ..operators.windows import lag_change_pct, lag_of
 from ..sources.catalog import Tables
-from ..sources.roles import ADS_AS_OF, LONG_AS_OF
 from . import search_ads as sa
 
 
-def date_dimension(t: Tables, as_of: _dt.date = ADS_AS_OF) -> DataFrame:
+def date_dimension(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Calendar over the account_stats date range."""
     return _calendar(date_spine(t["account_stats"]), as_of)
 
 
-def _on_calendar(fact: DataFrame, cal: DataFrame, cols: list[str]) -> DataFrame:
-    # size bound: one row per day between the first and last stats date (3,650 rows for ten
-    # years) - it grows with the calendar, never with the number of facts
-    return fact.join(F.broadcast(cal.select("date", *cols)), "date", "inner")
+def _on_calendar(fact: DataFrame, as_of, cols: list[str]) -> DataFrame:
+    attributes = calendar_columns(F.col("date"), as_of)
+    return fact.where(F.col("date").isNotNull()).withColumns({c: attributes[c] for c in cols})
 
 
 def _period_kpis(prefix: str) -> list:
@@ -46,15 +44,14 @@ def _period_sums(prefix: str) -> list:
             F.sum("conversions_value").alias(f"{prefix}_revenue")]
 
 
-def q_weekly_wow_yoy(t: Tables, as_of: _dt.date = ADS_AS_OF, weeks: int = 12, long_range: bool = False) -> DataFrame:
+def q_weekly_wow_yoy(t: Tables, as_of: _dt.date | None = None, weeks: int = 12, long_range: bool = False) -> DataFrame:
     """Weekly account totals over the last ``weeks`` weeks with LAG 1 (week over week) and
     LAG 52 (same week last year; NULL unless 52 earlier weekly rows exist in the window)."""
     if long_range:
         t = _LongRange(t)
-    cal = date_dimension(t, as_of)
     a = sa.account_performance(t).filter(F.col("date") >= F.date_sub(as_of_lit(as_of), 7 * weeks))
     keys = ["year", "week_of_year", "week_start_date", "week_end_date", "account_name"]
-    w = _on_calendar(a, cal, keys[:4]).groupBy(*keys).agg(*_period_sums("weekly"))
+    w = _on_calendar(a, as_of, keys[:4]).groupBy(*keys).agg(*_period_sums("weekly"))
     p, o = ["account_name"], ["year", "week_of_year"]
     return w.select(
         *keys, "weekly_spend", "weekly_impressions", "weekly_clicks", "weekly_conversions", "weekly_revenue",
@@ -64,17 +61,16 @@ def q_weekly_wow_yoy(t: Tables, as_of: _dt.date = ADS_AS_OF, weeks: int = 12, lo
         lag_of(p, o, "weekly_conversions", 52).alias("same_week_ly_conversions"),
         lag_change_pct(p, o, "weekly_spend", 1).alias("spend_wow_change_pct"),
         lag_change_pct(p, o, "weekly_conversions", 1).alias("conversions_wow_change_pct"),
-        *_period_kpis("weekly"))
+        *_period_kpis("weekly")).orderBy(F.desc("year"), F.desc("week_of_year"), "account_name")
 
 
-def q_monthly_mom_yoy(t: Tables, as_of: _dt.date = ADS_AS_OF, months: int = 13, long_range: bool = False) -> DataFrame:
+def q_monthly_mom_yoy(t: Tables, as_of: _dt.date | None = None, months: int = 13, long_range: bool = False) -> DataFrame:
     """Monthly account totals over the last ``months`` months with LAG 1 and LAG 12."""
     if long_range:
         t = _LongRange(t)
-    cal = date_dimension(t, as_of)
     a = sa.account_performance(t).filter(F.col("date") >= F.add_months(as_of_lit(as_of), -months))
     keys = ["year", "month_number", "month_name", "year_month", "account_name"]
-    m = _on_calendar(a, cal, keys[:4]).groupBy(*keys).agg(*_period_sums("monthly"))
+    m = _on_calendar(a, as_of, keys[:4]).groupBy(*keys).agg(*_period_sums("monthly"))
     p, o = ["account_name"], ["year", "month_number"]
     return m.select(
         *keys, "monthly_spend", "monthly_impressions", "monthly_clicks", "monthly_conversions", "monthly_revenue",
@@ -84,18 +80,17 @@ def q_monthly_mom_yoy(t: Tables, as_of: _dt.date = ADS_AS_OF, months: int = 13,
         lag_of(p, o, "monthly_conversions", 12).alias("same_month_ly_conversions"),
         lag_change_pct(p, o, "monthly_spend", 1).alias("spend_mom_change_pct"),
         lag_change_pct(p, o, "monthly_spend", 12).alias("spend_yoy_change_pct"),
-        *_period_kpis("monthly"))
+        *_period_kpis("monthly")).orderBy(F.desc("year"), F.desc("month_number"), "account_name")
 
 
-def q_day_of_week(t: Tables, as_of: _dt.date = ADS_AS_OF, days: int = 90) -> DataFrame:
+def q_day_of_week(t: Tables, as_of: _dt.date | None = None, days: int = 90) -> DataFrame:
     """Campaign performance by weekday over the last ``days`` days, with each weekday's cost
     per conversion compared to the campaign's average across weekdays."""
     from pyspark.sql import Window
     from ..functions import rules
-    cal = date_dimension(t, as_of)
     c = sa.campaign_performance(t).filter(F.col("date") >= F.date_sub(as_of_lit(as_of), days))
     keys = ["day_name", "day_of_week", "campaign_name", "account_name"]
-    g = _on_calendar(c, cal, ["day_name", "day_of_week"]).groupBy(*keys).agg(
+    g = _on_calendar(c, as_of, ["day_name", "day_of_week"]).groupBy(*keys).agg(
         F.count_distinct("date").alias("days_in_analysis"),
         F.sum("spend").alias("total_spend"), F.avg("spend").alias("avg_daily_spend"),
         F.sum("impressions").alias("total_impressions"), F.avg("impressions").alias("avg_daily_impressions"),
@@ -114,7 +109,7 @@ def q_day_of_week(t: Tables, as_of: _dt.date = ADS_AS_OF, days: int = 90) -> Dat
         ratio("total_spend", "total_conversions", None, (18, 4)).alias("cost_per_conversion"),
         ratio("_value", "total_spend", None, (10, 4)).alias("roas"),
         rules([(has & (cpa < camp_avg), "Above Average"), (has, "Below Average")], "No Conversions")
-        .alias("day_performance"))
+        .alias("day_performance")).orderBy("campaign_name", "day_of_week", "account_name")
 
 
 def as_of_lit(as_of):
@@ -134,11 +129,11 @@ class _LongRange(Tables):
         return self._base[name]
 
 
-def q_weekly_wow_yoy_long(t: Tables) -> DataFrame:
+def q_weekly_wow_yoy_long(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Weekly comparison over the long-range fixture (52-week LAG populated)."""
-    return q_weekly_wow_yoy(t, LONG_AS_OF, weeks=60, long_range=True)
+    return q_weekly_wow_yoy(t, as_of, weeks=60, long_range=True)
 
 
-def q_monthly_mom_yoy_long(t: Tables) -> DataFrame:
+def q_monthly_mom_yoy_long(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """Monthly comparison over the long-range fixture (12-month LAG populated)."""
-    return q_monthly_mom_yoy(t, LONG_AS_OF, months=13, long_range=True)
+    return q_monthly_mom_yoy(t, as_of, months=13, long_range=True)

@@ -2,6 +2,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, update_wrapper
+from inspect import signature
 
 from pyspark.sql import DataFrame
 
@@ -18,8 +20,22 @@ from .plans import report as rq
 from .plans import insights as ins
 from .plans import primitives as pr
 from .sources.catalog import Tables
+from .sources.roles import ADS_AS_OF, CRM_AS_OF, LONG_AS_OF
 
-REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
+#: Plans default to the current date; the driver's tables end at fixed dates, bound here and only here.
+_ADS_MODULES = {m.__name__ for m in (sa, tp, sd, fb, pr)}
+_ADS_PLANS = {"m_ads_daily_measures", "q_kpi_benchmarks_search", "q_kpi_benchmarks_social"}
+_LONG_PLANS = {"q_weekly_wow_yoy_long", "q_monthly_mom_yoy_long"}
+
+
+def _dated(name: str, fn: Callable[..., DataFrame]) -> Callable[[Tables], DataFrame]:
+    if "as_of" not in signature(fn).parameters:
+        return fn
+    ads = fn.__module__ in _ADS_MODULES or name in _ADS_PLANS
+    return update_wrapper(partial(fn, as_of=LONG_AS_OF if name in _LONG_PLANS else ADS_AS_OF if ads else CRM_AS_OF), fn)
+
+
+_PLANS: dict[str, Callable[..., DataFrame]] = {
     "campaign_performance": sa.campaign_performance,
     "campaign_performance_summary": sa.campaign_performance_summary,
     "campaign_trend_analysis": sa.campaign_trend_analysis,
@@ -149,3 +165,5 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "p_shares": pr.p_shares,
     "p_row_windows": pr.p_row_windows,
 }
+
+REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {name: _dated(name, fn) for name, fn in _PLANS.items()}

@@ -1,8 +1,9 @@
 """Session helpers.
 
 Library code never creates a session; callers pass one in. ``local_session`` is for
-tests and the bench only.  ``checkpoint_dir`` reads the cluster's shared
-``spark.checkpoint.dir`` and only falls back to a scratch folder when it is unset.
+tests and the bench only.  ``ensure_checkpoint_dir`` reads the cluster's shared
+``spark.checkpoint.dir``; only a local-mode session (one process) may do without, elsewhere an
+unset folder is an error.
 """
 from __future__ import annotations
 
@@ -34,12 +35,15 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when none is configured."""
+    """Return the shared checkpoint folder; set a scratch one only in local mode when none is configured."""
     current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     scratch = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schemas import SCHEMAS
+from .schemas import OPTIONAL, SCHEMAS
 
 
 class Tables:
@@ -36,8 +36,13 @@ class Tables:
         return name in self._frames or name in self._builders
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project ``df`` onto ``schema``: cast present columns, add absent optional ones as NULL."""
+def conform(df: DataFrame, schema: T.StructType, optional: frozenset[str] = frozenset(), name: str = "table") -> DataFrame:
+    """Project ``df`` onto ``schema``: cast present columns, add absent ``optional`` ones as NULL.
+
+    Any other absent column is an error: a silent NULL would turn into wrong totals."""
+    lacking = [f.name for f in schema.fields if f.name not in df.columns and f.name not in optional]
+    if lacking:
+        raise ValueError(f"{name}: required columns are missing: {', '.join(lacking)}")
     current = {f.name: f.dataType for f in df.schema.fields}
     wanted = [(f.name, f.dataType) for f in schema.fields]
     if list(current.items()) == wanted:
@@ -57,12 +62,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def read_tables(spark: SparkSession, root: str, fmt: str = "parquet", options: Mapping[str, str] | None = None) -> Tables:
     """Read ``{root}/{name}`` for every known source table (Parquet by default, partitioned by
     ``date`` for the daily stats tables so period predicates prune directories).  Optional
-    columns missing from a file are added as NULL (the social breakdown columns)."""
+    columns missing from a file are added as NULL (the social breakdown columns); a missing
+    required column is an error."""
     def builder(name: str):
         def build() -> DataFrame:
             path = os.path.join(root, name)
             reader = spark.read.format(fmt).options(**(options or {}))
-            return conform(reader.load(path), SCHEMAS[name])
+            return conform(reader.load(path), SCHEMAS[name], OPTIONAL.get(name, frozenset()), name)
         return build
     return Tables(spark, {name: builder(name) for name in SCHEMAS})
 
@@ -93,6 +99,6 @@ def read_jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str
                 col, lo, hi, n = partitioning[name]
                 reader = (reader.option("partitionColumn", col).option("lowerBound", str(lo))
                           .option("upperBound", str(hi)).option("numPartitions", str(n)))
-            return conform(reader.load(), SCHEMAS[name])
+            return conform(reader.load(), SCHEMAS[name], OPTIONAL.get(name, frozenset()), name)
         return build
     return Tables(spark, {name: builder(name, table) for name, table in table_names.items() if name in SCHEMAS})

@@ -124,6 +124,13 @@ SCHEMAS: dict[str, T.StructType] = {
                         ("user_agent", S), ("ip_address", S), ("duration", I), ("response", S),
                         ("bounce_category", S), ("drop_reason", S), ("drop_message", S), ("subscription_id", L),
                         ("caused_by_event_id", S)),
+    "contact_list": _tbl(("contact_list_id", L), ("name", S), ("dynamic", B), ("created_at", TS), ("updated_at", TS),
+                         ("list_size", I), ("_fivetran_deleted", B)),
+    "contact_list_member": _tbl(("contact_id", L), ("contact_list_id", L), ("added_at", TS), ("_fivetran_deleted", B)),
+    "email_event_sent": _tbl(("event_id", S), ("from_email", S), ("bcc", S), ("cc", S), ("reply_to", S), ("subject", S)),
+    "email_event_open": _tbl(("event_id", S), ("browser", S), ("ip_address", S), ("location", S), ("user_agent", S),
+                             ("duration", I)),
+    "engagement_note": _tbl(("engagement_id", L), ("body", S)),
     "email_event_bounce": _tbl(("event_id", S), ("category", S), ("response", S), ("status", S)),
     "email_event_click": _tbl(("event_id", S), ("url", S), ("browser", S), ("ip_address", S), ("location", S),
                               ("user_agent", S)),
@@ -144,3 +151,9 @@ SCHEMAS: dict[str, T.StructType] = {
     "engagement_task": _tbl(("engagement_id", L), ("body", S), ("subject", S), ("status", S),
                             ("for_object_type", S), ("task_type", S), ("priority", S), ("completion_date", TS)),
 }
+
+#: Columns that a source may lack (NULL then): the optional social breakdowns. All others are required.
+OPTIONAL: dict[str, frozenset[str]] = {
+    "fb_basic_ad": frozenset({"age", "gender", "publisher_platform", "platform_position", "impression_device",
+                              "device_platform"}),
+}

@@ -6,10 +6,16 @@ source; every micro-batch only says *which dates changed*.  Those dates are reco
 the full source (all rows of those dates, so re-delivered rows replace old ones) through the
 ordinary batch plan and written with dynamic partition overwrite - replaying a batch after a
 failure rewrites the same partitions, so the refresh is idempotent.  Progress lives in the
-checkpoint location (by default under the session's shared ``spark.checkpoint.dir``).
+checkpoint location (by default under the session's shared ``spark.checkpoint.dir``, one per
+stats table and sink, so two marts over one table each see every delivery).
+
+A file source only reports files that arrive.  A date whose rows all vanish from the source, and
+changed history (name) rows, arrive as no stats file: ``rebuild_daily_mart`` rewrites the
+whole sink for these, which also removes dates that have become empty.
 """
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable, Sequence
 
@@ -54,7 +60,8 @@ def refresh_daily_mart(spark: SparkSession, tables: Tables, stats_table: str, st
     schema = SCHEMAS[stats_table]
     if checkpoint_location is None:
         root = ensure_checkpoint_dir(spark)
-        checkpoint_location = os.path.join(root, "refresh", stats_table)
+        sink = hashlib.sha256(sink_path.rstrip("/").encode()).hexdigest()[:16]
+        checkpoint_location = os.path.join(root, "refresh", f"{stats_table}-{sink}")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         # dates touched by this sync: bounded by the days in one delivery, so broadcast is safe
@@ -69,3 +76,8 @@ def refresh_daily_mart(spark: SparkSession, tables: Tables, stats_table: str, st
     writer = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 day")
     return writer.start()
+
+
+def rebuild_daily_mart(tables: Tables, sink_path: str, build: Callable[[Tables], DataFrame], date_col: str = "date") -> None:
+    """Rewrite ``sink_path`` from the full sources: dates without rows disappear, history changes show."""
+    (build(tables).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(date_col).parquet(sink_path))

@@ -390,4 +390,4 @@ SELECT ad_type, account_name, ad_count, ad_groups_with_type, campaigns_with_type
 FROM g""",
 })
 
-SQL["q_top_keywords"] = f"SELECT * FROM ({SQL['keyword_top_performers']}) WHERE conversions_rank <= 10"
+SQL["q_top_keywords"] = f"SELECT * FROM ({SQL['keyword_top_performers']}) ORDER BY conversions_rank, spend_rank, keyword_id, keyword_text, keyword_match_type, keyword_status, quality_score, ad_group_name, campaign_name, account_name LIMIT 10"

@@ -388,7 +388,8 @@ SQL.update({
     "fb_age_gender_matrix": f"""SELECT age_range,
   CAST(SUM(CASE WHEN gender = 'male' THEN spend END) AS DECIMAL(28,2)) AS male_spend,
   CAST(SUM(CASE WHEN gender = 'female' THEN spend END) AS DECIMAL(28,2)) AS female_spend,
-  CAST(SUM(CASE WHEN gender = 'unknown' THEN spend END) AS DECIMAL(28,2)) AS unknown_spend
+  CAST(SUM(CASE WHEN gender = 'unknown' THEN spend END) AS DECIMAL(28,2)) AS unknown_spend,
+  CAST(SUM(spend) FILTER (WHERE gender IS NULL OR gender NOT IN ('male', 'female', 'unknown')) AS DECIMAL(28,2)) AS other_spend
 FROM ({_DEMO}) GROUP BY age_range""",
     "q_fb_demographic": f"""SELECT age_range, gender, total_spend, total_actions, avg_ctr, avg_cost_per_action, avg_roas,
   cost_efficiency_rank FROM ({_DEMO_SUMMARY})""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlens.operators.dims import attach
 from marketlens.operators.latest import latest_by_key, not_deleted
-from marketlens.operators.ranks import SINGLE_TASK_ROWS_CONF, dense_ranks_within, global_ranks
+from marketlens.operators.ranks import dense_ranks_within, global_ranks, top_n
 from marketlens.operators.shares import with_group_aggs
 
 
@@ -38,13 +38,9 @@ def test_bucketed_global_ranks_equal_single_partition_window(spark):
     rnd = random.Random(7)
     rows = [(i, rnd.choice([None] + list(range(40))), rnd.randint(0, 5)) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, v long, w long")
-    spark.conf.set(SINGLE_TASK_ROWS_CONF, "0")  # force the bucketed path
-    try:
-        specs = {"d_desc": ("dense", [("v", False)]), "d_asc": ("dense", [("v", True), ("w", False)]),
-                 "r": ("rank", [("v", True)]), "p": ("percent", [("v", False)])}
-        got = global_ranks(df, specs, buckets=6).collect()
-    finally:
-        spark.conf.unset(SINGLE_TASK_ROWS_CONF)
+    specs = {"d_desc": ("dense", [("v", False)]), "d_asc": ("dense", [("v", True), ("w", False)]),
+             "r": ("rank", [("v", True)]), "p": ("percent", [("v", False)])}
+    got = global_ranks(df, specs, buckets=6).collect()
     for name, (kind, order) in specs.items():
         want = {r.id: r.r for r in _plain(df, order, kind).collect()}
         assert {r.id: r[name] for r in got} == want, name
@@ -70,12 +66,33 @@ def test_bucketed_partitioned_ranks_equal_windows(spark):
     rows = [(i, rnd.choice(["hot"] * 6 + [None, "a", "b", "c"]), rnd.choice([None] + list(range(25))),
              rnd.randint(0, 3)) for i in range(2500)]
     df = spark.createDataFrame(rows, "id long, p string, v long, w long")
-    spark.conf.set(SINGLE_TASK_ROWS_CONF, "0")
-    try:
-        got = dense_ranks_within(df, ["p"], {"r1": [("v", False)], "r2": [("w", True), ("v", False)]}, buckets=5).collect()
-    finally:
-        spark.conf.unset(SINGLE_TASK_ROWS_CONF)
+    got = dense_ranks_within(df, ["p"], {"r1": [("v", False)], "r2": [("w", True), ("v", False)]}, buckets=5).collect()
     for name, order in {"r1": [("v", False)], "r2": [("w", True), ("v", False)]}.items():
         cols = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order]
         want = {r.id: r.r for r in df.select("id", F.dense_rank().over(Window.partitionBy("p").orderBy(*cols)).alias("r")).collect()}
         assert {r.id: r[name] for r in got} == want, name
+
+
+def test_ranks_are_lazy(spark):
+    df = spark.createDataFrame([(i, i % 7, "a") for i in range(50)], "id long, v long, p string")
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy-ranks", "plan only")
+    try:
+        global_ranks(df, {"d": ("dense", [("v", False)]), "p2": ("percent", [("v", True)])})
+        dense_ranks_within(df, ["p"], {"r": [("v", False)]})
+        assert list(sc.statusTracker().getJobIdsForGroup("lazy-ranks")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_value_shared_by_most_keys_is_split(spark):
+    # the first order column is 0 for nearly all keys: buckets must come from the full order
+    df = spark.createDataFrame([(i, 0 if i % 50 else 1, i) for i in range(2000)], "id long, v long, w long")
+    from marketlens.operators.ranks import _ranked_keys
+    keys = _ranked_keys(df, [], [("v", False), ("w", True)], True, 8)
+    assert max(r["count"] for r in keys.groupBy("_b").count().collect()) < 800
+
+
+def test_top_n_breaks_ties_by_the_order(spark):
+    df = spark.createDataFrame([(i, i % 2) for i in range(20)], "id long, v long")
+    assert [r.id for r in top_n(df, [("v", False), ("id", True)], 3).collect()] == [1, 3, 5]

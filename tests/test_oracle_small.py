@@ -7,10 +7,11 @@ import pytest
 import sys
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import __spark_entry__ as E  # noqa: E402
+from marketlens.registry import REGISTRY  # noqa: E402
 from oracle_check import _SPARK2DUCK, TABLES, key_of, norm  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(k for k in E.queries() if k in E.oracle_sql())
+KEYS = sorted(k for k in REGISTRY if k in E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -47,6 +48,34 @@ def test_query_matches_oracle(spark, con, key):
     assert a == b
 
 
+ORDERED = {"q_weekly_wow_yoy": [("year", False), ("week_of_year", False)], "q_monthly_mom_yoy": [("year", False), ("month_number", False)],
+           "q_weekly_wow_yoy_long": [("year", False), ("week_of_year", False)], "q_monthly_mom_yoy_long": [("year", False), ("month_number", False)],
+           "q_day_of_week": [("campaign_name", True), ("day_of_week", True)], "q_daily_trend": [("date", True)]}
+
+
+@pytest.mark.parametrize("key", sorted(ORDERED))
+def test_final_order(spark, key):
+    rows = [tuple(r[c] for c, _ in ORDERED[key]) for r in E.queries()[key](spark, SF).collect()]
+    ascending = ORDERED[key][0][1]
+    assert rows and rows == sorted(rows, reverse=not ascending)
+
+
+def test_top_keywords_is_a_top_10(spark):
+    assert E.queries()["q_top_keywords"](spark, SF).count() == 10
+
+
+def test_rank_queries_start_no_job_before_an_action(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy-queries", "plans only")
+    try:
+        for key in ("keyword_top_performers", "campaign_trend_analysis", "ad_group_drilldown", "p_global_ranks", "q_owner_leaderboard"):
+            E.queries()[key](spark, SF)
+        jobs = [j for j in sc.statusTracker().getJobIdsForGroup("lazy-queries")]
+        assert len(jobs) <= 10, jobs  # schema inference of the parquet tables only
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0

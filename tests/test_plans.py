@@ -5,9 +5,10 @@ import tempfile
 import pytest
 
 import __spark_entry__ as E
+from marketlens.registry import REGISTRY
 from marketlens.plans.search_ads import campaign_performance_summary
 from marketlens.sources.catalog import read_tables
-from marketlens.sources.roles import DriverTables
+from marketlens.sources.roles import ADS_AS_OF, DriverTables
 from marketlens.sources.sinks import publish
 
 SF = "/root/testdata/sf0.001"
@@ -18,7 +19,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(REGISTRY))
 def test_no_cartesian_or_python(spark, key):
     plan = _plan(E.queries()[key](spark, SF))
     for bad in FORBIDDEN:
@@ -34,7 +35,7 @@ def test_period_filter_and_columns_reach_the_scan(spark):
     for name in ["campaign_history", "account_history"]:
         publish(dt[name], os.path.join(root, name))
     t = read_tables(spark, root)
-    df = campaign_performance_summary(t)
+    df = campaign_performance_summary(t, ADS_AS_OF)
     plan = _plan(df)
     scan = [line for line in plan.splitlines() if "campaign_stats" in line and "FileScan" in line][0]
     assert "PartitionFilters: [isnotnull(date" in scan and "2024-03-31" in scan
@@ -42,15 +43,17 @@ def test_period_filter_and_columns_reach_the_scan(spark):
     assert df.count() > 0
 
 
-def test_bucketed_rank_plan_has_no_cartesian(spark):
-    from marketlens.operators.ranks import SINGLE_TASK_ROWS_CONF
-    spark.conf.set(SINGLE_TASK_ROWS_CONF, "0")
-    try:
-        plan = _plan(E.queries()["keyword_top_performers"](spark, SF))
-        plan2 = _plan(E.queries()["ad_copy_effectiveness"](spark, SF))
-    finally:
-        spark.conf.unset(SINGLE_TASK_ROWS_CONF)
+def test_rank_plans_split_by_a_scalar_subquery(spark):
+    plan = _plan(E.queries()["keyword_top_performers"](spark, SF))
     assert "Subquery" in plan
-    for bad in FORBIDDEN:
-        assert bad not in plan, bad
-        assert bad not in plan2, bad
+
+
+def test_plans_default_to_the_current_date(spark):
+    import datetime as dt
+    from marketlens.plans import search_ads
+    t = DriverTables(spark, SF)
+    today = spark.sql("select current_date()").first()[0]
+    moved = t["campaign_stats"].selectExpr("*").withColumn("date", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(today - dt.timedelta(days=3)))
+    from marketlens.streaming import OverlayTables
+    assert search_ads.campaign_performance_summary(OverlayTables(t, {"campaign_stats": moved})).count() > 0
+    assert search_ads.campaign_performance_summary(t).count() == 0  # the fixture ends long before today

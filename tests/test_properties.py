@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from marketlens.functions import ratio
 from marketlens.operators.latest import latest_by_key
 from marketlens.plans import engagements, search_ads
-from marketlens.sources.roles import ADS_AS_OF, DriverTables
+from marketlens.sources.roles import ADS_AS_OF, CRM_AS_OF, DriverTables
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_shares_sum_to_100_per_parent(spark):
-    d = search_ads.ad_group_drilldown(DriverTables(spark, SF))
+    d = search_ads.ad_group_drilldown(DriverTables(spark, SF), ADS_AS_OF)
     sums = d.groupBy("campaign_id").agg(F.sum("pct_of_campaign_spend").alias("s"), F.count(F.lit(1)).alias("n"),
                                         F.sum("total_spend").alias("spend")).collect()
     for r in sums:
@@ -25,7 +25,7 @@ def test_shares_sum_to_100_per_parent(spark):
 
 
 def test_dense_ranks_start_at_one_without_gaps(spark):
-    k = search_ads.keyword_top_performers(DriverTables(spark, SF))
+    k = search_ads.keyword_top_performers(DriverTables(spark, SF), ADS_AS_OF)
     for col in ["conversions_rank", "spend_rank", "roas_rank", "efficiency_rank"]:
         ranks = sorted({r[0] for r in k.select(col).distinct().collect()})
         assert ranks == list(range(1, len(ranks) + 1)), col
@@ -47,15 +47,15 @@ def test_base_view_keeps_every_fact_row(spark):
 
 def test_dedup_never_exceeds_faithful_fanout(spark):
     t = DriverTables(spark, SF)
-    a = {r.owner_id: r.total_call_minutes for r in engagements.engagement_owner_summary(t).collect()}
-    b = {r.owner_id: r.total_call_minutes for r in engagements.engagement_owner_summary_dedup(t).collect()}
+    a = {r.owner_id: r.total_call_minutes for r in engagements.engagement_owner_summary(t, CRM_AS_OF).collect()}
+    b = {r.owner_id: r.total_call_minutes for r in engagements.engagement_owner_summary_dedup(t, CRM_AS_OF).collect()}
     assert a.keys() == b.keys()
     assert all((b[k] or 0) <= (a[k] or 0) for k in a)
 
 
 def test_period_sums_are_additive(spark):
     t = DriverTables(spark, SF)
-    s = {r.account_id: r.current_spend for r in search_ads.account_performance_summary(t).collect()}
+    s = {r.account_id: r.current_spend for r in search_ads.account_performance_summary(t, ADS_AS_OF).collect()}
     start = ADS_AS_OF - dt.timedelta(days=30)
     direct = search_ads.account_performance(t).filter((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(ADS_AS_OF))) \
         .groupBy("account_id").agg(F.sum("spend").alias("s")).collect()

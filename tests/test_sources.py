@@ -70,3 +70,15 @@ def test_jdbc_tables_are_lazy(spark):
                          {"campaign_stats": "ads.campaign_stats", "not_a_table": "x.y"},
                          partitioning={"campaign_stats": ("campaign_id", 0, 1000, 8)})
     assert t.has("campaign_stats") and not t.has("not_a_table")
+
+
+def test_missing_required_column_is_an_error(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="required-")
+    DriverTables(spark, SF)["campaign_stats"].drop("spend").write.parquet(os.path.join(root, "campaign_stats"))
+    with pytest.raises(ValueError, match="campaign_stats: required columns are missing: spend"):
+        read_tables(spark, root)["campaign_stats"]
+
+
+def test_every_declared_table_has_a_schema():
+    assert len(SCHEMAS) == 40

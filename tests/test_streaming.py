@@ -29,3 +29,25 @@ def test_refresh_matches_batch(spark):
     assert got.count() == want.count()
     # every refreshed row equals the batch row (re-delivered day replaced, not duplicated)
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+
+
+def test_two_marts_over_one_table_both_see_every_delivery(spark):
+    base = DriverTables(spark, SF)
+    work = tempfile.mkdtemp(prefix="refresh-two-")
+    src = os.path.join(work, "stats")
+    base["campaign_stats"].write.parquet(os.path.join(src, "sync1"))
+    for name in ("one", "two"):
+        sink = os.path.join(work, name)
+        refresh_daily_mart(spark, base, "campaign_stats", src + "/*", sink, campaign_performance, ["campaign_id"]).awaitTermination()
+        assert spark.read.parquet(sink).count() == campaign_performance(base).count()
+
+
+def test_rebuild_removes_emptied_dates(spark):
+    from marketlens.streaming import OverlayTables, rebuild_daily_mart
+    base = DriverTables(spark, SF)
+    sink = os.path.join(tempfile.mkdtemp(prefix="rebuild-"), "mart")
+    rebuild_daily_mart(base, sink, campaign_performance)
+    day = base["campaign_stats"].agg(F.max("date")).first()[0]
+    fewer = OverlayTables(base, {"campaign_stats": base["campaign_stats"].where(F.col("date") != F.lit(day))})
+    rebuild_daily_mart(fewer, sink, campaign_performance)
+    assert spark.read.parquet(sink).where(F.col("date") == F.lit(day)).count() == 0
