@@ -55,7 +55,7 @@ ORDERED = {"q_weekly_wow_yoy": [("year", False), ("week_of_year", False)], "q_mo
 
 @pytest.mark.parametrize("key", sorted(ORDERED))
 def test_final_order(spark, key):
-    rows = [tuple(r[c] for c, _ in ORDERED[key]) for r in E.queries()[key](spark, SF).collect()]
+    rows = [tuple((r[c] is not None, r[c]) for c, _ in ORDERED[key]) for r in E.queries()[key](spark, SF).collect()]
     ascending = ORDERED[key][0][1]
     assert rows and rows == sorted(rows, reverse=not ascending)
 
@@ -70,8 +70,10 @@ def test_rank_queries_start_no_job_before_an_action(spark):
     try:
         for key in ("keyword_top_performers", "campaign_trend_analysis", "ad_group_drilldown", "p_global_ranks", "q_owner_leaderboard"):
             E.queries()[key](spark, SF)
-        jobs = [j for j in sc.statusTracker().getJobIdsForGroup("lazy-queries")]
-        assert len(jobs) <= 10, jobs  # schema inference of the parquet tables only
+        tracker = sc.statusTracker()
+        infos = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("lazy-queries")]
+        # one-stage jobs read Parquet footers for the schema; nothing is shuffled before an action
+        assert all(len(i.stageIds) == 1 for i in infos if i is not None)
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
 
