@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ from . import common
 from .packing import _UNIT
 
 #: Units whose ids are sent to the executors; all others are folded in their document's row.
-HEAD = 1 << 19
+HEAD = 1 << 18
 #: Distinct units a task counts before it hands them on (memory bound only).
 REMEMBER = 300_000
 RANK_MAPS = 1 << 13
@@ -114,25 +115,44 @@ def unit_counts(docs: DataFrame) -> DataFrame:
     return docs.select(common.text_or_empty().alias("text")).mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
+def _ipc(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+_HEADS: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+
+
+def _head(name: str, sent) -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """Unit -> ids as text, unit -> decoded bytes; built once per worker and query."""
+    if name not in _HEADS:
+        _HEADS.clear()
+        units, ids, raw = ([x for c in col.chunks for x in c.to_pylist()] for col in pa.ipc.open_stream(sent.value).read_all().columns)
+        _HEADS[name] = (dict(zip(units, (i.encode() for i in ids))), dict(zip(units, raw)))
+    return _HEADS[name]
+
+
 def encode_documents(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: int = HEAD, with_ids: bool = False) -> DataFrame:
     """Rows doc_id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]: every row's whole text encoded and decoded again."""
     common.small_batches(spark)
     top = unit_counts(docs).orderBy(F.desc("n"), "unit").limit(head).select("unit")
     top = common.materialize(spark, top).repartition(max(1, spark.sparkContext.defaultParallelism * 4))
     known = encoded(F.array("unit"), ranks, pattern, top).select("unit", F.array_join(F.col("ids")[0], ",").alias("ids"), F.col("bytes")[0].alias("bytes"))
-    table = {r["unit"]: (r["ids"].encode(), bytes(r["bytes"])) for r in known.collect()}  # at most ``head`` rows
-    sent = spark.sparkContext.broadcast(table)
+    # at most ``head`` rows, as Arrow bytes: neither the driver nor a broadcast holds an object per unit
+    sent, name = spark.sparkContext.broadcast(_ipc(known.toArrow())), uuid.uuid4().hex
     src = docs.select("doc_id", common.text_or_empty().alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head_units = sent.value
+        head_units = _head(name, sent)[0]
         for b in batches:
             units = [list({u for u in _UNIT.findall(t) if u not in head_units}) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(units, pa.list_(pa.string()))], names=["doc_id", "text", "rare"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head_ids, head_bytes = ({u: v[i] for u, v in sent.value.items()} for i in (0, 1))
+        head_ids, head_bytes = _head(name, sent)
         for b in batches:
             cols: list[list] = [[], [], [], [], []]
             for text, units, ids, raw in zip(*(b.column(i).to_pylist() for i in range(1, 5))):
