@@ -253,7 +253,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, radius: int = RADIUS)
     lows = comps.join(distinct, F.col("node") == F.col("fp")).select("label", "low").groupBy("label").agg(F.min("low").alias("group_low"))
     by_fp = (distinct.join(comps.join(lows, "label").select(F.col("node").alias("fp"), "group_low"), "fp", "left")
              .select("fp", F.coalesce("group_low", "low").alias("component_id")))
-    return marks.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    # stored, so that both sides of the join are dealt anew and Spark can split a fingerprint that many documents share
+    return marks.join(common.materialize(spark, by_fp), "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(col: str = "fp"):
