@@ -189,7 +189,8 @@ def estimates(spark: SparkSession, rows: DataFrame, floors: dict[str, float], st
     for _ in range(steps):
         measured = rows.join(stats, "grp").select("grp", *names, F.round(F.log1p(_distance(names)) * DISTANCE_GRID).cast("long").alias("bin"))
         limit = _at_share(measured.groupBy("grp", "bin").agg(F.count("*").alias("n")), ["grp"], "bin", {"most": subset})
-        close = measured.join(limit, "grp").where("bin <= most")
+        # stored, so that Spark sees that it is small, or else can split a large group's side of the join
+        close = measured.join(common.materialize(spark, limit), "grp").where("bin <= most")
         moments = close.groupBy("grp").agg(*[F.avg(n).alias(f"mu_{i}") for i, n in enumerate(names)],
                                            *[F.covar_pop(names[i], names[j]).alias(f"c_{i}_{j}") for i in range(p) for j in range(i, p)])
         moments = moments.withColumns({f"c_{i}_{i}": F.col(f"c_{i}_{i}") + float(floors[n]) ** 2 / factor for i, n in enumerate(names)})
