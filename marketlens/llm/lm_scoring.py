@@ -1,8 +1,8 @@
 """Language-model scoring: a hashed maximum-entropy model with class-factored softmax.
 
 log P(token | history) = log P(class | history) + log P(token | class). The class factor is a
-maximum-entropy model over CLASSES classes whose features are hashed: the previous word, the words
-two and three back (skip features) and the classes of the two previous words, plus a bias. The
+maximum-entropy model over CLASSES classes whose features are hashed: the previous word, the word
+two back (a skip feature) and the classes of the two previous words, plus a bias. The
 word factor has one feature per word, whose maximum-entropy solution is the word's smoothed share
 of its class: (c + 1) / (T + V + 1), T and V being the class's training tokens and distinct words
 and c = 0 standing for any unseen word. So every history gives a proper distribution.
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-BUCKETS, CONTEXTS, CLASSES, SINGLES = 1 << 13, 32, 64, 24
-TEMPLATES = 3
+BUCKETS, CONTEXTS, CLASSES, SINGLES = 1 << 13, 32, 32, 12
+TEMPLATES = 2
 ROWS = TEMPLATES * BUCKETS + CLASSES * CLASSES + 1
 BIAS = ROWS - 1
 #: Words whose counts are sent to the executors; the others' counts are joined.
@@ -42,7 +42,7 @@ HEAD = 1 << 18
 #: Words a worker remembers beyond these (memory bound only).
 REMEMBER = 400_000
 #: DAMPING keeps the first steps of rarely seen rows small.
-BATCH, RATE, DAMPING, EPOCHS = 4096, 0.25, 3.0, 1
+BATCH, RATE, DAMPING, EPOCHS = 8192, 0.5, 3.0, 1
 FAN_IN, BLOCK_ROWS = 16, 1024
 END = b"\n"  # no word holds white space
 HELD_OUT = (7, 2)
@@ -85,7 +85,7 @@ class Lexicon(dict):
 
 
 def contexts(buckets: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """All texts' buckets in one array, and the buckets one, two and three tokens back (END before a text)."""
+    """All texts' buckets in one array, and the buckets one to TEMPLATES tokens back (END before a text)."""
     flat, end = np.concatenate(buckets), bucket(END)
     place = np.concatenate([np.arange(len(b)) for b in buckets])
     back = []
@@ -113,21 +113,25 @@ def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def train_rows(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
-    """One Adagrad step on a batch, in place; ``used`` counts the tokens behind each row."""
+    """One Adagrad step on a batch, in place (a step size for each row); ``used`` counts the tokens behind each row."""
     grad = np.exp(log_softmax(weights, rows))
     grad[np.arange(len(target)), target] -= 1
 
-    def step(at, g, n):
-        squares[at] += g * g
-        weights[at] -= RATE * g / np.sqrt(squares[at] + DAMPING)
+    def step(at: np.ndarray, g: np.ndarray, n) -> None:
+        squares[at] += np.einsum("ij,ij->i", g, g)
+        g *= (RATE / np.sqrt(squares[at] + DAMPING))[:, None]
+        weights[at] -= g
         used[at] += n
 
-    step(BIAS, grad.sum(axis=0), len(target))
+    totals = []
     for j in range(rows.shape[1]):
         order = np.argsort(rows[:, j], kind="stable")
         own = rows[order, j]
         starts = np.nonzero(np.r_[True, own[1:] != own[:-1]])[0]
-        step(own[starts], np.add.reduceat(grad[order], starts, axis=0), np.diff(np.r_[starts, len(own)]))
+        totals.append((own[starts], np.add.reduceat(grad[order], starts, axis=0), np.diff(np.r_[starts, len(own)])))
+    totals.append((np.array([BIAS]), grad.sum(axis=0, keepdims=True), len(target)))
+    for total in totals:
+        step(*total)
 
 
 # ------------------------------------------------------------------ distributed sums of fixed-size tables
@@ -247,7 +251,7 @@ def train_weights(spark: SparkSession, train: DataFrame, classes: np.ndarray, pr
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lexicon, w = Lexicon([]), sent.value.copy()
-            squares, used, shard = np.zeros_like(w), np.zeros(ROWS, dtype="f4"), 0
+            squares, used, shard = np.zeros(ROWS, dtype="f4"), np.zeros(ROWS, dtype="f4"), 0
             for batch in batches:
                 shard = batch.column(1)[0].as_py() if len(batch) else shard
                 parts = [lexicon.buckets[lexicon.codes(tokens(t))] for t in batch.column(0).to_pylist()]
@@ -279,9 +283,9 @@ def fit(spark: SparkSession, docs: DataFrame, head: int = HEAD) -> Model:
     t = np.array([sizes.get(k, (0, 0))[0] for k in range(CLASSES)], dtype="f8")
     v = np.array([sizes.get(k, (0, 0))[1] for k in range(CLASSES)], dtype="f8")
     weights = train_weights(spark, train, classes, np.log((t + 1) / (t.sum() + CLASSES)).astype("f4"))
-    top = counts.orderBy(F.desc("c"), "word").limit(head).collect()
-    return Model(classes, weights, np.log10(t + v + 1), [bytes(r["word"]) for r in top],
-                 np.log10(np.array([r["c"] for r in top], dtype="f8") + 1), int(t.sum()), int(v.sum()), counts)
+    top = counts.orderBy(F.desc("c"), "word").limit(head).toArrow()  # compact on the driver, at most ``head`` rows
+    return Model(classes, weights, np.log10(t + v + 1), top.column("word").to_pylist(),
+                 np.log10(np.array(top.column("c").to_pylist(), dtype="f8") + 1), int(t.sum()), int(v.sum()), counts)
 
 
 # ------------------------------------------------------------------ scoring
