@@ -108,6 +108,13 @@ def q_rls_campaign_performance(t: Tables) -> DataFrame:
     return restrict_to(search_ads.campaign_performance(t), accounts, "account_id")
 
 
+def q_campaign_summary_sliced(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
+    """Campaign summary under report slicers: two channel types, at least one day active, spend from 10 up."""
+    from ..sources.catalog import slice_rows
+    return slice_rows(search_ads.campaign_performance_summary(t, as_of),
+                      {"advertising_channel_type": ["SEARCH", "DISPLAY"], "active_days": (1, None), "total_spend": (10, None)})
+
+
 def q_cross_platform_daily(t: Tables) -> DataFrame:
     """Per day: search spend, social spend and new CRM contacts side by side.
 

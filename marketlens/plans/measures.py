@@ -24,9 +24,27 @@ def divide(a: Column, b: Column) -> Column:
 
 
 def evaluate(df: DataFrame, base: Mapping[str, Column], derived: Mapping[str, Callable[[], Column]] | None = None,
-             by: Sequence[str] = ()) -> DataFrame:
+             by: Sequence[str] = (), filters: Mapping[str, str] | None = None) -> DataFrame:
+    """``filters`` names the column that a measure's CALCULATE filter sets.  A filter on a grouping column
+    replaces that column's own filter: the measure is taken per the other grouping columns and shows the
+    same value on every row that differs in that column only."""
     g = df.groupBy(*by).agg(*[c.alias(n) for n, c in base.items()]) if by else \
         df.agg(*[c.alias(n) for n, c in base.items()])
+    for column in dict.fromkeys((filters or {}).values()):
+        if column not in by:
+            continue
+        names, rest = [n for n, c in filters.items() if c == column and n in base], [b for b in by if b != column]
+        if not rest:
+            total = df.agg(F.struct(*[base[n].alias(n) for n in names])).scalar()
+            g = g.withColumns({n: total.getField(n) for n in names})
+            continue
+        r = df.groupBy(*[F.col(b).alias(f"__f_{b}") for b in rest]).agg(*[base[n].alias(n) for n in names])
+        cond = None
+        for b in rest:
+            term = F.col(b).eqNullSafe(F.col(f"__f_{b}"))
+            cond = term if cond is None else cond & term
+        g = g.drop(*names).join(r, cond, "left").drop(*[f"__f_{b}" for b in rest])
+    g = g.select(*by, *base)
     if derived:
         g = g.select("*", *[fn().alias(n) for n, fn in derived.items()])
     return g
@@ -57,6 +75,12 @@ def deal_measures() -> tuple[dict, dict]:
     return base, derived
 
 
+#: The column each CALCULATE measure filters (it replaces that column's filter, see ``evaluate``).
+CONTACT_FILTERS = {"total_customers": "lifecycle_stage", "new_contacts_30d": "created_at"}
+DEAL_FILTERS = {"open_deals": "deal_status", "pipeline_value": "deal_status", "weighted_pipeline": "deal_status",
+                "won_deals": "is_closed_won", "closed_won_revenue": "is_closed_won"}
+
+
 EMAIL_MEASURES = {"avg_open_rate": lambda: F.avg("unique_open_rate"), "avg_click_rate": lambda: F.avg("unique_click_rate"),
                   "avg_delivery_rate": lambda: F.avg("delivery_rate"), "total_emails_sent": lambda: F.sum("sent_count")}
 
@@ -78,6 +102,20 @@ def m_deal_measures(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return evaluate(deal_performance(t, as_of), base, derived).drop("_closed_deals")
 
 
+def m_contact_measures_by_stage(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
+    """The contact measures on a lifecycle-stage axis: total customers repeats its total on every stage."""
+    from .crm import contact_performance
+    base, derived = contact_measures(as_of)
+    return evaluate(contact_performance(t, as_of), base, derived, ["lifecycle_stage"], CONTACT_FILTERS)
+
+
+def m_deal_measures_by_status(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
+    """The deal measures on a (status, owner) axis: open deals and pipeline repeat per owner on every status."""
+    from .crm import deal_performance
+    base, derived = deal_measures()
+    return evaluate(deal_performance(t, as_of), base, derived, ["deal_status", "owner_id"], DEAL_FILTERS).drop("_closed_deals")
+
+
 def m_email_measures(t: Tables) -> DataFrame:
     from .email import email_performance
     return evaluate(email_performance(t), {n: fn() for n, fn in EMAIL_MEASURES.items()})

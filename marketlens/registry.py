@@ -24,7 +24,7 @@ from .sources.roles import ADS_AS_OF, CRM_AS_OF, LONG_AS_OF
 
 #: Plans default to the current date; the driver's tables end at fixed dates, bound here and only here.
 _ADS_MODULES = {m.__name__ for m in (sa, tp, sd, fb, pr)}
-_ADS_PLANS = {"m_ads_daily_measures", "q_kpi_benchmarks_search", "q_kpi_benchmarks_social"}
+_ADS_PLANS = {"m_ads_daily_measures", "q_kpi_benchmarks_search", "q_kpi_benchmarks_social", "q_campaign_summary_sliced"}
 _LONG_PLANS = {"q_weekly_wow_yoy_long", "q_monthly_mom_yoy_long"}
 
 
@@ -127,6 +127,8 @@ _PLANS: dict[str, Callable[..., DataFrame]] = {
     "q_cross_channel": cd.q_cross_channel,
     "m_contact_measures": ms.m_contact_measures,
     "m_deal_measures": ms.m_deal_measures,
+    "m_contact_measures_by_stage": ms.m_contact_measures_by_stage,
+    "m_deal_measures_by_status": ms.m_deal_measures_by_status,
     "m_email_measures": ms.m_email_measures,
     "m_engagement_measures": ms.m_engagement_measures,
     "m_ads_daily_measures": ms.m_ads_daily_measures,
@@ -149,6 +151,7 @@ _PLANS: dict[str, Callable[..., DataFrame]] = {
     "q_deal_velocity": ins.q_deal_velocity,
     "q_deal_benchmarks": ins.q_deal_benchmarks,
     "q_rls_campaign_performance": ins.q_rls_campaign_performance,
+    "q_campaign_summary_sliced": ins.q_campaign_summary_sliced,
     "q_cross_platform_daily": ins.q_cross_platform_daily,
     "q_hour_of_day": ins.q_hour_of_day,
     "fb_demographic_summary": fb.fb_demographic_summary,

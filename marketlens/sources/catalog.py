@@ -36,6 +36,39 @@ class Tables:
         return name in self._frames or name in self._builders
 
 
+def slice_rows(df: DataFrame, slicers: Mapping[str, object]) -> DataFrame:
+    """Report slicers on a result: ``{column: value | list of values | (low, high)}``; a bound may be None.
+
+    Slicers on columns that ``df`` lacks are an error here (see ``Sliced`` for whole reports)."""
+    for name, want in slicers.items():
+        col = F.col(name)
+        if isinstance(want, tuple):
+            low, high = want
+            df = df.where(col >= F.lit(low)) if low is not None else df
+            df = df.where(col <= F.lit(high)) if high is not None else df
+        elif isinstance(want, (list, set, frozenset)):
+            df = df.where(col.isin(list(want)))
+        else:
+            df = df.where(col == F.lit(want))
+    return df
+
+
+class Sliced(Tables):
+    """``base`` with slicers applied to every source table that has their columns: plain predicates on
+    the scan, so a date or account slicer prunes before anything is joined or aggregated."""
+
+    def __init__(self, base: Tables, slicers: Mapping[str, object]):
+        super().__init__(base.spark)
+        self._base, self._slicers = base, dict(slicers)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self._base[name]
+        return slice_rows(df, {c: v for c, v in self._slicers.items() if c in df.columns})
+
+    def has(self, name: str) -> bool:
+        return self._base.has(name)
+
+
 def conform(df: DataFrame, schema: T.StructType, optional: frozenset[str] = frozenset(), name: str = "table") -> DataFrame:
     """Project ``df`` onto ``schema``: cast present columns, add absent ``optional`` ones as NULL.
 

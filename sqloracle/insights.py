@@ -61,3 +61,6 @@ SELECT CAST(hour(timestamp) AS INTEGER) AS hour_of_day, type AS engagement_type,
   COUNT(DISTINCT owner_id) AS active_owners
 FROM engagement WHERE _fivetran_deleted = false AND timestamp IS NOT NULL GROUP BY hour(timestamp), type""",
 }
+
+SQL["q_campaign_summary_sliced"] = f"""SELECT * FROM ({search_ads.SQL['campaign_performance_summary']})
+WHERE advertising_channel_type IN ('SEARCH', 'DISPLAY') AND active_days >= 1 AND total_spend >= 10"""

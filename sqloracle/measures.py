@@ -97,3 +97,20 @@ FROM d
 LEFT JOIN d w ON w.date = d.date - 7
 LEFT JOIN d m ON m.date = CAST(d.date - INTERVAL 1 MONTH AS DATE)
 LEFT JOIN d y ON y.date = CAST(d.date - INTERVAL 12 MONTH AS DATE)"""
+
+SQL["m_contact_measures_by_stage"] = views(cpv="contact_performance") + f"""
+SELECT g.*, c.total_customers, {div('c.total_customers', 'g.total_contacts')} * 100 AS customer_conversion_rate
+FROM (SELECT lifecycle_stage, COUNT(*) AS total_contacts, CAST(SUM(total_revenue) AS DECIMAL(28,2)) AS total_contact_revenue,
+    COUNT(*) FILTER (created_at >= CAST({A} - 30 AS TIMESTAMP)) AS new_contacts_30d FROM cpv GROUP BY lifecycle_stage) g,
+  (SELECT COUNT(*) AS total_customers FROM cpv WHERE lifecycle_stage = 'customer') c"""
+
+SQL["m_deal_measures_by_status"] = views(dpv="deal_performance") + f"""
+SELECT g.* EXCLUDE (closed), coalesce(o.n, 0) AS open_deals, o.v AS pipeline_value, o.w AS weighted_pipeline,
+  {div('g.won_deals', 'g.closed')} * 100 AS deal_win_rate, {div('o.v', 'coalesce(o.n, 0)')} AS avg_deal_size
+FROM (SELECT deal_status, owner_id, COUNT(*) AS total_deals, COUNT(*) FILTER (is_closed_won) AS won_deals,
+    COUNT(*) FILTER (is_closed AND NOT is_closed_won) AS lost_deals, COUNT(*) FILTER (is_closed) AS closed,
+    CAST(SUM(amount) FILTER (is_closed_won) AS DECIMAL(28,2)) AS closed_won_revenue, AVG(actual_days_to_close) AS avg_days_to_close
+  FROM dpv GROUP BY deal_status, owner_id) g
+LEFT JOIN (SELECT owner_id, COUNT(*) FILTER (deal_status = 'Open') AS n, CAST(SUM(amount) FILTER (deal_status = 'Open') AS DECIMAL(28,2)) AS v,
+    CAST(SUM(weighted_amount) FILTER (deal_status = 'Open') AS DECIMAL(38,8)) AS w FROM dpv GROUP BY owner_id) o
+  ON g.owner_id IS NOT DISTINCT FROM o.owner_id"""

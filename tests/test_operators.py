@@ -96,3 +96,11 @@ def test_a_value_shared_by_most_keys_is_split(spark):
 def test_top_n_breaks_ties_by_the_order(spark):
     df = spark.createDataFrame([(i, i % 2) for i in range(20)], "id long, v long")
     assert [r.id for r in top_n(df, [("v", False), ("id", True)], 3).collect()] == [1, 3, 5]
+
+
+def test_attach_can_ignore_case(spark):
+    fact = spark.createDataFrame([("Ab", 1), ("x", 2), (None, 3)], "k string, v long")
+    dim = spark.createDataFrame([("aB", "one")], "k string, name string")
+    out = {r.k: r.name for r in attach(fact, dim, "k", {"name": "name"}, ignore_case=True).collect()}
+    assert out == {"Ab": "one", "x": None, None: None}
+    assert {r.name for r in attach(fact, dim, "k", {"name": "name"}).collect()} == {None}

@@ -82,3 +82,17 @@ def test_missing_required_column_is_an_error(spark):
 
 def test_every_declared_table_has_a_schema():
     assert len(SCHEMAS) == 40
+
+
+def test_slicers_filter_sources_and_results(spark):
+    import pytest
+    from marketlens.sources.catalog import Sliced, slice_rows
+    base = DriverTables(spark, SF)
+    days = [r[0] for r in base["campaign_stats"].select("date").distinct().orderBy("date").collect()]
+    sliced = Sliced(base, {"date": (days[3], days[5]), "campaign_id": [r[0] for r in base["campaign_stats"].select("campaign_id").distinct().limit(2).collect()]})
+    assert {r[0] for r in sliced["campaign_stats"].select("date").distinct().collect()} <= set(days[3:6])
+    assert sliced["owner"].count() == base["owner"].count()  # has neither column
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "x int, y string")
+    assert slice_rows(df, {"x": (2, None)}).count() == 2 and slice_rows(df, {"y": "a"}).count() == 1
+    with pytest.raises(Exception):
+        slice_rows(df, {"z": 1}).count()
