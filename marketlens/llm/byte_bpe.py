@@ -6,9 +6,11 @@ step merges the adjacent pair of the lowest rank, leftmost first, until no pair
 come from a literal map, kept as an array of small maps so that a look-up compares few keys. Byte
 strings are held as text of one character per byte (Latin-1).
 
-Only distinct units are folded: the HEAD most frequent of the corpus once (their ids travel to the
-executors), and of each document the distinct units that are not among these. Nothing is shuffled but
-unit counts, so a document's length or a frequent word gathers nothing in one task.
+Only distinct units are folded. The HEAD most frequent of the corpus are folded once by these functions and
+their ids travel to the executors; the units of a document that are not among these are folded
+there by the same merges in Python, for folding every rare unit in the row took the higher-order
+functions about 300 microseconds a unit, beyond the limits (figures in the README). Nothing is
+shuffled but unit counts, so a document's length or a frequent word gathers nothing in one task.
 
 Defined results: null text counts as empty (no ids, decoded to no bytes); rows with a null id and
 repeated rows are encoded like any other; an empty table gives no rows; further columns are ignored.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import json
 import uuid
 from collections import Counter
@@ -28,11 +31,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .packing import _UNIT
+from .packing import _SPACE, _UNIT
 
-#: Units whose ids are sent to the executors; all others are folded in their document's row.
-HEAD = 1 << 18
-#: Distinct units a task counts before it hands them on (memory bound only).
+#: Units whose ids are sent to the executors; all others are folded in their document's task.
+HEAD = 1 << 17
+#: Distinct units a task counts before it hands them on, or remembers when folded (memory bound only).
 REMEMBER = 300_000
 RANK_MAPS = 1 << 13
 NO_RANK = 2 ** 31 - 1
@@ -122,16 +125,92 @@ def _ipc(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-_HEADS: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
-
-
-def _head(name: str, sent) -> tuple[dict[str, bytes], dict[str, bytes]]:
-    """Unit -> ids as text, unit -> decoded bytes; built once per worker and query."""
-    if name not in _HEADS:
-        _HEADS.clear()
-        units, ids, raw = ([x for c in col.chunks for x in c.to_pylist()] for col in pa.ipc.open_stream(sent.value).read_all().columns)
-        _HEADS[name] = (dict(zip(units, (i.encode() for i in ids))), dict(zip(units, raw)))
-    return _HEADS[name]
+def split_pattern(pattern: str) -> str:
+    """``pattern`` with its white space spelled out as Unicode's, as the library and Java's (?U) read it."""
+    return pattern.replace("[^\\s", f"[^{_SPACE}").replace("\\S", f"[^{_SPACE}]").replace("\\s", f"[{_SPACE}]")
+
+
+def fold(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one match of the pattern: the lowest-ranked adjacent pair is merged, leftmost first, until none has a rank."""
+    if piece in ranks:
+        return [ranks[piece]]
+    if len(piece) > 200:
+        return _fold_long(piece, ranks)
+    parts = [piece[i:i + 1] for i in range(len(piece))]
+    pairs = [ranks.get(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        low = min(pairs)
+        if low == NO_RANK:
+            break
+        j = pairs.index(low)
+        parts[j:j + 2] = [parts[j] + parts[j + 1]]
+        del pairs[j]
+        if j:
+            pairs[j - 1] = ranks.get(parts[j - 1] + parts[j], NO_RANK)
+        if j < len(pairs):
+            pairs[j] = ranks.get(parts[j] + parts[j + 1], NO_RANK)
+    return [ranks[p] for p in parts]
+
+
+def _fold_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges in n log n steps: a heap of pairs over a linked list of parts."""
+    end, n = [i + 1 for i in range(len(piece))], len(piece)  # a part that starts at i ends at end[i]; 0: merged away
+    before = [i - 1 for i in range(n + 1)]
+    heap = []
+
+    def offer(i: int) -> None:
+        if 0 <= i and end[i] < n:
+            rank = ranks.get(piece[i:end[end[i]]])
+            if rank is not None:
+                heapq.heappush(heap, (rank, i, end[i], end[end[i]]))
+
+    for i in range(n):
+        offer(i)
+    while heap:
+        _, i, mid, stop = heapq.heappop(heap)
+        if end[i] != mid or mid >= n or end[mid] != stop:
+            continue  # a part of this pair has been merged meanwhile
+        end[i], end[mid] = stop, 0
+        before[stop] = i
+        offer(i)
+        offer(before[i])
+    out, i = [], 0
+    while i < n:
+        out.append(ranks[piece[i:end[i]]])
+        i = end[i]
+    return out
+
+
+class UnitCoder:
+    """A worker's units: ids as text and decoded bytes, from the head or folded when first met."""
+
+    def __init__(self, head: pa.Table, ranks: dict[bytes, int], pattern: str) -> None:
+        import regex
+        units, ids, raw = ([x for c in col.chunks for x in c.to_pylist()] for col in head.columns)
+        self.ids, self.raw = dict(zip(units, (i.encode() for i in ids))), dict(zip(units, raw))
+        self._room, self._head = len(self.ids) + REMEMBER, list(self.ids)
+        self._ranks, self._pieces = ranks, {i: p for p, i in ranks.items()}
+        self._match = regex.compile(split_pattern(pattern)).findall
+
+    def learn(self, units: set[str]) -> None:
+        if len(self.ids) > self._room:
+            self.ids, self.raw = ({u: d[u] for u in self._head} for d in (self.ids, self.raw))
+        for unit in units:
+            ids = [i for m in self._match(unit) for i in fold(m.encode(), self._ranks)]
+            self.ids[unit] = ",".join(map(str, ids)).encode()
+            self.raw[unit] = b"".join([self._pieces[i] for i in ids])
+
+    def encode(self, text: str) -> tuple[bytes, bytes]:
+        """The ids joined by commas, and the bytes they decode to."""
+        units = _UNIT.findall(text)
+        ids = list(map(self.ids.get, units))
+        if None in ids:
+            self.learn({u for u, x in zip(units, ids) if x is None})
+            ids = list(map(self.ids.get, units))
+        return b",".join(ids), b"".join(map(self.raw.__getitem__, units))
+
+
+_CODERS: dict[str, UnitCoder] = {}
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, int], pattern: str, head: int = HEAD, with_ids: bool = False) -> DataFrame:
@@ -141,25 +220,19 @@ def encode_documents(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, in
     top = common.materialize(spark, top).repartition(max(1, spark.sparkContext.defaultParallelism * 4))
     known = encoded(F.array("unit"), ranks, pattern, top).select("unit", F.array_join(F.col("ids")[0], ",").alias("ids"), F.col("bytes")[0].alias("bytes"))
     # at most ``head`` rows, as Arrow bytes: neither the driver nor a broadcast holds an object per unit
-    sent, name = spark.sparkContext.broadcast(_ipc(known.toArrow())), uuid.uuid4().hex
+    sent, name = spark.sparkContext.broadcast((_ipc(known.toArrow()), ranks)), uuid.uuid4().hex
     src = docs.select("doc_id", common.text_or_empty().alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head_units = _head(name, sent)[0]
-        for b in batches:
-            units = [list({u for u in _UNIT.findall(t) if u not in head_units}) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(units, pa.list_(pa.string()))], names=["doc_id", "text", "rare"])
-
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head_ids, head_bytes = _head(name, sent)
+        if name not in _CODERS:  # built once per worker and query
+            _CODERS.clear()
+            _CODERS[name] = UnitCoder(pa.ipc.open_stream(sent.value[0]).read_all(), sent.value[1], pattern)
+        coder = _CODERS[name]
         for b in batches:
             cols: list[list] = [[], [], [], [], []]
-            for text, units, ids, raw in zip(*(b.column(i).to_pylist() for i in range(1, 5))):
-                own_ids, own_bytes = dict(zip(units, (i.encode() for i in ids))), dict(zip(units, raw))
-                found = _UNIT.findall(text)
-                line = b",".join([head_ids.get(u) or own_ids[u] for u in found])
-                back = b"".join([head_bytes.get(u) or own_bytes[u] for u in found])
+            for text in b.column(1).to_pylist():
+                line, back = coder.encode(text)
                 cols[0].append(line.count(b",") + 1 if line else 0)
                 cols[1].append(hashlib.sha256(line).hexdigest())
                 cols[2].append(hashlib.sha256(back).hexdigest())
@@ -171,7 +244,4 @@ def encode_documents(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, in
                 arrays += [pa.array(cols[3], pa.list_(pa.int32())), pa.array(cols[4], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][:len(arrays)])
 
-    parts = src.mapInArrow(rare, f"doc_id {kind}, text string, rare array<string>")
-    parts = encoded(F.col("rare"), ranks, pattern, parts).select(
-        "doc_id", "text", "rare", F.transform("ids", lambda x: F.array_join(x, ",")).alias("ids"), "bytes")
-    return parts.mapInArrow(assemble, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if with_ids else ""))
+    return src.mapInArrow(assemble, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if with_ids else ""))

@@ -36,5 +36,14 @@ def test_equals_tiktoken_and_round_trips(spark):
             assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_folds_equal_tiktoken():
+    rnd = random.Random(1)
+    for n in (1, 2, 3, 7, 20, 150, 201, 400, 3000):
+        for alphabet in ("ab", "aeiounrst", "thesingreation", "éñç漢"):
+            piece = "".join(rnd.choices(alphabet, k=n)).encode()
+            assert byte_bpe.fold(piece, RANKS) == LIB.encode_single_piece(piece)
+            assert byte_bpe._fold_long(piece, RANKS) == byte_bpe.fold(piece, RANKS) or piece in RANKS
+
+
 def test_empty_table(spark):
     assert byte_bpe.encode_documents(spark, spark.createDataFrame([], "doc_id long, text string"), RANKS, P.PATTERN).count() == 0
