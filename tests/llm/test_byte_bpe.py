@@ -40,10 +40,21 @@ def test_folds_equal_tiktoken():
     rnd = random.Random(1)
     for n in (1, 2, 3, 7, 20, 150, 201, 400, 3000):
         for alphabet in ("ab", "aeiounrst", "thesingreation", "éñç漢"):
-            piece = "".join(rnd.choices(alphabet, k=n)).encode()
-            assert byte_bpe.fold(piece, RANKS) == LIB.encode_single_piece(piece)
+            text = "".join(rnd.choices(alphabet, k=n))  # letters only: one match of the pattern
+            piece = text.encode()
+            assert byte_bpe.fold(piece, RANKS) == LIB.encode_ordinary(text)
             assert byte_bpe._fold_long(piece, RANKS) == byte_bpe.fold(piece, RANKS) or piece in RANKS
 
 
+def test_units_survive_a_full_memory(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(byte_bpe, "REMEMBER", 3)
+    none = pa.table({"u": pa.array([], pa.string()), "i": pa.array([], pa.string()), "b": pa.array([], pa.binary())})
+    coder = byte_bpe.UnitCoder(none, RANKS, P.PATTERN)
+    for text in ["a b c d e", "c d x y", "x a b zz", "a a a", "q r s t u v w a"] * 2:
+        line, raw = coder.encode(text)
+        assert line.decode() == ",".join(map(str, LIB.encode_ordinary(text))) and raw == text.encode()
+
+
 def test_empty_table(spark):
     assert byte_bpe.encode_documents(spark, spark.createDataFrame([], "doc_id long, text string"), RANKS, P.PATTERN).count() == 0
