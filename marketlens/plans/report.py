@@ -98,3 +98,35 @@ def rq_engagement_by_weekday(t: Tables) -> DataFrame:
 def rq_owner_engagement_table(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     return summarize(engagements.engagement_owner_summary(t, as_of), "EngagementOwnerSummary", ["owner_name"],
                      ["total_engagements", "total_calls", "total_meetings"])
+
+
+#: Many-to-one relationships of the model: name -> (column of the many side, key of the one side).
+RELATIONSHIPS = {"ContactToCompany": ("associated_company_id", "company_id"),
+                 "DealToOwnerPerformance": ("owner_id", "owner_id"),
+                 "DealToForecast": ("owner_id", "owner_id")}
+
+
+def across(many: DataFrame, one: DataFrame, relationship: str, columns: Mapping[str, str], slicers: Mapping[str, object] | None = None) -> DataFrame:
+    """Bring columns of the one side to the many side, and let filters set on the one side reach it.
+
+    Without ``slicers`` rows of no partner stay (the model's blank row); a filter on the one side
+    leaves only rows whose partner passes it."""
+    from ..operators.dims import attach
+    from ..sources.catalog import slice_rows
+    column, key = RELATIONSHIPS[relationship]
+    chosen = slice_rows(one, slicers) if slicers else one
+    return attach(many, chosen, {column: key}, columns, "inner" if slicers else "left")
+
+
+def rq_contacts_by_company_health(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
+    """Contact measures by the health of the related company (ContactToCompany)."""
+    rows = across(crm.contact_performance(t, as_of), crm.company_performance(t, as_of), "ContactToCompany",
+                  {"account_health_status": "company_health"})
+    return _measure(rows, ["company_health"], {"total_contacts": "total_contacts", "total_contact_revenue": "total_contact_revenue"}, as_of)
+
+
+def rq_deals_of_winning_owners(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
+    """Deals by status, filtered from the other side of DealToOwnerPerformance: owners with a win rate of 40 or more."""
+    rows = across(crm.deal_performance(t, as_of), crm.deal_owner_performance(t, as_of).where(F.col("owner_id").isNotNull()),
+                  "DealToOwnerPerformance", {}, {"win_rate": (40, None)})
+    return summarize(rows, "DealPerformance", ["deal_status"], ["amount", "weighted_amount"])

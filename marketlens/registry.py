@@ -136,6 +136,8 @@ _PLANS: dict[str, Callable[..., DataFrame]] = {
     "rq_stage_counts": rq.rq_stage_counts,
     "rq_engagement_line": rq.rq_engagement_line,
     "rq_contacts_by_lifecycle": rq.rq_contacts_by_lifecycle,
+    "rq_contacts_by_company_health": rq.rq_contacts_by_company_health,
+    "rq_deals_of_winning_owners": rq.rq_deals_of_winning_owners,
     "rq_contacts_by_source": rq.rq_contacts_by_source,
     "rq_contact_owner_table": rq.rq_contact_owner_table,
     "rq_pipeline_funnel": rq.rq_pipeline_funnel,

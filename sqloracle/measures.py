@@ -114,3 +114,11 @@ FROM (SELECT deal_status, owner_id, COUNT(*) AS total_deals, COUNT(*) FILTER (is
 LEFT JOIN (SELECT owner_id, COUNT(*) FILTER (deal_status = 'Open') AS n, CAST(SUM(amount) FILTER (deal_status = 'Open') AS DECIMAL(28,2)) AS v,
     CAST(SUM(weighted_amount) FILTER (deal_status = 'Open') AS DECIMAL(38,8)) AS w FROM dpv GROUP BY owner_id) o
   ON g.owner_id IS NOT DISTINCT FROM o.owner_id"""
+
+SQL["rq_contacts_by_company_health"] = views(cpv="contact_performance", cov="company_performance") + """
+SELECT cov.account_health_status AS company_health, COUNT(*) AS total_contacts, CAST(SUM(cpv.total_revenue) AS DECIMAL(28,2)) AS total_contact_revenue
+FROM cpv LEFT JOIN cov ON cpv.associated_company_id = cov.company_id GROUP BY cov.account_health_status"""
+
+SQL["rq_deals_of_winning_owners"] = views(dpv="deal_performance", dov="deal_owner_performance") + """
+SELECT deal_status, CAST(SUM(amount) AS DECIMAL(28,2)) AS amount, CAST(SUM(weighted_amount) AS DECIMAL(38,8)) AS weighted_amount
+FROM dpv WHERE owner_id IN (SELECT owner_id FROM dov WHERE win_rate >= 40) GROUP BY deal_status"""
