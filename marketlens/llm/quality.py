@@ -223,7 +223,8 @@ def judged(spark: SparkSession, rows: DataFrame, out: list[str]) -> DataFrame:
     stats = estimates(spark, common.materialize(spark, fit), FLOORS)
     cut = chi2_quantile(CUT, len(names))
     kept = ~F.col("base_failed") & (F.coalesce(_distance(names), F.lit(0.0)) <= cut)
-    by_name = groups.join(stats, "grp").drop("grp")
+    # stored, so that its size is known: a small table is broadcast and the rows, texts included, stay where they are
+    by_name = common.materialize(spark, groups.join(stats, "grp").drop("grp"))
     name = common.fresh(rows, "name")
     return rows.withColumn(name, _keys()[0]).join(by_name.withColumnRenamed("name", name), name, "left").select(*out, kept.alias("kept"))
 
