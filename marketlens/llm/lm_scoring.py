@@ -1,8 +1,8 @@
 """Language-model scoring: a hashed maximum-entropy model with class-factored softmax.
 
 log P(token | history) = log P(class | history) + log P(token | class). The class factor is a
-maximum-entropy model over CLASSES classes whose features are hashed: the previous word, the word
-two back (a skip feature) and the classes of the two previous words, plus a bias. The
+maximum-entropy model over CLASSES classes whose features are hashed: the previous word, the words
+two and three back (skip features) and the classes of the two previous words, plus a bias. The
 word factor has one feature per word, whose maximum-entropy solution is the word's smoothed share
 of its class: (c + 1) / (T + V + 1), T and V being the class's training tokens and distinct words
 and c = 0 standing for any unseen word. So every history gives a proper distribution.
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-BUCKETS, CONTEXTS, CLASSES, SINGLES = 1 << 13, 32, 32, 12
-TEMPLATES = 2
+BUCKETS, CONTEXTS, CLASSES, SINGLES = 1 << 13, 32, 64, 24
+TEMPLATES = 3
 ROWS = TEMPLATES * BUCKETS + CLASSES * CLASSES + 1
 BIAS = ROWS - 1
 #: Words whose counts are sent to the executors; the others' counts are joined.
@@ -42,8 +42,10 @@ HEAD = 1 << 18
 #: Words a worker remembers beyond these (memory bound only).
 REMEMBER = 400_000
 #: DAMPING keeps the first steps of rarely seen rows small.
-BATCH, RATE, DAMPING, EPOCHS = 8192, 0.5, 3.0, 1
+BATCH, RATE, DAMPING, EPOCHS = 4096, 2.0, 3.0, 1
 FAN_IN, BLOCK_ROWS = 16, 1024
+#: Longest run of equal rows that is summed together with the others.
+SHORT = 6
 END = b"\n"  # no word holds white space
 HELD_OUT = (7, 2)
 
@@ -112,6 +114,17 @@ def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return z
 
 
+def run_sums(grad: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of ``grad[order]`` over runs: short runs, which are most, by their first, second, ... rows together."""
+    out = grad[order[starts]]
+    for k in range(1, SHORT):
+        at = np.nonzero((sizes > k) & (sizes <= SHORT))[0]
+        out[at] += grad[order[starts[at] + k]]
+    for i in np.nonzero(sizes > SHORT)[0]:
+        out[i] = grad[order[starts[i]:starts[i] + sizes[i]]].sum(axis=0)
+    return out
+
+
 def train_rows(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One Adagrad step on a batch, in place (a step size for each row); ``used`` counts the tokens behind each row."""
     grad = np.exp(log_softmax(weights, rows))
@@ -125,10 +138,11 @@ def train_rows(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, rows:
 
     totals = []
     for j in range(rows.shape[1]):
-        order = np.argsort(rows[:, j], kind="stable")
+        order = np.argsort(rows[:, j].astype("u2") if ROWS <= 1 << 16 else rows[:, j], kind="stable")
         own = rows[order, j]
         starts = np.nonzero(np.r_[True, own[1:] != own[:-1]])[0]
-        totals.append((own[starts], np.add.reduceat(grad[order], starts, axis=0), np.diff(np.r_[starts, len(own)])))
+        sizes = np.diff(np.r_[starts, len(own)])
+        totals.append((own[starts], run_sums(grad, order, starts, sizes), sizes))
     totals.append((np.array([BIAS]), grad.sum(axis=0, keepdims=True), len(target)))
     for total in totals:
         step(*total)

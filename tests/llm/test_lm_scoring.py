@@ -92,6 +92,33 @@ def test_gradient_step_equals_the_softmax_derivative():
     assert used[lm.BIAS] == 64 and used.sum() == 64 * 4
 
 
+def test_the_word_three_back_is_learnt():
+    rng = np.random.default_rng(5)
+    classes = np.arange(lm.BUCKETS, dtype="i4") % lm.CLASSES
+    words = rng.integers(0, 2, 6000).astype("i4")
+    for i in range(3, len(words)):  # repeats the third one back, or is noise
+        words[i] = words[i - 3] if rng.random() < 0.95 else rng.integers(0, 2)
+    flat, back = lm.contexts([words])
+    rows, target = lm.feature_rows(back, classes), classes[flat]
+    assert rows.shape[1] == 4 and len(np.unique(rows // lm.BUCKETS)) == 4
+    w = np.zeros((lm.ROWS, lm.CLASSES), "f4")
+    squares, used = np.zeros(lm.ROWS, "f4"), np.zeros(lm.ROWS, "f4")
+    for i in range(0, 5000, 50):
+        lm.train_rows(w, squares, used, rows[i:i + 50], target[i:i + 50])
+    z = lm.log_softmax(w, rows[5000:])
+    assert z[np.arange(len(z)), target[5000:]].mean() > -0.5  # a fair coin is -0.69
+
+
+def test_run_sums_equal_plain_sums():
+    rng = np.random.default_rng(6)
+    keys = np.sort(np.r_[rng.integers(0, 60, 90), np.full(40, 61), np.arange(100, 120)])
+    order = rng.permutation(len(keys))
+    grad = rng.normal(size=(len(keys), 5))
+    starts = np.nonzero(np.r_[True, keys[1:] != keys[:-1]])[0]
+    got = lm.run_sums(grad, order, starts, np.diff(np.r_[starts, len(keys)]))
+    assert np.allclose(got, [grad[order][keys == k].sum(axis=0) for k in np.unique(keys)])
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lm.lm_scores(spark, docs).count() == 0
