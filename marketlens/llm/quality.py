@@ -10,8 +10,10 @@ rules (few words, mostly repeated windows) are rejected and take no part in the
 
 Everything is a grouped aggregate over all rows with map-side partial sums (quantiles are taken
 from counts on a fixed grid), so a group holding a third of all rows is never gathered.
-Groups of fewer than MIN_GROUP documents are estimated with all of their language, and languages
-of fewer with the whole table.
+The same estimate is made of every language and of the whole table. A language's is drawn toward the
+table's, and a group's toward its language's, by its number n of documents: the centre keeps the weight
+n / (n + CENTRE_PRIOR), the covariance n / (n + SPREAD_PRIOR). So no group size switches the estimate: large groups
+are judged by their own, small ones by their own centre and mostly their language's spread.
 
 Defined results: null text has no words and fails the base rules; null lang or source form groups of their own;
 repeated rows are judged alike; an empty table gives no rows; further columns do not matter.
@@ -30,7 +32,9 @@ from .line_dedup import let, worded_lines
 SYMBOLS = "#*$%&|<>"
 REPEAT_WINDOW = 3
 MIN_WORDS = 50
-SUBSET, STEPS, MIN_GROUP, CUT = 0.75, 4, 200, 1 - 1e-7
+SUBSET, STEPS, CUT = 0.75, 4, 1 - 1e-7
+#: Documents that the language's (the table's) centre and covariance count as in a group's (a language's) estimate.
+CENTRE_PRIOR, SPREAD_PRIOR = 1, 50
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: Statistic -> floor of its standard deviation within a group.
 FLOORS = {"z_word_length": 0.06, "z_symbols": 0.2, "z_upper": 0.3, "z_marks": 0.3, "z_dup_lines": 0.3, "z_repeats": 0.3}
@@ -171,8 +175,13 @@ def _stat_columns(p: int) -> list[str]:
     return [f"mu_{i}" for i in range(p)] + [f"l_{i}_{j}" for i in range(p) for j in range(i + 1)]
 
 
+def _moment_columns(p: int) -> list[str]:
+    return [f"mu_{i}" for i in range(p)] + [f"c_{i}_{j}" for i in range(p) for j in range(i, p)]
+
+
 def estimates(spark: SparkSession, rows: DataFrame, floors: dict[str, float], steps: int = STEPS, subset: float = SUBSET) -> DataFrame:
-    """Per group (column ``grp``): mean mu_i and inverse Cholesky factor l_i_j of the robust covariance."""
+    """Per group (column ``grp``): mean mu_i and inverse Cholesky factor l_i_j of the robust covariance, its upper half c_i_j,
+    and n, the documents closest to the centre that they rest on."""
     names, p = list(floors), len(floors)
     # start: medians and quartile widths, from counts on a grid
     cells = rows.select("grp", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.round(F.col(n) * GRID).cast("long").alias("bin")) for i, n in enumerate(names)])).alias("c"))
@@ -191,12 +200,20 @@ def estimates(spark: SparkSession, rows: DataFrame, floors: dict[str, float], st
         limit = _at_share(measured.groupBy("grp", "bin").agg(F.count("*").alias("n")), ["grp"], "bin", {"most": subset})
         # stored, so that Spark sees that it is small, or else can split a large group's side of the join
         close = measured.join(common.materialize(spark, limit), "grp").where("bin <= most")
-        moments = close.groupBy("grp").agg(*[F.avg(n).alias(f"mu_{i}") for i, n in enumerate(names)],
+        moments = close.groupBy("grp").agg(F.count("*").alias("n"), *[F.avg(n).alias(f"mu_{i}") for i, n in enumerate(names)],
                                            *[F.covar_pop(names[i], names[j]).alias(f"c_{i}_{j}") for i in range(p) for j in range(i, p)])
         moments = moments.withColumns({f"c_{i}_{i}": F.col(f"c_{i}_{i}") + float(floors[n]) ** 2 / factor for i, n in enumerate(names)})
         moments = moments.withColumns({f"c_{i}_{j}": F.col(f"c_{i}_{j}") * factor for i in range(p) for j in range(i, p)})
-        stats = common.materialize(spark, _lower_inverse(moments, names).select("grp", *_stat_columns(p)))
-    return stats
+        made = common.materialize(spark, _lower_inverse(moments, names).select("grp", *_stat_columns(p), "n", *[f"c_{i}_{j}" for i in range(p) for j in range(i, p)]))
+        stats = made.select("grp", *_stat_columns(p))
+    return made
+
+
+def drawn(own: DataFrame, wider: DataFrame, on: str, p: int) -> DataFrame:
+    """Moments ``own`` drawn toward those of the wider group that column ``on`` of both names."""
+    wide = wider.select(on, *[F.col(c).alias(f"wide_{c}") for c in _moment_columns(p)])
+    prior = lambda c: F.lit(float(CENTRE_PRIOR if c.startswith("mu") else SPREAD_PRIOR))
+    return own.join(wide, on).withColumns({c: (F.col("n") * F.col(c) + prior(c) * F.col(f"wide_{c}")) / (F.col("n") + prior(c)) for c in _moment_columns(p)}).select(*own.columns)
 
 
 def _keys() -> list[Column]:
@@ -204,27 +221,27 @@ def _keys() -> list[Column]:
     return [F.concat(F.lit("2"), F.to_json(F.struct("lang", "source"))), F.concat(F.lit("1"), F.to_json(F.struct("lang"))), F.lit("0")]
 
 
-def assignment(rows: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """Rows name, grp: the group whose estimate judges the documents of each (lang, source) name."""
-    by = rows.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"))
+def group_estimates(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows name, mu_i, l_i_j: the drawn estimate of every (lang, source) name with documents that pass the base rules."""
+    names, p = list(FLOORS), len(FLOORS)
+    base = rows.where(~F.col("base_failed"))
+    made = estimates(spark, common.materialize(spark, base.select(F.explode(F.array(*_keys())).alias("grp"), *names)), FLOORS)
     own, lang, table = _keys()
-    by = by.select("n", own.alias("name"), lang.alias("lang_name"))
-    by_lang = by.groupBy("lang_name").agg(F.sum("n").alias("n_lang"))
-    return by.join(by_lang, "lang_name").select("name", F.when(F.col("n") >= min_group, F.col("name")).when(F.col("n_lang") >= min_group, F.col("lang_name")).otherwise(table).alias("grp"))
+    levels = common.materialize(spark, base.select(own.alias("name"), lang.alias("lang_name"), table.alias("table_name")).distinct())
+    moments = lambda key: made.select(F.col("grp").alias(key), "n", *_moment_columns(p))
+    langs = moments("lang_name").join(levels.select("lang_name", "table_name").distinct(), "lang_name")
+    langs = common.materialize(spark, drawn(langs, moments("table_name"), "table_name", p))
+    groups = drawn(moments("name").join(levels, "name"), langs, "lang_name", p)
+    return _lower_inverse(groups, names).select("name", *_stat_columns(p))
 
 
 def judged(spark: SparkSession, rows: DataFrame, out: list[str]) -> DataFrame:
     """``out`` columns of stored ``rows`` (statistics with lang and source), and ``kept``."""
     names = list(FLOORS)
-    groups = common.materialize(spark, assignment(rows))
-    # a pooled group is estimated with every document of its language, or of the table
-    fit = (rows.where(~F.col("base_failed")).select(F.explode(F.array(*_keys())).alias("grp"), *names)
-           .join(groups.select("grp").distinct(), "grp", "left_semi"))
-    stats = estimates(spark, common.materialize(spark, fit), FLOORS)
     cut = chi2_quantile(CUT, len(names))
     kept = ~F.col("base_failed") & (F.coalesce(_distance(names), F.lit(0.0)) <= cut)
     # stored, so that its size is known: a small table is broadcast and the rows, texts included, stay where they are
-    by_name = common.materialize(spark, groups.join(stats, "grp").drop("grp"))
+    by_name = common.materialize(spark, group_estimates(spark, rows))
     name = common.fresh(rows, "name")
     return rows.withColumn(name, _keys()[0]).join(by_name.withColumnRenamed("name", name), name, "left").select(*out, kept.alias("kept"))
 

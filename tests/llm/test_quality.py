@@ -86,6 +86,46 @@ def test_outliers_go_and_clean_texts_stay(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in out.where("kept").collect())
 
 
+def vectors(rng, lang, source, centre, n, first):
+    return [(first + i, lang, source, False, *map(float, r)) for i, r in enumerate(rng.normal(centre, 0.1, (n, len(quality.FLOORS))))]
+
+
+VECTORS = "doc_id long, lang string, source string, base_failed boolean, " + ", ".join(f"{n} double" for n in quality.FLOORS)
+
+
+def test_a_small_group_is_judged_by_its_own_centre(spark):
+    rng = np.random.default_rng(7)
+    rows = vectors(rng, "en", "a", 0, 600, 0) + vectors(rng, "fr", "a", 3, 60, 1000) + vectors(rng, "en", "b", 3, 30, 2000) + vectors(rng, "fr", "a", 0, 1, 3000)
+    kept = {r["doc_id"]: r["kept"] for r in quality.judged(spark, spark.createDataFrame(rows, VECTORS), ["doc_id"]).collect()}
+    assert len(kept) == len(rows) and not kept.pop(3000)
+    assert all(kept.values())
+
+
+def test_estimates_are_drawn_toward_the_wider_group_by_size(spark):
+    rng = np.random.default_rng(8)
+    rows = spark.createDataFrame(vectors(rng, "en", "a", 0, 300, 0) + vectors(rng, "en", None, 1, 20, 1000) + vectors(rng, None, "a", 2, 1, 2000), VECTORS)
+    p = len(quality.FLOORS)
+    keyed = rows.select(quality.F.explode(quality.F.array(*quality._keys())).alias("grp"), *quality.FLOORS)
+    plain = {r["grp"]: r for r in quality.estimates(spark, keyed, quality.FLOORS).collect()}
+    vector = lambda r: np.array([r[f"mu_{i}"] for i in range(p)])
+    matrix = lambda r: np.array([[r[f"c_{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)])
+
+    def wanted(*keys):
+        mu, cov = vector(plain["0"]), matrix(plain["0"])
+        for k in keys:
+            r = plain[k]
+            mu = (r["n"] * vector(r) + quality.CENTRE_PRIOR * mu) / (r["n"] + quality.CENTRE_PRIOR)
+            cov = (r["n"] * matrix(r) + quality.SPREAD_PRIOR * cov) / (r["n"] + quality.SPREAD_PRIOR)
+        return mu, cov
+
+    got = {r["name"]: r for r in quality.group_estimates(spark, rows).collect()}
+    for name, keys in {'2{"lang":"en","source":"a"}': ['1{"lang":"en"}'], '2{"lang":"en"}': ['1{"lang":"en"}'], '2{"source":"a"}': ["1{}"]}.items():
+        mu, cov = wanted(*keys, name)
+        low = np.array([[got[name][f"l_{i}_{j}"] if j <= i else 0.0 for j in range(p)] for i in range(p)])
+        assert np.allclose(vector(got[name]), mu) and np.allclose(low.T @ low, np.linalg.inv(cov), rtol=1e-6)
+    assert len(got) == 3
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert quality.quality(spark, docs).count() == 0
