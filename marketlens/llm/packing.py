@@ -50,11 +50,15 @@ class WordCachingEncoder:
     unsigned 32-bit bytes.
     """
 
-    def __init__(self, tokenizer_file: str) -> None:
+    def __init__(self, tokenizer_file: str, special: bool = False) -> None:
+        """``special``: the string of a special token in a text becomes its id, as in Tokenizer.encode; else it is ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(tokenizer_file)
-        self._tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tok.encode_special_tokens = True  # units hold none, or are ordinary text
+        self._plain = Tokenizer.from_file(tokenizer_file) if special else None
+        held = [t.content for t in self._tok.get_added_tokens_decoder().values() if t.special] if special else []
+        self._special = re.compile("|".join(map(re.escape, held))) if held else None
         self._cache: dict[str, bytes] = {}
         vocab = self._tok.get_vocab()
         self._bytes = np.zeros(max(vocab.values()) + 1, dtype="i8")
@@ -78,6 +82,14 @@ class WordCachingEncoder:
             self._cache[unit] = np.array(enc.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self._special is None:
+            return self._encode_units(texts)
+        found = {i for i, t in enumerate(texts) if self._special.search(t)}
+        plain = iter(self._encode_units([t for i, t in enumerate(texts) if i not in found]) if found else self._encode_units(texts))
+        return [np.array(self._plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if i in found else next(plain)
+                for i, t in enumerate(texts)]
+
+    def _encode_units(self, texts: list[str]) -> list[bytes]:
         if len(self._cache) > CACHE_WORDS:
             self._cache.clear()
         out: list[bytes] = []
@@ -95,7 +107,7 @@ class WordCachingEncoder:
 @lru_cache(maxsize=2)
 def encoder(tokenizer_file: str) -> WordCachingEncoder:
     """The worker process's own encoder: its cache outlives a task, for Spark reuses workers."""
-    return WordCachingEncoder(tokenizer_file)
+    return WordCachingEncoder(tokenizer_file, special=True)
 
 
 def cut(total: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:

@@ -92,3 +92,14 @@ def test_pack_documents_round_trip(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack_documents(spark, docs, FILE).count() == 0
+
+
+def test_special_tokens_as_the_library_encodes_them(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(FILE)
+    texts = ["a <|endoftext|> b", "plain text", "<|endoftext|>", "x<|endoftext|>y  z\n", "", "<|endoftext|><|endoftext|> two", "a <|endoftex b"]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in packing.encoder(FILE).encode(texts)]
+    assert got == want and want[0] == [64, 220, 50256, 275]
+    rows = packing.token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), FILE).collect()
+    assert {r["doc_id"]: r["length"] for r in rows} == {i: len(x) + 1 for i, x in enumerate(want)}
