@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_extract, line_dedup, lm_scoring, packing, quality, simhash, token_counts, topk_search, toxicity
+from . import (byte_bpe, exact_dedup, html_extract, line_dedup, lm_scoring, merkle, packing, quality, ranked_search, simhash, token_counts,
+               topk_search, toxicity)
 from .common import documents, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +108,24 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(spark, documents(spark, sf_dir))
+
+
+ORACLE["op11_exact_dedup"] = exact_dedup.SQL
+
+
+@_query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(spark, documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op12_ranked_search"] = ranked_search.SQL
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.manifest(spark, documents(spark, sf_dir)))

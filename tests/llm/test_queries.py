@@ -17,7 +17,7 @@ TABLES = "documents embeddings pages benchmark labels conversations".split()
 def test_entry_lists_all_queries():
     names = E.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(E.oracle_sql())
 
 
