@@ -85,12 +85,28 @@ def test_ranks_are_lazy(spark):
         sc.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_a_value_shared_by_most_keys_is_split(spark):
-    # the first order column is 0 for nearly all keys: buckets must come from the full order
-    df = spark.createDataFrame([(i, 0 if i % 50 else 1, i) for i in range(2000)], "id long, v long, w long")
-    from marketlens.operators.ranks import _ranked_keys
-    keys = _ranked_keys(df, [], [("v", False), ("w", True)], True, 8)
-    assert max(r["count"] for r in keys.groupBy("_b").count().collect()) < 800
+def test_a_value_shared_by_most_rows_spans_many_ranges(spark):
+    from marketlens.operators.ordered import spread
+    from marketlens.operators.ranks import _unpivoted
+    df = spark.createDataFrame([(i, 0 if i % 50 else 1) for i in range(4000)], "id long, v long")
+    rows = _unpivoted(spread(df), [[("v", False)]], 8)
+    assert max(r["count"] for r in rows.groupBy("_j", "_b").count().collect()) < 1200
+
+
+def test_ranks_of_ties_across_ranges_and_repeated_rows(spark):
+    rnd = random.Random(3)
+    # nearly all rows share one value, and rows repeat as a whole
+    rows = [(i % 700, rnd.choice(["x"] * 8 + ["y", None]), rnd.choice([0] * 9 + [1, None])) for i in range(2100)]
+    df = spark.createDataFrame(rows, "id long, p string, v long")
+    got = global_ranks(df, {"r": ("rank", [("v", False)]), "d": ("dense", [("v", True)]), "q": ("percent", [("v", True), ("id", False)])}, buckets=9)
+    w = lambda *o: Window.orderBy(*o)
+    want = df.select("*", F.rank().over(w(F.desc("v"))).alias("r"), F.dense_rank().over(w(F.asc("v"))).alias("d"),
+                     F.percent_rank().over(w(F.asc("v"), F.desc("id"))).alias("q"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    within = dense_ranks_within(df, ["p"], {"r": [("v", False)], "s": [("id", True)]}, buckets=9)
+    inside = Window.partitionBy("p")
+    want = df.select("*", F.dense_rank().over(inside.orderBy(F.desc("v"))).alias("r"), F.dense_rank().over(inside.orderBy("id")).alias("s"))
+    assert sorted(map(repr, within.collect())) == sorted(map(repr, want.collect()))
 
 
 def test_top_n_breaks_ties_by_the_order(spark):
