@@ -1,20 +1,19 @@
-"""Semantic-model measures as aggregate Columns over the imported views.
+"""Semantic-model measures over the imported views, evaluated under a filter context (``operators.context``).
 
-``DIVIDE(a, b, 0)`` is 0 on a zero/blank denominator; CALCULATE filters become conditional
-aggregates.  ``evaluate(df, measures, by)`` applies the grouping of a visual (no ``by`` =
-the card/grand-total value).  Date-shifted measures (previous period) go through
+``DIVIDE(a, b, 0)`` is 0 on a zero/blank denominator.  ``evaluate(df, measures, by)`` applies the axis of a visual
+(no ``by`` = the card/grand-total value); CALCULATE filters replace the axis on their columns.  Date-shifted measures (previous period) go through
 ``shift_compare``: the metric is aggregated per date once and joined to itself on
 ``date + n days`` - an equi-join of two per-day tables, never a scan per period.
 """
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date_lit
+from ..operators.context import ALL, average_of, evaluate, is_, rows_of, sum_of
 from ..sources.catalog import Tables
 
 
@@ -23,107 +22,81 @@ def divide(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def evaluate(df: DataFrame, base: Mapping[str, Column], derived: Mapping[str, Callable[[], Column]] | None = None,
-             by: Sequence[str] = (), filters: Mapping[str, str] | None = None) -> DataFrame:
-    """``filters`` names the column that a measure's CALCULATE filter sets.  A filter on a grouping column
-    replaces that column's own filter: the measure is taken per the other grouping columns and shows the
-    same value on every row that differs in that column only."""
-    g = df.groupBy(*by).agg(*[c.alias(n) for n, c in base.items()]) if by else \
-        df.agg(*[c.alias(n) for n, c in base.items()])
-    for column in dict.fromkeys((filters or {}).values()):
-        if column not in by:
-            continue
-        names, rest = [n for n, c in filters.items() if c == column and n in base], [b for b in by if b != column]
-        if not rest:
-            total = df.agg(F.struct(*[base[n].alias(n) for n in names])).scalar()
-            g = g.withColumns({n: total.getField(n) for n in names})
-            continue
-        r = df.groupBy(*[F.col(b).alias(f"__f_{b}") for b in rest]).agg(*[base[n].alias(n) for n in names])
-        cond = None
-        for b in rest:
-            term = F.col(b).eqNullSafe(F.col(f"__f_{b}"))
-            cond = term if cond is None else cond & term
-        g = g.drop(*names).join(r, cond, "left").drop(*[f"__f_{b}" for b in rest])
-    g = g.select(*by, *base)
-    if derived:
-        g = g.select("*", *[fn().alias(n) for n, fn in derived.items()])
-    return g
-
-
 def contact_measures(as_of) -> tuple[dict, dict]:
     cutoff = F.date_sub(as_date_lit(as_of), 30).cast("timestamp_ntz")
-    base = {"total_contacts": F.count(F.lit(1)),
-            "total_customers": F.count(F.when(F.col("lifecycle_stage") == "customer", 1)),
-            "total_contact_revenue": F.sum("total_revenue"),
-            "new_contacts_30d": F.count(F.when(F.col("created_at") >= cutoff, 1))}
+    base = {"total_contacts": rows_of(), "total_customers": rows_of(lifecycle_stage=is_("customer")),
+            "total_contact_revenue": sum_of("total_revenue"), "new_contacts_30d": rows_of(created_at=lambda c: c >= cutoff)}
     derived = {"customer_conversion_rate": lambda: divide(F.col("total_customers"), F.col("total_contacts")) * 100}
     return base, derived
 
 
 def deal_measures() -> tuple[dict, dict]:
-    open_, won = F.col("deal_status") == "Open", F.col("is_closed_won") == True  # noqa: E712
-    closed = F.col("is_closed") == True  # noqa: E712
-    base = {"total_deals": F.count(F.lit(1)), "open_deals": F.count(F.when(open_, 1)),
-            "won_deals": F.count(F.when(won, 1)), "lost_deals": F.count(F.when(closed & ~won, 1)),
-            "_closed_deals": F.count(F.when(closed, 1)),
-            "pipeline_value": F.sum(F.when(open_, F.col("amount"))),
-            "weighted_pipeline": F.sum(F.when(open_, F.col("weighted_amount"))),
-            "closed_won_revenue": F.sum(F.when(won, F.col("amount"))),
-            "avg_days_to_close": F.avg("actual_days_to_close")}
+    """Each measure with the columns that its CALCULATE filters set; ``_closed_deals`` is the win rate's inner CALCULATE."""
+    open_, won, closed = {"deal_status": is_("Open")}, {"is_closed_won": is_(True)}, {"is_closed": is_(True)}
+    base = {"total_deals": rows_of(), "open_deals": rows_of(**open_), "won_deals": rows_of(**won),
+            "lost_deals": rows_of(**closed, is_closed_won=is_(False)), "_closed_deals": rows_of(**closed),
+            "pipeline_value": sum_of("amount", **open_), "weighted_pipeline": sum_of("weighted_amount", **open_),
+            "closed_won_revenue": sum_of("amount", **won), "avg_days_to_close": average_of("actual_days_to_close")}
     derived = {"deal_win_rate": lambda: divide(F.col("won_deals"), F.col("_closed_deals")) * 100,
                "avg_deal_size": lambda: divide(F.col("pipeline_value"), F.col("open_deals"))}
     return base, derived
 
 
-#: The column each CALCULATE measure filters (it replaces that column's filter, see ``evaluate``).
-CONTACT_FILTERS = {"total_customers": "lifecycle_stage", "new_contacts_30d": "created_at"}
-DEAL_FILTERS = {"open_deals": "deal_status", "pipeline_value": "deal_status", "weighted_pipeline": "deal_status",
-                "won_deals": "is_closed_won", "closed_won_revenue": "is_closed_won"}
-
-
-EMAIL_MEASURES = {"avg_open_rate": lambda: F.avg("unique_open_rate"), "avg_click_rate": lambda: F.avg("unique_click_rate"),
-                  "avg_delivery_rate": lambda: F.avg("delivery_rate"), "total_emails_sent": lambda: F.sum("sent_count")}
+EMAIL_MEASURES = {"avg_open_rate": average_of("unique_open_rate"), "avg_click_rate": average_of("unique_click_rate"),
+                  "avg_delivery_rate": average_of("delivery_rate"), "total_emails_sent": sum_of("sent_count")}
 
 # contacts/companies engaged are sums of per-day distinct counts (a contact active on two days counts twice)
-ENGAGEMENT_MEASURES = {"total_engagements": "total_engagements", "total_calls": "total_calls",
-                       "total_meetings": "total_meetings", "total_crm_emails": "total_emails",
-                       "contacts_engaged": "unique_contacts_engaged", "companies_engaged": "unique_companies_engaged"}
+ENGAGEMENT_MEASURES = {"total_engagements": sum_of("total_engagements"), "total_calls": sum_of("total_calls"),
+                       "total_meetings": sum_of("total_meetings"), "total_crm_emails": sum_of("total_emails"),
+                       "contacts_engaged": sum_of("unique_contacts_engaged"), "companies_engaged": sum_of("unique_companies_engaged")}
 
 
 def m_contact_measures(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     from .crm import contact_performance
     base, derived = contact_measures(as_of)
-    return evaluate(contact_performance(t, as_of), base, derived)
+    return evaluate(contact_performance(t, as_of), base, (), derived)
 
 
 def m_deal_measures(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     from .crm import deal_performance
     base, derived = deal_measures()
-    return evaluate(deal_performance(t, as_of), base, derived).drop("_closed_deals")
+    return evaluate(deal_performance(t, as_of), base, (), derived)
 
 
 def m_contact_measures_by_stage(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """The contact measures on a lifecycle-stage axis: total customers repeats its total on every stage."""
     from .crm import contact_performance
     base, derived = contact_measures(as_of)
-    return evaluate(contact_performance(t, as_of), base, derived, ["lifecycle_stage"], CONTACT_FILTERS)
+    return evaluate(contact_performance(t, as_of), base, ["lifecycle_stage"], derived)
 
 
 def m_deal_measures_by_status(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     """The deal measures on a (status, owner) axis: open deals and pipeline repeat per owner on every status."""
     from .crm import deal_performance
     base, derived = deal_measures()
-    return evaluate(deal_performance(t, as_of), base, derived, ["deal_status", "owner_id"], DEAL_FILTERS).drop("_closed_deals")
+    return evaluate(deal_performance(t, as_of), base, ["deal_status", "owner_id"], derived)
+
+
+def m_deal_measures_by_closed(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
+    """The deal measures on an (is closed, is won) axis, both of which several measures filter themselves: won deals keep the axis' is_closed, the win
+    rate's closed deals its is_closed_won, lost deals neither. And each row's deals as a share of all (the axis removed)."""
+    from .crm import deal_performance
+    base, derived = deal_measures()
+    base["_all_deals"] = base["total_deals"].within({"is_closed": ALL, "is_closed_won": ALL})
+    base["_open_of_all"] = base["open_deals"].within({"is_closed": ALL, "deal_status": is_("Closed Won")})  # the inner filter on the status wins
+    derived["pct_of_deals"] = lambda: divide(F.col("total_deals"), F.col("_all_deals")) * 100
+    derived["open_deals_any_closed"] = lambda: F.col("_open_of_all")
+    return evaluate(deal_performance(t, as_of), base, ["is_closed", "is_closed_won"], derived)
 
 
 def m_email_measures(t: Tables) -> DataFrame:
     from .email import email_performance
-    return evaluate(email_performance(t), {n: fn() for n, fn in EMAIL_MEASURES.items()})
+    return evaluate(email_performance(t), EMAIL_MEASURES)
 
 
 def m_engagement_measures(t: Tables) -> DataFrame:
     from .engagements import engagement_daily_summary
-    return evaluate(engagement_daily_summary(t), {n: F.sum(c) for n, c in ENGAGEMENT_MEASURES.items()})
+    return evaluate(engagement_daily_summary(t), ENGAGEMENT_MEASURES)
 
 
 def shift_compare(daily: DataFrame, date_col: str, metric: str, n: int, name: str, unit: str = "day") -> DataFrame:

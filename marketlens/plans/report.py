@@ -38,7 +38,7 @@ def summarize(df: DataFrame, table: str, by: Sequence[str], values: Sequence[str
 
 def _measure(df: DataFrame, by: Sequence[str], names: Mapping[str, str], as_of) -> DataFrame:
     base, derived = contact_measures(as_of)
-    out = evaluate(df, base, derived, by)
+    out = evaluate(df, base, by, derived)
     return out.select(*by, *[F.col(k).alias(v) for k, v in names.items()])
 
 

@@ -122,3 +122,27 @@ FROM cpv LEFT JOIN cov ON cpv.associated_company_id = cov.company_id GROUP BY co
 SQL["rq_deals_of_winning_owners"] = views(dpv="deal_performance", dov="deal_owner_performance") + """
 SELECT deal_status, CAST(SUM(amount) AS DECIMAL(28,2)) AS amount, CAST(SUM(weighted_amount) AS DECIMAL(38,8)) AS weighted_amount
 FROM dpv WHERE owner_id IN (SELECT owner_id FROM dov WHERE win_rate >= 40) GROUP BY deal_status"""
+
+
+# Every measure over the rows that the axis leaves once the measure's own filters have replaced it (o: deal_status, w: is_closed_won, c: is_closed).
+SQL["m_deal_measures_by_closed"] = views(dpv="deal_performance") + f"""
+, axis AS (SELECT DISTINCT is_closed AS c, is_closed_won AS w FROM dpv),
+own AS (SELECT is_closed AS c, is_closed_won AS w, COUNT(*) AS total_deals, AVG(actual_days_to_close) AS avg_days_to_close,
+    COUNT(*) FILTER (deal_status = 'Open') AS open_deals, CAST(SUM(amount) FILTER (deal_status = 'Open') AS DECIMAL(28,2)) AS pipeline_value,
+    CAST(SUM(weighted_amount) FILTER (deal_status = 'Open') AS DECIMAL(38,8)) AS weighted_pipeline FROM dpv GROUP BY ALL),
+won AS (SELECT is_closed AS c, COUNT(*) AS n, CAST(SUM(amount) AS DECIMAL(28,2)) AS v FROM dpv WHERE is_closed_won GROUP BY 1),
+shut AS (SELECT is_closed_won AS w, COUNT(*) AS n FROM dpv WHERE is_closed GROUP BY 1),
+whole AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (is_closed AND NOT is_closed_won) AS lost FROM dpv),
+freed AS (SELECT is_closed_won AS w, COUNT(*) AS n FROM dpv WHERE deal_status = 'Open' GROUP BY 1)
+SELECT a.c AS is_closed, a.w AS is_closed_won, own.total_deals, own.open_deals, coalesce(won.n, 0) AS won_deals, whole.lost AS lost_deals,
+  own.pipeline_value, own.weighted_pipeline, won.v AS closed_won_revenue, own.avg_days_to_close,
+  {div('coalesce(won.n, 0)', 'coalesce(shut.n, 0)')} * 100 AS deal_win_rate, {div('own.pipeline_value', 'own.open_deals')} AS avg_deal_size,
+  {div('own.total_deals', 'whole.n')} * 100 AS pct_of_deals, coalesce(freed.n, 0) AS open_deals_any_closed
+FROM axis a JOIN own ON a.c IS NOT DISTINCT FROM own.c AND a.w IS NOT DISTINCT FROM own.w
+LEFT JOIN won ON a.c IS NOT DISTINCT FROM won.c LEFT JOIN shut ON a.w IS NOT DISTINCT FROM shut.w
+LEFT JOIN freed ON a.w IS NOT DISTINCT FROM freed.w, whole"""
+
+SQL["rq_forecast_of_winning_owners"] = views(f="deal_forecast", dov="deal_owner_performance") + """
+SELECT forecast_period, CAST(SUM(deal_count) AS BIGINT) AS deal_count, CAST(SUM(pipeline_value) AS DECIMAL(38,2)) AS pipeline_value,
+  CAST(SUM(weighted_pipeline) AS DECIMAL(38,8)) AS weighted_pipeline
+FROM f WHERE owner_id IN (SELECT owner_id FROM dov WHERE win_rate >= 40) GROUP BY forecast_period"""
