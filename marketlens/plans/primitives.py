@@ -13,6 +13,7 @@ from ..functions.dates import (days_between, hours_between_boundary, minutes_bet
                                weeks_between_boundary)
 from ..operators.latest import latest_by_key, not_deleted
 from ..operators.ranks import global_ranks
+from ..operators.scan import look_back, running_totals
 from ..operators.shares import with_group_aggs
 from ..operators.windows import lag_of, moving_avg, running_total
 from ..sources.catalog import Tables
@@ -67,3 +68,10 @@ def p_row_windows(t: Tables) -> DataFrame:
     return a.select("account_id", "date", "impressions", moving_avg(p, o, "impressions", 7).alias("impressions_7_ma"),
                     lag_of(p, o, "clicks", 1).alias("clicks_prev"),
                     running_total(p, o, "clicks", frame="rows").alias("clicks_running"))
+
+
+def p_scan_windows(t: Tables) -> DataFrame:
+    """ROW_NUMBER, ROWS running total, moving average and LAG over all deals in one order, without partition and without a one-task window."""
+    d = live(t, "deal").select("deal_id", "close_date", "amount")
+    d = running_totals(d, [("close_date", True), ("deal_id", True)], {"amount_so_far": "amount"}, "position")
+    return look_back(d, "position", {"amount_5_ma": ("amount", 5)}, {"amount_before": ("amount", 1), "date_3_before": ("close_date", 3)}, chunk_rows=1000)

@@ -19,12 +19,16 @@ from .plans import measures as ms
 from .plans import report as rq
 from .plans import insights as ins
 from .plans import primitives as pr
+from .plans import model as md
+from .plans import drilldown as dd
+from .plans import deliveries as dv
 from .sources.catalog import Tables
 from .sources.roles import ADS_AS_OF, CRM_AS_OF, LONG_AS_OF
 
 #: Plans default to the current date; the driver's tables end at fixed dates, bound here and only here.
 _ADS_MODULES = {m.__name__ for m in (sa, tp, sd, fb, pr)}
-_ADS_PLANS = {"m_ads_daily_measures", "q_kpi_benchmarks_search", "q_kpi_benchmarks_social", "q_campaign_summary_sliced"}
+_ADS_PLANS = {"m_ads_daily_measures", "q_kpi_benchmarks_search", "q_kpi_benchmarks_social", "q_campaign_summary_sliced",
+              "rq_campaigns_of_quarter", "q_ad_hierarchy"}
 _LONG_PLANS = {"q_weekly_wow_yoy_long", "q_monthly_mom_yoy_long"}
 
 
@@ -169,6 +173,15 @@ _PLANS: dict[str, Callable[..., DataFrame]] = {
     "p_global_ranks": pr.p_global_ranks,
     "p_shares": pr.p_shares,
     "p_row_windows": pr.p_row_windows,
+    "p_scan_windows": pr.p_scan_windows,
+    "m_deal_measures_by_closed": ms.m_deal_measures_by_closed,
+    "rq_ad_groups_of_accounts": md.rq_ad_groups_of_accounts,
+    "rq_campaigns_of_quarter": md.rq_campaigns_of_quarter,
+    "rq_forecast_of_winning_owners": md.rq_forecast_of_winning_owners,
+    "q_imported_campaign_days": dv.q_imported_campaign_days,
+    "q_maintained_channel_days": dv.q_maintained_channel_days,
+    "q_ad_hierarchy": dd.q_ad_hierarchy,
+    "q_contacts_engaged_ranges": dd.q_contacts_engaged_ranges,
 }
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {name: _dated(name, fn) for name, fn in _PLANS.items()}

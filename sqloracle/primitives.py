@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from .adapters import with_tables
 from .crm import days, hours, weeks
-from .kit import ratio
+from .kit import ratio, xavg
 
 A = "DATE '2024-04-30'"
 
@@ -47,3 +47,11 @@ SELECT campaign_id, account_id, impressions,
   {ratio('impressions * 100', 'SUM(impressions) OVER (PARTITION BY account_id)', 2, 10, guard='SUM(impressions) OVER (PARTITION BY account_id) <> 0', default='NULL')} AS pct_of_account
 FROM (SELECT campaign_id, account_id, CAST(SUM(impressions) AS BIGINT) AS impressions FROM campaign_stats
       WHERE date >= {A} - 30 GROUP BY campaign_id, account_id)"""
+
+
+SQL["p_scan_windows"] = with_tables("deal") + f"""
+SELECT deal_id, close_date, amount, row_number() OVER w AS position,
+  CAST(SUM(amount) OVER (w ROWS UNBOUNDED PRECEDING) AS DECIMAL(28,2)) AS amount_so_far,
+  {xavg('amount', 2, '(ORDER BY close_date NULLS FIRST, deal_id ROWS 4 PRECEDING)', 22)} AS amount_5_ma,
+  LAG(amount) OVER w AS amount_before, LAG(close_date, 3) OVER w AS date_3_before
+FROM deal WHERE _fivetran_deleted = false WINDOW w AS (ORDER BY close_date NULLS FIRST, deal_id)"""
