@@ -27,8 +27,6 @@ from . import common
 
 #: Fingerprints a task adds to one filter before it emits it, and expected ones a merging task holds.
 CHUNK_KEYS, SHARD_KEYS = 1 << 20, 1 << 18
-#: Load of a filter: share of home slots in use by distinct fingerprints.
-LOAD = 0.75
 HEADER = struct.Struct("<QQBB")
 
 
@@ -46,9 +44,11 @@ def _digit_counts(counts: np.ndarray, width: int) -> np.ndarray:
 
 
 def pack(keys: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
-    """The filter of distinct ascending ``keys`` (below 2 ** bits) and their ``counts`` (1 or more)."""
+    """The filter of distinct ascending ``keys`` (below 2 ** bits) and their ``counts`` (1 or more).
+
+    It is written once and merged, never inserted into, so it is packed full: at most two keys a home slot on average."""
     n = len(keys)
-    q = min(bits - 1, max(0, int(np.ceil(np.log2(max(n, 1) / LOAD)))))
+    q = max(1, min(bits - 1, int(np.log2(max(n, 1)))))
     width = (bits - q + 7) // 8
     home = (keys >> np.uint64(bits - q)).astype(np.int64)
     remainder = keys & np.uint64((1 << (bits - q)) - 1)
