@@ -33,7 +33,7 @@ from . import common
 
 BLOCK_ITEMS, BLOCK_BYTES = 4096, 16 << 20
 #: Postings a shard holds, expected; of so many shards one belongs to the first wave; rows read from each list in the first step.
-SHARD_POSTINGS, WAVE, STEP = 1 << 20, 8, 64
+SHARD_POSTINGS, WAVE, STEP = 1 << 17, 8, 64
 #: Bytes of a text split at a time.
 PIECE = 1 << 20
 
@@ -198,7 +198,7 @@ def _block(spark: SparkSession, docs: DataFrame, block: list[tuple], k: int) ->
     weights = np.zeros(len(vocabulary) + 1, np.int64)
     for term, df in counts.select(F.explode("terms").alias("term")).groupBy("term").count().toLocalIterator():
         weights[term] = weight(n_docs, df)
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-postings // SHARD_POSTINGS))
+    shards = max(1, -(-postings // SHARD_POSTINGS))
     dealt = counts.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards))).drop("row")
     queries = [np.array([vocabulary[w] for w in words], np.int64) for _, words in block]
     search = lambda rows, floors: _search(rows, queries, weights, n_docs, max(n_terms, 1), k, floors)
