@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import (byte_bpe, exact_dedup, html_extract, line_dedup, lm_scoring, merkle, packing, quality, ranked_search, simhash, token_counts,
                topk_search, toxicity)
-from .common import documents, shared_dir
+from .common import documents, materialize, shared_dir, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,35 +54,29 @@ ORACLE["op4_exact_topk_search"] = topk_search.SQL
 @_query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four batches: load of all documents, takedown of those labelled toxic, revision of those labelled
-    poor (symbol runs become a space), and a replay of the load, which must count once."""
+    poor (symbol runs become a space), and a replay of the load, which must count once.
+
+    Every text, and what its revision would be where that differs, is counted once by each version; labels meet the counts. A document
+    with several label rows is toxic if one says so, and poor if none calls it good."""
     docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
-    store = token_counts.Rollup(spark, f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/rollup-{uuid.uuid4().hex}")
-    load = docs.select(F.lit("insert").alias("op"), "source", "lang", "text")
-    marked = docs.join(labels, "doc_id")
-    taken = marked.where("toxic = 1").select(F.lit("delete").alias("op"), "source", "lang", "text")
-    revised = marked.where("quality = 0 and toxic is distinct from 1").select(
-        F.lit("revise").alias("op"), "source", "lang", F.regexp_replace("text", "[#*$%&|<>]+", " ").alias("text"),
-        F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), F.col("text").alias("old_text"))
-    for batch, changes in (("load", load), ("takedown", taken), ("revision", revised), ("load", load)):
+    vocabularies = {"byte_bpe_50k": public_tokenizers.path("byte_bpe_50k.json")}
+    store = token_counts.Rollup(spark, f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/rollup-{uuid.uuid4().hex}", vocabularies=vocabularies)
+    small_batches(spark)
+    revised = F.regexp_replace("text", "[#*$%&|<>]+", " ")
+    texts = docs.select("doc_id", "source", "lang", "text", F.when(F.col("text") != revised, revised).alias("revised"), (F.col("text") != revised).alias("differs"))
+    counted = materialize(spark, token_counts.count_tokens(texts, {"text": "tokens", "revised": "new_tokens"}, vocabularies=vocabularies))
+    verdict = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("quality").alias("quality"))
+    marked = counted.join(verdict, "doc_id")
+    load = counted.select(F.lit("insert").alias("op"), "source", "lang", "tokens")
+    taken = marked.where("toxic = 1").select(F.lit("delete").alias("op"), "source", "lang", "tokens")
+    change = marked.where("quality = 0 and toxic is distinct from 1").select(
+        F.lit("revise").alias("op"), "source", "lang", F.when(F.col("differs"), F.col("new_tokens")).otherwise(F.col("tokens")).alias("tokens"),
+        F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), F.col("tokens").alias("old_tokens"))
+    for batch, changes in (("load", load), ("takedown", taken), ("revision", change), ("load", load)):
         store.commit(batch, changes)
     return store.totals()
 
 
-ORACLE["op5_token_counts"] = r"""
-WITH left_over AS (
-  SELECT d.source, d.lang, CASE WHEN l.quality = 0 THEN regexp_replace(d.text, '[#*$%&|<>]+', ' ', 'g') ELSE d.text END AS text
-  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic IS DISTINCT FROM 1
-), counted AS (
-  SELECT source, lang, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
-    len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\p{L}\p{N}\x20\x09-\x0D]+')) AS classes
-  FROM left_over
-)
-SELECT source, lang, 'words-1' AS tokenizer_version, count(*) AS n_docs, CAST(sum(words) AS BIGINT) AS n_tokens FROM counted GROUP BY source, lang
-UNION ALL
-SELECT source, lang, 'classes-1', count(*), CAST(sum(classes) AS BIGINT) FROM counted GROUP BY source, lang
-"""
-
-
 @_query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, documents(spark, sf_dir))
