@@ -40,6 +40,8 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FLOORS = {"z_word_length": 0.06, "z_symbols": 0.2, "z_upper": 0.3, "z_marks": 0.3, "z_dup_lines": 0.3, "z_repeats": 0.3}
 #: Steps per unit of the grids on which quantiles are counted.
 GRID, DISTANCE_GRID = 64, 16
+#: Rows of a table of groups that go to one file.
+GROUPS_A_FILE = 10_000
 
 
 def _repeat_words(words: Column) -> Column:
@@ -179,6 +181,12 @@ def _moment_columns(p: int) -> list[str]:
     return [f"mu_{i}" for i in range(p)] + [f"c_{i}_{j}" for i in range(p) for j in range(i, p)]
 
 
+def _compact(spark: SparkSession, groups: DataFrame, files: int = 1) -> DataFrame:
+    """``groups`` (a row per group) stored in few files: few groups are then seen to be small, and broadcast, so that the rows of a large
+    group stay where they are; many are not, and the join with them can be split by Spark where a group is large."""
+    return common.materialize(spark, groups.repartition(files))
+
+
 def estimates(spark: SparkSession, rows: DataFrame, floors: dict[str, float], steps: int = STEPS, subset: float = SUBSET) -> DataFrame:
     """Per group (column ``grp``): mean mu_i and inverse Cholesky factor l_i_j of the robust covariance, its upper half c_i_j,
     and n, the documents closest to the centre that they rest on."""
@@ -194,17 +202,18 @@ def estimates(spark: SparkSession, rows: DataFrame, floors: dict[str, float], st
                                      *[F.max(F.when(F.col("i") == i, 1 / F.col("sd"))).alias(f"l_{i}_{i}") for i in range(p)])
     stats = stats.withColumns({f"l_{i}_{j}": F.lit(0.0) for i in range(p) for j in range(i)})
     stats = common.materialize(spark, stats.select("grp", *_stat_columns(p)))
+    files = -(-max(1, stats.count()) // GROUPS_A_FILE)
+    stats = _compact(spark, stats, files)
     factor = truncation_factor(subset, p)
     for _ in range(steps):
         measured = rows.join(stats, "grp").select("grp", *names, F.round(F.log1p(_distance(names)) * DISTANCE_GRID).cast("long").alias("bin"))
         limit = _at_share(measured.groupBy("grp", "bin").agg(F.count("*").alias("n")), ["grp"], "bin", {"most": subset})
-        # stored, so that Spark sees that it is small, or else can split a large group's side of the join
-        close = measured.join(common.materialize(spark, limit), "grp").where("bin <= most")
+        close = measured.join(_compact(spark, limit, files), "grp").where("bin <= most")
         moments = close.groupBy("grp").agg(F.count("*").alias("n"), *[F.avg(n).alias(f"mu_{i}") for i, n in enumerate(names)],
                                            *[F.covar_pop(names[i], names[j]).alias(f"c_{i}_{j}") for i in range(p) for j in range(i, p)])
         moments = moments.withColumns({f"c_{i}_{i}": F.col(f"c_{i}_{i}") + float(floors[n]) ** 2 / factor for i, n in enumerate(names)})
         moments = moments.withColumns({f"c_{i}_{j}": F.col(f"c_{i}_{j}") * factor for i in range(p) for j in range(i, p)})
-        made = common.materialize(spark, _lower_inverse(moments, names).select("grp", *_stat_columns(p), "n", *[f"c_{i}_{j}" for i in range(p) for j in range(i, p)]))
+        made = _compact(spark, _lower_inverse(moments, names).select("grp", *_stat_columns(p), "n", *[f"c_{i}_{j}" for i in range(p) for j in range(i, p)]), files)
         stats = made.select("grp", *_stat_columns(p))
     return made
 
@@ -241,7 +250,8 @@ def judged(spark: SparkSession, rows: DataFrame, out: list[str]) -> DataFrame:
     cut = chi2_quantile(CUT, len(names))
     kept = ~F.col("base_failed") & (F.coalesce(_distance(names), F.lit(0.0)) <= cut)
     # stored, so that its size is known: a small table is broadcast and the rows, texts included, stay where they are
-    by_name = common.materialize(spark, group_estimates(spark, rows))
+    found = common.materialize(spark, group_estimates(spark, rows))
+    by_name = _compact(spark, found, -(-max(1, found.count()) // GROUPS_A_FILE))
     name = common.fresh(rows, "name")
     return rows.withColumn(name, _keys()[0]).join(by_name.withColumnRenamed("name", name), name, "left").select(*out, kept.alias("kept"))
 
