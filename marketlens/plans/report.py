@@ -15,25 +15,36 @@ from ..sources.catalog import Tables
 from . import crm, email, engagements
 from .measures import contact_measures, evaluate
 
-# default summarisation of the imported columns the visuals bind (from the semantic model)
+def _rules(sums: str, averages: str = "") -> dict[str, str]:
+    return {**dict.fromkeys(sums.split(), "sum"), **dict.fromkeys(averages.split(), "average")}
+
+
+#: Fixed: how the semantic model summarises each imported column; all others are only grouped by.
 DEFAULT_SUMMARY: dict[str, dict[str, str]] = {
-    "ContactPerformance": {"total_revenue": "sum", "total_engagements": "sum"},
-    "DealPipelineSummary": {"total_value": "sum"},
-    "DealOwnerPerformance": {"total_deals": "sum", "closed_won_revenue": "sum", "win_rate": "average"},
-    "DealPerformance": {"amount": "sum", "weighted_amount": "sum", "total_engagements": "sum"},
-    "EmailPerformance": {"sent_count": "sum", "unique_open_rate": "average", "unique_click_rate": "average"},
-    "EngagementDailySummary": {"total_engagements": "sum", "total_calls": "sum", "total_meetings": "sum"},
-    "EngagementOwnerSummary": {"total_engagements": "sum", "total_calls": "sum", "total_meetings": "sum"},
-    "ContactLifecycleFunnel": {"contact_count": "sum", "total_revenue": "sum"},
+    "CompanyPerformance": _rules("total_revenue total_deals won_deals pipeline_value total_engagements total_lifetime_value"),
+    "ContactLifecycleFunnel": _rules("contact_count new_contacts_30d new_contacts_90d total_revenue", "avg_revenue"),
+    "ContactPerformance": _rules("total_revenue total_engagements"),
+    "DealForecast": _rules("deal_count pipeline_value weighted_pipeline", "avg_probability avg_deal_size"),
+    "DealOwnerPerformance": _rules("total_deals won_deals lost_deals open_deals closed_won_revenue pipeline_value", "win_rate avg_won_deal_size avg_days_to_close_won"),
+    "DealPerformance": _rules("amount weighted_amount is_closed is_closed_won total_engagements", "deal_age_days actual_days_to_close"),
+    "DealPipelineSummary": _rules("deal_count total_value weighted_value", "probability avg_deal_size"),
+    "EmailPerformance": _rules("sent_count delivered_count unique_opens total_opens unique_clicks total_clicks bounce_count",
+                               "delivery_rate unique_open_rate unique_click_rate click_to_open_rate"),
+    "EngagementDailySummary": _rules("total_engagements total_calls total_meetings total_emails total_notes total_tasks unique_contacts_engaged "
+                                     "unique_companies_engaged unique_deals_engaged"),
+    "EngagementOwnerSummary": _rules("total_engagements total_calls total_meetings total_emails engagements_30d calls_30d meetings_30d unique_contacts_engaged "
+                                     "unique_companies_engaged"),
 }
 
-_AGG = {"sum": F.sum, "average": F.avg, "min": F.min, "max": F.max, "count": F.count}
+_AGG = {"sum": F.sum, "average": F.avg}
 
 
-def summarize(df: DataFrame, table: str, by: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Group by ``by`` and aggregate each value column with its default summarisation."""
+def summarize(df: DataFrame, table: str, by: Sequence[str], values: Sequence[str] | None = None) -> DataFrame:
+    """Group by ``by`` and aggregate each value column (all that the model summarises, unless given) with its default summarisation."""
     rules = DEFAULT_SUMMARY[table]
-    return df.groupBy(*by).agg(*[_AGG[rules[v]](v).alias(v) for v in values])
+    # flags add up as 0 and 1
+    number = {f.name: F.col(f.name).cast("int") if f.dataType.typeName() == "boolean" else F.col(f.name) for f in df.schema.fields}
+    return df.groupBy(*by).agg(*[_AGG[rules[v]](number[v]).alias(v) for v in (rules if values is None else values)])
 
 
 def _measure(df: DataFrame, by: Sequence[str], names: Mapping[str, str], as_of) -> DataFrame:
@@ -130,3 +141,15 @@ def rq_deals_of_winning_owners(t: Tables, as_of: _dt.date | None = None) -> Data
     rows = across(crm.deal_performance(t, as_of), crm.deal_owner_performance(t, as_of).where(F.col("owner_id").isNotNull()),
                   "DealToOwnerPerformance", {}, {"win_rate": (40, None)})
     return summarize(rows, "DealPerformance", ["deal_status"], ["amount", "weighted_amount"])
+
+
+def rq_companies_by_status(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
+    return summarize(crm.company_performance(t, as_of), "CompanyPerformance", ["customer_status"])
+
+
+def rq_forecast_by_period(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
+    return summarize(crm.deal_forecast(t, as_of), "DealForecast", ["forecast_period"])
+
+
+def rq_deals_by_status(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
+    return summarize(crm.deal_performance(t, as_of), "DealPerformance", ["deal_status"])

@@ -22,13 +22,14 @@ from .plans import primitives as pr
 from .plans import model as md
 from .plans import drilldown as dd
 from .plans import deliveries as dv
+from .plans import slicers as sl
 from .sources.catalog import Tables
 from .sources.roles import ADS_AS_OF, CRM_AS_OF, LONG_AS_OF
 
 #: Plans default to the current date; the driver's tables end at fixed dates, bound here and only here.
 _ADS_MODULES = {m.__name__ for m in (sa, tp, sd, fb, pr)}
 _ADS_PLANS = {"m_ads_daily_measures", "q_kpi_benchmarks_search", "q_kpi_benchmarks_social", "q_campaign_summary_sliced",
-              "rq_campaigns_of_quarter", "q_ad_hierarchy"}
+              "rq_campaigns_of_quarter", "q_ad_hierarchy", "q_sliced_executive"}
 _LONG_PLANS = {"q_weekly_wow_yoy_long", "q_monthly_mom_yoy_long"}
 
 
@@ -178,6 +179,13 @@ _PLANS: dict[str, Callable[..., DataFrame]] = {
     "rq_ad_groups_of_accounts": md.rq_ad_groups_of_accounts,
     "rq_campaigns_of_quarter": md.rq_campaigns_of_quarter,
     "rq_forecast_of_winning_owners": md.rq_forecast_of_winning_owners,
+    "q_sliced_executive": sl.q_sliced_executive,
+    "q_sliced_keywords": sl.q_sliced_keywords,
+    "q_sliced_lifecycle": sl.q_sliced_lifecycle,
+    "q_sliced_activity": sl.q_sliced_activity,
+    "rq_companies_by_status": rq.rq_companies_by_status,
+    "rq_forecast_by_period": rq.rq_forecast_by_period,
+    "rq_deals_by_status": rq.rq_deals_by_status,
     "q_imported_campaign_days": dv.q_imported_campaign_days,
     "q_maintained_channel_days": dv.q_maintained_channel_days,
     "q_ad_hierarchy": dd.q_ad_hierarchy,

@@ -5,8 +5,9 @@ have two decimals and are cast to decimal before any arithmetic), so a SQL engin
 the same definitions gets bit-identical inputs.  The matching DuckDB text lives in
 ``sqloracle/adapters.py``; the two must change together.
 
-Search ads (``ads_base`` = lineitem x supplier x nation):
-  account_id = n_regionkey, campaign_id = s_nationkey, ad_group_id = l_suppkey,
+Search ads (``ads_base`` = lineitem):
+  ad_group_id = l_suppkey, campaign_id = 7 for every third ad group (a hot campaign with a third of all rows, alone in its hot
+  account) and else 10 + ad_group_id / 2, account_id = campaign_id / 8, so campaigns and accounts grow with the suppliers;
   ad_id = l_suppkey*1000 + l_partkey%7, criterion_id = l_suppkey*1000 + l_partkey%11,
   date = 2024-01-01 + (days from 1995-01-01 to l_shipdate) % 120.
 History tables: every key in two versions synced on 2024-01-02 / 2024-01-03 with the name
@@ -15,8 +16,8 @@ the latest version of keys with key % 7 = 3 is soft-deleted, keys with key % 5 =
 NULL delete flag.
 
 Social ads: ``fb_basic_ad`` is the ad level of ``ads_base`` (ad set = ad group) with
-reach = 15 x quantity, actions = conversions; histories mirror the search-ads ones (region,
-nation, supplier, supplier x 7) and the creative of an ad is its own id except ids % 9 = 4.
+reach = 15 x quantity, actions = conversions; histories mirror the search-ads ones (accounts,
+campaigns, supplier, supplier x 7) and the creative of an ad is its own id except ids % 9 = 4.
 """
 from __future__ import annotations
 
@@ -48,6 +49,14 @@ def d(x: str) -> Column:
     return F.lit(Decimal(x))
 
 
+def campaign_of(ad_group: Column) -> Column:
+    return F.when(ad_group % 3 == 0, F.lit(7)).otherwise(F.lit(10) + F.floor(ad_group / 2)).cast("long")
+
+
+def account_of(campaign: Column) -> Column:
+    return F.floor(campaign / 8).cast("long")
+
+
 class DriverTables(Tables):
     """All source tables derived from ``{sf_dir}/*.parquet``."""
 
@@ -72,15 +81,11 @@ class DriverTables(Tables):
     def _ads_base(self, long_range: bool = False) -> DataFrame:
         li = self.raw("lineitem").select("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                                          "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
-        sup = self.raw("supplier").select("s_suppkey", "s_nationkey")
-        nat = self.raw("nation").select("n_nationkey", "n_regionkey")
-        b = li.join(sup, li.l_suppkey == sup.s_suppkey).join(nat, F.col("s_nationkey") == F.col("n_nationkey"))
         ship = F.to_date("l_shipdate")
         date = ship if long_range else F.date_add(F.lit(_ADS_START), (F.datediff(ship, F.lit(_EPOCH)) % 120))
-        return b.select(
-            F.col("n_regionkey").cast("long").alias("account_id"),
-            F.col("s_nationkey").cast("long").alias("campaign_id"),
-            F.col("l_suppkey").alias("ad_group_id"),
+        campaign = campaign_of(F.col("l_suppkey"))
+        return li.select(
+            account_of(campaign).alias("account_id"), campaign.alias("campaign_id"), F.col("l_suppkey").alias("ad_group_id"),
             (F.col("l_suppkey") * 1000 + F.col("l_partkey") % 7).alias("ad_id"),
             (F.col("l_suppkey") * 1000 + F.col("l_partkey") % 11).alias("criterion_id"),
             date.alias("date"),
@@ -144,6 +149,15 @@ class DriverTables(Tables):
     def _build_keyword_stats(self):
         return self._level(["criterion_id", "ad_group_id", "campaign_id", "account_id"])
 
+    def _campaigns(self) -> DataFrame:
+        """campaign_id, account_id, c_name."""
+        c = self.raw("supplier").select(campaign_of(F.col("s_suppkey")).alias("campaign_id")).distinct()
+        return c.select("campaign_id", account_of(F.col("campaign_id")).alias("account_id"), F.concat(F.lit("Campaign "), F.col("campaign_id")).alias("c_name"))
+
+    def _accounts(self) -> DataFrame:
+        """account_id, a_name."""
+        return self._campaigns().select("account_id").distinct().select("account_id", F.concat(F.lit("Account "), F.col("account_id")).alias("a_name"))
+
     # history helpers --------------------------------------------------------------
     @staticmethod
     def _versions(df: DataFrame, key: str) -> DataFrame:
@@ -163,11 +177,10 @@ class DriverTables(Tables):
         return F.concat(F.col(col), F.lit("-v"), F.col("_v").cast("string"))
 
     def _build_account_history(self):
-        r = self.raw("region").select(F.col("r_regionkey").cast("long").alias("account_id"), "r_name")
-        v = self._versions(r, "account_id")
+        v = self._versions(self._accounts(), "account_id")
         k = F.col("account_id")
         return v.withColumns({
-            "descriptive_name": self._vname("r_name"),
+            "descriptive_name": self._vname("a_name"),
             "currency_code": pick(k, ["USD", "EUR"]),
             "time_zone": F.lit("UTC"),
             "auto_tagging_enabled": k % 2 == 0,
@@ -176,17 +189,15 @@ class DriverTables(Tables):
         })
 
     def _build_campaign_history(self):
-        n = self.raw("nation").select(F.col("n_nationkey").cast("long").alias("campaign_id"),
-                                      F.col("n_regionkey").cast("long").alias("account_id"), "n_name")
-        v = self._versions(n, "campaign_id")
+        v = self._versions(self._campaigns(), "campaign_id")
         k = F.col("campaign_id")
         return v.withColumns({
-            "name": self._vname("n_name"),
+            "name": self._vname("c_name"),
             "status": pick(k, ["ENABLED", "PAUSED", "REMOVED"]),
             "advertising_channel_type": pick(k, ["SEARCH", "DISPLAY", "VIDEO", "SHOPPING"]),
             "advertising_channel_sub_type": pick(k, [None, "STANDARD", "SMART"]),
             "bidding_strategy_type": pick(k, ["TARGET_CPA", "MAXIMIZE_CONVERSIONS", "MANUAL_CPC"]),
-            "start_date": F.date_add(F.lit(_dt.date(2023, 12, 1)), k.cast("int")),
+            "start_date": F.date_add(F.lit(_dt.date(2023, 12, 1)), (k % 365).cast("int")),
             "end_date": F.when(k % 5 == 0, F.lit(_dt.date(2024, 6, 30))),
             "budget_amount": F.when(k % 6 == 0, d("0")).otherwise((k % 6) * 250 + F.col("_v") * 10)
                               .cast("decimal(18,6)"),
@@ -197,7 +208,7 @@ class DriverTables(Tables):
 
     def _build_ad_group_history(self):
         s = self.raw("supplier").select(F.col("s_suppkey").alias("ad_group_id"),
-                                        F.col("s_nationkey").cast("long").alias("campaign_id"), "s_name")
+                                        campaign_of(F.col("s_suppkey")).alias("campaign_id"), "s_name")
         v = self._versions(s, "ad_group_id")
         k = F.col("ad_group_id")
         target = F.when(k % 4 != 0, (k % 4) * 5000000)
@@ -285,23 +296,20 @@ class DriverTables(Tables):
             "_fivetran_synced")
 
     def _build_fb_account_history(self):
-        r = self.raw("region").select(F.col("r_regionkey").cast("long").alias("account_id"), "r_name")
-        v = self._versions(r, "account_id")
+        v = self._versions(self._accounts(), "account_id")
         k = F.col("account_id")
         return v.withColumns({
-            "name": F.concat(F.col("r_name"), F.lit("-fb-v"), F.col("_v").cast("string")),
+            "name": F.concat(F.col("a_name"), F.lit("-fb-v"), F.col("_v").cast("string")),
             "account_status": pick(k, ["ACTIVE", "DISABLED"]),
             "currency": pick(k, ["USD", "EUR"]),
             "timezone_name": F.lit("UTC"),
         })
 
     def _build_fb_campaign_history(self):
-        n = self.raw("nation").select(F.col("n_nationkey").cast("long").alias("campaign_id"),
-                                      F.col("n_regionkey").cast("long").alias("account_id"), "n_name")
-        v = self._versions(n, "campaign_id")
+        v = self._versions(self._campaigns(), "campaign_id")
         k = F.col("campaign_id")
         return v.withColumns({
-            "name": F.concat(F.col("n_name"), F.lit("-fb-v"), F.col("_v").cast("string")),
+            "name": F.concat(F.col("c_name"), F.lit("-fb-v"), F.col("_v").cast("string")),
             "status": pick(k, ["ACTIVE", "PAUSED"]),
             "objective": pick(k, ["CONVERSIONS", "LINK_CLICKS", "REACH", "BRAND_AWARENESS", "LEAD_GENERATION"]),
             "daily_budget": F.when(k % 4 != 0, (k % 4) * 100 + F.col("_v") * 5).cast("decimal(18,6)"),

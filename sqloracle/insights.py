@@ -1,7 +1,7 @@
 """Oracle SQL: documented recommendations (benchmarks, alerts, velocity, RLS, cross-platform, hourly)."""
 from __future__ import annotations
 
-from . import search_ads, social_ads
+from . import engagements, search_ads, social_ads
 from .adapters import with_tables
 from .crm_dashboards import views
 from .kit import ratio
@@ -64,3 +64,16 @@ FROM engagement WHERE _fivetran_deleted = false AND timestamp IS NOT NULL GROUP
 
 SQL["q_campaign_summary_sliced"] = f"""SELECT * FROM ({search_ads.SQL['campaign_performance_summary']})
 WHERE advertising_channel_type IN ('SEARCH', 'DISPLAY') AND active_days >= 1 AND total_spend >= 10"""
+
+
+SQL["q_sliced_executive"] = f"""SELECT account_id, account_name, COUNT(*) AS row_count, CAST(SUM(spend) AS DECIMAL(28,2)) AS spend, CAST(SUM(clicks) AS BIGINT) AS clicks,
+  CAST(SUM(conversions) AS DECIMAL(28,6)) AS conversions FROM ({search_ads.SQL['account_performance']})
+WHERE date BETWEEN DATE '2024-03-01' AND DATE '2024-03-31' AND account_id IN (0, 1, 2) GROUP BY ALL"""
+SQL["q_sliced_keywords"] = f"""SELECT campaign_id, keyword_match_type, COUNT(*) AS row_count, CAST(SUM(spend) AS DECIMAL(28,2)) AS spend, CAST(SUM(clicks) AS BIGINT) AS clicks,
+  CAST(SUM(conversions) AS DECIMAL(28,6)) AS conversions FROM ({search_ads.SQL['keyword_performance']})
+WHERE keyword_match_type IN ('EXACT', 'PHRASE') AND campaign_id BETWEEN 0 AND 19 GROUP BY ALL"""
+SQL["q_sliced_lifecycle"] = views(v="contact_performance") + """SELECT owner_id, lifecycle_stage, COUNT(*) AS row_count, CAST(SUM(total_revenue) AS DECIMAL(28,2)) AS total_revenue,
+  CAST(SUM(total_engagements) AS BIGINT) AS total_engagements FROM v WHERE lifecycle_stage IN ('customer', 'opportunity') GROUP BY ALL"""
+SQL["q_sliced_activity"] = f"""SELECT owner_id, engagement_type, COUNT(*) AS row_count, CAST(SUM(call_duration_ms) AS BIGINT) AS call_duration_ms
+FROM ({engagements.SQL['engagement_performance']}) WHERE engagement_type IN ('CALL', 'MEETING') AND owner_id BETWEEN 3 AND 12
+  AND engagement_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' GROUP BY ALL"""

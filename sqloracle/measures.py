@@ -146,3 +146,17 @@ SQL["rq_forecast_of_winning_owners"] = views(f="deal_forecast", dov="deal_owner_
 SELECT forecast_period, CAST(SUM(deal_count) AS BIGINT) AS deal_count, CAST(SUM(pipeline_value) AS DECIMAL(38,2)) AS pipeline_value,
   CAST(SUM(weighted_pipeline) AS DECIMAL(38,8)) AS weighted_pipeline
 FROM f WHERE owner_id IN (SELECT owner_id FROM dov WHERE win_rate >= 40) GROUP BY forecast_period"""
+
+
+SQL["rq_companies_by_status"] = views(v="company_performance") + f"""
+SELECT customer_status, CAST(SUM(total_revenue) AS DECIMAL(28,2)) AS total_revenue, {', '.join(_sum(c, 'BIGINT') for c in ('total_deals', 'won_deals', 'total_engagements'))},
+  CAST(SUM(pipeline_value) AS DECIMAL(38,2)) AS pipeline_value, CAST(SUM(total_lifetime_value) AS DECIMAL(38,2)) AS total_lifetime_value FROM v GROUP BY 1"""
+
+SQL["rq_forecast_by_period"] = views(v="deal_forecast") + f"""
+SELECT forecast_period, {_sum('deal_count', 'BIGINT')}, CAST(SUM(pipeline_value) AS DECIMAL(38,2)) AS pipeline_value, CAST(SUM(weighted_pipeline) AS DECIMAL(38,8)) AS weighted_pipeline,
+  {xavg('avg_probability', 6, prec=20)} AS avg_probability, {xavg('avg_deal_size', 6, prec=26)} AS avg_deal_size FROM v GROUP BY 1"""
+
+SQL["rq_deals_by_status"] = views(v="deal_performance") + f"""
+SELECT deal_status, CAST(SUM(amount) AS DECIMAL(28,2)) AS amount, CAST(SUM(weighted_amount) AS DECIMAL(38,8)) AS weighted_amount,
+  COUNT(*) FILTER (is_closed) AS is_closed, COUNT(*) FILTER (is_closed_won) AS is_closed_won, {_sum('total_engagements', 'BIGINT')},
+  AVG(deal_age_days) AS deal_age_days, AVG(actual_days_to_close) AS actual_days_to_close FROM v GROUP BY 1"""
