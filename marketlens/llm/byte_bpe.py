@@ -8,7 +8,7 @@ strings are held as text of one character per byte (Latin-1).
 
 Only distinct units are folded. The HEAD most frequent of the corpus are folded once by these functions and
 their ids travel to the executors; the units of a document that are not among these are folded
-there by the same merges in Python, for folding every rare unit in the row took the higher-order
+there by the same merges on numpy arrays, many units side by side, for folding every rare unit in the row took the higher-order
 functions about 300 microseconds a unit, beyond the limits (figures in the README). Nothing is
 shuffled but unit counts, so a document's length or a frequent word gathers nothing in one task.
 
@@ -23,8 +23,9 @@ import heapq
 import json
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,8 @@ from .packing import _SPACE, _UNIT
 HEAD = 1 << 17
 #: Distinct units a task counts before it hands them on, or remembers when folded (memory bound only).
 REMEMBER = 300_000
+#: Characters of text, and byte strings, that a task folds side by side (memory bound only).
+GROUP_CHARS, SIDE_BY_SIDE = 1 << 20, 1 << 12
 RANK_MAPS = 1 << 13
 NO_RANK = 2 ** 31 - 1
 
@@ -181,33 +184,126 @@ def _fold_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class PairTable:
+    """Which two ids may merge, and into what: for every byte string with a rank, all its cuts into two that have ranks."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        pairs = [(ranks[p[:i]], ranks[p[i:]], r) for p, r in ranks.items() for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks]
+        left, right, into = np.array(pairs, np.int64).reshape(-1, 3).T
+        keys = left << 32 | right
+        order = np.argsort(keys)
+        self.keys, self.into = np.r_[keys[order], np.iinfo(np.int64).max], np.r_[into[order], NO_RANK].astype(np.int32)
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.into[at], NO_RANK)
+
+
+def fold_many(pieces: list[bytes], table: PairTable) -> tuple[np.ndarray, np.ndarray]:
+    """``fold`` of many byte strings of 2 to 64 bytes side by side, as all ids and how many each has: each step merges the
+    lowest-ranked pair of every one that still has one.
+
+    Row r of the arrays is a piece; a part keeps the place of its first byte, and ``nxt`` and ``prv`` lead from part to part."""
+    n = np.array([len(p) for p in pieces])
+    width, rows = int(n.max()) + 1, len(pieces)
+    inside = np.arange(width) < n[:, None]
+    ids = np.zeros((rows, width), np.int32)
+    ids[inside] = table.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+    nxt, prv = np.tile(np.arange(1, width + 1), (rows, 1)), np.tile(np.arange(-1, width - 1), (rows, 1))
+    pairs = np.full((rows, width), NO_RANK, np.int32)
+    joint = inside[:, :-1] & inside[:, 1:]
+    pairs[:, :-1][joint] = table.rank(ids[:, :-1][joint], ids[:, 1:][joint])
+    active = np.arange(rows)
+    while len(active):
+        low = pairs[active].argmin(axis=1)  # the leftmost of the lowest
+        best = pairs[active, low]
+        active, low, best = active[best < NO_RANK], low[best < NO_RANK], best[best < NO_RANK]
+        gone = nxt[active, low]
+        after, before = nxt[active, gone], prv[active, low]
+        ids[active, low], inside[active, gone] = best, False
+        pairs[active, gone], nxt[active, low] = NO_RANK, after
+        more = after < n[active]
+        prv[active[more], after[more]] = low[more]
+        pairs[active, low] = NO_RANK
+        pairs[active[more], low[more]] = table.rank(best[more], ids[active[more], after[more]])
+        left = before >= 0
+        pairs[active[left], before[left]] = table.rank(ids[active[left], before[left]], best[left])
+    return ids[inside], inside.sum(axis=1)
+
+
 class UnitCoder:
-    """A worker's units: ids as text and decoded bytes, from the head or folded when first met."""
+    """A worker's units: ids (little-endian unsigned 32-bit) from the head, or folded when first met."""
 
     def __init__(self, head: pa.Table, ranks: dict[bytes, int], pattern: str) -> None:
         import regex
-        units, ids, raw = ([x for c in col.chunks for x in c.to_pylist()] for col in head.columns)
-        self.ids, self.raw = dict(zip(units, (i.encode() for i in ids))), dict(zip(units, raw))
-        self._room, self._head = len(self.ids) + REMEMBER, list(self.ids)
-        self._ranks, self._pieces = ranks, {i: p for p, i in ranks.items()}
+        units, ids = ([x for c in col.chunks for x in c.to_pylist()] for col in head.columns[:2])
+        self.ids = {u: np.array(i.split(",") if i else [], "<u4").tobytes() for u, i in zip(units, ids)}
+        self._room, self._head = len(self.ids) + REMEMBER, units
+        self._ranks, self._table = ranks, PairTable(ranks)
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for piece, i in ranks.items():
+            pieces[i] = piece
+        self._pieces = pa.array(pieces, pa.large_binary())
+        self._numbers = pa.array([b"%d," % i for i in range(len(pieces))], pa.large_binary())
         self._match = regex.compile(split_pattern(pattern)).findall
 
-    def learn(self, units: set[str]) -> None:
-        for unit in units:
-            ids = [i for m in self._match(unit) for i in fold(m.encode(), self._ranks)]
-            self.ids[unit] = ",".join(map(str, ids)).encode()
-            self.raw[unit] = b"".join([self._pieces[i] for i in ids])
-
-    def encode(self, text: str) -> tuple[bytes, bytes]:
-        """The ids joined by commas, and the bytes they decode to."""
+    def learn(self, units: Iterable[str]) -> None:
+        """Fold new units match by match. A match is a unit too (`` word`` of `` word,``), so what is known of it is used."""
+        split = {unit: self._match(unit) for unit in units}
+        new = {m: m.encode() for matches in split.values() for m in matches if m not in self.ids}
+        short: dict[int, list[str]] = {}
+        for match, piece in new.items():
+            if piece in self._ranks or len(piece) > 64:
+                self.ids[match] = np.array(fold(piece, self._ranks), "<u4").tobytes()
+            else:
+                short.setdefault(len(piece) // 8, []).append(match)  # alike in length, so that little is padding
+        for group in short.values():
+            for i in range(0, len(group), SIDE_BY_SIDE):
+                part = group[i:i + SIDE_BY_SIDE]
+                ids, sizes = fold_many([new[m] for m in part], self._table)
+                raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+                self.ids.update((m, raw[a:b]) for m, a, b in zip(part, [0, *ends], ends))
+        for unit, matches in split.items():
+            if len(matches) != 1:
+                self.ids[unit] = b"".join([self.ids[m] for m in matches])
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, memoryview, memoryview]]:
+        """Of each text its ids, the ids as decimals joined by commas, and the bytes they decode to."""
         if len(self.ids) > self._room:
-            self.ids, self.raw = ({u: d[u] for u in self._head} for d in (self.ids, self.raw))
-        units = _UNIT.findall(text)
-        ids = list(map(self.ids.get, units))
-        if None in ids:
-            self.learn({u for u, x in zip(units, ids) if x is None})
-            ids = list(map(self.ids.get, units))
-        return b",".join(ids), b"".join(map(self.raw.__getitem__, units))
+            self.ids = {u: self.ids[u] for u in self._head}
+        split = [_UNIT.findall(text) for text in texts]
+        got = [list(map(self.ids.get, units)) for units in split]
+        missing = {u for units, ids in zip(split, got) if None in ids for u, x in zip(units, ids) if x is None}
+        if missing:
+            self.learn(missing)
+        lines = [b"".join(map(self.ids.__getitem__, units) if None in ids else ids) for units, ids in zip(split, got)]
+        ids = np.frombuffer(b"".join(lines), "<u4")
+        ends = np.cumsum([len(x) // 4 for x in lines])
+        # taken side by side, the binary pieces of consecutive ids lie one after another in one buffer
+        (text, text_at), (back, back_at) = (_joined(table.take(pa.array(ids))) for table in (self._numbers, self._pieces))
+        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            yield ids[a:b], text[text_at[a]:max(text_at[a], text_at[b] - 1)], back[back_at[a]:back_at[b]]
+
+
+def _joined(pieces: pa.LargeBinaryArray) -> tuple[memoryview, np.ndarray]:
+    """The concatenated pieces, and where each begins and the last ends."""
+    _, offsets, data = pieces.buffers()
+    return memoryview(data) if data is not None else memoryview(b""), np.frombuffer(offsets, np.int64, len(pieces) + 1) if len(pieces) else np.zeros(1, np.int64)
+
+
+def _groups(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in order, some at a time: about ``GROUP_CHARS`` characters, and a longer one alone."""
+    group, size = [], 0
+    for text in texts:
+        if group and size + len(text) > GROUP_CHARS:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
 
 
 _CODERS: dict[str, UnitCoder] = {}
@@ -231,14 +327,13 @@ def encode_documents(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, in
         coder = _CODERS[name]
         for b in batches:
             cols: list[list] = [[], [], [], [], []]
-            for text in b.column(1).to_pylist():
-                line, back = coder.encode(text)
-                cols[0].append(line.count(b",") + 1 if line else 0)
+            for ids, line, back in (found for group in _groups(b.column(1).to_pylist()) for found in coder.encode(group)):
+                cols[0].append(len(ids))
                 cols[1].append(hashlib.sha256(line).hexdigest())
                 cols[2].append(hashlib.sha256(back).hexdigest())
                 if with_ids:
-                    cols[3].append([int(x) for x in line.split(b",")] if line else [])
-                    cols[4].append(back)
+                    cols[3].append(ids.astype(np.int32))
+                    cols[4].append(bytes(back))
             arrays = [b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())]
             if with_ids:
                 arrays += [pa.array(cols[3], pa.list_(pa.int32())), pa.array(cols[4], pa.binary())]

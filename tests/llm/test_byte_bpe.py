@@ -52,8 +52,19 @@ def test_units_survive_a_full_memory(monkeypatch):
     none = pa.table({"u": pa.array([], pa.string()), "i": pa.array([], pa.string()), "b": pa.array([], pa.binary())})
     coder = byte_bpe.UnitCoder(none, RANKS, P.PATTERN)
     for text in ["a b c d e", "c d x y", "x a b zz", "a a a", "q r s t u v w a"] * 2:
-        line, raw = coder.encode(text)
-        assert line.decode() == ",".join(map(str, LIB.encode_ordinary(text))) and raw == text.encode()
+        (ids, line, raw), (none_ids, no_line, no_bytes) = coder.encode([text, ""])
+        want = LIB.encode_ordinary(text)
+        assert ids.tolist() == want and bytes(line).decode() == ",".join(map(str, want)) and bytes(raw) == text.encode()
+        assert not len(none_ids) and not bytes(no_line) and not bytes(no_bytes)
+
+
+def test_folding_side_by_side_equals_folding_one_by_one():
+    rnd = random.Random(2)
+    pieces = [bytes(rnd.choice(b"aeinrst \xc3\xa9xQ0") for _ in range(rnd.randint(2, 64))) for _ in range(1500)]
+    pieces = [p for p in pieces if p not in RANKS]
+    ids, sizes = byte_bpe.fold_many(pieces, byte_bpe.PairTable(RANKS))
+    ends = sizes.cumsum()
+    assert [ids[b - n:b].tolist() for b, n in zip(ends, sizes)] == [byte_bpe.fold(p, RANKS) for p in pieces]
 
 
 def test_empty_table(spark):
