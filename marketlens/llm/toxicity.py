@@ -8,8 +8,8 @@ document's largest such gains, and how many windows pass each gain, go to a logi
 is calibrated on labelled rows the dictionaries have not seen; 0.5 is the threshold.
 
 Only the trained model (about 20 KB) travels to the executors. Training reads a bounded sample of
-labelled rows: ``TRAIN_ROWS`` of each class, the ones with the smallest hash of their id, at most
-``TRAIN_CHARS`` characters of each; all rows are scored over their whole text.
+labelled rows: ``TRAIN_ROWS`` of each class, the ones with the smallest hash of their id, and of a text beyond ``TRAIN_CHARS``
+characters the pieces of ``PIECE`` characters with the smallest hash, wherever they stand; all rows are scored over their whole text.
 
 Defined results: null text counts as empty; an empty text has no window and gets the model's
 score of no gain; repeated rows get equal scores; without labelled rows of both classes every
@@ -25,13 +25,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
 
-TRAIN_ROWS, TRAIN_CHARS = 2000, 65_536
+#: Rows a class and characters a row to train on; characters of a piece of a longer text.
+TRAIN_ROWS, TRAIN_CHARS, PIECE = 2000, 65_536, 1024
+#: The ordinary dictionary is trained on at most so many samples of so many bytes, those with the smallest hash.
+SAMPLES, SAMPLE_BYTES = 20_000, 512
 WINDOW_WORDS, STEP_WORDS = 8, 4
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, 2_048
 GRAM, MIN_SHARE, MIN_PLACES, MIN_RATIO = 5, 0.01, 5, 20.0
@@ -45,6 +49,15 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().split()
 
 
+def sampled(text: str, chars: int = TRAIN_CHARS, piece: int = PIECE) -> str:
+    """``text``, or if it is longer the pieces of it with the smallest hash, ``chars`` characters of them, in order."""
+    if len(text) <= chars:
+        return text
+    pieces = [text[i:i + piece] for i in range(0, len(text), piece)]
+    chosen = sorted(range(len(pieces)), key=lambda i: (xxhash.xxh64_intdigest(pieces[i]), i))[:max(1, chars // piece)]
+    return " ".join(pieces[i] for i in sorted(chosen))
+
+
 def windows(words: list[bytes], size: int = WINDOW_WORDS, step: int = STEP_WORDS) -> list[bytes]:
     """Overlapping runs of ``size`` words that cover all words."""
     return [b" " + b" ".join(words[i:i + size]) + b" " for i in range(0, max(1, len(words) - size + step), step)] if words else []
@@ -58,14 +71,12 @@ def _grams(word: bytes) -> set[bytes]:
 def _support(seqs: set[tuple[bytes, ...]], of=None) -> tuple[Counter, int]:
     """In how many distinct places (word with both neighbours) each character run occurs, and the number of
     places; text that copies share has the same places and so counts once."""
-    seen, count = set(), Counter()
-    for seq in seqs:
-        for i, word in enumerate(seq):
-            place = hash((seq[i - 1] if i else b"", word, seq[i + 1] if i + 1 < len(seq) else b""))
-            if place not in seen:
-                seen.add(place)
-                count.update(_grams(word) if of is None else _grams(word) & of)
-    return count, max(1, len(seen))
+    places = {(seq[i - 1] if i else b"", word, seq[i + 1] if i + 1 < len(seq) else b"") for seq in seqs for i, word in enumerate(seq)}
+    count: Counter = Counter()
+    for word, n in Counter(word for _, word, _ in places).items():
+        for gram in _grams(word) if of is None else _grams(word) & of:
+            count[gram] += n
+    return count, max(1, len(places))
 
 
 @dataclass
@@ -140,7 +151,9 @@ def train(toxic: list[str], ordinary: list[str], toxic_share: float) -> Model:
             samples.append(b" " + b" ".join(own) + b" ")
     samples.sort()
     plain = [b" " + b" ".join(s) + b" " for s in sorted(seqs_o)]
-    plain = [p[i:i + 512] for p in plain for i in range(0, len(p), 512)][:20_000]
+    plain = [p[i:i + SAMPLE_BYTES] for p in plain for i in range(0, len(p), SAMPLE_BYTES)]
+    if len(plain) > SAMPLES:
+        plain = sorted(sorted(plain, key=lambda p: (xxhash.xxh64_intdigest(p), p))[:SAMPLES])
     try:
         # few or tiny samples are repeated: the trainer wants a minimum of data
         ordinary_dict = zs.train_dictionary(ORDINARY_BYTES, plain * (1 + 2000 // max(1, len(plain)))).as_bytes()
@@ -163,8 +176,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int =
     for kind in (0, 1):
         own = marks.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         picked = own if picked is None else picked.union(own)
-    texts = docs.select("doc_id", F.substring(common.text_or_empty(), 1, chars).alias("text"))
-    got = texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id", "toxic"]).collect()  # at most 2 * rows
+    texts = docs.select("doc_id", common.text_or_empty().alias("text")).join(F.broadcast(picked), "doc_id")
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sampled(t, chars) for t in b.column(1).to_pylist()], pa.string()), b.column(2)], names=b.schema.names)
+
+    got = texts.mapInArrow(pieces, texts.schema).dropDuplicates(["doc_id", "toxic"]).collect()  # at most 2 * rows
     got.sort(key=lambda r: str(r["doc_id"]))
     split = [[r["text"] for r in got if r["toxic"] == kind] for kind in (0, 1)]
     return train(split[1], split[0], shares.get(1, 0) / max(1, sum(shares.values())))

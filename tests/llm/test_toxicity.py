@@ -71,3 +71,43 @@ def test_keep_ordinary_leaves_the_columns(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert toxicity.toxicity(spark, docs, spark.createDataFrame([], "doc_id long, toxic int")).count() == 0
+
+
+def test_scores_equal_a_brute_force_version(spark):
+    """The score by the definition: every window compressed alone with fresh compressors of both dictionaries."""
+    import math
+
+    import zstandard as zs
+    rows, labels = corpus(300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    params = zs.ZstdCompressionParameters.from_level(toxicity.LEVEL, source_size=64, dict_size=toxicity.ORDINARY_BYTES + toxicity.TOXIC_BYTES,
+                                                     write_content_size=False, write_checksum=False, write_dict_id=False, format=zs.FORMAT_ZSTD1_MAGICLESS)
+
+    def length(window, dictionary):
+        d = zs.ZstdCompressionDict(dictionary, dict_type=zs.DICT_TYPE_FULLDICT)
+        d.precompute_compress(compression_params=params)
+        return len(zs.ZstdCompressor(dict_data=d, compression_params=params).compress(window))
+
+    def score(text):
+        words, gains, n = text.lower().encode().split(), [], 0
+        for start in range(0, max(1, len(words) - 8 + 4), 4):
+            if words:
+                window = b" " + b" ".join(words[start:start + 8]) + b" "
+                n += 1
+                gains.append(length(window, model.ordinary) - length(window, model.ordinary + model.toxic))
+        gains = sorted((g for g in gains if g > 0), reverse=True)
+        x = [*(gains + [0, 0, 0])[:3], *(math.log1p(len([g for g in gains if g >= k])) for k in (1, 2, 3, 4, 5, 6, 8)), math.log1p(n), 1.0]
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(x, model.weights))))))
+
+    some = rows[:25] + [(9001, ""), (9002, "zquork"), (9003, "É zquorkly. " * 40)]
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(spark.createDataFrame(some, "doc_id long, text string"), model).collect()}
+    assert all(abs(got[i] - score(t)) < 1e-9 for i, t in some)
+
+
+def test_training_pieces_come_from_the_whole_text():
+    text = " ".join(f"w{i}" for i in range(100_000))
+    picked = toxicity.sampled(text, 20_000, 500)
+    assert len(picked) <= 20_000 + 40 and toxicity.sampled("short", 20_000) == "short"
+    numbers = [int(w[1:]) for w in picked.split() if w.startswith("w") and w[1:].isdigit()]
+    assert min(numbers) < 20_000 and max(numbers) > 80_000
