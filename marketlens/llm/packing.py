@@ -32,9 +32,9 @@ CAPACITY = 2048
 END_ID = 0
 #: Entries of one worker's cache of encoded words; it is emptied when full (memory bound only).
 CACHE_WORDS = 500_000
-#: Pieces of one length are numbered in this many independent parts, so that a length shared by
-#: a third of all pieces is not numbered by one task.
-NUMBERING_PARTS = 64
+#: Pieces of one length are numbered in so many independent parts, or in more, that a part holds about PART_PIECES pieces of all
+#: lengths: a length shared by most pieces is not numbered by a few tasks.
+NUMBERING_PARTS, PART_PIECES = 64, 1 << 18
 
 # Unicode white space: where the byte-level pre-tokenizer may split.
 _SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -57,8 +57,7 @@ class WordCachingEncoder:
         self._tok = Tokenizer.from_file(tokenizer_file)
         self._tok.encode_special_tokens = True  # units hold none, or are ordinary text
         self._plain = Tokenizer.from_file(tokenizer_file) if special else None
-        held = [t.content for t in self._tok.get_added_tokens_decoder().values() if t.special] if special else []
-        self._special = re.compile("|".join(map(re.escape, held))) if held else None
+        self._special = [t.content for t in self._tok.get_added_tokens_decoder().values() if t.special] if special else []
         self._cache: dict[str, bytes] = {}
         vocab = self._tok.get_vocab()
         self._bytes = np.zeros(max(vocab.values()) + 1, dtype="i8")
@@ -82,9 +81,7 @@ class WordCachingEncoder:
             self._cache[unit] = np.array(enc.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self._special is None:
-            return self._encode_units(texts)
-        found = {i for i, t in enumerate(texts) if self._special.search(t)}
+        found = {i for i, t in enumerate(texts) if any(x in t for x in self._special)}
         plain = iter(self._encode_units([t for i, t in enumerate(texts) if i not in found]) if found else self._encode_units(texts))
         return [np.array(self._plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if i in found else next(plain)
                 for i, t in enumerate(texts)]
@@ -225,7 +222,8 @@ def place(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY, leng
     counts = {int(r[0]): int(r[1]) for r in pieces.groupBy(length_col).count().collect()}  # at most ``capacity`` rows
     runs, _ = plan_runs(counts, capacity)
     part, before, rank, spot = (common.fresh(pieces, c) for c in ("part", "before", "rank", "place"))
-    parted = pieces.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(NUMBERING_PARTS)))
+    parts = max(NUMBERING_PARTS, sum(counts.values()) // PART_PIECES)
+    parted = pieces.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(parts)))
     from pyspark.sql import Window as W
     offsets = parted.groupBy(length_col, part).agg(F.count("*").alias(before)).withColumn(
         before, F.sum(before).over(W.partitionBy(length_col).orderBy(part).rowsBetween(W.unboundedPreceding, -1)))
