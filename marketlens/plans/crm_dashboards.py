@@ -9,8 +9,9 @@ size-checked global rank operator.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import change_pct, dec, ratio, rules, share_pct
@@ -36,13 +37,19 @@ def _recent_daily(t: Tables, as_of) -> DataFrame:
     return engagements.engagement_daily_summary(t).filter(F.col("engagement_date") >= F.date_sub(as_date_lit(as_of), 30))
 
 
-def _live_pairs(t: Tables, bridge: str, key: str, entity: str, entity_key: str) -> DataFrame:
-    """(engagement, entity) bridge pairs whose engagement and entity are both live (semi joins).
-    The bridge key is unique, so the pair count equals SUM over live entities of their
-    engagement counts."""
-    e = crm.live(t, "engagement").select("engagement_id")
-    ent = crm.live(t, entity).select(F.col(entity_key).alias(key))
-    return t[bridge].select("engagement_id", key).join(e, "engagement_id", "left_semi").join(ent, key, "left_semi")
+_ENTITIES = {"contact": "contact_id", "company": "company_id", "deal": "deal_id"}
+
+
+def _live_pairs(t: Tables, which: Sequence[str]) -> DataFrame:
+    """(_w, _member) of the bridge pairs whose engagement and entity are both live: the bridges stacked with a tag, and met once with
+    the live engagements and once with all live entities, stacked alike.  The bridge key is unique, so the pairs of an entity
+    kind equal SUM over live entities of their engagement counts."""
+    entities = None
+    for w in which:
+        e = crm.live(t, w).select(F.lit(w).alias("_w"), F.col(_ENTITIES[w]).cast("long").alias("_member"))
+        entities = e if entities is None else entities.unionByName(e)
+    pairs = engagements._tagged_bridges(t, which).join(crm.live(t, "engagement").select("engagement_id"), "engagement_id", "left_semi")
+    return pairs.select("_w", "_member").join(entities, ["_w", "_member"], "left_semi")
 
 
 def _deal_core(t: Tables) -> DataFrame:
@@ -77,7 +84,7 @@ def q_crm_executive(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
     members are distinct (day, member) pairs, so no full mart with its name joins is built."""
     c = crm.live(t, "contact")
     st = F.col("lifecycle_stage")
-    pairs = _scalar(_live_pairs(t, "engagement_contact", "contact_id", "contact", "contact_id"), F.count(F.lit(1)))
+    pairs = _scalar(_live_pairs(t, ["contact"]), F.count(F.lit(1)))
     cm = c.agg(F.count(F.lit(1)).alias("total_contacts"),
                F.count(F.when(since("created_at", as_of, 30), 1)).alias("new_contacts_30d"),
                F.count(F.when(st == "customer", 1)).alias("total_customers"),
@@ -103,13 +110,10 @@ def q_crm_executive(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
                 F.sum(F.when(ty == "MEETING", 1).otherwise(0)).alias("total_meetings_30d"),
                 F.sum(F.when(ty == "EMAIL", 1).otherwise(0)).alias("total_emails_30d"))
     names = {"contact": "contacts_engaged_30d", "company": "companies_engaged_30d", "deal": "deals_engaged_30d"}
-    day_members = {}
-    for w, name in names.items():
-        bridge, col = engagements.BRIDGES[w]
-        pairs_ = t[bridge].select("engagement_id", col).join(re, "engagement_id").select("engagement_date", col)
-        day_members[name] = _scalar(pairs_.distinct(), F.count(col))
-    em = em.select("*", *[F.when(F.col("total_engagements_30d").isNotNull(), v).cast("long").alias(n)
-                          for n, v in day_members.items()])
+    met = engagements._tagged_bridges(t, list(names)).join(re.select("engagement_id", "engagement_date"), "engagement_id")
+    met = met.select("engagement_date", "_w", "_member").distinct()
+    members = _scalar(met, F.struct(*[F.count(F.when(F.col("_w") == w, F.col("_member"))).alias(n) for w, n in names.items()]))
+    em = em.select("*", *[F.when(F.col("total_engagements_30d").isNotNull(), members.getField(n)).cast("long").alias(n) for n in names.values()])
     j = _one_row_join(cm, dm, em)
     tc, od = F.col("total_contacts"), F.col("open_deals")
     return j.select(
@@ -293,53 +297,38 @@ def q_source_attribution(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
 
 
 def q_cross_channel(t: Tables, as_of: _dt.date | None = None) -> DataFrame:
-    """Five one-row channel summaries, stacked (UNION ALL by name, types aligned).
+    """Five channel summaries from one aggregation: every record, live bridge pair and won amount is a row that
+    adds to its channel, read from the base tables without any mart or name join."""
+    zero = F.lit(0)
 
-    Each summary reads only what it needs from the base tables: entity counts, live bridge-pair
-    counts for the summed engagement totals, won deal amounts per live company for lifetime
-    value, first SENT time per campaign - no full mart with its name joins is built."""
-    def shape(df: DataFrame, channel: str) -> DataFrame:
-        return df.select(F.lit(channel).alias("channel"), F.col("total_records").cast("long"),
-                         F.col("new_30d").cast("long"), F.col("total_activities").cast("long"),
-                         F.col("total_revenue").cast("decimal(38,2)"))
+    def adds(df: DataFrame, channel: Column, records=zero, new=zero, activities=zero, revenue=zero) -> DataFrame:
+        return df.select(channel.alias("channel"), records.cast("long").alias("total_records"), new.cast("long").alias("new_30d"),
+                         activities.cast("long").alias("total_activities"), revenue.cast("decimal(28,2)").alias("total_revenue"))
 
-    def with_activities(summary: DataFrame, pairs: DataFrame) -> DataFrame:
-        n = _scalar(pairs, F.count(F.lit(1)))
-        return summary.withColumn("total_activities", F.when(F.col("total_records") > 0, n))
+    def recent(col: str) -> Column:
+        return F.coalesce(since(col, as_of, 30), F.lit(False)).cast("int")
 
-    c = crm.live(t, "contact")
-    cp = with_activities(c.agg(F.count(F.lit(1)).alias("total_records"),
-                               F.count(F.when(since("created_at", as_of, 30), 1)).alias("new_30d"),
-                               F.sum(F.coalesce("total_revenue", F.lit(0))).alias("total_revenue")),
-                         _live_pairs(t, "engagement_contact", "contact_id", "contact", "contact_id"))
-    co_live = crm.live(t, "company")
-    won = crm.live(t, "deal").filter((F.col("is_closed_won") == True) & F.col("associated_company_id").isNotNull())  # noqa: E712
-    won = won.join(co_live.select(F.col("company_id").alias("associated_company_id")), "associated_company_id",
-                   "left_semi")
-    won_rev = _scalar(won, F.coalesce(F.sum(F.coalesce("amount", F.lit(0))), F.lit(0)))
-    co = with_activities(co_live.agg(F.count(F.lit(1)).alias("total_records"),
-                                     F.count(F.when(since("created_at", as_of, 30), 1)).alias("new_30d"),
-                                     F.sum(F.coalesce("total_revenue", F.lit(0))).alias("_rev")),
-                         _live_pairs(t, "engagement_company", "company_id", "company", "company_id")) \
-        .withColumn("total_revenue", F.when(F.col("total_records") > 0, F.col("_rev") + won_rev))
-    d = crm.live(t, "deal")
-    dp = with_activities(d.agg(F.count(F.lit(1)).alias("total_records"),
-                               F.count(F.when(since("create_date", as_of, 30), 1)).alias("new_30d"),
-                               F.sum(F.when(F.col("is_closed_won") == True, F.coalesce("amount", F.lit(0)))  # noqa: E712
-                                     .otherwise(F.lit(0))).alias("total_revenue")),
-                         _live_pairs(t, "engagement_deal", "deal_id", "deal", "deal_id"))
+    one, company, deal = F.lit(1), crm.live(t, "company"), crm.live(t, "deal")
+    is_won, amount = F.col("is_closed_won") == True, F.coalesce("amount", zero)  # noqa: E712
+    of_live = deal.where(is_won & F.col("associated_company_id").isNotNull()).join(
+        company.select(F.col("company_id").alias("associated_company_id")), "associated_company_id", "left_semi")
+    tag = F.col("_w")
     sent = t["email_event"].filter((F.col("type") == "SENT") & F.col("email_campaign_id").isNotNull()) \
-        .groupBy(F.col("email_campaign_id").alias("campaign_id")).agg(F.count(F.lit(1)).alias("_sent"),
-                                                                     F.min("created_at").alias("_first"))
-    ec = crm.live(t, "email_campaign").select("campaign_id").join(sent, "campaign_id", "left")
-    ep = ec.agg(F.count(F.lit(1)).alias("total_records"), F.count(F.when(since("_first", as_of, 30), 1)).alias("new_30d"),
-                F.sum(F.coalesce("_sent", F.lit(0))).alias("total_activities"), F.lit(0).alias("total_revenue"))
-    en = _recent_engagements(t, as_of).agg(*[F.sum(F.lit(1)).alias(n) for n in
-                                            ["total_records", "new_30d", "total_activities"]],
-                                          F.lit(0).alias("total_revenue"))
-    parts = [shape(cp, "Contacts"), shape(co, "Companies"), shape(dp, "Deals"), shape(ep, "Email Campaigns"),
-             shape(en, "Engagements")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        .groupBy(F.col("email_campaign_id").alias("campaign_id")).agg(F.count(one).alias("_sent"), F.min("created_at").alias("_first"))
+    campaigns = crm.live(t, "email_campaign").select("campaign_id").join(sent, "campaign_id", "left")
+    rows = [
+        adds(crm.live(t, "contact"), F.lit("Contacts"), one, recent("created_at"), revenue=F.coalesce("total_revenue", zero)),
+        adds(company, F.lit("Companies"), one, recent("created_at"), revenue=F.coalesce("total_revenue", zero)),
+        adds(of_live, F.lit("Companies"), revenue=amount),
+        adds(deal, F.lit("Deals"), one, recent("create_date"), revenue=F.when(is_won, amount).otherwise(zero)),
+        adds(_live_pairs(t, list(_ENTITIES)), F.when(tag == "contact", "Contacts").when(tag == "company", "Companies").otherwise("Deals"), activities=one),
+        adds(campaigns, F.lit("Email Campaigns"), one, recent("_first"), F.coalesce("_sent", zero)),
+        adds(_recent_engagements(t, as_of), F.lit("Engagements"), one, one, one),
+        # a channel without rows counts none and sums to NULL; engagements are summed daily counts
+        t.spark.sql("SELECT channel, n AS total_records, n AS new_30d, CAST(NULL AS BIGINT) AS total_activities, CAST(r AS DECIMAL(28,2)) AS total_revenue FROM VALUES "
+                    "('Contacts', 0L, NULL), ('Companies', 0L, NULL), ('Deals', 0L, NULL), ('Email Campaigns', 0L, 0), ('Engagements', NULL, 0) AS v(channel, n, r)")]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.groupBy("channel").agg(F.sum("total_records").alias("total_records"), F.sum("new_30d").alias("new_30d"), F.sum("total_activities").alias("total_activities"),
+                                      F.sum("total_revenue").cast("decimal(38,2)").alias("total_revenue"))

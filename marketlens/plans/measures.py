@@ -8,6 +8,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,3 +146,40 @@ def m_spend_time_intelligence(t: Tables) -> DataFrame:
     return daily.select("date", "total_spend", "spend_wow", "spend_mom", "spend_yoy",
                         *[(divide(cur - F.col(c), F.col(c)) * 100).alias(f"{c}_change_pct")
                           for c in ["spend_wow", "spend_mom", "spend_yoy"]])
+
+
+#: Time shifts of a calculation group: suffix -> unit.
+SHIFTS = {"wow": "week", "mom": "month", "yoy": "year"}
+
+
+def time_intelligence(daily: DataFrame, date_col: str, base: Sequence[str], measures: Mapping[str, Callable[[Callable[[str], Column]], Column]],
+                      shifts: Mapping[str, str] = SHIFTS) -> DataFrame:
+    """Any measures on a date axis, as they are, shifted, and as a change in percent.
+
+    ``daily`` has one row per date with the additive ``base`` columns. A measure is a function of a look-up of base columns, so that a ratio is
+    taken of the shifted sums, not shifted itself; each shift is one join that brings all base columns."""
+    out, d = daily.select(date_col, *base), F.col(date_col)
+    look = {"day": lambda: F.date_sub(d, 1), "week": lambda: F.date_sub(d, 7), "month": lambda: F.add_months(d, -1), "year": lambda: F.add_months(d, -12)}
+    for tag, unit in shifts.items():
+        then = daily.select(F.col(date_col).alias("_src"), F.lit(True).alias(f"_has_{tag}"), *[F.col(b).alias(f"_{tag}_{b}") for b in base])
+        out = out.withColumn("_lk", look[unit]()).join(then, F.col("_lk") == F.col("_src"), "left").drop("_lk", "_src")
+    columns = [d]
+    for name, measure in measures.items():
+        now = measure(F.col)
+        columns.append(now.alias(name))
+        for tag in shifts:
+            # a date without rows then has no value, not a ratio of nothing
+            then = F.when(F.col(f"_has_{tag}"), measure(lambda b, tag=tag: F.col(f"_{tag}_{b}")))
+            columns += [then.alias(f"{name}_{tag}"), (divide(now - then, then) * 100).alias(f"{name}_{tag}_change_pct")]
+    return out.select(*columns)
+
+
+def m_ads_time_intelligence(t: Tables) -> DataFrame:
+    """Spend, clicks, CTR % and ROAS per date with their week-, month- and year-ago values, over the long-range search-ads history."""
+    from .search_ads import account_performance
+    from .time_periods import _LongRange
+    base = ["spend", "clicks", "impressions", "conversions_value"]
+    daily = account_performance(_LongRange(t)).groupBy("date").agg(*[F.sum(b).alias(b) for b in base])
+    return time_intelligence(daily, "date", base, {
+        "total_spend": lambda c: c("spend"), "total_clicks": lambda c: c("clicks"), "ctr_pct": lambda c: divide(c("clicks"), c("impressions")) * 100,
+        "roas": lambda c: divide(c("conversions_value"), c("spend"))})

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..sources.catalog import Tables
 from . import crm, email, engagements
 from .measures import contact_measures, evaluate
+from .model import RELATIONSHIPS
 
 def _rules(sums: str, averages: str = "") -> dict[str, str]:
     return {**dict.fromkeys(sums.split(), "sum"), **dict.fromkeys(averages.split(), "average")}
@@ -111,12 +112,6 @@ def rq_owner_engagement_table(t: Tables, as_of: _dt.date | None = None) -> DataF
                      ["total_engagements", "total_calls", "total_meetings"])
 
 
-#: Many-to-one relationships of the model: name -> (column of the many side, key of the one side).
-RELATIONSHIPS = {"ContactToCompany": ("associated_company_id", "company_id"),
-                 "DealToOwnerPerformance": ("owner_id", "owner_id"),
-                 "DealToForecast": ("owner_id", "owner_id")}
-
-
 def across(many: DataFrame, one: DataFrame, relationship: str, columns: Mapping[str, str], slicers: Mapping[str, object] | None = None) -> DataFrame:
     """Bring columns of the one side to the many side, and let filters set on the one side reach it.
 
@@ -124,9 +119,9 @@ def across(many: DataFrame, one: DataFrame, relationship: str, columns: Mapping[
     leaves only rows whose partner passes it."""
     from ..operators.dims import attach
     from ..sources.catalog import slice_rows
-    column, key = RELATIONSHIPS[relationship]
+    edge = next(r for r in RELATIONSHIPS if r.name == relationship)
     chosen = slice_rows(one, slicers) if slicers else one
-    return attach(many, chosen, {column: key}, columns, "inner" if slicers else "left")
+    return attach(many, chosen, {edge.column: edge.key}, columns, "inner" if slicers else "left")
 
 
 def rq_contacts_by_company_health(t: Tables, as_of: _dt.date | None = None) -> DataFrame:

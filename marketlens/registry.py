@@ -138,6 +138,7 @@ _PLANS: dict[str, Callable[..., DataFrame]] = {
     "m_engagement_measures": ms.m_engagement_measures,
     "m_ads_daily_measures": ms.m_ads_daily_measures,
     "m_spend_time_intelligence": ms.m_spend_time_intelligence,
+    "m_ads_time_intelligence": ms.m_ads_time_intelligence,
     "rq_stage_counts": rq.rq_stage_counts,
     "rq_engagement_line": rq.rq_engagement_line,
     "rq_contacts_by_lifecycle": rq.rq_contacts_by_lifecycle,

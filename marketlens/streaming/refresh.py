@@ -20,7 +20,6 @@ import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_by_key
@@ -64,9 +63,9 @@ def refresh_daily_mart(spark: SparkSession, tables: Tables, stats_table: str, st
         checkpoint_location = os.path.join(root, "refresh", f"{stats_table}-{sink}")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        # dates touched by this sync: bounded by the days in one delivery, so broadcast is safe
+        # dates touched by this sync: few for a daily one, many for a first load; the planner sees which
         dates = batch.select(date_col).distinct()
-        current = spark.read.schema(schema).parquet(stats_path).join(F.broadcast(dates), date_col, "left_semi")
+        current = spark.read.schema(schema).parquet(stats_path).join(dates, date_col, "left_semi")
         current = latest_by_key(current, [*keys, date_col])
         out = build(OverlayTables(tables, {stats_table: current}))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

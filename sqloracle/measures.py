@@ -160,3 +160,19 @@ SQL["rq_deals_by_status"] = views(v="deal_performance") + f"""
 SELECT deal_status, CAST(SUM(amount) AS DECIMAL(28,2)) AS amount, CAST(SUM(weighted_amount) AS DECIMAL(38,8)) AS weighted_amount,
   COUNT(*) FILTER (is_closed) AS is_closed, COUNT(*) FILTER (is_closed_won) AS is_closed_won, {_sum('total_engagements', 'BIGINT')},
   AVG(deal_age_days) AS deal_age_days, AVG(actual_days_to_close) AS actual_days_to_close FROM v GROUP BY 1"""
+
+
+_MEASURE = {"total_spend": "{0}.s", "total_clicks": "{0}.k", "ctr_pct": div("{0}.k", "{0}.i") + " * 100", "roas": div("{0}.v", "{0}.s")}
+_AGO = {"wow": "d.date - 7", "mom": "CAST(d.date - INTERVAL 1 MONTH AS DATE)", "yoy": "CAST(d.date - INTERVAL 12 MONTH AS DATE)"}
+
+
+def _then(tag: str, name: str) -> str:
+    return f"CASE WHEN {tag}.date IS NOT NULL THEN {_MEASURE[name].format(tag)} END"
+
+
+SQL["m_ads_time_intelligence"] = with_tables("account_stats_long", "account_history").rstrip() + f""",
+ap AS ({search_ads.ACCOUNT_PERFORMANCE_BODY.replace('FROM account_stats a', 'FROM account_stats_long a')}),
+d AS (SELECT date, CAST(SUM(spend) AS DECIMAL(28,2)) AS s, CAST(SUM(clicks) AS BIGINT) AS k, SUM(impressions) AS i, SUM(conversions_value) AS v FROM ap GROUP BY date)
+SELECT d.date, {', '.join(f"{m.format('d')} AS {n}" for n, m in _MEASURE.items())},
+  {', '.join(f"{_then(t, n)} AS {n}_{t}, {div(f'({m.format(chr(100))}) - ({_then(t, n)})', _then(t, n))} * 100 AS {n}_{t}_change_pct" for n, m in _MEASURE.items() for t in _AGO)}
+FROM d {' '.join(f'LEFT JOIN d {t} ON {t}.date = {ago}' for t, ago in _AGO.items())}"""
