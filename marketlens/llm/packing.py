@@ -19,6 +19,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from . import common
 
 CAPACITY = 2048
 END_ID = 0
-#: Entries of one worker's cache of encoded words; it is emptied when full (memory bound only).
+#: Entries of each of the two halves of one worker's cache of encoded words: a full one replaces the older (memory bound only).
 CACHE_WORDS = 500_000
 #: Pieces of one length are numbered in so many independent parts, or in more, that a part holds about PART_PIECES pieces of all
 #: lengths: a length shared by most pieces is not numbered by a few tasks.
@@ -59,6 +60,7 @@ class WordCachingEncoder:
         self._plain = Tokenizer.from_file(tokenizer_file) if special else None
         self._special = [t.content for t in self._tok.get_added_tokens_decoder().values() if t.special] if special else []
         self._cache: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         vocab = self._tok.get_vocab()
         self._bytes = np.zeros(max(vocab.values()) + 1, dtype="i8")
         for token, no in vocab.items():
@@ -87,17 +89,19 @@ class WordCachingEncoder:
                 for i, t in enumerate(texts)]
 
     def _encode_units(self, texts: list[str]) -> list[bytes]:
-        if len(self._cache) > CACHE_WORDS:
-            self._cache.clear()
         out: list[bytes] = []
-        get = self._cache.get
         for i in range(0, len(texts), 200):
+            if len(self._cache) > CACHE_WORDS:
+                self._older, self._cache = self._cache, {}
+            cache, older, new = self._cache, self._older, set()
             split = [_UNIT.findall(t) for t in texts[i:i + 200]]
-            got = [list(map(get, units)) for units in split]
-            new = {u for units, ids in zip(split, got) if None in ids for u, x in zip(units, ids) if x is None}
-            if new:
-                self._learn(list(new))
-            out += [b"".join(map(get, units) if None in ids else ids) for units, ids in zip(split, got)]
+            for units in split:
+                new.update(filterfalse(cache.__contains__, units))
+            cache.update((u, older[u]) for u in new if u in older)  # words met again outlive the older half
+            learn = [u for u in new if u not in cache]
+            if learn:
+                self._learn(learn)
+            out += [b"".join(map(cache.__getitem__, units)) for units in split]
         return out
 
 

@@ -63,6 +63,17 @@ def test_cached_encoding_equals_the_library():
         assert np.frombuffer(raw, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_met_again_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 300)
+    texts = [" often rather " + " ".join(f"w{i}x{j}" for j in range(250)) for i in range(12)]
+    enc, learnt = packing.WordCachingEncoder(FILE), []
+    plain = enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda units: (learnt.extend(units), plain(units)))
+    got = [raw for t in texts for raw in enc.encode([t])]
+    assert got == [np.array(enc._tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert len(learnt) == len(set(learnt)) and len(enc._cache) + len(enc._older) < 4 * 300
+
+
 def test_pack_documents_round_trip(spark):
     rnd = random.Random(3)
     rows = [(i, " ".join(rnd.choice("the of and zyx qu".split()) for _ in range(rnd.choice([0, 1, 5, 40, 400]))), "x", 1) for i in range(60)]
