@@ -44,6 +44,8 @@ REMEMBER = 400_000
 #: DAMPING keeps the first steps of rarely seen rows small.
 BATCH, RATE, DAMPING, EPOCHS = 4096, 2.0, 3.0, 1
 FAN_IN, BLOCK_ROWS = 16, 1024
+#: Tokens whose sums fit a core's cache.
+CACHED = 512
 #: Longest run of equal rows that is summed together with the others.
 SHORT = 6
 END = b"\n"  # no word holds white space
@@ -76,9 +78,13 @@ class Lexicon(dict):
         self[word] = code
         return code
 
+    def full(self, words: list[bytes]) -> bool:
+        """The codes given out so far end with the next call."""
+        return len(self) + len(words) > len(self.buckets)
+
     def codes(self, words: list[bytes]) -> np.ndarray:
         """Codes of one text's words, valid until the next call."""
-        if len(self) + len(words) > len(self.buckets):
+        if self.full(words):
             self.clear()
             self.update(zip(self._head, range(self.known)))
             if self.known + len(words) > len(self.buckets):
@@ -106,12 +112,17 @@ def feature_rows(back: list[np.ndarray], classes: np.ndarray) -> np.ndarray:
 
 
 def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = weights[rows[:, 0]] + weights[BIAS]
-    for j in range(1, rows.shape[1]):
-        z += weights[rows[:, j]]
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+    out = np.empty((len(rows), weights.shape[1]), dtype=weights.dtype)
+    more = np.empty_like(out[:CACHED])
+    for i in range(0, len(rows), CACHED):
+        at, z = rows[i:i + CACHED], out[i:i + CACHED]
+        np.take(weights, at[:, 0], axis=0, out=z, mode="clip")
+        z += weights[BIAS]
+        for j in range(1, at.shape[1]):
+            z += np.take(weights, at[:, j], axis=0, out=more[:len(at)], mode="clip")
+        z -= z.max(axis=1, keepdims=True)
+        z -= np.log(np.exp(z, out=more[:len(at)]).sum(axis=1, keepdims=True))
+    return out
 
 
 def run_sums(grad: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -185,22 +196,43 @@ def _train_texts(docs: DataFrame) -> DataFrame:
     return docs.where(F.pmod(common.id_crc32(), F.lit(HELD_OUT[0])) != HELD_OUT[1]).select(common.text_or_empty().alias("text"))
 
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """Rows word (bytes), c: the training tokens, counted per partition before the shuffle."""
+def coded_texts(train: DataFrame) -> DataFrame:
+    """The training texts read once: rows word (bytes), c, which count the words in part, and rows text, the buckets of a text's tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(count):
-            return pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], names=["word", "c"])
-        count: Counter = Counter()
+        lexicon, total, found = Lexicon([]), np.zeros(0, dtype="i8"), []
+        names = ["word", "c", "text"]
+
+        def tally() -> None:
+            nonlocal total
+            if found:
+                got = np.bincount(np.concatenate(found), minlength=len(total))
+                got[:len(total)] += total
+                total = got
+                found.clear()
+
+        def counted() -> pa.RecordBatch:
+            nonlocal total
+            tally()
+            n, total = total, np.zeros(0, dtype="i8")
+            return pa.RecordBatch.from_arrays([pa.array(list(lexicon)[:len(n)], pa.binary()), pa.array(n, pa.int64()), pa.nulls(len(n), pa.binary())], names=names)
+
         for batch in batches:
+            texts = []
             for text in batch.column(0).to_pylist():
-                count.update(tokens(text))
-                if len(count) > REMEMBER:
-                    yield flush(count)
-                    count = Counter()
-        if count:
-            yield flush(count)
+                words = tokens(text)
+                if lexicon.full(words):
+                    yield counted()
+                found.append(lexicon.codes(words))
+                texts.append(lexicon.buckets[found[-1]].astype("<u2").tobytes())
+            tally()
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(texts), pa.binary()), pa.nulls(len(texts), pa.int64()), pa.array(texts, pa.binary())], names=names)
+        yield counted()
+
+    return train.mapInArrow(run, "word binary, c long, text binary")
+
 
-    return train.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def _buckets(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u2").astype("i4") for x in batch.column(0).to_pylist()]
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -208,12 +240,12 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 
 def context_table(spark: SparkSession, train: DataFrame) -> np.ndarray:
-    """For each bucket, how often each hashed previous word came before it (whole training set)."""
+    """From rows text (buckets): for each bucket, how often each hashed previous word came before it (whole training set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, total, shard = Lexicon([]), np.zeros(BUCKETS * CONTEXTS, dtype="i8"), 0
+        total, shard = np.zeros(BUCKETS * CONTEXTS, dtype="i8"), 0
         for batch in batches:
             shard = batch.column(1)[0].as_py() if len(batch) else shard
-            parts = [lexicon.buckets[lexicon.codes(tokens(t))] for t in batch.column(0).to_pylist()]
+            parts = _buckets(batch)
             if parts:
                 flat, back = contexts(parts)
                 total += np.bincount(flat.astype("i8") * CONTEXTS + back[0] % CONTEXTS, minlength=len(total))
@@ -264,11 +296,11 @@ def train_weights(spark: SparkSession, train: DataFrame, classes: np.ndarray, pr
         sent = spark.sparkContext.broadcast(weights)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lexicon, w = Lexicon([]), sent.value.copy()
+            w = sent.value.copy()
             squares, used, shard = np.zeros(ROWS, dtype="f4"), np.zeros(ROWS, dtype="f4"), 0
             for batch in batches:
                 shard = batch.column(1)[0].as_py() if len(batch) else shard
-                parts = [lexicon.buckets[lexicon.codes(tokens(t))] for t in batch.column(0).to_pylist()]
+                parts = _buckets(batch)
                 if parts:
                     flat, back = contexts(parts)
                     rows, target = feature_rows(back, classes), classes[flat]
@@ -284,8 +316,9 @@ def train_weights(spark: SparkSession, train: DataFrame, classes: np.ndarray, pr
 
 
 def fit(spark: SparkSession, docs: DataFrame, head: int = HEAD) -> Model:
-    train = _train_texts(docs)
-    counts = common.materialize(spark, word_counts(train))
+    coded = common.materialize(spark, coded_texts(_train_texts(docs)))
+    train = coded.where("text is not null").select("text")
+    counts = common.materialize(spark, coded.where("word is not null").groupBy("word").agg(F.sum("c").alias("c")))
     classes = cluster(context_table(spark, train))
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -73,6 +73,20 @@ def test_training_never_reads_held_out_texts(spark):
     assert (a.classes == b.classes).all() and (a.log_size == b.log_size).all()
 
 
+def test_training_texts_are_read_once_into_counts_and_buckets(spark):
+    """A lexicon that overflows twice in a task loses no count; training needs no text again."""
+    texts = [" ".join(f"w{k % 3 * 1000000 + i}" for i in range(150_000)) + " The the" for k in range(5)] + ["", "a b a"]
+    texts[4] = " ".join(f"v{i}" for i in range(lm.REMEMBER + 5))
+    rows = lm.coded_texts(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)).collect()
+    counts = Counter()
+    for r in rows:
+        if r["word"] is not None:
+            counts[bytes(r["word"])] += r["c"]
+    assert counts == Counter(w.encode() for t in texts for w in brute_tokens(t))
+    got = [np.frombuffer(r["text"], "<u2").tolist() for r in rows if r["text"] is not None]
+    assert sorted(got) == sorted([lm.bucket(w.encode()) for w in brute_tokens(t)] for t in texts)
+
+
 def test_gradient_step_equals_the_softmax_derivative():
     rng = np.random.default_rng(2)
     w = rng.normal(0, 0.1, (lm.ROWS, lm.CLASSES)).astype("f4")
