@@ -19,10 +19,10 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +33,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Entries of each of the two halves of one worker's cache of encoded words: a full one replaces the older (memory bound only).
 CACHE_WORDS = 500_000
+#: Bytes of text in one block of the encoder, or one longer text (memory bound only).
+BLOCK_BYTES = 1 << 22
 #: Pieces of one length are numbered in so many independent parts, or in more, that a part holds about PART_PIECES pieces of all
 #: lengths: a length shared by most pieces is not numbered by a few tasks.
 NUMBERING_PARTS, PART_PIECES = 64, 1 << 18
@@ -43,18 +45,70 @@ _SPACES = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004
 _UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
+# Classes of bytes, and the pairs of them with a sure split in between (see unit_starts).
+_OTHER, _LETTER, _DIGIT, _MARK, _QUOTE, _BLANK, _WHITE = range(7)
+
+
+def _classes() -> np.ndarray:
+    cls = np.full(256, _OTHER, "u1")
+    for b in range(33, 127):
+        cls[b] = _LETTER if chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _MARK
+    cls[ord("'")] = _QUOTE
+    cls[9:14], cls[32] = _WHITE, _BLANK
+    return cls
+
+
+def _splits(fine: bool) -> np.ndarray:
+    at = np.zeros((8, 8), bool)
+    at[:_BLANK, _BLANK:] = True  # white space after other characters
+    at[_WHITE, _LETTER:_BLANK] = True
+    if fine:
+        at[[_LETTER, _DIGIT], _MARK] = at[[_LETTER, _DIGIT], _QUOTE] = at[_MARK, [_LETTER, _DIGIT]] = True
+    return at.ravel()
+
+
+_CLASS, _SPLIT = _classes(), {fine: _splits(fine) for fine in (False, True)}
+_WIDE_SPACE = np.array(sorted(int.from_bytes(c.encode()) for c in _SPACES if ord(c) > 127))
+
+
+def unit_starts(data: np.ndarray, ends: np.ndarray, fine: bool) -> np.ndarray:
+    """Where units start in the UTF-8 bytes ``data`` of texts between ``ends``: a flag for each byte, and one more for the end.
+
+    A unit starts where the pre-tokenizer splits whatever stands around: at white space after another character, and on both
+    sides of white space that is no blank and ends its run; if ``fine``, also between letters or digits and signs, but for an
+    apostrophe before them ('s is one). Characters beyond ASCII that are no letters of Latin-1 may be of any class: only white
+    space is parted from them.
+    """
+    starts, cls = np.zeros(len(data) + 1, bool), _CLASS[data]
+    wide = bool(len(data)) and int(data.max()) > 127
+    if wide:
+        latin = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))
+        cls[latin] = cls[latin + 1] = _LETTER
+    starts[1:-1] = _SPLIT[fine][cls[:-1] * 8 + cls[1:]]
+    if wide:  # no split between white space beyond ASCII and what follows it
+        at = np.flatnonzero(starts[1:-1] & (data[:-1] > 127) & (cls[:-1] == _OTHER)) + 1
+        two = data[at - 2].astype("i8") << 8 | data[at - 1]
+        three = data[np.maximum(at - 3, 0)].astype("i8") << 16 | two
+        starts[at[np.isin(two, _WIDE_SPACE) | np.isin(three, _WIDE_SPACE)]] = False
+    last = starts[1:-1] & (cls[:-1] == _WHITE) & (cls[1:] < _BLANK)
+    last[ends[(ends > 0) & (ends < len(data))] - 1] = False  # what follows is another text
+    starts[:-2][last] = True
+    starts[ends] = True
+    return starts
+
+
 class WordCachingEncoder:
-    """Ids of whole texts, encoding each distinct white-space unit once.
+    """Ids of whole texts, encoding each distinct unit once.
 
-    A unit is an optional space and the following non-space run; the pre-tokenizer always splits
-    before it, so the ids of a text are the joined ids of its units. Ids come as little-endian
-    unsigned 32-bit bytes.
+    Units are cut where the pre-tokenizer always splits (``unit_starts``), so the ids of a text are the joined ids of its
+    units. Units are found, told apart and joined for a block of texts at once, on arrays; only distinct units of a block are
+    looked up. Ids come as little-endian unsigned 32-bit bytes.
     """
 
     def __init__(self, tokenizer_file: str, special: bool = False) -> None:
         """``special``: the string of a special token in a text becomes its id, as in Tokenizer.encode; else it is ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self._tok = Tokenizer.from_file(tokenizer_file)
         self._tok.encode_special_tokens = True  # units hold none, or are ordinary text
         self._plain = Tokenizer.from_file(tokenizer_file) if special else None
@@ -65,45 +119,92 @@ class WordCachingEncoder:
         self._bytes = np.zeros(max(vocab.values()) + 1, dtype="i8")
         for token, no in vocab.items():
             self._bytes[no] = len(token)  # a byte-level token has one character per byte
+        split = self._tok.pre_tokenizer
+        #: Signs are parted from words by the library's own byte-level pattern; other patterns may join them.
+        self._fine = isinstance(split, pre_tokenizers.ByteLevel) and split.use_regex and not split.add_prefix_space and self._tok.normalizer is None
 
     def _learn(self, units: list[str]) -> None:
-        """Cache the ids of new units. Those that start with a space are encoded as one text, for the
-        pre-tokenizer splits before each of them and byte-level tokens show where a unit ends."""
-        spaced = [u for u in units if u[0] == " " and u[-1] not in _SPACES]
-        for i in range(0, len(spaced), 5000):
-            part = spaced[i:i + 5000]
-            ids = np.array(self._tok.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.cumsum([len(u.encode()) for u in part])
-            cuts = (4 * np.searchsorted(np.cumsum(self._bytes[ids]), ends, side="right")).tolist()
-            raw = ids.tobytes()
-            for unit, start, end in zip(part, [0, *cuts], cuts):
-                self._cache[unit] = raw[start:end]
-        rest = [u for u in units if u[0] != " " or u[-1] in _SPACES]
+        """Cache the ids of new units. Those that end without white space are encoded as one text, for the pre-tokenizer splits
+        before white space that starts the next, or on both sides of a line feed put before it, and byte-level tokens show
+        where a unit ends."""
+        joined = [u for u in units if u[-1] not in _SPACES and (u[0] in _SPACES if self._fine else u[0] == " ")]
+        fed = [u for u in units if u[-1] not in _SPACES and u[0] not in _SPACES] if self._fine else []
+        for feed, group in (("", joined), ("\n", fed)):
+            for i in range(0, len(group), 5000):
+                part = group[i:i + 5000]
+                ids = np.array(self._tok.encode_batch_fast([feed + feed.join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+                long = np.array([len(u.encode()) for u in part])
+                ends = np.cumsum(long + len(feed))
+                after = np.concatenate(([0], np.cumsum(self._bytes[ids])))
+                cuts = (4 * np.searchsorted(after, ends)).tolist()
+                raw = ids.tobytes()
+                for unit, start, end in zip(part, (4 * np.searchsorted(after, ends - long)).tolist(), cuts):
+                    self._cache[unit] = raw[start:end]
+        done = {*joined, *fed}
+        rest = [u for u in units if u not in done]
         for unit, enc in zip(rest, self._tok.encode_batch_fast(rest, add_special_tokens=False)):
             self._cache[unit] = np.array(enc.ids, dtype="<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = {i for i, t in enumerate(texts) if any(x in t for x in self._special)}
-        plain = iter(self._encode_units([t for i, t in enumerate(texts) if i not in found]) if found else self._encode_units(texts))
-        return [np.array(self._plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if i in found else next(plain)
-                for i, t in enumerate(texts)]
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text; ``texts``: a list, or an Arrow array of strings without nulls."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        found = np.zeros(len(texts), bool)
+        for x in self._special:
+            found |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
+        out = self._encode_units(pc.if_else(pa.array(found), pa.scalar("", texts.type), texts) if found.any() else texts)
+        for i in np.flatnonzero(found).tolist():
+            out[i] = np.array(self._plain.encode(texts[i].as_py(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return out
 
-    def _encode_units(self, texts: list[str]) -> list[bytes]:
+    def _encode_units(self, texts: pa.Array) -> list[bytes]:
+        kind = np.dtype("i8" if pa.types.is_large_string(texts.type) else "i4")
         out: list[bytes] = []
-        for i in range(0, len(texts), 200):
-            if len(self._cache) > CACHE_WORDS:
-                self._older, self._cache = self._cache, {}
-            cache, older, new = self._cache, self._older, set()
-            split = [_UNIT.findall(t) for t in texts[i:i + 200]]
-            for units in split:
-                new.update(filterfalse(cache.__contains__, units))
-            cache.update((u, older[u]) for u in new if u in older)  # words met again outlive the older half
-            learn = [u for u in new if u not in cache]
-            if learn:
-                self._learn(learn)
-            out += [b"".join(map(cache.__getitem__, units)) for units in split]
+        if not len(texts):
+            return out
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, kind, len(texts) + 1, texts.offset * kind.itemsize).astype("i8")
+        chars = np.frombuffer(data, "u1") if data is not None and data.size else np.zeros(0, "u1")
+        while len(out) < len(texts):
+            row = len(out)
+            stop = max(row + 1, int(np.searchsorted(ends, ends[row] + BLOCK_BYTES, side="right")) - 1)
+            out += self._encode_block(chars[ends[row]:ends[stop]], ends[row:stop + 1] - ends[row])
         return out
 
+    def _encode_block(self, data: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Ids of the texts between ``ends`` of the UTF-8 bytes ``data``."""
+        if not len(data):
+            return [b""] * (len(ends) - 1)
+        starts = np.flatnonzero(unit_starts(data, ends, self._fine))
+        units = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(data)).dictionary_encode()
+        held = self._ids_of(units.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, held), "i8", len(held)) // 4
+        which = units.indices.to_numpy()
+        long = sizes[which]
+        after = np.concatenate(([0], np.cumsum(long)))
+        takes = np.repeat((np.cumsum(sizes) - sizes)[which] - after[:-1], long) + np.arange(after[-1])
+        raw = np.frombuffer(b"".join(held), "<u4")[takes].tobytes()
+        cuts = (4 * after[np.searchsorted(starts, ends)]).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _ids_of(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units, from the cache or learnt."""
+        if len(self._cache) > CACHE_WORDS:
+            self._older, self._cache = self._cache, {}
+        cache, older, learn = self._cache, self._older, []
+        held = list(map(cache.get, units))
+        absent = [i for i, ids in enumerate(held) if ids is None]
+        for i in absent:
+            ids = older.get(units[i])
+            if ids is None:
+                learn.append(units[i])
+            else:
+                cache[units[i]] = ids  # words met again outlive the older half
+        if learn:
+            self._learn(learn)
+        for i in absent:
+            held[i] = cache[units[i]]
+        return held
+
 
 @lru_cache(maxsize=2)
 def encoder(tokenizer_file: str) -> WordCachingEncoder:
@@ -134,7 +235,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY,
         for batch in batches:
             take, cols = [], [[], [], [], []]
             ids: list = []
-            for row, raw in enumerate(enc.encode(batch.column(1).to_pylist())):
+            for row, raw in enumerate(enc.encode(batch.column(1))):
                 raw += end
                 for no, (start, length) in enumerate(cut(len(raw) // 4, capacity)):
                     part = raw[4 * start:4 * (start + length)]

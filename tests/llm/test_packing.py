@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -74,6 +75,46 @@ def test_words_met_again_outlive_a_full_cache(monkeypatch):
     assert len(learnt) == len(set(learnt)) and len(enc._cache) + len(enc._older) < 4 * 300
 
 
+def test_words_are_learnt_without_the_signs_around_them(monkeypatch):
+    enc, learnt = packing.WordCachingEncoder(FILE), []
+    plain = enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda units: (learnt.extend(units), plain(units)))
+    texts = ["x often, often. often; often\u00e9, often\u00e9! often", "x often: often\noften\noften,\noften"]
+    got = [raw for t in texts for raw in enc.encode([t])]
+    assert got == [np.array(enc._tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert len(learnt) == len(set(learnt)) and sorted(u for u in learnt if "often" in u) == [" often", " often\u00e9", "often"]
+
+
+PARTS = list("ab'stl12.,!(-_ \n\t\r\x0b\x1c\x00\x7f\x85\xa0\u1680\u2003\u2028\u202f\u3000\u200b\u00c9\u00d7\u00f7\u00b2\u0301\u65e5\u2026\U0001f600") + [
+    "  ", "\n\n", "'s", "'re", " the", "ing", "\u00e9t\u00e9"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=25).map("".join), max_size=8))
+def test_any_texts_are_encoded_as_the_library_does(texts):
+    enc = packing.encoder(FILE)
+    want = [np.array(enc._tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    old, enc._cache, enc._older = packing.BLOCK_BYTES, {}, {}
+    try:
+        assert enc.encode(texts) == want
+        packing.BLOCK_BYTES = 20
+        for kind in (pa.string(), pa.large_string()):
+            assert enc.encode(pa.array(["before", *texts], kind)[1:]) == want
+    finally:
+        packing.BLOCK_BYTES = old
+
+
+def test_other_patterns_keep_signs_with_their_words(tmp_path):
+    from tokenizers import Regex, Tokenizer, pre_tokenizers
+    t = Tokenizer.from_file(FILE)
+    t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"), "isolated"),
+                                               pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    t.save(str(tmp_path / "t.json"))
+    texts = ["a (the,the) x/the 'the' ", "_the -the\nthe  the\n\nthe", "\u00e9,the"]
+    got = packing.WordCachingEncoder(str(tmp_path / "t.json")).encode(texts)
+    assert got == [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+
+
 def test_pack_documents_round_trip(spark):
     rnd = random.Random(3)
     rows = [(i, " ".join(rnd.choice("the of and zyx qu".split()) for _ in range(rnd.choice([0, 1, 5, 40, 400]))), "x", 1) for i in range(60)]
