@@ -2,6 +2,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.llm import html_extract
 
@@ -123,6 +124,45 @@ def test_doubtful_blocks_go_where_the_host_repeats_them(spark):
     assert got == {**want, 6: "story 6 goes on unlike any other text end 6", 7: "story 7 goes on Read more about us end 7", 8: "story 8 goes on end 8"}
 
 
+def test_every_host_is_searched_for_its_doubtful_blocks(spark):
+    """All pages mark their article; what the host repeats beside its articles decides the doubtful blocks inside them."""
+    long = " ".join(f"n{i}" for i in range(30))
+    page = "<div>{0}</div><article><p>story {1} goes on</p><div class='related'><p>{2}</p></div></article><footer>{3}</footer>"
+    rows = [(i, f"http://a.example/{i}", page.format("Read more about us", i, "", "Before " + long + " after")) for i in range(8)]
+    rows += [(8, "http://a.example/8", page.format("x", 8, "Read more about us", "y")), (9, "http://a.example/9", page.format("x", 9, " ".join(long.split()[:25]), "y")),
+             (10, "http://a.example/10", page.format("x", 10, long + " and more", "y")), (11, "http://a.example/11", page.format("x", 11, "Read more", "y")),
+             (12, "http://a.example/12", page.format("x", 12, " ".join(long.split()[:11]), "y"))]
+    # on two of twelve pages, its own among them, it is not repeated, and copies of a page count once
+    rows += [(20 + i, f"http://b.example/{i}", page.format("Read more about us" if i < 1 else f"z{i}", 20 + i, "", "")) for i in range(11)]
+    rows += [(20, "http://b.example/0", rows[13][2])] * 5 + [(31, "http://b.example/31", page.format("x", 31, "Read more about us", ""))]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    kept = {10: f" {long} and more", 11: " Read more", 12: " " + " ".join(long.split()[:11]), 31: " Read more about us"}
+    assert got == {i: f"story {i} goes on{kept.get(i, '')}" for i in [*range(13), *range(20, 32)]}
+
+
+def test_what_hosts_repeat_equals_brute_force(spark):
+    rnd = random.Random(5)
+    phrases = [[f"f{k}x{j}" for j in range(rnd.choice([1, 3, 12, 15]))] for k in range(8)]
+    rows, texts = [], {}
+    for i in range(60):
+        host, page = f"h{i % 4}", i if i % 10 else 0
+        if (host, page) not in texts:
+            texts[host, page] = [[w for _ in range(rnd.randint(1, 2)) for w in rnd.choice(phrases)] for _ in range(rnd.randint(0, 4))], [rnd.choice(phrases) for _ in range(rnd.randint(0, 2))]
+        blocks, asides = texts[host, page]
+        rows.append((i, host, page, True, ["An article", *map(" ".join, asides)], [False, *[True for _ in asides]], [w for b in blocks for w in b], [len(b) for b in blocks]))
+    found, size = {}, html_extract.RUN
+    for (host, page), (blocks, asides) in texts.items():
+        stream = [w for b in blocks for w in b]
+        for piece in [*blocks, *asides, *[t[i:i + size] for t in [stream, *asides] for i in range(len(t) - size + 1)]]:
+            found.setdefault((host, tuple(piece)), set()).add(page)
+    needed = {h: max(html_extract.PAGES, -(-sum(host == h for host, _ in texts) // 5)) for h, _ in texts}
+    want = [(h, list(piece)) for (h, piece), pages in found.items() if len(pages) >= needed[h]]
+    prints = spark.createDataFrame(want, "host string, t array<string>").select("host", html_extract._print(F.col("t")).alias("prefix"))
+    schema = "row long, host string, page long, has_root boolean, parts array<string>, doubtful array<boolean>, tokens array<string>, sizes array<int>"
+    got = html_extract.host_repeats(spark.createDataFrame(rows, schema))
+    assert sorted(map(str, got.collect())) == sorted(map(str, prints.collect())) and 0 < len(want) < len(found)
+
+
 def test_a_host_of_one_page_loses_its_menu_and_copyright_line(spark):
     html = "<div><a href=1>Home</a> <a href=2>News</a></div><ul><li><a href=3>Contact</a><li><a href=4>Jobs</a></ul><p>Unique story with <a href=5>a link</a>.</p>" \
            "<p><a href=6>One link alone</a></p><div>Copyright 2020 all rights reserved</div>"
